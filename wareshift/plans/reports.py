@@ -107,3 +107,308 @@ def plan_vs_actual(spark, sf_dir):
     out = dims.join(per_nation, dims.n_nationkey == per_nation.c_nationkey, "left")
     zero = F.lit(0).cast("decimal(25,2)")
     return out.select("r_name", "n_name", *[S.ifnull(n, zero).alias(n) for n in MEASURES])
+
+
+# ---------------------------------------------------------------------------
+# Per customer year-, month-, cumulative-to-date totals at AS_OF.
+@register("period_totals", f"""
+SELECT o_custkey,
+       sum(CASE WHEN CAST(o_orderdate AS DATE) >= DATE '{AS_OF.year}-01-01' THEN CAST(o_totalprice AS DECIMAL(15,2)) ELSE 0 END) AS ytd,
+       sum(CASE WHEN CAST(o_orderdate AS DATE) >= {sql_date(AS_OF.replace(day=1))} THEN CAST(o_totalprice AS DECIMAL(15,2)) ELSE 0 END) AS mtd,
+       sum(CAST(o_totalprice AS DECIMAL(15,2))) AS cumulative,
+       CAST(count(*) AS BIGINT) AS orders,
+       CAST(sum(CASE WHEN CAST(o_orderdate AS DATE) > CAST({sql_date(AS_OF)} - INTERVAL 30 DAY AS DATE) THEN 1 ELSE 0 END) AS BIGINT) AS last_30d,
+       CAST(datediff('day', max(CAST(o_orderdate AS DATE)), {sql_date(AS_OF)}) AS BIGINT) AS days_since_last,
+       CAST(min(CAST(o_orderdate AS DATE)) + INTERVAL 1 YEAR AS DATE) AS first_anniversary
+FROM orders
+WHERE CAST(o_orderdate AS DATE) <= {sql_date(AS_OF)}
+GROUP BY o_custkey
+""", "A12,F13")
+def period_totals(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    o = t.orders.select("o_custkey", "o_orderdate", "o_totalprice").filter(
+        F.col("o_orderdate") < ntz(AS_OF + __import__("datetime").timedelta(days=1)))
+    d = F.col("o_orderdate").cast("date")
+    a = F.lit(AS_OF)
+    amt = dec("o_totalprice")
+    return o.groupBy("o_custkey").agg(
+        A.conditional_sum(amt, d >= F.trunc(a, "year")).alias("ytd"),
+        A.conditional_sum(amt, d >= F.trunc(a, "month")).alias("mtd"),
+        F.sum(amt).alias("cumulative"),
+        F.count(F.lit(1)).alias("orders"),
+        F.sum(F.when(d > F.date_sub(a, 30), 1).otherwise(0)).cast("bigint").alias("last_30d"),
+        F.datediff(a, F.max(d)).cast("bigint").alias("days_since_last"),
+        F.add_months(F.min(d), 12).alias("first_anniversary"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Month calendar of the orders with previous/next month,
+# date-digit key, and the previous month's totals joined on a computed key.
+@register("prior_month_bounds", """
+WITH m AS (
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start,
+           CAST(count(*) AS BIGINT) AS orders,
+           sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total
+    FROM orders GROUP BY 1
+)
+SELECT m.month_start,
+       CAST(m.month_start - INTERVAL 1 MONTH AS DATE) AS prev_month_start,
+       CAST(m.month_start + INTERVAL 1 MONTH AS DATE) AS next_month_start,
+       CAST(m.month_start + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS month_end,
+       strftime(m.month_start, '%Y%m%d') AS date_key,
+       make_date(CAST(year(m.month_start) AS INTEGER), CAST(month(m.month_start) AS INTEGER), 1) = m.month_start AS key_roundtrip,
+       CAST(datediff('day', m.month_start, CAST(m.month_start + INTERVAL 1 MONTH AS DATE)) AS BIGINT) AS day_count,
+       m.orders, m.total,
+       p.total AS prev_total
+FROM m LEFT JOIN m p ON p.month_start = CAST(m.month_start - INTERVAL 1 MONTH AS DATE)
+""", "F13,F15,F16,F17,J11")
+def prior_month_bounds(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    m = t.orders.groupBy(S.month_start("o_orderdate").alias("month_start")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(dec("o_totalprice")).alias("total"))
+    p = m.select(F.col("month_start").alias("p_month"), F.col("total").alias("prev_total"))
+    j = m.join(p, S.prev_month_start("month_start") == F.col("p_month"), "left")
+    ms = F.col("month_start")
+    return j.select(
+        "month_start",
+        S.prev_month_start(ms).alias("prev_month_start"),
+        S.next_month_start(ms).alias("next_month_start"),
+        F.last_day(ms).alias("month_end"),
+        S.date_key(ms).alias("date_key"),
+        (S.month_date(F.year(ms), F.month(ms)) == ms).alias("key_roundtrip"),
+        F.datediff(S.next_month_start(ms), ms).cast("bigint").alias("day_count"),
+        "orders", "total", "prev_total",
+    )
+
+
+# ---------------------------------------------------------------------------
+# Monthly order totals joined to a quarter frame on ceil(month/3).
+@register("quarter_key_join", """
+WITH monthly AS (
+    SELECT CAST(year(o_orderdate) AS BIGINT) AS yr, CAST(month(o_orderdate) AS BIGINT) AS mon,
+           CAST(count(*) AS BIGINT) AS orders, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total
+    FROM orders GROUP BY 1, 2
+),
+quarters AS (
+    SELECT CAST(year(l_shipdate) AS BIGINT) AS yr, CAST(quarter(l_shipdate) AS BIGINT) AS qtr,
+           sum(CAST(l_quantity AS DECIMAL(15,2))) AS ship_qty
+    FROM lineitem GROUP BY 1, 2
+)
+SELECT m.yr, m.mon, q.qtr, m.orders, m.total, q.ship_qty,
+       round(m.total, -3) AS total_k,
+       CAST(floor(m.orders / 7) AS BIGINT) AS weeks_floor,
+       CAST(ceil(m.orders / 7) AS BIGINT) AS weeks_ceil,
+       CAST(m.orders % 7 AS BIGINT) AS rest
+FROM monthly m JOIN quarters q ON q.yr = m.yr AND q.qtr = CAST(ceil(m.mon / 3) AS BIGINT)
+""", "J11,F11")
+def quarter_key_join(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    monthly = t.orders.groupBy(
+        F.year("o_orderdate").cast("bigint").alias("yr"), F.month("o_orderdate").cast("bigint").alias("mon")
+    ).agg(F.count(F.lit(1)).alias("orders"), F.sum(dec("o_totalprice")).alias("total"))
+    quarters = t.lineitem.groupBy(
+        F.year("l_shipdate").cast("bigint").alias("q_yr"), F.quarter("l_shipdate").cast("bigint").alias("qtr")
+    ).agg(F.sum(dec("l_quantity")).alias("ship_qty"))
+    j = monthly.join(quarters, (F.col("q_yr") == F.col("yr")) & (F.col("qtr") == S.quarter_of_month("mon")))
+    n = F.col("orders")
+    return j.select(
+        "yr", "mon", "qtr", "orders", "total", "ship_qty",
+        F.round("total", -3).alias("total_k"),
+        F.floor(n / 7).cast("bigint").alias("weeks_floor"),
+        F.ceil(n / 7).cast("bigint").alias("weeks_ceil"),
+        (n % 7).cast("bigint").alias("rest"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# Line items shipped within 30 days of their order (equi key + bounds).
+@register("range_join_ship", """
+SELECT o.o_orderpriority,
+       CAST(count(*) AS BIGINT) AS lines,
+       sum(CAST(l.l_quantity AS DECIMAL(15,2))) AS qty
+FROM lineitem l JOIN orders o
+  ON l.l_orderkey = o.o_orderkey
+ AND l.l_shipdate BETWEEN o.o_orderdate AND o.o_orderdate + INTERVAL 30 DAY
+GROUP BY o.o_orderpriority
+""", "J3")
+def range_join_ship(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    li = t.lineitem.select(F.col("l_orderkey").alias("okey"), "l_shipdate", "l_quantity")
+    o = t.orders.select(F.col("o_orderkey").alias("okey"), "o_orderpriority",
+                        F.col("o_orderdate").alias("lo"),
+                        (F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS")).alias("hi"))
+    j = J.range_join(li, o, ["okey"], "l_shipdate", "lo", "hi")
+    return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), F.sum(dec("l_quantity")).alias("qty"))
+
+
+# OR / theta residual in ON (earlier years, or same year up to next month).
+@register("or_theta_join", """
+SELECT o.o_orderstatus, CAST(count(*) AS BIGINT) AS lines
+FROM lineitem l JOIN orders o
+  ON l.l_orderkey = o.o_orderkey
+ AND (year(l.l_shipdate) < year(o.o_orderdate)
+      OR (year(l.l_shipdate) = year(o.o_orderdate) AND month(l.l_shipdate) <= month(o.o_orderdate) + 1))
+GROUP BY o.o_orderstatus
+""", "J4")
+def or_theta_join(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_shipdate")
+    o = t.orders.select("o_orderkey", "o_orderstatus", "o_orderdate")
+    ys, yo = F.year("l_shipdate"), F.year("o_orderdate")
+    cond = (li.l_orderkey == o.o_orderkey) & (
+        (ys < yo) | ((ys == yo) & (F.month("l_shipdate") <= F.month("o_orderdate") + 1)))
+    return li.join(o, cond).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("lines"))
+
+
+# ---------------------------------------------------------------------------
+# Hierarchy roll-up region|nation|customer.  The textual prefix form
+# LEFT(c.path, LENGTH(p.path)) = p.path also matches '1|1' against
+# '1|16|...'; the path form matches whole segments only.
+_NODES_SQL = """
+nodes AS (
+    SELECT CAST(r_regionkey AS VARCHAR) AS path, 1 AS level, r_regionkey AS rk FROM region
+    UNION ALL
+    SELECT CAST(n_regionkey AS VARCHAR) || '|' || CAST(n_nationkey AS VARCHAR), 2, n_regionkey FROM nation
+    UNION ALL
+    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR), 3, n.n_regionkey
+    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+)"""
+_LEAF_SQL = """
+leaf AS (
+    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR) AS path,
+           sum(CAST(o.o_totalprice AS DECIMAL(15,2))) AS amount, count(*) AS cnt
+    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+    GROUP BY 1
+)"""
+
+
+def _nodes(t):
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    r = t.region.select(F.col("r_regionkey").cast("string").alias("path"), F.lit(1).alias("level"),
+                        F.col("r_regionkey").alias("rk"))
+    nn = n.select(F.concat_ws("|", "n_regionkey", "n_nationkey").alias("path"), F.lit(2).alias("level"),
+                  F.col("n_regionkey").alias("rk"))
+    c = t.customer.select("c_custkey", "c_nationkey").join(J.broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    cc = c.select(F.concat_ws("|", "n_regionkey", "n_nationkey", "c_custkey").alias("path"), F.lit(3).alias("level"),
+                  F.col("n_regionkey").alias("rk"))
+    return r.unionByName(nn).unionByName(cc)
+
+
+def _order_leaves(t):
+    """Order totals per customer path; orders are aggregated per customer
+    before the join so the shuffle carries one row per customer."""
+    per_cust = t.orders.groupBy("o_custkey").agg(
+        F.sum(dec("o_totalprice")).alias("amount"), F.count(F.lit(1)).alias("cnt"))
+    n = J.broadcast_if_small(t.nation.select("n_nationkey", "n_regionkey"))
+    c = t.customer.select("c_custkey", "c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return per_cust.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.concat_ws("|", "n_regionkey", "n_nationkey", "c_custkey").alias("path"), "amount", "cnt")
+
+
+def _rollup(spark, sf_dir, mode):
+    t = tables(spark, sf_dir)
+    out = J.ancestor_rollup(_order_leaves(t), "path", {"amount": F.sum("amount"), "cnt": F.sum("cnt")},
+                            _nodes(t).drop("rk"), "path", mode=mode)
+    return out.select("path", "level",
+                      F.coalesce("amount", F.lit(0).cast("decimal(25,2)")).alias("total"),
+                      F.coalesce("cnt", F.lit(0)).cast("bigint").alias("orders"))
+
+
+@register("ancestor_rollup", f"""
+WITH {_NODES_SQL}, {_LEAF_SQL}
+SELECT p.path, p.level, ifnull(sum(l.amount), 0) AS total, CAST(ifnull(sum(l.cnt), 0) AS BIGINT) AS orders
+FROM nodes p LEFT JOIN leaf l ON left(l.path, length(p.path)) = p.path
+GROUP BY p.path, p.level
+""", "J5")
+def ancestor_rollup(spark, sf_dir):
+    return _rollup(spark, sf_dir, "string")
+
+
+@register("ancestor_rollup_path", f"""
+WITH {_NODES_SQL}, {_LEAF_SQL}
+SELECT p.path, p.level, ifnull(sum(l.amount), 0) AS total, CAST(ifnull(sum(l.cnt), 0) AS BIGINT) AS orders
+FROM nodes p LEFT JOIN leaf l ON l.path = p.path OR starts_with(l.path, p.path || '|')
+GROUP BY p.path, p.level
+""", "J5")
+def ancestor_rollup_path(spark, sf_dir):
+    return _rollup(spark, sf_dir, "path")
+
+
+# Containment locate(p.path, c.path) > 0 inside the same region, for
+# the customers that placed an urgent order.
+@register("path_contains", f"""
+WITH {_NODES_SQL},
+picked AS (
+    SELECT * FROM nodes WHERE level = 3 AND CAST(split_part(path, '|', 3) AS BIGINT) IN (
+        SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+)
+SELECT p.path, p.level, CAST(count(*) AS BIGINT) AS children
+FROM nodes p JOIN picked c ON c.rk = p.rk AND strpos(c.path, p.path) > 0
+GROUP BY p.path, p.level
+""", "J6,F9")
+def path_contains(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    nodes = _nodes(t)
+    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey"))
+    picked = nodes.filter(F.col("level") == 3).join(
+        urgent, F.split_part(F.col("path"), F.lit("|"), F.lit(3)).cast("bigint") == F.col("o_custkey"), "left_semi")
+    c = picked.select(F.col("path").alias("c_path"), "rk")
+    j = J.containment_join(c, nodes, "c_path", "path", keys=["rk"])
+    return j.groupBy("path", "level").agg(F.count(F.lit(1)).alias("children"))
+
+
+# ---------------------------------------------------------------------------
+# Nested IN subqueries as semi joins.
+@register("semi_in", """
+SELECT c_custkey, c_name FROM customer
+WHERE c_custkey IN (SELECT o_custkey FROM orders
+                    WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity >= 49))
+""", "J7")
+def semi_in(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    big = t.lineitem.filter(F.col("l_quantity") >= 49).select(F.col("l_orderkey"))
+    o = J.semi(t.orders.select("o_orderkey", "o_custkey"), big, F.col("o_orderkey") == F.col("l_orderkey"))
+    return J.semi(t.customer.select("c_custkey", "c_name"), o.select("o_custkey"),
+                  F.col("c_custkey") == F.col("o_custkey"))
+
+
+# Null-aware NOT IN (a null probe never qualifies).
+@register("anti_not_in", """
+SELECT c_custkey, c_name FROM customer
+WHERE (CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END)
+      NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+""", "J8")
+def anti_not_in(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    probe = t.customer.select("c_custkey", "c_name",
+                              F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None)).otherwise(F.col("c_custkey")).alias("probe"))
+    sub = t.orders.filter(F.col("o_totalprice") > 300000).select("o_custkey")
+    return J.anti_not_in(probe, sub, "probe", "o_custkey").select("c_custkey", "c_name")
+
+
+# Comma join of two one-row aggregates.
+@register("cross_totals", """
+SELECT a.order_total, a.order_count, b.line_qty, b.line_count
+FROM (SELECT sum(CAST(o_totalprice AS DECIMAL(15,2))) AS order_total, CAST(count(*) AS BIGINT) AS order_count FROM orders) a,
+     (SELECT sum(CAST(l_quantity AS DECIMAL(15,2))) AS line_qty, CAST(count(*) AS BIGINT) AS line_count FROM lineitem) b
+""", "J9,A9")
+def cross_totals(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    a = t.orders.agg(F.sum(dec("o_totalprice")).alias("order_total"), F.count(F.lit(1)).alias("order_count"))
+    b = t.lineitem.agg(F.sum(dec("l_quantity")).alias("line_qty"), F.count(F.lit(1)).alias("line_count"))
+    return a.crossJoin(b)  # one row each by construction
+
+
+# The latest order attached to every region (LEFT JOIN ... ON 1=1).
+@register("attach_last", """
+SELECT r.r_name, x.o_orderkey, x.o_orderdate
+FROM region r LEFT JOIN (
+    SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1
+) x ON 1 = 1
+""", "J10,T4")
+def attach_last(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    last = t.orders.select("o_orderkey", "o_orderdate").orderBy(
+        F.col("o_orderdate").desc(), F.col("o_orderkey").desc()).limit(1)
+    return J.attach_row(t.region.select("r_name"), last)
