@@ -412,3 +412,342 @@ def attach_last(spark, sf_dir):
     last = t.orders.select("o_orderkey", "o_orderdate").orderBy(
         F.col("o_orderdate").desc(), F.col("o_orderkey").desc()).limit(1)
     return J.attach_row(t.region.select("r_name"), last)
+
+
+# ---------------------------------------------------------------------------
+# Self join to the "original" customer of each nation (lowest key) with
+# a CASE pick between the two rows.
+@register("self_parent", """
+WITH first AS (SELECT c_nationkey, min(c_custkey) AS orig_key FROM customer GROUP BY c_nationkey)
+SELECT c.c_custkey, f.orig_key,
+       CASE WHEN c.c_acctbal < o.c_acctbal THEN o.c_name ELSE c.c_name END AS pick_name,
+       CASE WHEN c.c_custkey = f.orig_key THEN 'original' ELSE 'copy' END AS role
+FROM customer c
+JOIN first f ON f.c_nationkey = c.c_nationkey
+JOIN customer o ON o.c_custkey = f.orig_key
+""", "J12,F3")
+def self_parent(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_name")
+    first = c.groupBy("c_nationkey").agg(F.min("c_custkey").alias("orig_key"))
+    o = c.select(F.col("c_custkey").alias("o_key"), F.col("c_acctbal").alias("o_bal"), F.col("c_name").alias("o_name"))
+    j = c.join(first, "c_nationkey").join(o, F.col("o_key") == F.col("orig_key"))
+    return j.select(
+        "c_custkey", "orig_key",
+        F.when(F.col("c_acctbal") < F.col("o_bal"), F.col("o_name")).otherwise(F.col("c_name")).alias("pick_name"),
+        F.when(F.col("c_custkey") == F.col("orig_key"), "original").otherwise("copy").alias("role"),
+    )
+
+
+# Unit conversion through a de-duplicated factor table, 0/null -> 1.
+@register("unit_convert", """
+WITH factor AS (SELECT DISTINCT p_type, length(p_type) % 3 AS f FROM part),
+q AS (
+    SELECT p.p_type, sum(CAST(l.l_quantity AS DECIMAL(15,2))) AS qty
+    FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY p.p_type
+)
+SELECT q.p_type, q.qty, CAST(coalesce(nullif(f.f, 0), 1) AS BIGINT) AS factor,
+       round(q.qty / coalesce(nullif(f.f, 0), 1), 2) AS converted
+FROM q LEFT JOIN factor f ON f.p_type = q.p_type
+""", "J13")
+def unit_convert(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    part = t.part.select("p_partkey", "p_type")
+    q = (t.lineitem.select("l_partkey", "l_quantity")
+         .join(part, F.col("l_partkey") == F.col("p_partkey"))
+         .groupBy("p_type").agg(F.sum(dec("l_quantity")).alias("qty")))
+    factors = part.select("p_type", (F.length("p_type") % 3).alias("f")).distinct()
+    out = J.convert_units(q, factors, "p_type", "f", "qty", "ratio")
+    guard = F.coalesce(F.when(F.col("f") != 0, F.col("f")), F.lit(1))
+    out = out.join(factors, "p_type", "left")
+    return out.select("p_type", "qty", guard.cast("bigint").alias("factor"),
+                      F.round(F.col("qty").cast("double") / guard, 2).alias("converted"))
+
+
+# Scalar subquery in a predicate.
+@register("scalar_subquery", """
+SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS above_avg, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total
+FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)
+GROUP BY o_orderstatus
+""", "J14")
+def scalar_subquery(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    o = t.orders.select("o_orderstatus", "o_totalprice")
+    avg = o.agg(F.avg("o_totalprice").alias("__avg"))  # one row: broadcast is size-safe
+    return (o.crossJoin(F.broadcast(avg)).filter(F.col("o_totalprice") > F.col("__avg"))
+            .groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("above_avg"), F.sum(dec("o_totalprice")).alias("total")))
+
+
+# Priority weights of the inline VALUES table.
+PRIORITY_WEIGHTS = [("1-URGENT", 5), ("2-HIGH", 4), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 2), ("5-LOW", 1)]
+
+
+# Inline VALUES table as a join side.
+@register("values_join", """
+SELECT w.priority, CAST(count(*) AS BIGINT) AS orders, sum(CAST(o.o_totalprice AS DECIMAL(15,2)) * w.weight) AS weighted
+FROM orders o JOIN (VALUES ('1-URGENT', 5), ('2-HIGH', 4), ('3-MEDIUM', 3), ('4-NOT SPECIFIED', 2), ('5-LOW', 1)) AS w(priority, weight)
+  ON w.priority = o.o_orderpriority
+GROUP BY w.priority
+""", "J15")
+def values_join(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    w = spark.createDataFrame(PRIORITY_WEIGHTS, "priority string, weight int")
+    j = t.orders.select("o_orderpriority", "o_totalprice").join(F.broadcast(w), F.col("priority") == F.col("o_orderpriority"))
+    return j.groupBy("priority").agg(F.count(F.lit(1)).alias("orders"),
+                                     F.sum(dec("o_totalprice") * F.col("weight")).alias("weighted"))
+
+
+# ---------------------------------------------------------------------------
+# A3: pivot of two measures over linestatus values plus totals.
+@register("pivot_flags", """
+SELECT l_returnflag,
+       sum(CASE WHEN l_linestatus = 'F' THEN CAST(l_quantity AS DECIMAL(15,2)) END) AS qty_F,
+       sum(CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS DECIMAL(15,2)) END) AS price_F,
+       sum(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS DECIMAL(15,2)) END) AS qty_O,
+       sum(CASE WHEN l_linestatus = 'O' THEN CAST(l_extendedprice AS DECIMAL(15,2)) END) AS price_O,
+       sum(CAST(l_quantity AS DECIMAL(15,2))) AS qty_total,
+       sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS price_total
+FROM lineitem GROUP BY l_returnflag
+""", "A3")
+def pivot_flags(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    li = t.lineitem.select("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
+    return A.pivot_measures(li, ["l_returnflag"], "l_linestatus", ["F", "O"],
+                            {"qty": dec("l_quantity"), "price": dec("l_extendedprice")})
+
+
+# A2: signed sum and conditional sums.
+@register("signed_sum", """
+SELECT l_linestatus,
+       sum(CASE WHEN l_returnflag = 'R' THEN -CAST(l_quantity AS DECIMAL(15,2)) ELSE CAST(l_quantity AS DECIMAL(15,2)) END) AS net_qty,
+       sum(CASE WHEN l_discount * l_tax > 0 THEN CAST(l_quantity AS DECIMAL(15,2)) ELSE -CAST(l_quantity AS DECIMAL(15,2)) END) AS taxed_sign_qty,
+       sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_extendedprice AS DECIMAL(15,2)) ELSE 0 END) AS a_price
+FROM lineitem GROUP BY l_linestatus
+""", "A2")
+def signed_sum(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    q = dec("l_quantity")
+    return t.lineitem.groupBy("l_linestatus").agg(
+        A.signed_sum(q, F.col("l_returnflag") != "R").alias("net_qty"),
+        A.signed_sum(q, F.col("l_discount") * F.col("l_tax") > 0).alias("taxed_sign_qty"),
+        A.conditional_sum(dec("l_extendedprice"), F.col("l_returnflag") == "A").alias("a_price"),
+    )
+
+
+# Aggregate inside a condition vs its rewrite (the condition is grouped).
+@register("if_agg", """
+SELECT CAST(year(o_orderdate) AS BIGINT) AS yr,
+       CASE WHEN year(o_orderdate) >= 1998 THEN sum(CAST(o_totalprice AS DECIMAL(15,2))) ELSE 0 END AS if_of_sum,
+       sum(CASE WHEN year(o_orderdate) >= 1998 THEN CAST(o_totalprice AS DECIMAL(15,2)) ELSE 0 END) AS sum_of_if
+FROM orders GROUP BY year(o_orderdate)
+""", "A11")
+def if_agg(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    y = F.year("o_orderdate")
+    return t.orders.groupBy(y.cast("bigint").alias("yr")).agg(
+        F.when(F.col("yr") >= 1998, F.sum(dec("o_totalprice"))).otherwise(F.lit(0)).alias("if_of_sum"),
+        A.conditional_sum(dec("o_totalprice"), y >= 1998).alias("sum_of_if"),
+    )
+
+
+# A4, A5: group without aggregate = distinct.
+@register("distinct_group", """
+SELECT c_nationkey, c_mktsegment FROM customer GROUP BY c_nationkey, c_mktsegment
+""", "A4,A5")
+def distinct_group(spark, sf_dir):
+    return tables(spark, sf_dir).customer.select("c_nationkey", "c_mktsegment").distinct()
+
+
+# Group by an expression / output alias.
+@register("group_expr", """
+SELECT CAST(year(o_orderdate) AS BIGINT) AS yr, substr(o_orderpriority, 1, 1) AS prio,
+       CAST(count(*) AS BIGINT) AS orders
+FROM orders GROUP BY yr, prio
+""", "A6")
+def group_expr(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return t.orders.groupBy(F.year("o_orderdate").cast("bigint").alias("yr"),
+                            F.substring("o_orderpriority", 1, 1).alias("prio")).agg(F.count(F.lit(1)).alias("orders"))
+
+
+# HAVING without GROUP BY meant as a filter.
+@register("having_filter", """
+SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM orders WHERE o_totalprice > 450000
+""", "A8")
+def having_filter(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return t.orders.filter(F.col("o_totalprice") > 450000).select("o_orderkey", "o_custkey", dec("o_totalprice").alias("price"))
+
+
+# Group by ... having count(*) > 1 (duplicated line keys).
+@register("having_dups", """
+SELECT l_orderkey, l_linenumber, CAST(count(*) AS BIGINT) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+""", "A7")
+def having_dups(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return A.having_count(t.lineitem.select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], 2)
+
+
+# ---------------------------------------------------------------------------
+# Zero-filled measure alignment with a type tag, then totals.
+@register("union_tagged", """
+SELECT kind, yr, sum(order_total) AS order_total, sum(line_qty) AS line_qty
+FROM (
+    SELECT 'order' AS kind, CAST(year(o_orderdate) AS BIGINT) AS yr, CAST(o_totalprice AS DECIMAL(15,2)) AS order_total, CAST(0 AS DECIMAL(15,2)) AS line_qty FROM orders
+    UNION ALL
+    SELECT 'line', CAST(year(l_shipdate) AS BIGINT), CAST(0 AS DECIMAL(15,2)), CAST(l_quantity AS DECIMAL(15,2)) FROM lineitem
+) u GROUP BY kind, yr
+""", "U1,U3")
+def union_tagged(spark, sf_dir):
+    from wareshift.operators.setops import tagged_union
+
+    t = tables(spark, sf_dir)
+    o = t.orders.select(F.year("o_orderdate").cast("bigint").alias("yr"), dec("o_totalprice").alias("order_total"))
+    li = t.lineitem.select(F.year("l_shipdate").cast("bigint").alias("yr"), dec("l_quantity").alias("line_qty"))
+    u = tagged_union({"order": o, "line": li}, ["order_total", "line_qty"], fill=F.lit(0).cast("decimal(15,2)"))
+    return u.groupBy("kind", "yr").agg(F.sum("order_total").alias("order_total"), F.sum("line_qty").alias("line_qty"))
+
+
+# A10: two-level aggregate over a union of sources.
+@register("two_level", """
+WITH u AS (
+    SELECT 'cust' AS src, o_custkey AS k, CAST(o_totalprice AS DECIMAL(15,2)) AS amount FROM orders
+    UNION ALL
+    SELECT 'supp', l_suppkey, CAST(l_extendedprice AS DECIMAL(15,2)) FROM lineitem
+), inner_agg AS (SELECT src, k, sum(amount) AS amount FROM u GROUP BY src, k)
+SELECT src, sum(amount) AS amount, CAST(count(*) AS BIGINT) AS groups, max(amount) AS top_group FROM inner_agg GROUP BY src
+""", "A10,U1")
+def two_level(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    o = t.orders.select(F.lit("cust").alias("src"), F.col("o_custkey").alias("k"), dec("o_totalprice").alias("amount"))
+    li = t.lineitem.select(F.lit("supp").alias("src"), F.col("l_suppkey").alias("k"), dec("l_extendedprice").alias("amount"))
+    inner = o.unionByName(li).groupBy("src", "k").agg(F.sum("amount").alias("amount"))
+    return inner.groupBy("src").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("groups"),
+                                    F.max("amount").alias("top_group"))
+
+
+# Union of branches each with its own (ordered) limit and a constant.
+@register("union_limited", """
+(SELECT 'order' AS kind, o_orderkey AS k, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
+UNION ALL
+(SELECT 'line' AS kind, l_orderkey AS k, CAST(l_extendedprice AS DECIMAL(15,2)) AS price FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey LIMIT 5)
+""", "U2,T2")
+def union_limited(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    o = t.orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(5).select(
+        F.lit("order").alias("kind"), F.col("o_orderkey").alias("k"), dec("o_totalprice").alias("price"))
+    li = t.lineitem.orderBy(F.col("l_extendedprice").desc(), "l_orderkey").limit(5).select(
+        F.lit("line").alias("kind"), F.col("l_orderkey").alias("k"), dec("l_extendedprice").alias("price"))
+    return o.union(li)
+
+
+# ---------------------------------------------------------------------------
+# Latest order per customer (ties -> higher order key).
+@register("latest_per_key", """
+SELECT o_custkey, o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rid FROM orders
+) x WHERE rid = 1
+""", "W1")
+def latest_per_key(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    o = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    latest = W.latest_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return latest.select("o_custkey", "o_orderkey", "o_orderdate", dec("o_totalprice").alias("price"))
+
+
+# Mixed asc/desc sort with explicit null ordering, top 50.
+@register("sort_mixed", """
+SELECT o_orderkey, prio, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM (
+    SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS prio FROM orders
+) x ORDER BY prio ASC NULLS FIRST, o_totalprice DESC, o_orderkey LIMIT 50
+""", "T1,T7")
+def sort_mixed(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_totalprice",
+                        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("prio"))
+    top = W.page(o, [F.col("prio").asc_nulls_first(), F.col("o_totalprice").desc(), F.col("o_orderkey")], limit=50)
+    return top.select("o_orderkey", "prio", dec("o_totalprice").alias("price"))
+
+
+# Limit + offset.
+@register("page_offset", """
+SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 20 OFFSET 40
+""", "T2")
+def page_offset(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return W.page(t.orders.select("o_orderkey", "o_custkey"), ["o_orderkey"], limit=20, offset=40)
+
+
+# Offset without limit.
+@register("offset_only", """
+SELECT c_custkey, c_name FROM customer ORDER BY c_custkey OFFSET 100
+""", "T3")
+def offset_only(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return W.page(t.customer.select("c_custkey", "c_name"), ["c_custkey"], offset=100)
+
+
+# Keyset page.
+@register("keyset_page", """
+SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 100
+""", "T6")
+def keyset_page(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return W.keyset_page(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", 1000, 100)
+
+
+# T5: the 10 customers with most orders vs the rest.
+@register("topk_tables", """
+WITH sizes AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_custkey),
+top AS (SELECT o_custkey FROM sizes ORDER BY n DESC, o_custkey LIMIT 10)
+SELECT s.o_custkey, s.n, CASE WHEN t.o_custkey IS NULL THEN 'rest' ELSE 'top' END AS pool
+FROM sizes s LEFT JOIN top t ON t.o_custkey = s.o_custkey
+""", "T5")
+def topk_tables(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    sizes = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    top, rest = W.top_k_and_rest(sizes, "n", 10, "o_custkey")
+    return top.withColumn("pool", F.lit("top")).unionByName(rest.withColumn("pool", F.lit("rest")))
+
+
+# ---------------------------------------------------------------------------
+# Customers by segment vs customers with urgent orders in 1997.
+_SET_A_SQL = "SELECT c_custkey AS k FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')"
+_SET_B_SQL = ("SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT' "
+              "AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'")
+
+
+def _sets(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    a = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(F.col("c_custkey").alias("k"))
+    b = t.orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderdate") >= ntz("1997-01-01 00:00:00"))
+                        & (F.col("o_orderdate") < ntz("1998-01-01 00:00:00"))).select(F.col("o_custkey").alias("k"))
+    return a, b
+
+
+@register("set_intersect", f"{_SET_A_SQL} INTERSECT {_SET_B_SQL}", "U4")
+def set_intersect(spark, sf_dir):
+    from wareshift.operators.setops import names_intersect
+
+    return names_intersect(*_sets(spark, sf_dir))
+
+
+@register("set_difference", f"""
+SELECT 'a_only' AS side, k FROM ({_SET_A_SQL} EXCEPT {_SET_B_SQL}) x
+UNION ALL
+SELECT 'b_only' AS side, k FROM ({_SET_B_SQL} EXCEPT {_SET_A_SQL}) y
+""", "U5")
+def set_difference(spark, sf_dir):
+    from wareshift.operators.setops import names_difference
+
+    a, b = _sets(spark, sf_dir)
+    return (names_difference(a, b).select(F.lit("a_only").alias("side"), "k")
+            .union(names_difference(b, a).select(F.lit("b_only").alias("side"), "k")))
+
+
+@register("set_union_distinct", f"{_SET_A_SQL} UNION {_SET_B_SQL}", "U6")
+def set_union_distinct(spark, sf_dir):
+    from wareshift.operators.setops import names_union
+
+    return names_union(*_sets(spark, sf_dir))
