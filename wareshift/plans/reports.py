@@ -751,3 +751,220 @@ def set_union_distinct(spark, sf_dir):
     from wareshift.operators.setops import names_union
 
     return names_union(*_sets(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# decimal(28,3) casts, decimal difference, round/ceiling/floor/%.
+@register("decimal_report", """
+SELECT c_nationkey,
+       sum(CAST(c_acctbal AS DECIMAL(28,3))) AS bal,
+       sum(CAST(c_acctbal AS DECIMAL(28,3))) - sum(CAST(c_acctbal * 0 + 100 AS DECIMAL(28,3))) AS bal_less_fee,
+       round(sum(CAST(c_acctbal AS DECIMAL(28,3))), 1) AS bal_r1,
+       CAST(ceil(max(c_acctbal)) AS BIGINT) AS max_ceil,
+       CAST(floor(min(c_acctbal)) AS BIGINT) AS min_floor,
+       CAST(sum(CAST(c_custkey AS BIGINT) % 10) AS BIGINT) AS key_mod_sum
+FROM customer GROUP BY c_nationkey
+""", "F5,F11")
+def decimal_report(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    bal = F.col("c_acctbal").cast("decimal(28,3)")
+    return t.customer.groupBy("c_nationkey").agg(
+        F.sum(bal).alias("bal"),
+        (F.sum(bal) - F.sum((F.col("c_acctbal") * 0 + 100).cast("decimal(28,3)"))).alias("bal_less_fee"),
+        F.round(F.sum(bal), 1).alias("bal_r1"),
+        F.ceil(F.max("c_acctbal")).cast("bigint").alias("max_ceil"),
+        F.floor(F.min("c_acctbal")).cast("bigint").alias("min_floor"),
+        F.sum(F.col("c_custkey") % 10).cast("bigint").alias("key_mod_sum"),
+    )
+
+
+# Text functions over every part row.
+@register("text_funcs", """
+SELECT p_partkey,
+       concat(p_brand, '/', CAST(p_size AS VARCHAR)) AS brand_size,
+       concat_ws('|', p_type, p_name, CAST(p_partkey AS VARCHAR)) AS path,
+       left(p_name, 4) AS name4,
+       CAST(length(p_name) AS BIGINT) AS name_len,
+       CAST(strpos(p_name, ' ') AS BIGINT) AS space_at,
+       replace(p_brand, 'Brand#', 'B') AS brand_short,
+       trim('  ' || p_type || '  ') AS type_trim,
+       split_part(p_name, ' ', 2) AS noun,
+       regexp_replace(p_name, '[aeiou]', '', 'g') AS consonants,
+       regexp_extract(p_brand, '([0-9]+)', 1) AS brand_no,
+       CAST(instr(p_type, 'A') AS BIGINT) AS a_at,
+       CAST(p_size AS VARCHAR) AS size_text
+FROM part
+""", "F4,F8,F9,F10")
+def text_funcs(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return t.part.select(
+        "p_partkey",
+        F.concat("p_brand", F.lit("/"), F.col("p_size").cast("string")).alias("brand_size"),
+        F.concat_ws("|", "p_type", "p_name", F.col("p_partkey").cast("string")).alias("path"),
+        F.left("p_name", F.lit(4)).alias("name4"),
+        F.length("p_name").cast("bigint").alias("name_len"),
+        F.locate(" ", "p_name").cast("bigint").alias("space_at"),
+        F.replace("p_brand", F.lit("Brand#"), F.lit("B")).alias("brand_short"),
+        F.trim(F.concat(F.lit("  "), "p_type", F.lit("  "))).alias("type_trim"),
+        F.split_part("p_name", F.lit(" "), F.lit(2)).alias("noun"),
+        F.regexp_replace("p_name", "[aeiou]", "").alias("consonants"),
+        F.regexp_extract("p_brand", "([0-9]+)", 1).alias("brand_no"),
+        F.instr("p_type", "A").cast("bigint").alias("a_at"),
+        F.col("p_size").cast("string").alias("size_text"),
+    )
+
+
+# if / searched CASE / simple CASE / nested CASE / nullvalue.
+@register("case_forms", """
+SELECT o_orderkey,
+       CASE WHEN o_totalprice > 250000 THEN 'big' ELSE 'small' END AS size_if,
+       CASE WHEN o_totalprice > 400000 THEN 'xl' WHEN o_totalprice > 200000 THEN 'l' ELSE 'm' END AS size_band,
+       CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'open' ELSE 'pending' END AS status_name,
+       CASE WHEN o_orderstatus = 'O' THEN CASE WHEN o_orderpriority LIKE '1%' THEN 'open-urgent' ELSE 'open-other' END ELSE 'closed' END AS nested,
+       (CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END) IS NULL AS prio_is_null
+FROM orders
+""", "F2,F3")
+def case_forms(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    p = F.col("o_totalprice")
+    s = F.col("o_orderstatus")
+    nullable_prio = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.col("o_orderpriority"))
+    return t.orders.select(
+        "o_orderkey",
+        F.when(p > 250000, "big").otherwise("small").alias("size_if"),
+        F.when(p > 400000, "xl").when(p > 200000, "l").otherwise("m").alias("size_band"),
+        F.when(s == "F", "final").when(s == "O", "open").otherwise("pending").alias("status_name"),
+        F.when(s == "O", F.when(F.col("o_orderpriority").like("1%"), "open-urgent").otherwise("open-other"))
+        .otherwise("closed").alias("nested"),
+        S.nullvalue(nullable_prio).alias("prio_is_null"),
+    )
+
+
+# lenient numeric casts over junk made by CASE over keys.
+_RAW_PRICE_SQL = """CASE WHEN o_orderkey % 11 = 0 THEN 'n/a'
+            WHEN o_orderkey % 11 = 1 THEN ''
+            WHEN o_orderkey % 11 = 2 THEN CAST(o_totalprice AS VARCHAR) || 'x'
+            ELSE CAST(o_totalprice AS VARCHAR) END"""
+
+
+@register("lenient_double", f"""
+SELECT o_orderstatus,
+       CAST(count(TRY_CAST(raw AS DOUBLE)) AS BIGINT) AS parsed,
+       CAST(sum(CASE WHEN TRY_CAST(raw AS DOUBLE) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS junk,
+       sum(CAST(TRY_CAST(raw AS DOUBLE) AS DECIMAL(15,2))) AS total,
+       CAST(count(TRY_CAST(key_text AS BIGINT)) AS BIGINT) AS keys_parsed
+FROM (SELECT o_orderstatus, {_RAW_PRICE_SQL} AS raw,
+             CASE WHEN o_orderkey % 5 = 0 THEN 'k' || CAST(o_orderkey AS VARCHAR) ELSE CAST(o_orderkey AS VARCHAR) END AS key_text
+      FROM orders) x
+GROUP BY o_orderstatus
+""", "F6,F7")
+def lenient_double(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    k = F.col("o_orderkey")
+    price_text = F.col("o_totalprice").cast("string")
+    raw = (F.when(k % 11 == 0, "n/a").when(k % 11 == 1, "")
+           .when(k % 11 == 2, F.concat(price_text, F.lit("x"))).otherwise(price_text))
+    key_text = F.when(k % 5 == 0, F.concat(F.lit("k"), k.cast("string"))).otherwise(k.cast("string"))
+    x = t.orders.select("o_orderstatus", S.lenient_double(raw).alias("v"), S.lenient_bigint(key_text).alias("kk"))
+    return x.groupBy("o_orderstatus").agg(
+        F.count("v").alias("parsed"),
+        F.sum(F.when(F.col("v").isNull(), 1).otherwise(0)).cast("bigint").alias("junk"),
+        F.sum(F.col("v").cast("decimal(15,2)")).alias("total"),
+        F.count("kk").alias("keys_parsed"),
+    )
+
+
+# Malformed date texts seen in the source data (all must
+# become null) and accepted loose forms.
+JUNK_DATES = [
+    "133406-03-22 00:00:00", "NaN-aN-aN aN:aN:aN", "Invalid date", "8-5-20", "10-1-81",
+    "2013-7-1O", "6-30-07", "2022-05-30-2020-12-30",
+]
+
+
+def _raw_date_sql() -> str:
+    whens = " ".join(f"WHEN event_id % 12 = {i} THEN '{v}'" for i, v in enumerate(JUNK_DATES))
+    return (f"CASE {whens} WHEN event_id % 12 = 8 THEN NULL "
+            "WHEN event_id % 12 = 9 THEN strftime(ts, '%Y-%-m-%-d') "
+            "ELSE CAST(ts AS VARCHAR) END")
+
+
+def _raw_date_col():
+    e = F.col("event_id") % 12
+    expr = None
+    for i, v in enumerate(JUNK_DATES):
+        expr = F.when(e == i, F.lit(v)) if expr is None else expr.when(e == i, F.lit(v))
+    return (expr.when(e == 8, F.lit(None).cast("string"))
+            .when(e == 9, F.date_format("ts", "yyyy-M-d"))
+            .otherwise(F.col("ts").cast("string")))
+
+
+# Lenient timestamps with a guard; junk -> null and flagged.
+@register("lenient_dates", f"""
+WITH r AS (SELECT event_id, {_raw_date_sql()} AS raw FROM events)
+SELECT event_id, raw,
+       CASE WHEN regexp_matches(trim(raw), '{S.DATE_GUARD}') THEN TRY_CAST(trim(raw) AS TIMESTAMP) END AS parsed,
+       raw IS NOT NULL AND (CASE WHEN regexp_matches(trim(raw), '{S.DATE_GUARD}') THEN TRY_CAST(trim(raw) AS TIMESTAMP) END) IS NULL AS quarantined
+FROM r
+""", "D11,F6")
+def lenient_dates(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    r = t.events.select("event_id", _raw_date_col().alias("raw"))
+    return r.select("event_id", "raw", S.lenient_timestamp("raw").alias("parsed"),
+                    S.is_junk_timestamp("raw").alias("quarantined"))
+
+
+# Rows with nulls in required columns are kept aside with the reason.
+@register("not_null_quarantine", """
+WITH x AS (
+    SELECT o_orderkey,
+           CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_custkey END AS org_id,
+           CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS status,
+           o_orderdate
+    FROM orders
+)
+SELECT o_orderkey,
+       CASE WHEN org_id IS NULL OR status IS NULL THEN 'rejected' ELSE 'good' END AS outcome,
+       CASE WHEN org_id IS NULL AND status IS NULL THEN 'org_id is null, status is null'
+            WHEN org_id IS NULL THEN 'org_id is null'
+            WHEN status IS NULL THEN 'status is null' END AS reason
+FROM x
+""", "D10")
+def not_null_quarantine(spark, sf_dir):
+    from wareshift.operators.changes import enforce_not_null
+
+    t = tables(spark, sf_dir)
+    k = F.col("o_orderkey")
+    x = t.orders.select(
+        "o_orderkey",
+        F.when(k % 13 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("org_id"),
+        F.when(k % 17 == 0, F.lit(None)).otherwise(F.col("o_orderstatus")).alias("status"),
+    )
+    good, bad = enforce_not_null(x, ["org_id", "status"])
+    return (good.select("o_orderkey", F.lit("good").alias("outcome"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(bad.select("o_orderkey", F.lit("rejected").alias("outcome"), F.col("reject_reason").alias("reason"))))
+
+
+# comparison/AND/OR/NOT, IN list, BETWEEN, IS NULL, LIKE/RLIKE,
+# aliases and constants.
+@register("predicate_mix", """
+SELECT c_custkey AS id, c_name AS name, 'cust' AS kind, c_acctbal > 5000 AS rich
+FROM customer
+WHERE (c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') OR c_acctbal BETWEEN 9000 AND 9500)
+  AND NOT (c_nationkey = 3) AND c_nationkey <> 7 AND c_nationkey != 8
+  AND c_name LIKE 'Customer#%' AND c_name NOT LIKE '%99'
+  AND regexp_matches(lower(c_mktsegment), '^(auto|house)') IS NOT NULL
+  AND (CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END) IS NOT NULL
+""", "P7,P8,P9,P10")
+def predicate_mix(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    c = t.customer
+    cond = (
+        (c.c_mktsegment.isin("AUTOMOBILE", "HOUSEHOLD") | c.c_acctbal.between(9000, 9500))
+        & ~(c.c_nationkey == 3) & (c.c_nationkey != 7) & (c.c_nationkey != 8)
+        & c.c_name.like("Customer#%") & ~c.c_name.like("%99")
+        & F.lower(c.c_mktsegment).rlike("^(auto|house)").isNotNull()
+        & F.when(c.c_acctbal < 0, F.lit(None)).otherwise(c.c_acctbal).isNotNull()
+    )
+    return c.filter(cond).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                                 F.lit("cust").alias("kind"), (F.col("c_acctbal") > 5000).alias("rich"))
