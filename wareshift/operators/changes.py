@@ -197,7 +197,7 @@ def add_version(df: DataFrame, changed: Column, col: str = "version") -> DataFra
 
 
 def upsert_lookup(old: DataFrame, new: DataFrame, natural_keys: Sequence[str], id_col: str,
-                  keep_cols: Sequence[str] = ()) -> DataFrame:
+                  keep_cols: Sequence[str] = (), order_by_extra: Sequence[str] = ()) -> DataFrame:
     """New rows looked up in old ones by natural key: keep the old id
     (and ``keep_cols``, e.g. created/order), else assign the next ids after
     the current maximum (dense, ordered by the natural key)."""
@@ -206,7 +206,7 @@ def upsert_lookup(old: DataFrame, new: DataFrame, natural_keys: Sequence[str], i
         *nk, F.col(id_col).alias("__old_id"), *[F.col(c).alias(f"__old_{c}") for c in keep_cols])
     j = new.join(o, nk, "left")
     matched = j.filter(F.col("__old_id").isNotNull())
-    fresh = with_sequence(j.filter(F.col("__old_id").isNull()), "__seq", 1, order_by=nk)
+    fresh = with_sequence(j.filter(F.col("__old_id").isNull()), "__seq", 1, order_by=nk + list(order_by_extra))
     top = old.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__max"))  # one row
     fresh = fresh.crossJoin(F.broadcast(top)).withColumn("__old_id", F.col("__max") + F.col("__seq")).drop(
         "__seq", "__max")
