@@ -191,7 +191,7 @@ def insert_values(spark, sf_dir):
     return inserts.to_insert_values(o, "orders", ["o_orderkey"], 1000)
 
 
-OVERSIZE_CHARS = 50_000
+OVERSIZE_CHARS = 20_000
 
 
 # Oversize texts kept in a side store and re-attached on read.
