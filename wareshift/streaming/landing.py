@@ -132,9 +132,10 @@ def stream_outcomes(spark: SparkSession, landing: str, outcomes_path: str, error
     return start_loader(stream, batch, name, available_now, "1 second")
 
 
-def run_retry_once(spark: SparkSession, landing: str, fn: Callable[[DataFrame, int], None], name: str = "retry"):
+def run_retry_once(spark: SparkSession, landing: str, schema: T.StructType, fn: Callable[[DataFrame, int], None],
+                   name: str = "retry"):
     """One ``availableNow`` pass over pending retry attempts; the caller
     repeats it (every ``RETRY_EVERY``)."""
-    q = start_loader(stream_landing(spark, landing, fmt="parquet", schema=None), fn, name, available_now=True)
+    q = start_loader(stream_landing(spark, landing, schema, fmt="parquet"), fn, name, available_now=True)
     q.awaitTermination()
     return q
