@@ -80,3 +80,16 @@ def mark_blocked(df: DataFrame, blocked: DataFrame, col: str, flag: str = "enabl
     b = blocked.select(F.col(col)).distinct().withColumn("__blk", F.lit(True))
     prior = F.coalesce(F.col(flag), F.lit(True)) if flag in df.columns else F.lit(True)
     return df.join(b, col, "left").withColumn(flag, prior & F.col("__blk").isNull()).drop("__blk")
+
+
+def base_tables(catalog: DataFrame, db: str | None = None, table_type: str = "table_type") -> DataFrame:
+    """Keep base tables (not views) of one schema or of all schemas."""
+    cond = F.col(table_type) == "BASE TABLE"
+    if db is not None:
+        cond = cond & (F.col("db") == db)
+    return catalog.filter(cond)
+
+
+def tables_in_schema_files(catalog: DataFrame, schema_cols: DataFrame, keys: Sequence[str] = ("db", "tbl")) -> DataFrame:
+    """Keep the catalog rows of tables listed in the schema files."""
+    return catalog.join(schema_cols.select(*keys).distinct(), list(keys), "left_semi")

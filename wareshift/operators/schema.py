@@ -141,3 +141,59 @@ def minimal_key(df: DataFrame, table: str, pk: Sequence[str], tenant: str = "ten
         unique.alias("candidate_unique"),
         F.when(unique, F.lit(",".join(cand))).otherwise(F.lit(",".join(pk))).alias("chosen"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Schema files: one JSON array per database with records
+# {table, type, columns[{name,type,len,nullable,default_value}], primary_keys,
+#  record_count}.
+COLUMN_STRUCT = "struct<name:string,type:string,len:bigint,nullable:string,default_value:string>"
+RECORD_SCHEMA = (f"table string, type string, columns array<{COLUMN_STRUCT}>, "
+                 "primary_keys string, record_count bigint")
+
+
+def schema_records(schema_cols: DataFrame, record_counts: DataFrame | None = None,
+                   kind: str = "kudu") -> DataFrame:
+    """R7 records: one row per table with its ordered column list (bounded
+    by the table's column count) and key list."""
+    g = schema_cols.groupBy("db", "tbl").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "name", "type", "len", "nullable", "default_value"))).alias("cs"),
+        F.array_sort(F.collect_list(F.when(F.col("is_key"), F.struct("pos", "name")))).alias("ks"))
+    out = g.select(
+        "db",
+        F.concat(F.lit("`"), F.col("db"), F.lit("`.`"), F.col("tbl"), F.lit("`")).alias("table"),
+        F.lit(kind).alias("type"),
+        F.transform("cs", lambda c: F.struct(
+            F.concat(F.lit("`"), c["name"], F.lit("`")).alias("name"), c["type"].alias("type"),
+            c["len"].alias("len"), c["nullable"].alias("nullable"), c["default_value"].alias("default_value"))).alias("columns"),
+        F.array_join(F.transform("ks", lambda k: F.concat(F.lit("`"), k["name"], F.lit("`"))), ",").alias("primary_keys"),
+        "tbl",
+    )
+    if record_counts is not None:
+        out = out.join(record_counts.select("db", "tbl", F.col("record_count").cast("bigint")), ["db", "tbl"], "left")
+    else:
+        out = out.withColumn("record_count", F.lit(None).cast("bigint"))
+    return out.drop("tbl")
+
+
+def write_schema_files(records: DataFrame, path: str) -> None:
+    """One folder per database (``db=<name>``) of JSON records."""
+    records.write.mode("overwrite").partitionBy("db").json(path)
+
+
+def read_schema_files(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """Schema records -> schema_cols rows (``explode`` of the column array).
+    ``multiline=True`` reads JSON-array files (one array per database)."""
+    r = spark.read.schema(RECORD_SCHEMA + ", db string").option("multiLine", multiline).json(path)
+    bare = F.regexp_replace
+    t = r.select(
+        F.split(bare("table", "`", ""), "\\.").alias("__n"), "type", "primary_keys", "record_count",
+        F.posexplode("columns").alias("__pos", "c"))
+    keys = F.split(bare(F.coalesce("primary_keys", F.lit("")), "`", ""), ",")
+    return t.select(
+        F.element_at("__n", 1).alias("db"), F.element_at("__n", 2).alias("tbl"),
+        (F.col("__pos") + 1).cast("int").alias("pos"), bare("c.name", "`", "").alias("name"),
+        F.col("c.type").alias("type"), F.col("c.len").alias("len"), F.col("c.nullable").alias("nullable"),
+        F.col("c.default_value").alias("default_value"),
+        F.array_contains(keys, bare("c.name", "`", "")).alias("is_key"),
+        F.col("type").alias("kind"), "record_count")

@@ -51,7 +51,7 @@ def read_statements(spark: SparkSession, path: str, replacements: dict[str, str]
     with literal replacements applied."""
     files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     parts = files.select("file", F.posexplode(F.split("value", ";")).alias("pos", "stmt"))
-    out = parts.select("file", "pos", F.trim("stmt").alias("stmt")).filter(F.col("stmt") != "")
+    out = parts.select("file", "pos", F.regexp_replace("stmt", r"^\s+|\s+$", "").alias("stmt")).filter(F.col("stmt") != "")
     for old, new in (replacements or {}).items():
         out = out.withColumn("stmt", F.replace("stmt", F.lit(old), F.lit(new)))
     return out
