@@ -210,3 +210,17 @@ def oversize_split(spark, sf_dir):
     s = side.select("doc_id", F.length("big_text").cast("bigint").alias("side_chars"))
     return (m.join(s, "doc_id", "left").join(back, "doc_id").join(d, "doc_id")
             .select("doc_id", "stored_chars", "side_chars", (F.col("restored") == F.col("text")).alias("restored_ok")))
+
+
+# Reset the status of done/failed rows, with the bucket column used to
+# write the result in slices.
+@register("reset_buckets", """
+SELECT o_orderkey,
+       CASE WHEN o_orderstatus IN ('F', 'P') THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+       CAST(o_orderkey % 8 AS BIGINT) AS bucket
+FROM orders
+""", "D8,D5")
+def reset_buckets(spark, sf_dir):
+    o = tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus")
+    out = D.reset_in_buckets(o, F.col("o_orderstatus").isin("F", "P"), "o_orderstatus", "o_orderkey", 8)
+    return out.select("o_orderkey", "o_orderstatus", F.col("bucket").cast("bigint").alias("bucket"))

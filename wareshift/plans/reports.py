@@ -974,3 +974,64 @@ def predicate_mix(spark, sf_dir):
     )
     return c.filter(cond).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                                  F.lit("cust").alias("kind"), (F.col("c_acctbal") > 5000).alias("rich"))
+
+
+# ---------------------------------------------------------------------------
+# Month report status (W1 + J4 + J2): per customer month reports built from
+# orders; the latest report per customer, the reports of earlier years or of
+# the report year up to the following month, and this month's report.
+REPORT_MONTH = (1998, 7)
+
+_MONTH_REPORT_SQL = """
+month_report AS (
+    SELECT o_custkey AS org_id, CAST(year(o_orderdate) AS BIGINT) AS yr, CAST(month(o_orderdate) AS BIGINT) AS mon,
+           sum(CAST(o_totalprice AS DECIMAL(15,2))) AS contract_amount,
+           sum(CASE WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(15,2)) ELSE 0 END) AS surplus_amount,
+           max(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END) AS status
+    FROM orders GROUP BY 1, 2, 3
+)"""
+
+
+@register("month_report_status", f"""
+WITH {_MONTH_REPORT_SQL},
+latest AS (
+    SELECT * FROM (
+        SELECT org_id, yr, mon, contract_amount - surplus_amount AS total_amount,
+               row_number() OVER (PARTITION BY org_id ORDER BY yr DESC, mon DESC) AS rid
+        FROM month_report WHERE status = 1) x WHERE rid = 1
+),
+upto AS (
+    SELECT c.c_custkey AS org_id, CAST(count(r.org_id) AS BIGINT) AS reports, sum(r.contract_amount) AS contract_to_date
+    FROM customer c LEFT JOIN month_report r
+      ON r.org_id = c.c_custkey AND r.status = 1
+     AND (r.yr < {REPORT_MONTH[0]} OR (r.yr = {REPORT_MONTH[0]} AND r.mon <= {REPORT_MONTH[1]} + 1))
+    GROUP BY c.c_custkey
+)
+SELECT u.org_id, u.reports, u.contract_to_date, l.yr AS latest_year, l.mon AS latest_month, l.total_amount,
+       t.contract_amount AS this_month
+FROM upto u
+JOIN latest l ON l.org_id = u.org_id
+LEFT JOIN month_report t ON t.org_id = u.org_id AND t.status = 1 AND t.yr = {REPORT_MONTH[0]} AND t.mon = {REPORT_MONTH[1]}
+""", "W1,J2,J4,A2,P12")
+def month_report_status(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    amt = dec("o_totalprice")
+    rep = t.orders.groupBy(
+        F.col("o_custkey").alias("org_id"), F.year("o_orderdate").cast("bigint").alias("yr"),
+        F.month("o_orderdate").cast("bigint").alias("mon"),
+    ).agg(F.sum(amt).alias("contract_amount"),
+          A.conditional_sum(amt, F.col("o_orderstatus") == "O").alias("surplus_amount"),
+          F.max(F.when(F.col("o_orderstatus") == "P", 0).otherwise(1)).alias("status"))
+    ok = rep.filter(F.col("status") == 1)
+    latest = W.latest_per_key(
+        ok.select("org_id", "yr", "mon", (F.col("contract_amount") - F.col("surplus_amount")).alias("total_amount")),
+        ["org_id"], ["yr", "mon"])
+    y, m = REPORT_MONTH
+    earlier = ok.filter((F.col("yr") < y) | ((F.col("yr") == y) & (F.col("mon") <= m + 1)))
+    cust = t.customer.select(F.col("c_custkey").alias("org_id"))
+    upto = cust.join(earlier, "org_id", "left").groupBy("org_id").agg(
+        F.count("yr").alias("reports"), F.sum("contract_amount").alias("contract_to_date"))
+    this = ok.filter((F.col("yr") == y) & (F.col("mon") == m)).select("org_id", F.col("contract_amount").alias("this_month"))
+    return (upto.join(latest, "org_id").join(this, "org_id", "left")
+            .select("org_id", "reports", "contract_to_date", F.col("yr").alias("latest_year"),
+                    F.col("mon").alias("latest_month"), "total_amount", "this_month"))
