@@ -59,7 +59,7 @@ WITH {TARGET_SQL}
 SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_custkey ELSE s.o_custkey END AS o_custkey,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus,
-       CASE WHEN s.o_orderkey IS NOT NULL THEN s.price ELSE t.price END AS price,
+       CAST(CASE WHEN s.o_orderkey IS NOT NULL THEN s.price ELSE t.price END AS DECIMAL(38,2)) AS price,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_orderdate ELSE s.o_orderdate END AS o_orderdate,
        CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_orderpriority ELSE s.o_orderpriority END AS o_orderpriority
 FROM target t FULL JOIN src s ON s.o_orderkey = t.o_orderkey

@@ -578,7 +578,7 @@ def group_expr(spark, sf_dir):
 
 # HAVING without GROUP BY meant as a filter.
 @register("having_filter", """
-SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM orders WHERE o_totalprice > 450000
+SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(38,2)) AS price FROM orders WHERE o_totalprice > 450000
 """, "A8")
 def having_filter(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -635,9 +635,9 @@ def two_level(spark, sf_dir):
 
 # Union of branches each with its own (ordered) limit and a constant.
 @register("union_limited", """
-(SELECT 'order' AS kind, o_orderkey AS k, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
+(SELECT 'order' AS kind, o_orderkey AS k, CAST(o_totalprice AS DECIMAL(38,2)) AS price FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
 UNION ALL
-(SELECT 'line' AS kind, l_orderkey AS k, CAST(l_extendedprice AS DECIMAL(15,2)) AS price FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey LIMIT 5)
+(SELECT 'line' AS kind, l_orderkey AS k, CAST(l_extendedprice AS DECIMAL(38,2)) AS price FROM lineitem ORDER BY l_extendedprice DESC, l_orderkey LIMIT 5)
 """, "U2,T2")
 def union_limited(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -651,7 +651,7 @@ def union_limited(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Latest order per customer (ties -> higher order key).
 @register("latest_per_key", """
-SELECT o_custkey, o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM (
+SELECT o_custkey, o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(38,2)) AS price FROM (
     SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rid FROM orders
 ) x WHERE rid = 1
 """, "W1")
@@ -664,7 +664,7 @@ def latest_per_key(spark, sf_dir):
 
 # Mixed asc/desc sort with explicit null ordering, top 50.
 @register("sort_mixed", """
-SELECT o_orderkey, prio, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM (
+SELECT o_orderkey, prio, CAST(o_totalprice AS DECIMAL(38,2)) AS price FROM (
     SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS prio FROM orders
 ) x ORDER BY prio ASC NULLS FIRST, o_totalprice DESC, o_orderkey LIMIT 50
 """, "T1,T7")
