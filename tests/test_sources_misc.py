@@ -58,3 +58,16 @@ def test_base_tables_soft_delete_and_schema_files(spark, tmp):
                     (3, "is_removed", "boolean", 0, False, 3)]
     assert [r.tbl for r in P.tables_in_schema_files(cat, back).collect()] == ["t1"]
     assert F is not None
+
+
+def test_insert_values_both_modes(spark):
+    from wareshift.sources import inserts
+
+    df = spark.createDataFrame([(i, "it's %d" % i, None if i % 2 else 1.5) for i in range(2500)],
+                               "id long, s string, x double").repartition(3)
+    ordered = inserts.to_insert_values(df, "t", ["id"], 1000).orderBy("batch").collect()
+    assert [r.batch for r in ordered] == [0, 1, 2]
+    assert ordered[0].stmt.startswith("insert into t (id, s, x) values (0, 'it\\'s 0', 1.5),(1, 'it\\'s 1', NULL)")
+    loose = inserts.to_insert_values(df, "t", None, 1000).collect()
+    counts = [r.stmt.count("),(") + 1 for r in loose]
+    assert sum(counts) == 2500 and max(counts) <= 1000

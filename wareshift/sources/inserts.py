@@ -35,12 +35,27 @@ def sql_literal(c: str, dtype: str) -> Column:
     return F.coalesce(v, F.lit("NULL"))
 
 
-def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str], batch: int = 1000) -> DataFrame:
+def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None, batch: int = 1000) -> DataFrame:
+    """Insert statements of at most ``batch`` rows.
+
+    With ``order_by`` the rows are numbered densely in that order (one range
+    sort and a checkpoint of the numbered rows) and batch ``b`` holds rows
+    ``b*batch .. b*batch+batch-1``.  Without it, batches are cut inside each
+    input partition (partition id, position // batch): no sort, no
+    checkpoint, same batch cap -- the cheap form when statement order does
+    not matter."""
     types = dict(df.dtypes)
     cols = list(df.columns)
     row = F.concat(F.lit("("), F.concat_ws(", ", *[sql_literal(c, types[c]) for c in cols]), F.lit(")"))
-    numbered = with_sequence(df.select(*cols, row.alias("__row")), "__seq", 0, order_by=list(order_by))
-    g = numbered.groupBy(F.floor(F.col("__seq") / batch).cast("bigint").alias("batch")).agg(
+    if order_by:
+        numbered = with_sequence(df.select(*cols, row.alias("__row")), "__seq", 0, order_by=list(order_by))
+        key = F.floor(F.col("__seq") / batch).cast("bigint")
+    else:
+        pid = F.spark_partition_id().cast("long")
+        pos = F.monotonically_increasing_id() - pid * (1 << 33)
+        numbered = df.select(row.alias("__row"), pid.alias("__pid"), pos.alias("__seq"))
+        key = (F.col("__pid") * (1 << 33) + F.floor(F.col("__seq") / batch)).cast("bigint")
+    g = numbered.groupBy(key.alias("batch")).agg(
         F.array_sort(F.collect_list(F.struct("__seq", "__row"))).alias("__rows"))
     head = f"insert into {table} ({', '.join(cols)}) values "
     return g.select("batch", F.concat(F.lit(head), F.array_join(F.transform("__rows", lambda x: x["__row"]), ",")).alias("stmt"))
