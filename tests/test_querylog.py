@@ -77,3 +77,24 @@ def test_noise_and_known_errors(spark):
     e = spark.createDataFrame([("不支持转换的函数 regexp_replace",), ("不支持转换的函数 foo",)], "e string")
     assert [r[0] for r in e.select(L.is_known_translate_error("e")).collect()] == [True, False]
     assert F is not None
+
+
+def test_apply_retry_outcomes(spark):
+    import datetime as dt
+
+    st = spark.createDataFrame([("a", "old", 0, None, None), ("b", "old", 0, None, None), ("c", "old", 0, None, None),
+                                ("z", "keep", 1, 2.0, None)],
+                               "query_id string, tidb_sql string, execute_result int, tidb_duration double, execute_time timestamp_ntz")
+    er = spark.createDataFrame([("a", "d", "h", "e1", "delay"), ("b", "d", "h", "e2", "delay"), ("c", "d", "h", "e3", "delay")],
+                               "query_id string, sql_date string, hash_id string, err_msg string, catalog string")
+    t = dt.datetime(2024, 1, 1)
+    at = spark.createDataFrame([("a", True, "select 1", "", 1.5, t, False),
+                                ("b", True, "select * from x full join y", "Column 'c' cannot be null", 2.0, t, False),
+                                ("c", False, None, "translate failed", None, None, False)],
+                               "query_id string, translated boolean, new_sql string, err_msg string, duration double, executed_at timestamp_ntz, timed_out boolean")
+    s2, e2 = L.apply_retry(st, er, at)
+    s = {r.query_id: (r.tidb_sql, r.execute_result, r.tidb_duration) for r in s2.collect()}
+    assert s == {"a": ("select 1", 1, 1.5), "b": ("select * from x full join y", 0, None), "c": ("", None, None),
+                 "z": ("keep", 1, 2.0)}
+    e = {r.query_id: (r.err_msg, r.catalog) for r in e2.collect()}
+    assert e == {"b": ("Column 'c' cannot be null", "modify_full_join"), "c": ("translate failed", "translate_error")}

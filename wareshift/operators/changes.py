@@ -57,12 +57,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                order_by: Sequence[str] = ()) -> DataFrame:
+                order_by: Sequence[str] = (), unique_source: bool = False) -> DataFrame:
     """D3: overwrite ``cols`` of matched target rows with the source values.
-    A null in the source overwrites too (match flag, not coalesce)."""
+    A null in the source overwrites too (match flag, not coalesce).
+    ``unique_source=True`` skips the de-duplication when the source keys are
+    unique by construction (e.g. the source is itself keyed by them)."""
     keys = list(keys)
-    src = dedupe_latest(source.select(*keys, *[c for c in cols if c not in keys], *[
-        o for o in order_by if o not in keys and o not in cols]), keys, order_by)
+    picked = source.select(*keys, *[c for c in cols if c not in keys], *[
+        o for o in order_by if o not in keys and o not in cols])
+    src = picked if unique_source else dedupe_latest(picked, keys, order_by)
     s = src.select(*[F.col(k).alias(f"__s_{k}") for k in keys],
                    *[F.col(c).alias(f"__s_{c}") for c in cols]).withColumn("__m", F.lit(True))
     j = target.join(s, [target[k] == s[f"__s_{k}"] for k in keys], "left")

@@ -154,7 +154,7 @@ def record_outcome(statements: DataFrame, results: DataFrame, second_round: bool
         F.col("execute_result").alias(res),
         F.col("executed_at").alias("execute_time"),
     )
-    return update_from(statements, src, ["query_id"], [dur, res, "execute_time"])
+    return update_from(statements, src, ["query_id"], [dur, res, "execute_time"], unique_source=True)
 
 
 def record_errors(errors: DataFrame, results: DataFrame, sql_date: str) -> DataFrame:
@@ -192,36 +192,37 @@ def retry_worklist(errors: DataFrame, statements: DataFrame, categories: Sequenc
 
 
 def apply_retry(statements: DataFrame, errors: DataFrame, attempts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Apply retry attempts.  ``attempts``: query_id, translated (bool),
-    new_sql, err_msg, duration, executed_at, timed_out.
+    """Apply retry attempts.  ``attempts``: query_id (unique), translated
+    (bool), new_sql, err_msg, duration, executed_at, timed_out.
 
     * translation failed -> error category ``translate_error`` with the
       message, statement result reset to null and its text emptied;
     * executed ok -> text/duration/result 1/time stored, error row deleted;
     * executed with error -> result 0, text/time stored, error re-classified.
-    """
-    a = attempts.withColumn("ok", F.col("translated") & (F.coalesce(F.col("err_msg"), F.lit("")) == ""))
-    st_src = a.select(
-        "query_id",
-        F.when(F.col("translated"), F.col("new_sql")).otherwise(F.lit("")).alias("tidb_sql"),
-        F.when(~F.col("translated"), F.lit(None).cast("int"))
-        .when(F.col("ok"), F.lit(1)).otherwise(F.lit(0)).alias("execute_result"),
-    )
-    st = update_from(statements, st_src, ["query_id"], ["tidb_sql", "execute_result"])
-    dur = a.filter(F.col("ok")).select("query_id", F.col("duration").alias("tidb_duration"))
-    st = update_from(st, dur, ["query_id"], ["tidb_duration"])
-    ts = a.filter(F.col("translated")).select("query_id", F.col("executed_at").alias("execute_time"))
-    st = update_from(st, ts, ["query_id"], ["execute_time"])
 
-    failed = a.filter(~F.col("ok")).select(
-        "query_id",
-        F.col("err_msg"),
-        F.when(~F.col("translated"), F.lit(R.TRANSLATE_ERROR_CATEGORY))
-        .when(F.coalesce(F.col("timed_out"), F.lit(False)), F.lit(R.TIMEOUT_CATEGORY))
-        .otherwise(classify_error("new_sql", "err_msg")).alias("catalog"),
-    )
-    err = update_from(errors, failed, ["query_id"], ["err_msg", "catalog"])
-    err = err.join(a.filter(F.col("ok")).select("query_id"), "query_id", "left_anti")
+    One left join per table: the per-column conditions decide which columns
+    an attempt overwrites."""
+    a = attempts.select(
+        F.col("query_id").alias("__q"), F.col("translated").alias("__tr"), F.col("new_sql").alias("__sql"),
+        F.col("err_msg").alias("__err"), F.col("duration").alias("__dur"), F.col("executed_at").alias("__at"),
+        F.coalesce(F.col("timed_out"), F.lit(False)).alias("__to"),
+    ).withColumn("__ok", F.col("__tr") & (F.coalesce(F.col("__err"), F.lit("")) == ""))
+    hit = F.col("__q").isNotNull()
+    st = statements.join(a, F.col("query_id") == F.col("__q"), "left").withColumns({
+        "tidb_sql": F.when(hit, F.when(F.col("__tr"), F.col("__sql")).otherwise(F.lit(""))).otherwise(F.col("tidb_sql")),
+        "execute_result": F.when(hit, F.when(~F.col("__tr"), F.lit(None).cast("int"))
+                                 .when(F.col("__ok"), F.lit(1)).otherwise(F.lit(0))).otherwise(F.col("execute_result")),
+        "tidb_duration": F.when(hit & F.col("__ok"), F.col("__dur")).otherwise(F.col("tidb_duration")),
+        "execute_time": F.when(hit & F.col("__tr"), F.col("__at")).otherwise(F.col("execute_time")),
+    }).select(*statements.columns)
+    category = (F.when(~F.col("__tr"), F.lit(R.TRANSLATE_ERROR_CATEGORY))
+                .when(F.col("__to"), F.lit(R.TIMEOUT_CATEGORY))
+                .otherwise(classify_error("__sql", "__err")))
+    err = errors.join(a, F.col("query_id") == F.col("__q"), "left").filter(~F.coalesce(F.col("__ok"), F.lit(False)))
+    err = err.withColumns({
+        "err_msg": F.when(F.col("__q").isNotNull(), F.col("__err")).otherwise(F.col("err_msg")),
+        "catalog": F.when(F.col("__q").isNotNull(), category).otherwise(F.col("catalog")),
+    }).select(*errors.columns)
     return st, err
 
 

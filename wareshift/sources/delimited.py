@@ -112,9 +112,10 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def write_name_list(df: DataFrame, col: str, path: str) -> None:
-    """Sorted distinct names as one text file (a name list is small:
-    one row per table)."""
-    df.select(F.col(col).cast("string").alias("value")).distinct().orderBy("value").coalesce(1) \
+    """Sorted distinct names as text.  The global sort range-partitions
+    the names, so the part files, read in name order, form one sorted list
+    without funnelling it through a single task."""
+    df.select(F.col(col).cast("string").alias("value")).distinct().orderBy("value") \
         .write.mode("overwrite").text(path)
 
 
