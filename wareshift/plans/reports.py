@@ -1035,3 +1035,71 @@ def month_report_status(spark, sf_dir):
     return (upto.join(latest, "org_id").join(this, "org_id", "left")
             .select("org_id", "reports", "contract_to_date", F.col("yr").alias("latest_year"),
                     F.col("mon").alias("latest_month"), "total_amount", "this_month"))
+
+
+# ---------------------------------------------------------------------------
+# Material dosage report (shape of the production statement behind A3):
+# production rows of one org's children left-joined to their dosage rows and
+# grouped by an output alias, unioned with audited supplement rows (whose
+# material key lacks the ' | ' separator, as in the original), then pivoted
+# into plan/fact per line status with totals.
+@register("material_pivot", """
+WITH orgs AS (SELECT c_custkey AS child_org_id FROM customer WHERE c_mktsegment = 'BUILDING'),
+produce AS (
+    SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+    WHERE o_custkey IN (SELECT child_org_id FROM orgs)
+      AND o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1998-12-31 00:00:00'
+),
+produce_data AS (
+    SELECT sum(CAST(b.l_quantity AS DECIMAL(28,3))) AS plan_amn, sum(CAST(b.l_extendedprice AS DECIMAL(28,3))) AS fact_amnt,
+           a.o_orderpriority AS pro_line, a.o_orderkey AS schedule_id, a.o_custkey AS org_id,
+           concat(ifnull(b.l_returnflag, ''), ' | ', ifnull(b.l_linestatus, '')) AS mater_info,
+           b.l_linestatus AS status
+    FROM produce a LEFT JOIN lineitem b ON b.l_orderkey = a.o_orderkey
+    GROUP BY mater_info, a.o_orderpriority, a.o_orderkey, a.o_custkey, b.l_linestatus
+),
+supplement_data AS (
+    SELECT CAST(ifnull(b.l_quantity, 0) AS DECIMAL(28,3)) AS plan_amn, CAST(ifnull(b.l_quantity, 0) AS DECIMAL(28,3)) AS fact_amnt,
+           a.o_orderpriority AS pro_line, a.o_orderkey AS schedule_id, a.o_custkey AS org_id,
+           concat(ifnull(b.l_returnflag, ''), ifnull(b.l_linestatus, '')) AS mater_info, b.l_linestatus AS status
+    FROM orders a JOIN lineitem b ON b.l_orderkey = a.o_orderkey
+    WHERE a.o_custkey IN (SELECT child_org_id FROM orgs) AND a.o_orderstatus = 'F'
+),
+items AS (
+    SELECT plan_amn, fact_amnt, mater_info, pro_line, status FROM produce_data
+    UNION ALL
+    SELECT plan_amn, fact_amnt, mater_info, pro_line, status FROM supplement_data
+)
+SELECT pro_line, mater_info,
+       sum(CASE WHEN status = 'F' THEN plan_amn END) AS plan_F, sum(CASE WHEN status = 'F' THEN fact_amnt END) AS fact_F,
+       sum(CASE WHEN status = 'O' THEN plan_amn END) AS plan_O, sum(CASE WHEN status = 'O' THEN fact_amnt END) AS fact_O,
+       sum(plan_amn) AS plan_total, sum(fact_amnt) AS fact_total
+FROM items GROUP BY pro_line, mater_info
+""", "A3,A6,A10,J2,F1,F5,F8,U1,P12")
+def material_pivot(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    d3 = "decimal(28,3)"
+    orgs = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("child_org_id"))
+    li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+    od = F.col("o_orderdate")
+    produce = (t.orders.filter((od >= ntz("1996-01-01 00:00:00")) & (od <= ntz("1998-12-31 00:00:00")))
+               .join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi")
+               .select("o_orderkey", "o_custkey", "o_orderpriority"))
+    mater = F.concat(S.ifnull("l_returnflag", ""), F.lit(" | "), S.ifnull("l_linestatus", ""))
+    produce_data = (produce.join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+                    .groupBy(mater.alias("mater_info"), F.col("o_orderpriority").alias("pro_line"),
+                             F.col("o_orderkey").alias("schedule_id"), F.col("o_custkey").alias("org_id"),
+                             F.col("l_linestatus").alias("status"))
+                    .agg(F.sum(F.col("l_quantity").cast(d3)).alias("plan_amn"),
+                         F.sum(F.col("l_extendedprice").cast(d3)).alias("fact_amnt")))
+    supplement = (t.orders.filter(F.col("o_orderstatus") == "F")
+                  .join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi")
+                  .join(li, F.col("l_orderkey") == F.col("o_orderkey"))
+                  .select(S.ifnull("l_quantity", 0).cast(d3).alias("plan_amn"),
+                          S.ifnull("l_quantity", 0).cast(d3).alias("fact_amnt"),
+                          F.concat(S.ifnull("l_returnflag", ""), S.ifnull("l_linestatus", "")).alias("mater_info"),
+                          F.col("o_orderpriority").alias("pro_line"), F.col("l_linestatus").alias("status")))
+    cols = ["plan_amn", "fact_amnt", "mater_info", "pro_line", "status"]
+    u = produce_data.select(*cols).unionByName(supplement.select(*cols))
+    return A.pivot_measures(u, ["pro_line", "mater_info"], "status", ["F", "O"],
+                            {"plan": F.col("plan_amn"), "fact": F.col("fact_amnt")})
