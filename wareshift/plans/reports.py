@@ -1103,3 +1103,70 @@ def material_pivot(spark, sf_dir):
     u = produce_data.select(*cols).unionByName(supplement.select(*cols))
     return A.pivot_measures(u, ["pro_line", "mater_info"], "status", ["F", "O"],
                             {"plan": F.col("plan_amn"), "fact": F.col("fact_amnt")})
+
+
+# ---------------------------------------------------------------------------
+# Material balance (U3 + J13 + J9): receive / delivery / dosage measures
+# aligned with zero fill and a type tag, converted through a de-duplicated
+# unit-factor table (0 or null -> 1), totalled, and combined with the planned
+# quantity -- two one-row aggregates joined by a comma join.
+_FACTOR_SQL = "SELECT DISTINCT p_type AS conversion_unit, CASE ifnull(length(p_type) % 3, 0) WHEN 0 THEN 1 ELSE length(p_type) % 3 END AS conversion_factor FROM part"
+
+
+@register("material_balance", f"""
+WITH unit AS (SELECT p_partkey, p_type AS material_unit FROM part),
+receive AS (SELECT u.material_unit, l.l_quantity AS q FROM lineitem l JOIN unit u ON u.p_partkey = l.l_partkey WHERE l.l_returnflag = 'R'),
+delivery AS (SELECT u.material_unit, l.l_quantity AS q FROM lineitem l JOIN unit u ON u.p_partkey = l.l_partkey WHERE l.l_returnflag = 'A'),
+dosage AS (SELECT u.material_unit, CAST(l.l_linenumber AS DOUBLE) AS q FROM lineitem l JOIN unit u ON u.p_partkey = l.l_partkey WHERE l.l_returnflag = 'N'),
+all_material AS (
+    SELECT material_unit, q AS receive_quantity, 0 AS delivery_quantity, 0 AS fact_amnt, 'receive' AS type FROM receive
+    UNION ALL SELECT material_unit, 0, q, 0, 'delivery' FROM delivery
+    UNION ALL SELECT material_unit, 0, 0, q, 'dosage' FROM dosage
+),
+convert_quantity AS (
+    SELECT sum(receive_quantity / ifnull(conversion_factor, 1)) AS receive_quantity,
+           sum(delivery_quantity / ifnull(conversion_factor, 1)) AS delivery_quantity,
+           sum(fact_amnt / ifnull(conversion_factor, 1)) AS fact_amnt
+    FROM all_material a LEFT JOIN ({_FACTOR_SQL}) b ON a.material_unit = b.conversion_unit
+),
+kl_quantity AS (
+    SELECT sum(CAST(p_size AS DOUBLE) / ifnull(conversion_factor, 1)) AS plan_quantity
+    FROM part a LEFT JOIN ({_FACTOR_SQL}) b ON a.p_type = b.conversion_unit
+)
+SELECT round(ifnull(a.receive_quantity, 0), 0) AS receive_quantity,
+       round(ifnull(a.delivery_quantity, 0), 0) AS mq_delivery_quantity,
+       round(ifnull(a.fact_amnt, 0), 0) AS fact_amnt,
+       round(ifnull(b.plan_quantity, 0), 0) AS plan_quantity,
+       round(ifnull(a.delivery_quantity, 0) + ifnull(a.fact_amnt, 0), 0) AS delivery_quantity
+FROM convert_quantity a, kl_quantity b
+""", "U3,J13,J9,A9,F1,F11")
+def material_balance(spark, sf_dir):
+    from wareshift.operators.setops import tagged_union
+
+    t = tables(spark, sf_dir)
+    unit = t.part.select("p_partkey", F.col("p_type").alias("material_unit"))
+    li = t.lineitem.select("l_partkey", "l_returnflag", "l_quantity", "l_linenumber").join(
+        unit, F.col("l_partkey") == F.col("p_partkey"))
+    flag = F.col("l_returnflag")
+    parts = {
+        "receive": li.filter(flag == "R").select("material_unit", F.col("l_quantity").alias("receive_quantity")),
+        "delivery": li.filter(flag == "A").select("material_unit", F.col("l_quantity").alias("delivery_quantity")),
+        "dosage": li.filter(flag == "N").select("material_unit", F.col("l_linenumber").cast("double").alias("fact_amnt")),
+    }
+    measures = ["receive_quantity", "delivery_quantity", "fact_amnt"]
+    allm = tagged_union(parts, measures, tag="type", fill=F.lit(0.0))
+    factors = t.part.select(F.col("p_type").alias("conversion_unit"), (F.length("p_type") % 3).alias("f")).distinct()
+    guarded = factors.select("conversion_unit", F.coalesce(F.when(F.col("f") != 0, F.col("f")), F.lit(1)).alias("conversion_factor"))
+    conv = allm.join(guarded, F.col("material_unit") == F.col("conversion_unit"), "left")
+    fct = S.ifnull("conversion_factor", 1)
+    a = conv.agg(*[F.sum(F.col(m) / fct).alias(m) for m in measures])
+    kl = t.part.select("p_type", "p_size").join(guarded, F.col("p_type") == F.col("conversion_unit"), "left").agg(
+        F.sum(F.col("p_size").cast("double") / fct).alias("plan_quantity"))
+    z = lambda c: S.ifnull(c, 0)
+    return a.crossJoin(kl).select(  # one row each by construction
+        F.round(z("receive_quantity"), 0).alias("receive_quantity"),
+        F.round(z("delivery_quantity"), 0).alias("mq_delivery_quantity"),
+        F.round(z("fact_amnt"), 0).alias("fact_amnt"),
+        F.round(z("plan_quantity"), 0).alias("plan_quantity"),
+        F.round(z("delivery_quantity") + z("fact_amnt"), 0).alias("delivery_quantity"),
+    )
