@@ -1170,3 +1170,99 @@ def material_balance(spark, sf_dir):
         F.round(z("plan_quantity"), 0).alias("plan_quantity"),
         F.round(z("delivery_quantity") + z("fact_amnt"), 0).alias("delivery_quantity"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Month progress (A12 + T4/W1 + A3 + F3): this month's report per customer,
+# the day after the last report of an earlier year (top-1 per key), a
+# twelve-column monthly plan pivoted from the prior year, the month's plan
+# picked by a simple CASE on the report month, and year/month/cumulative
+# sums whose bounds come from the joined report rows.
+# English month names used for the plan columns.
+MONTH_NAMES = ["january", "february", "march", "april", "may", "june", "july", "august", "september",
+               "october", "november", "december"]
+
+
+def _month_progress_sql() -> str:
+    y, m = REPORT_MONTH
+    plan_cols = ",\n           ".join(
+        f"sum(CASE WHEN month(o_orderdate) = {i + 1} THEN CAST(o_totalprice AS DECIMAL(15,2)) END) AS {n}_plan"
+        for i, n in enumerate(MONTH_NAMES))
+    pick = " ".join(f"WHEN {i + 1} THEN p.{n}_plan" for i, n in enumerate(MONTH_NAMES))
+    return f"""
+WITH {_MONTH_REPORT_SQL},
+report AS (
+    SELECT org_id, yr, mon, surplus_amount, make_date(CAST(yr AS INTEGER), CAST(mon AS INTEGER), 1) AS stat_start,
+           CAST(make_date(CAST(yr AS INTEGER), CAST(mon AS INTEGER), 1) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS stat_end
+    FROM month_report WHERE status = 1 AND yr = {y} AND mon = {m}
+),
+last_year_report AS (
+    SELECT org_id, CAST(make_date(CAST(yr AS INTEGER), CAST(mon AS INTEGER), 1) + INTERVAL 1 MONTH AS DATE) AS stat_start FROM (
+        SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY yr DESC, mon DESC) AS rid
+        FROM month_report WHERE status = 1 AND yr < {y}) x WHERE rid = 1
+),
+plan_detail AS (
+    SELECT o_custkey AS org_id,
+           {plan_cols}
+    FROM orders WHERE year(o_orderdate) = {y - 1} GROUP BY o_custkey
+)
+SELECT r.org_id,
+       round(ifnull(nullif(r.surplus_amount, 0), CASE r.mon {pick} END) * 0.0001, 0) AS month_plan,
+       round(sum(CASE WHEN CAST(o.o_orderdate AS DATE) >= (CASE WHEN r.stat_start IS NULL THEN CAST(o.o_orderdate AS DATE) ELSE ifnull(l.stat_start, CAST(o.o_orderdate AS DATE)) END)
+                       AND CAST(o.o_orderdate AS DATE) <= r.stat_end THEN CAST(o.o_totalprice AS DECIMAL(15,2)) ELSE 0 END) * 0.0001, 0) AS since_last_year,
+       round(sum(CASE WHEN CAST(o.o_orderdate AS DATE) >= ifnull(r.stat_start, CAST(o.o_orderdate AS DATE))
+                       AND CAST(o.o_orderdate AS DATE) <= r.stat_end THEN CAST(o.o_totalprice AS DECIMAL(15,2)) ELSE 0 END) * 0.0001, 0) AS month_done,
+       round(sum(CASE WHEN CAST(o.o_orderdate AS DATE) <= r.stat_end THEN CAST(o.o_totalprice AS DECIMAL(15,2)) ELSE 0 END) * 0.0001, 0) AS cumulative
+FROM report r
+LEFT JOIN last_year_report l ON l.org_id = r.org_id
+LEFT JOIN plan_detail p ON p.org_id = r.org_id
+LEFT JOIN orders o ON o.o_custkey = r.org_id
+GROUP BY r.org_id, r.surplus_amount, r.mon, {", ".join(f"p.{n}_plan" for n in MONTH_NAMES)}
+"""
+
+
+@register("month_progress", _month_progress_sql(), "A12,T4,W1,A3,F3,F1,F13,F15,J2,P7")
+def month_progress(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    y, m = REPORT_MONTH
+    amt = dec("o_totalprice")
+    rep = t.orders.groupBy(
+        F.col("o_custkey").alias("org_id"), F.year("o_orderdate").cast("bigint").alias("yr"),
+        F.month("o_orderdate").cast("bigint").alias("mon"),
+    ).agg(A.conditional_sum(amt, F.col("o_orderstatus") == "O").alias("surplus_amount"),
+          F.max(F.when(F.col("o_orderstatus") == "P", 0).otherwise(1)).alias("status")).filter(F.col("status") == 1)
+    start = S.month_date("yr", "mon")
+    report = rep.filter((F.col("yr") == y) & (F.col("mon") == m)).select(
+        "org_id", "mon", "surplus_amount", start.alias("stat_start"), F.last_day(start).alias("stat_end"))
+    last = W.latest_per_key(rep.filter(F.col("yr") < y).select("org_id", "yr", "mon"), ["org_id"], ["yr", "mon"]).select(
+        F.col("org_id").alias("l_org"), S.next_month_start(S.month_date("yr", "mon")).alias("l_start"))
+    plan = A.pivot_measures(
+        t.orders.filter(F.year("o_orderdate") == y - 1).select(
+            F.col("o_custkey").alias("p_org"), F.month("o_orderdate").alias("pm"), amt.alias("amt")),
+        ["p_org"], "pm", list(range(1, 13)), {"plan": F.col("amt")}, totals=False)
+    month_col = None
+    for i, n in enumerate(MONTH_NAMES):
+        c = F.col(f"plan_{i + 1}")
+        month_col = F.when(F.col("mon") == i + 1, c) if month_col is None else month_col.when(F.col("mon") == i + 1, c)
+    # Group the orders narrow (per org and day) before joining the report row.
+    daily = t.orders.groupBy(F.col("o_custkey").alias("o_org"), F.col("o_orderdate").cast("date").alias("d")).agg(
+        F.sum(amt).alias("amount"))
+    j = (report.join(last, F.col("l_org") == F.col("org_id"), "left")
+         .join(plan, F.col("p_org") == F.col("org_id"), "left")
+         .join(daily, F.col("o_org") == F.col("org_id"), "left"))
+    d = F.col("d")
+    lo_year = F.when(F.col("stat_start").isNull(), d).otherwise(S.ifnull("l_start", d))
+    zero = F.lit(0)
+    k = F.lit(0.0001).cast("decimal(5,4)")
+    g = j.groupBy("org_id", "surplus_amount", "mon", *[f"plan_{i}" for i in range(1, 13)]).agg(
+        F.sum(F.when((d >= lo_year) & (d <= F.col("stat_end")), F.col("amount")).otherwise(zero)).alias("s1"),
+        F.sum(F.when((d >= S.ifnull("stat_start", d)) & (d <= F.col("stat_end")), F.col("amount")).otherwise(zero)).alias("s2"),
+        F.sum(F.when(d <= F.col("stat_end"), F.col("amount")).otherwise(zero)).alias("s3"),
+    )
+    return g.select(
+        "org_id",
+        F.round(S.ifnull(F.nullif(F.col("surplus_amount"), F.lit(0)), month_col) * k, 0).alias("month_plan"),
+        F.round(F.col("s1") * k, 0).alias("since_last_year"),
+        F.round(F.col("s2") * k, 0).alias("month_done"),
+        F.round(F.col("s3") * k, 0).alias("cumulative"),
+    )
