@@ -81,3 +81,14 @@ def test_classify_matches_rule_list(spark, pairs):
     df = spark.createDataFrame(pairs, "sql string, err string")
     got = [r[0] for r in df.select(L.classify_error("sql", "err")).collect()]
     assert got == [_classify_py(s, e) for s, e in pairs]
+
+
+def test_exact_sums_equal_decimal_sums(spark):
+    from wareshift.operators.aggregates import exact_sums
+
+    rows = [(i % 3, (i * 7919 % 100003) / 100.0 if i % 11 else None, 1.005 + i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "k int, x double, y double").repartition(7)
+    got = {r.k: (r.x, r.y) for r in exact_sums(df, ["k"], {"x": F.col("x"), "y": F.col("y")}).collect()}
+    want = {r.k: (r.x, r.y) for r in df.groupBy("k").agg(F.sum(F.col("x").cast("decimal(15,2)")).alias("x"),
+                                                          F.sum(F.col("y").cast("decimal(15,2)")).alias("y")).collect()}
+    assert got == want

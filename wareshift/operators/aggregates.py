@@ -28,19 +28,42 @@ def signed_sum(value, sign_cond: Column) -> Column:
     return F.sum(F.when(sign_cond, v).otherwise(-v))
 
 
+def exact_sums(df: DataFrame, group: Sequence[str], sums: Mapping[str, Column], scale: int = 2) -> DataFrame:
+    """Exact decimal sums at the cost of long arithmetic.
+
+    Values are cut to ``scale`` decimals exactly as a decimal cast does,
+    summed as integer units per (group, input partition) -- the map-side
+    work, in long arithmetic -- and the few partials per group are then
+    added as ``decimal(38,0)``.  A partial covers one input split only, so it
+    cannot overflow a long; the result is ``decimal(38, scale)`` and equals
+    ``sum(cast(x as decimal(p, scale)))``.  Meant for low-cardinality
+    groupings (reports, pivots): for a high-cardinality key the extra
+    per-partition stage would double the shuffled rows."""
+    unit = 10 ** scale
+    units = {n: (c.cast(f"decimal(18,{scale})") * F.lit(unit)).cast("bigint") for n, c in sums.items()}
+    partial = df.groupBy(*group, F.spark_partition_id().alias("__part")).agg(
+        *[F.sum(v).alias(n) for n, v in units.items()])
+    return partial.groupBy(*group).agg(*[
+        (F.sum(F.col(n).cast("decimal(38,0)")) / F.lit(unit)).cast(f"decimal(38,{scale})").alias(n) for n in sums])
+
+
 def pivot_measures(df: DataFrame, group: Sequence[str], pivot_col: str, values: Sequence,
-                   measures: Mapping[str, Column], totals: bool = True) -> DataFrame:
+                   measures: Mapping[str, Column], totals: bool = True, money_scale: int | None = None) -> DataFrame:
     """A3: two (or more) measures x explicit key values, plus totals, in one
     aggregate.  Explicit values avoid the extra job Spark's ``pivot`` runs
-    to discover them; column ``<measure>_<value>`` per pair."""
-    aggs = []
+    to discover them; column ``<measure>_<value>`` per pair.  With
+    ``money_scale`` the sums are exact decimals computed by
+    :func:`exact_sums`."""
+    cols = {}
     for v in values:
         for name, m in measures.items():
-            aggs.append(F.sum(F.when(F.col(pivot_col) == F.lit(v), m)).alias(f"{name}_{v}"))
+            cols[f"{name}_{v}"] = F.when(F.col(pivot_col) == F.lit(v), m)
     if totals:
         for name, m in measures.items():
-            aggs.append(F.sum(m).alias(f"{name}_total"))
-    return df.groupBy(*group).agg(*aggs)
+            cols[f"{name}_total"] = m
+    if money_scale is not None:
+        return exact_sums(df, group, cols, money_scale)
+    return df.groupBy(*group).agg(*[F.sum(c).alias(n) for n, c in cols.items()])
 
 
 def period_totals(df: DataFrame, group: Sequence[str], date_col: str, value, as_of) -> DataFrame:

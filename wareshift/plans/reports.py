@@ -519,7 +519,7 @@ def pivot_flags(spark, sf_dir):
     t = tables(spark, sf_dir)
     li = t.lineitem.select("l_returnflag", "l_linestatus", "l_quantity", "l_extendedprice")
     return A.pivot_measures(li, ["l_returnflag"], "l_linestatus", ["F", "O"],
-                            {"qty": dec("l_quantity"), "price": dec("l_extendedprice")})
+                            {"qty": F.col("l_quantity"), "price": F.col("l_extendedprice")}, money_scale=2)
 
 
 # A2: signed sum and conditional sums.
