@@ -106,6 +106,9 @@ def with_sequence(df: DataFrame, name: str = "seq_id", start: int = 1,
     the shared checkpoint folder so a recomputation after a lost executor
     sees the same partitioning.  Per-partition counts (one row per
     partition) give the offsets, which are broadcast back."""
+    from wareshift.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
     base = df.sort(*order_by) if order_by else df
     tagged = base.select(
         "*",

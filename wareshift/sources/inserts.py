@@ -43,7 +43,8 @@ def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None,
     ``b*batch .. b*batch+batch-1``.  Without it, batches are cut inside each
     input partition (partition id, position // batch): no sort, no
     checkpoint, same batch cap -- the cheap form when statement order does
-    not matter."""
+    not matter.  It relies on a deterministic row order inside each input
+    partition (a table scan); checkpoint a shuffled input first."""
     types = dict(df.dtypes)
     cols = list(df.columns)
     row = F.concat(F.lit("("), F.concat_ws(", ", *[sql_literal(c, types[c]) for c in cols]), F.lit(")"))

@@ -37,10 +37,14 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
 
 
 def stream_landing(spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "text",
-                   max_files: int | None = BATCH_MAX_FILES, max_bytes: int | None = None,
+                   max_files: int | None = None, max_bytes: int | None = None,
                    options: dict | None = None) -> DataFrame:
-    """Stream of a landing folder.  Give either ``max_files`` or
-    ``max_bytes`` per trigger (Spark refuses both; bytes as a plain number)."""
+    """Stream of a landing folder.  By default a trigger takes ALL
+    pending files (as the original restore job did); ``max_files`` (e.g.
+    ``BATCH_MAX_FILES``) or ``max_bytes`` (e.g. ``BATCH_MAX_BYTES``) cap a
+    batch instead -- one or the other, Spark refuses both, bytes as a plain
+    number.  Spark cannot start a batch early when a volume is reached; the
+    processing-time trigger (``BATCH_WAIT``) is the clock."""
     r = spark.readStream.format(fmt)
     if schema is not None:
         r = r.schema(schema)
