@@ -28,7 +28,7 @@ def test_round_trip_and_quarantine(spark, tmp):
     want = sorted(r for r in _rows() if r[0] != 6)
     assert got == want
     assert [r.id for r in spark.read.parquet(q).collect()] == [6]
-    raw = open([os.path.join(out, f) for f in os.listdir(out) if f.startswith("part-")][0], "rb").read()
+    raw = b"".join(open(os.path.join(out, f), "rb").read() for f in os.listdir(out) if f.startswith("part-"))
     assert b'"' not in raw and b"\x07" in raw
 
 
@@ -53,3 +53,16 @@ def test_sized_parts_manifest_and_name_list(spark, tmp):
     DL.append_table(df.limit(3), app)
     DL.append_table(df.limit(2), app)
     assert spark.read.parquet(app).count() == 5
+
+
+def test_export_tables_and_folder_manifest(spark, tmp):
+    root = os.path.join(tmp, "export")
+    a = spark.createDataFrame([(i, i % 2 == 0, "x%d" % i) for i in range(300)], "id int, flag boolean, s string")
+    b = spark.createDataFrame([(1, "has\u0007eol"), (2, "ok")], "id int, s string")
+    DL.export_table(a, root, "global_a", "t1", max_bytes=1024)
+    DL.export_table(b, root, "global_a", "t2", quarantine_root=os.path.join(tmp, "q"))
+    man = {r.table: (r.files, r.bytes) for r in DL.file_manifest(spark, root, "part-*", by="folder").collect()}
+    assert set(man) == {"global_a.t1", "global_a.t2"} and man["global_a.t1"][0] > 1
+    back = DL.import_delimited(spark, os.path.join(root, "global_a.t1"), spark.createDataFrame([], "id int, flag int, s string").schema)
+    assert sorted(tuple(r) for r in back.collect()) == sorted((i, int(i % 2 == 0), "x%d" % i) for i in range(300))
+    assert [r.id for r in spark.read.parquet(os.path.join(tmp, "q", "global_a.t2")).collect()] == [1]

@@ -96,14 +96,36 @@ def write_sized_parts(df: DataFrame, path: str, max_bytes: int = PART_BYTES) ->
     return per_file
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Bytes and files per ``db.table`` prefix of exported parts.  The
-    binary-file source lists files; with only path/length selected the file
-    contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "length")
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.groupBy(F.substring_index(name, ".", 2).alias("table")).agg(
-        F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
+def file_manifest(spark: SparkSession, path: str, glob: str = "*", by: str = "name") -> DataFrame:
+    """Bytes and files per ``db.table``.  ``by='name'`` takes the table
+    from the file name prefix (``db.table.NNN.csv``, the original naming);
+    ``by='folder'`` from the parent folder (``<db>.<table>/part-*``, what
+    :func:`export_table` writes).  The binary-file source lists files; with
+    only path/length selected the file contents are not read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob) \
+        .option("recursiveFileLookup", by == "folder").load(path).select("path", "length")
+    parts = F.split("path", "/")
+    if by == "folder":
+        table = F.element_at(parts, -2)
+    else:
+        table = F.substring_index(F.element_at(parts, -1), ".", 2)
+    return files.groupBy(table.alias("table")).agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
+
+
+def export_table(df: DataFrame, root: str, db: str, table: str, max_bytes: int = PART_BYTES,
+                 quarantine_root: str | None = None) -> str:
+    """Export one table for the loader (S1 + P3 + S2 + S4): booleans as
+    0/1, escaped delimited text cut into parts of at most ``max_bytes``,
+    written to ``<root>/<db>.<table>``; rows holding a row separator go to
+    ``<quarantine_root>/<db>.<table>``."""
+    out = f"{root.rstrip('/')}/{db}.{table}"
+    write_sized_parts(df, out, max_bytes)
+    if quarantine_root is not None:
+        eol = F.lit(False)
+        for c in df.columns:
+            eol = eol | F.coalesce(F.col(c).cast("string").contains(ROW_SEP), F.lit(False))
+        df.filter(eol).write.mode("overwrite").parquet(f"{quarantine_root.rstrip('/')}/{db}.{table}")
+    return out
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
