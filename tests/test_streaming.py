@@ -104,3 +104,50 @@ def test_trigger_limits_and_retry_pass(spark, tmp):
     X.run_retry_once(spark, flat, _parse_datatype_string(schema), fn, name)
     assert seen == []  # nothing new: the checkpoint remembers processed files
     assert F is not None
+
+
+def test_restore_batches_by_count_size_and_wait(spark, tmp):
+    from wareshift.streaming import landing as X
+
+    mk = os.path.join(tmp, "markers")
+    os.makedirs(mk)
+
+    def marker(table, size):
+        p = os.path.join(mk, f".{table}.tmp")
+        with open(p, "w") as f:
+            f.write(str(size))
+        os.rename(p, os.path.join(mk, f"{table}.finish"))
+
+    loads = []
+    clock = {"t": 0.0}
+
+    def load(df):
+        loads.append(sorted(r.table for r in df.collect()))
+
+    state = os.path.join(tmp, "state")
+    name = f"restore-{uuid.uuid4().hex}"
+
+    def run():
+        X.stream_restore(spark, mk, state, load, lambda: clock["t"], name=name, available_now=True,
+                         max_bytes=1000, max_tables=3, max_wait_seconds=300).awaitTermination()
+
+    marker("d.a", 10)
+    marker("d.b", 10)
+    run()
+    assert loads == []                      # 2 tables, 20 bytes, no wait yet
+    marker("d.c", 10)
+    run()
+    assert loads == [["d.a", "d.b", "d.c"]]  # count reached: all pending
+    marker("d.big", 5000)
+    run()
+    assert loads[-1] == ["d.big"]            # size reached
+    marker("d.e", 1)
+    clock["t"] = 10.0
+    run()
+    assert len(loads) == 2                  # waited 10 s since the last load
+    clock["t"] = 400.0
+    marker("d.f", 1)
+    run()
+    assert loads[-1] == ["d.e", "d.f"]       # waited too long: all pending
+    d = X.batch_decision(spark.createDataFrame([], "table string, size bigint"), 1e9).first()
+    assert (d.tables, d.ready) == (0, False)

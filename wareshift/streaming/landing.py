@@ -143,3 +143,73 @@ def run_retry_once(spark: SparkSession, landing: str, schema: T.StructType, fn:
     q = start_loader(stream_landing(spark, landing, schema, fmt="parquet"), fn, name, available_now=True)
     q.awaitTermination()
     return q
+
+
+# ---------------------------------------------------------------------------
+# X2 restore batching: ".finish" markers carry the byte size of a table's
+# parts.  Newly ready tables are appended to a pending state; a load runs
+# when the pending bytes exceed BATCH_MAX_BYTES, or at least BATCH_MAX_FILES
+# tables wait, or the oldest wait exceeds the time limit -- and then takes
+# ALL pending tables (the largest first).
+
+MARKER_SUFFIX = ".finish"
+
+
+def marker_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Stream of ready tables: (table, size) from ``<db>.<table>.finish``."""
+    raw = spark.readStream.format("text").option("pathGlobFilter", f"*{MARKER_SUFFIX}").load(folder)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return raw.select(F.regexp_replace(name, r"\.finish$", "").alias("table"),
+                      F.trim("value").try_cast("bigint").alias("size"))
+
+
+def batch_decision(pending: DataFrame, waited_seconds: float, max_bytes: int = BATCH_MAX_BYTES,
+                   max_tables: int = BATCH_MAX_FILES, max_wait_seconds: float = 300.0) -> DataFrame:
+    """One row: pending tables and bytes, whether to load now, and why."""
+    agg = pending.agg(F.count(F.lit(1)).alias("tables"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
+    waited = F.lit(float(waited_seconds))
+    return agg.select(
+        "tables", "bytes",
+        F.when(F.col("bytes") > max_bytes, F.lit("size"))
+        .when(F.col("tables") >= max_tables, F.lit("count"))
+        .when((F.col("tables") > 0) & (waited > max_wait_seconds), F.lit("wait")).alias("reason"),
+    ).withColumn("ready", F.col("reason").isNotNull())
+
+
+def stream_restore(spark: SparkSession, markers: str, state_path: str, load: Callable[[DataFrame], None],
+                   clock: Callable[[], float], name: str = "restore", available_now: bool = False,
+                   max_bytes: int = BATCH_MAX_BYTES, max_tables: int = BATCH_MAX_FILES,
+                   max_wait_seconds: float = 300.0):
+    """X1+X2: accumulate ready tables, load them in batches.  ``load`` gets
+    the DataFrame of (table, size) to load; if it raises, the micro-batch
+    fails and its markers are offered again after a restart (the checkpoint
+    advances only on success).  The wait is measured from the last load, or
+    from the first table seen when nothing was loaded yet; both times are
+    kept in the state folders, so they survive restarts."""
+    pending_path = os.path.join(state_path, "pending")
+    loaded_path = os.path.join(state_path, "loaded")
+
+    def read_or_empty(path: str, schema: str) -> DataFrame:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - no state yet
+            return spark.createDataFrame([], schema)
+
+    def batch(df: DataFrame, epoch_id: int) -> None:
+        now = float(clock())
+        write_batch_state(df.filter(F.col("size").isNotNull()).withColumn("arrived", F.lit(now)), pending_path, epoch_id)
+        pend = read_or_empty(pending_path, "table string, size bigint, arrived double, batch long")
+        done = read_or_empty(loaded_path, "table string, loaded_at double, batch long")
+        pending = pend.join(done.select("table"), "table", "left_anti").groupBy("table").agg(
+            F.max("size").alias("size"))
+        since = done.agg(F.max("loaded_at").alias("t")).first()["t"]
+        if since is None:
+            since = pend.agg(F.min("arrived").alias("t")).first()["t"]
+        waited = 0.0 if since is None else now - since
+        decision = batch_decision(pending, waited, max_bytes, max_tables, max_wait_seconds).first()
+        if decision["ready"]:
+            todo = pending.orderBy(F.col("size").desc())
+            load(todo)
+            write_batch_state(todo.select("table", F.lit(now).alias("loaded_at")), loaded_path, epoch_id)
+
+    return start_loader(marker_stream(spark, markers), batch, name, available_now, "5 seconds")
