@@ -103,7 +103,7 @@ def plan_vs_actual(spark, sf_dir):
         .groupBy("c_nationkey")
         .agg(*[F.sum(n).alias(n) for n in MEASURES])
     )
-    dims = t.nation.join(J.broadcast_if_small(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    dims = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))  # planner broadcasts by file size
     out = dims.join(per_nation, dims.n_nationkey == per_nation.c_nationkey, "left")
     zero = F.lit(0).cast("decimal(25,2)")
     return out.select("r_name", "n_name", *[S.ifnull(n, zero).alias(n) for n in MEASURES])
@@ -289,7 +289,7 @@ def _nodes(t):
                         F.col("r_regionkey").alias("rk"))
     nn = n.select(F.concat_ws("|", "n_regionkey", "n_nationkey").alias("path"), F.lit(2).alias("level"),
                   F.col("n_regionkey").alias("rk"))
-    c = t.customer.select("c_custkey", "c_nationkey").join(J.broadcast_if_small(n), F.col("c_nationkey") == F.col("n_nationkey"))
+    c = t.customer.select("c_custkey", "c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     cc = c.select(F.concat_ws("|", "n_regionkey", "n_nationkey", "c_custkey").alias("path"), F.lit(3).alias("level"),
                   F.col("n_regionkey").alias("rk"))
     return r.unionByName(nn).unionByName(cc)
@@ -300,7 +300,7 @@ def _order_leaves(t):
     before the join so the shuffle carries one row per customer."""
     per_cust = t.orders.groupBy("o_custkey").agg(
         F.sum(dec("o_totalprice")).alias("amount"), F.count(F.lit(1)).alias("cnt"))
-    n = J.broadcast_if_small(t.nation.select("n_nationkey", "n_regionkey"))
+    n = t.nation.select("n_nationkey", "n_regionkey")
     c = t.customer.select("c_custkey", "c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return per_cust.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
         F.concat_ws("|", "n_regionkey", "n_nationkey", "c_custkey").alias("path"), "amount", "cnt")
@@ -309,7 +309,7 @@ def _order_leaves(t):
 def _rollup(spark, sf_dir, mode):
     t = tables(spark, sf_dir)
     out = J.ancestor_rollup(_order_leaves(t), "path", {"amount": F.sum("amount"), "cnt": F.sum("cnt")},
-                            _nodes(t).drop("rk"), "path", mode=mode)
+                            _nodes(t).drop("rk"), "path", mode=mode, leaf_unique=True)
     return out.select("path", "level",
                       F.coalesce("amount", F.lit(0).cast("decimal(25,2)")).alias("total"),
                       F.coalesce("cnt", F.lit(0)).cast("bigint").alias("orders"))

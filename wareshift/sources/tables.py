@@ -27,13 +27,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols: Sequence[str]
 
 
 class Tables:
-    """Lazy accessor: ``t = Tables(spark, sf_dir); t.orders``."""
+    """Lazy accessor: ``t = Tables(spark, sf_dir); t.orders`` (read once per
+    instance; make a new instance to see files written since)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
+        # Called only on the first access: the DataFrame is then stored on
+        # the instance, so one query's plan lists each table's files once.
         if name not in TABLES:
             raise AttributeError(name)
-        return read_table(self.spark, self.sf_dir, name)
+        df = read_table(self.spark, self.sf_dir, name)
+        setattr(self, name, df)
+        return df
