@@ -92,3 +92,26 @@ def test_exact_sums_equal_decimal_sums(spark):
     want = {r.k: (r.x, r.y) for r in df.groupBy("k").agg(F.sum(F.col("x").cast("decimal(15,2)")).alias("x"),
                                                           F.sum(F.col("y").cast("decimal(15,2)")).alias("y")).collect()}
     assert got == want
+
+
+def test_sequence_under_hot_sort_key(spark):
+    df, pdf = _skewed(spark)
+    out = D.with_sequence(df, "seq", 1, order_by=["k"])
+    got = out.select("k", "seq").collect()
+    assert sorted(r.seq for r in got) == list(range(1, len(pdf) + 1))
+    by_seq = [r.k for r in sorted(got, key=lambda r: r.seq)]
+    assert by_seq == sorted(pdf.k)
+    # the range sort also cuts on the row hash: the hot key (2/3 of the rows)
+    # is spread over several range partitions instead of one task
+    # (AQE would coalesce this tiny shuffle into one partition, so it is off here)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        sizes = (df.sort("k", D.row_hash(df)).groupBy(F.spark_partition_id().alias("p"))
+                 .count().collect())
+        plain = (df.sort("k").groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set(key, before)
+    assert max(r["count"] for r in plain) >= 4000  # without the hash: the hot key is one task
+    assert max(r["count"] for r in sizes) < len(pdf) / 2

@@ -97,11 +97,22 @@ def update_where(df: DataFrame, cond: Column, assignments: Mapping[str, Column])
     return df.withColumns(cols)
 
 
+def row_hash(df: DataFrame) -> Column:
+    """64-bit hash of every hashable column: the last sort key of ordered
+    numbering.  The range partitioner cuts on the whole sort key, so with
+    it a hot leading value (a third of the rows on one key) is spread over
+    many range partitions instead of landing in one task, and rows that
+    differ get the same order on every run."""
+    cols = [F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith("map")]
+    return F.xxhash64(*cols) if cols else F.lit(0)
+
+
 def with_sequence(df: DataFrame, name: str = "seq_id", start: int = 1,
                   order_by: Sequence[str | Column] | None = None) -> DataFrame:
     """Dense, gap-free ids without a global window.
 
-    Rows are (optionally) range-sorted, tagged with their partition id and
+    Rows are (optionally) range-sorted -- on ``order_by`` and then a row
+    hash, so ties on a hot key still split across tasks -- tagged with their partition id and
     position inside the partition, and that tagged frame is checkpointed to
     the shared checkpoint folder so a recomputation after a lost executor
     sees the same partitioning.  Per-partition counts (one row per
@@ -109,7 +120,7 @@ def with_sequence(df: DataFrame, name: str = "seq_id", start: int = 1,
     from wareshift.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    base = df.sort(*order_by) if order_by else df
+    base = df.sort(*order_by, row_hash(df)) if order_by else df
     tagged = base.select(
         "*",
         F.spark_partition_id().alias("__pid"),
