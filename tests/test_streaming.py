@@ -151,3 +151,45 @@ def test_restore_batches_by_count_size_and_wait(spark, tmp):
     assert loads[-1] == ["d.e", "d.f"]       # waited too long: all pending
     d = X.batch_decision(spark.createDataFrame([], "table string, size bigint"), 1e9).first()
     assert (d.tables, d.ready) == (0, False)
+
+
+def test_state_compaction_keeps_latest_rows_and_prunes_old_epochs(spark, tmp):
+    path = os.path.join(tmp, "state")
+    want = {}
+    for e in range(6):
+        rows = [(f"k{i}", e * 100 + i) for i in range(e, e + 4)]
+        X.write_batch_state(spark.createDataFrame(rows, "k string, v long"), path, e)
+        if e == 3:
+            full = {r.k: r.v for r in X.read_state(spark, path, ["k"]).collect()}
+            assert X.compact_state(spark, path, ["k"], 3)
+            assert not X.compact_state(spark, path, ["k"], 3)  # already in the index
+            assert {r.k: r.v for r in X.read_state(spark, path, ["k"]).collect()} == full
+        want.update(dict(rows))
+    got = X.read_state(spark, path, ["k"])
+    assert {r.k: r.v for r in got.collect()} == want
+    # only the snapshot and the epochs after it are read: the epoch folders
+    # are pruned at the scan
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan" in ln]
+    filters = [ln.split("PartitionFilters:")[1].split("]")[0].strip() for ln in scans]
+    assert any("> 3)" in f for f in filters)  # the epoch folders after the snapshot
+    assert all(f == "[" or "> 3)" in f for f in filters)  # or the snapshot itself
+    # the state as of an epoch before the snapshot still reads the folders
+    assert {r.k: r.v for r in X.read_state(spark, path, ["k"], upto=1).collect()} == {
+        "k0": 0, "k1": 101, "k2": 102, "k3": 103, "k4": 104}
+
+
+def test_log_upsert_stream_with_compaction(spark, tmp):
+    name = f"logup-compact-{uuid.uuid4().hex}"
+    land = os.path.join(tmp, "landing")
+    st, er, sv = (os.path.join(tmp, n) for n in ("statements", "errors", "saved"))
+    _drop(land, "a.json", [_task(1), _task(2, success=False, error="boom")])
+    X.stream_log_upsert(spark, land, st, er, sv, "0115", available_now=True, name=name,
+                        compact_every=1).awaitTermination()
+    _drop(land, "b.json", [_task(1, tidbSql="select 'new'"), _task(3)])
+    X.stream_log_upsert(spark, land, st, er, sv, "0115", available_now=True, name=name,
+                        compact_every=1).awaitTermination()
+    assert X.latest_snapshot(spark, st) == 1 and X.latest_snapshot(spark, sv) == 1
+    rows = {r.query_id: r.tidb_sql for r in X.read_state(spark, st, ["query_id"]).collect()}
+    assert rows == {"q1": "select 'new'", "q2": "", "q3": "select 3"}
+    assert X.read_state(spark, sv, ["query_id"]).count() == 3

@@ -67,9 +67,63 @@ def write_batch_state(batch: DataFrame, table_path: str, epoch_id: int) -> None:
         os.path.join(table_path, f"batch={int(epoch_id)}"))
 
 
-def read_state(spark: SparkSession, table_path: str, keys: Sequence[str]) -> DataFrame:
-    """Current table: the latest epoch's row per key."""
-    return dedupe_latest(spark.read.parquet(table_path), keys, order_by=["batch"]).drop("batch")
+def _snapshots(table_path: str) -> tuple[str, str]:
+    root = table_path.rstrip("/") + ".snapshots"
+    return os.path.join(root, "data"), os.path.join(root, "index")
+
+
+def latest_snapshot(spark: SparkSession, table_path: str, upto: int | None = None) -> int | None:
+    """Epoch of the newest complete snapshot (at most ``upto``), or None.
+    The index holds one row per finished compaction."""
+    _, index = _snapshots(table_path)
+    try:
+        idx = spark.read.parquet(index)
+    except Exception:  # noqa: BLE001 - never compacted
+        return None
+    if upto is not None:
+        idx = idx.filter(F.col("upto") <= upto)
+    return idx.agg(F.max("upto").alias("e")).first()["e"]
+
+
+def read_state(spark: SparkSession, table_path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
+    """Current table (or the table as of epoch ``upto``): the latest
+    epoch's row per key.  After a compaction only the snapshot and the
+    epoch folders after it are read -- the ``batch`` filter prunes the older
+    folders -- so the cost follows the live keys, not the stream's age."""
+    deltas = spark.read.parquet(table_path)
+    deltas = deltas.withColumn("batch", F.col("batch").cast("long"))
+    if upto is not None:
+        deltas = deltas.filter(F.col("batch") <= upto)
+    snap = latest_snapshot(spark, table_path, upto)
+    if snap is not None:
+        data, _ = _snapshots(table_path)
+        base = spark.read.parquet(os.path.join(data, f"upto={int(snap)}")).withColumn(
+            "batch", F.lit(int(snap)).cast("long"))
+        deltas = base.unionByName(deltas.filter(F.col("batch") > snap))
+    return dedupe_latest(deltas, keys, order_by=["batch"]).drop("batch")
+
+
+def compact_state(spark: SparkSession, table_path: str, keys: Sequence[str], upto: int) -> bool:
+    """Fold the epoch folders up to ``upto`` into one snapshot (latest row
+    per key).  The snapshot goes to a fresh folder and is entered in the
+    index only after it is completely written, so a job lost half-way
+    leaves an unreferenced folder and readers keep using the previous
+    state; rerunning it rewrites that folder.  A compaction already in the
+    index is not redone (returns False)."""
+    if latest_snapshot(spark, table_path) is not None:
+        _, index = _snapshots(table_path)
+        if spark.read.parquet(index).filter(F.col("upto") == upto).limit(1).count():
+            return False
+    data, index = _snapshots(table_path)
+    read_state(spark, table_path, keys, upto).write.mode("overwrite").parquet(os.path.join(data, f"upto={int(upto)}"))
+    spark.createDataFrame([(int(upto),)], "upto long").write.mode("append").parquet(index)
+    return True
+
+
+def _maybe_compact(spark: SparkSession, epoch_id: int, every: int | None, tables: Sequence[tuple[str, Sequence[str]]]):
+    if every and epoch_id > 0 and epoch_id % every == 0:
+        for path, keys in tables:
+            compact_state(spark, path, keys, epoch_id)
 
 
 def start_loader(stream: DataFrame, fn: Callable[[DataFrame, int], None], name: str,
@@ -83,9 +137,11 @@ def start_loader(stream: DataFrame, fn: Callable[[DataFrame, int], None], name:
 
 def stream_log_upsert(spark: SparkSession, landing: str, statements_path: str, errors_path: str,
                       saved_path: str, sql_date: str, available_now: bool = False, name: str = "log_upsert",
-                      drop_dbs: Sequence[str] = (), oversize_path: str | None = None):
+                      drop_dbs: Sequence[str] = (), oversize_path: str | None = None,
+                      compact_every: int | None = None):
     """Task records (JSON lines) -> filter noise -> statements and error
-    rows upserted by query id -> ids marked saved."""
+    rows upserted by query id -> ids marked saved.  With ``compact_every``
+    the state tables are folded into a snapshot every that many epochs."""
     raw = stream_landing(spark, landing, fmt="text")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
@@ -105,6 +161,8 @@ def stream_log_upsert(spark: SparkSession, landing: str, statements_path: str, e
             write_batch_state(side, oversize_path, epoch_id)
         # every parsed id is finished (noise included), as in the source job
         write_batch_state(tasks.select("query_id"), saved_path, epoch_id)
+        _maybe_compact(spark, epoch_id, compact_every,
+                       [(statements_path, ["query_id"]), (errors_path, ["query_id"]), (saved_path, ["query_id"])])
 
     return start_loader(raw, batch, name, available_now, "3 seconds")
 
@@ -118,7 +176,8 @@ OUTCOME_SCHEMA = T.StructType([
 
 
 def stream_outcomes(spark: SparkSession, landing: str, outcomes_path: str, errors_path: str,
-                    sql_date: str, available_now: bool = False, name: str = "outcomes", fmt: str = "parquet"):
+                    sql_date: str, available_now: bool = False, name: str = "outcomes", fmt: str = "parquet",
+                    compact_every: int | None = None):
     """Executed-statement results -> outcome rows (result, duration,
     time) and classified error rows, ignored categories dropped."""
     from wareshift.operators.querylog import drop_ignored
@@ -132,6 +191,7 @@ def stream_outcomes(spark: SparkSession, landing: str, outcomes_path: str, error
         errs = drop_ignored(rows.filter(F.col("execute_result") == 0)).select(
             "query_id", F.lit(sql_date).alias("sql_date"), "hash_id", "err_msg", "catalog")
         write_batch_state(errs, errors_path, epoch_id)
+        _maybe_compact(spark, epoch_id, compact_every, [(outcomes_path, ["query_id"]), (errors_path, ["query_id"])])
 
     return start_loader(stream, batch, name, available_now, "1 second")
 
