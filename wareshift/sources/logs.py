@@ -49,7 +49,7 @@ def read_log_records(spark: SparkSession, path: str) -> DataFrame:
 def read_statements(spark: SparkSession, path: str, replacements: dict[str, str] | None = None) -> DataFrame:
     """Script files -> one row per non-empty statement split on ';',
     with literal replacements applied."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     parts = files.select("file", F.posexplode(F.split("value", ";")).alias("pos", "stmt"))
     out = parts.select("file", "pos", F.regexp_replace("stmt", r"^\s+|\s+$", "").alias("stmt")).filter(F.col("stmt") != "")
     for old, new in (replacements or {}).items():
