@@ -32,6 +32,10 @@ def test_no_unbounded_pairs(spark, name):
         assert m.group(1) in ("BuildLeft", "BuildRight")
     # windows are avoided (latest-per-key is a grouped aggregate); the only
     # window is with_sequence's running sum over one row per partition
+    # no Python in any plan: every expression stays in the JVM
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas",
+                 "PythonUDF"):
+        assert node not in plan
     if name not in SEQUENCE_QUERIES:
         assert "Window" not in plan
     else:
@@ -46,3 +50,9 @@ def test_scans_are_pruned(spark, name):
         assert schemas, plan
         read = {c.split(":")[0] for c in schemas[0].split(",")}
         assert read == cols
+
+
+def test_date_window_reaches_the_scan(spark):
+    plan = _plan(spark, "plan_vs_actual").replace("\n", " ")
+    pushed = re.findall(r"orders\.parquet\].*?PushedFilters: \[([^\]]*)\]", plan)
+    assert pushed and "GreaterThanOrEqual(o_orderdate" in pushed[0] and "LessThan(o_orderdate" in pushed[0]
