@@ -115,3 +115,35 @@ def test_sequence_under_hot_sort_key(spark):
         spark.conf.set(key, before)
     assert max(r["count"] for r in plain) >= 4000  # without the hash: the hot key is one task
     assert max(r["count"] for r in sizes) < len(pdf) / 2
+
+
+def test_key_changes_with_hot_target_key(spark):
+    # key 0 holds 2/3 of the target; the source repeats it too (de-duplicated
+    # by version), so the left/anti joins meet a hot key on the target side
+    df, pdf = _skewed(spark)
+    src_rows = [(0, 7, 1), (0, 8, 2), (3, 9, 1), (424242, 1, 1)]
+    src = spark.createDataFrame(src_rows, "k long, d long, version long")
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        upd_df = D.update_from(df, src, ["k"], ["d"], order_by=["version"])
+        upd = sorted(tuple(r) for r in upd_df.select("k", "d", "v").collect())
+        saved_df = D.mark_saved(df, src, "k")
+        saved = {r.v: r.saved for r in saved_df.collect()}
+        # the de-duplicated source comes out of an aggregate, yet AQE still
+        # splits the hot target partition (both join sides are shuffled)
+        for out in (upd_df, saved_df):
+            out.collect()
+            assert "SortMergeJoin(skew=true)" in out._jdf.queryExecution().executedPlan().toString()
+        kept = sorted(r.v for r in D.delete_keys(df, src, ["k"]).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    latest = {0: 8, 3: 9, 424242: 1}
+    want = sorted((k, latest.get(k, d), v) for k, d, v in pdf.itertuples(index=False))
+    assert upd == want
+    assert saved == {v: k in latest for k, _, v in pdf.itertuples(index=False)}
+    assert kept == sorted(v for k, _, v in pdf.itertuples(index=False) if k not in latest)

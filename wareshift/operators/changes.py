@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wareshift.operators.joins import lookup_join
+
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the greatest ``order_by`` values win (e.g. the
@@ -57,18 +59,22 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                order_by: Sequence[str] = (), unique_source: bool = False) -> DataFrame:
+                order_by: Sequence[str] = (), unique_source: bool = False,
+                split_hot_keys: bool = True) -> DataFrame:
     """D3: overwrite ``cols`` of matched target rows with the source values.
     A null in the source overwrites too (match flag, not coalesce).
     ``unique_source=True`` skips the de-duplication when the source keys are
-    unique by construction (e.g. the source is itself keyed by them)."""
+    unique by construction (e.g. the source is itself keyed by them).  A
+    target key holding a third of the rows is split over several join tasks
+    (:func:`~wareshift.operators.joins.lookup_join`); pass
+    ``split_hot_keys=False`` for a target bucketed by the keys."""
     keys = list(keys)
     picked = source.select(*keys, *[c for c in cols if c not in keys], *[
         o for o in order_by if o not in keys and o not in cols])
     src = picked if unique_source else dedupe_latest(picked, keys, order_by)
     s = src.select(*[F.col(k).alias(f"__s_{k}") for k in keys],
                    *[F.col(c).alias(f"__s_{c}") for c in cols]).withColumn("__m", F.lit(True))
-    j = target.join(s, [target[k] == s[f"__s_{k}"] for k in keys], "left")
+    j = lookup_join(target, s, keys, [f"__s_{k}" for k in keys], "left", split_hot_keys)
     out = []
     for c in target.columns:
         if c in cols:
@@ -155,12 +161,14 @@ def reset_in_buckets(df: DataFrame, cond: Column, col: str, key: str, n: int = 8
     return out.withColumn("bucket", F.pmod(F.col(key), F.lit(n)))
 
 
-def mark_saved(df: DataFrame, done: DataFrame, key: str, flag: str = "saved") -> DataFrame:
+def mark_saved(df: DataFrame, done: DataFrame, key: str, flag: str = "saved",
+               split_hot_keys: bool = True) -> DataFrame:
     """Flag rows whose key is in ``done`` (a semi-join flag; ``done`` is
     made distinct so rows are never multiplied)."""
-    hits = done.select(F.col(key)).distinct().withColumn("__hit", F.lit(True))
+    hits = done.select(F.col(key).alias("__hk")).distinct().withColumn("__hit", F.lit(True))
     prior = F.coalesce(F.col(flag), F.lit(False)) if flag in df.columns else F.lit(False)
-    return df.join(hits, key, "left").withColumn(flag, prior | F.col("__hit").isNotNull()).drop("__hit")
+    j = lookup_join(df, hits, [key], ["__hk"], "left", split_hot_keys)
+    return j.withColumn(flag, prior | F.col("__hit").isNotNull()).drop("__hit", "__hk")
 
 
 def unmark_unsaved(df: DataFrame, cond: Column, flag: str = "saved") -> DataFrame:
@@ -220,8 +228,9 @@ def upsert_lookup(old: DataFrame, new: DataFrame, natural_keys: Sequence[str], i
     the current maximum (dense, ordered by the natural key)."""
     nk = list(natural_keys)
     o = dedupe_latest(old.select(*nk, id_col, *keep_cols), nk).select(
-        *nk, F.col(id_col).alias("__old_id"), *[F.col(c).alias(f"__old_{c}") for c in keep_cols])
-    j = new.join(o, nk, "left")
+        *[F.col(k).alias(f"__nk_{k}") for k in nk], F.col(id_col).alias("__old_id"),
+        *[F.col(c).alias(f"__old_{c}") for c in keep_cols])
+    j = lookup_join(new, o, nk, [f"__nk_{k}" for k in nk], "left").drop(*[f"__nk_{k}" for k in nk])
     matched = j.filter(F.col("__old_id").isNotNull())
     fresh = with_sequence(j.filter(F.col("__old_id").isNull()), "__seq", 1, order_by=nk + list(order_by_extra))
     top = old.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__max"))  # one row

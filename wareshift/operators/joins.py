@@ -30,6 +30,34 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], lookup_keys: Sequence[str],
+                how: str = "left", split_hot_keys: bool = True) -> DataFrame:
+    """Join ``df`` (big, keys possibly hot) with ``lookup`` (one row per
+    key, typically the output of an aggregate on those keys).
+
+    Spark would reuse the aggregate's hash partitioning for the lookup side,
+    so only ``df`` is shuffled for a sort-merge join -- and then AQE cannot
+    split a skewed partition, because it needs shuffle stages on BOTH sides.
+    With ``split_hot_keys`` the keys are compared as one struct value: the
+    planner shuffles both sides for the join itself, and a key holding a
+    third of ``df`` is split over several tasks (the small lookup side is
+    shuffled once more; a lookup side under the broadcast threshold is still
+    broadcast).  Struct equality matches null fields, so null lookup keys
+    are dropped first -- they never match under ``=`` anyway.  Pass
+    ``split_hot_keys=False`` when ``df`` is already partitioned (bucketed)
+    by the keys, to keep that co-location."""
+    keys, lookup_keys = list(keys), list(lookup_keys)
+    if not split_hot_keys:
+        return df.join(lookup, [df[a] == lookup[b] for a, b in zip(keys, lookup_keys)], how)
+    present = F.lit(True)
+    for b in lookup_keys:
+        present = present & F.col(b).isNotNull()
+    lk = lookup.filter(present)
+    cond = (F.struct(*[df[a].alias(f"k{i}") for i, a in enumerate(keys)])
+            == F.struct(*[lk[b].alias(f"k{i}") for i, b in enumerate(lookup_keys)]))
+    return df.join(lk, cond, how)
+
+
 def _seg_prefixes(path: Column, sep: str) -> Column:
     """'a|b|c' -> ['a', 'a|b', 'a|b|c'] (prefixes at separator boundaries)."""
     parts = F.split(path, "\\" + sep if sep in ".|*+?()[]{}^$\\" else sep)
@@ -157,11 +185,13 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def convert_units(facts: DataFrame, factors: DataFrame, key: str, factor: str, value: str,
-                  out: str = "converted") -> DataFrame:
-    """Divide by a de-duplicated conversion factor; 0 or null -> 1."""
-    f = factors.groupBy(key).agg(F.max(factor).alias("__f"))
+                  out: str = "converted", split_hot_keys: bool = True) -> DataFrame:
+    """Divide by a de-duplicated conversion factor; 0 or null -> 1.
+    A unit shared by a third of the facts is split (see :func:`lookup_join`)."""
+    f = factors.groupBy(F.col(key).alias("__fk")).agg(F.max(factor).alias("__f"))
     guarded = F.coalesce(F.when(F.col("__f") != 0, F.col("__f")), F.lit(1))
-    return facts.join(f, key, "left").withColumn(out, F.col(value) / guarded).drop("__f")
+    j = lookup_join(facts, f, [key], ["__fk"], "left", split_hot_keys)
+    return j.withColumn(out, F.col(value) / guarded).drop("__f", "__fk")
 
 
 def semi(df: DataFrame, sub: DataFrame, on, how: str = "left_semi") -> DataFrame:
@@ -173,7 +203,6 @@ def anti_not_in(df: DataFrame, sub: DataFrame, col: str, sub_col: str) -> DataFr
     """J8 null-aware ``NOT IN``: when the sub-result holds a null nothing
     qualifies; a null probe value never qualifies."""
     nulls = sub.filter(F.col(sub_col).isNull()).limit(1).select(F.lit(1).alias("__null"))
-    kept = df.filter(F.col(col).isNotNull()).join(
-        sub.select(F.col(sub_col).alias("__k")).distinct(), F.col(col) == F.col("__k"), "left_anti"
-    )
+    kept = lookup_join(df.filter(F.col(col).isNotNull()), sub.select(F.col(sub_col).alias("__k")).distinct(),
+                       [col], ["__k"], "left_anti")
     return kept.join(F.broadcast(nulls), F.lit(True), "left_anti")
