@@ -149,9 +149,11 @@ def sparse_ids(df: DataFrame, name: str = "seq_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def delete_keys(df: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delete by key."""
-    return df.join(doomed.select(*keys), list(keys), "left_anti")
+def delete_keys(df: DataFrame, doomed: DataFrame, keys: Sequence[str], split_hot_keys: bool = True) -> DataFrame:
+    """Delete by key (a hot key of ``df`` stays splittable, see
+    :func:`~wareshift.operators.joins.lookup_join`)."""
+    d = doomed.select(*[F.col(k).alias(f"__d_{k}") for k in keys])
+    return lookup_join(df, d, keys, [f"__d_{k}" for k in keys], "left_anti", split_hot_keys)
 
 
 def reset_in_buckets(df: DataFrame, cond: Column, col: str, key: str, n: int = 8) -> DataFrame:
