@@ -1157,10 +1157,10 @@ def material_balance(spark, sf_dir):
     allm = tagged_union(parts, measures, tag="type", fill=F.lit(0.0))
     factors = t.part.select(F.col("p_type").alias("conversion_unit"), (F.length("p_type") % 3).alias("f")).distinct()
     guarded = factors.select("conversion_unit", F.coalesce(F.when(F.col("f") != 0, F.col("f")), F.lit(1)).alias("conversion_factor"))
-    conv = allm.join(guarded, F.col("material_unit") == F.col("conversion_unit"), "left")
+    conv = J.lookup_join(allm, guarded, ["material_unit"], ["conversion_unit"], "left")
     fct = S.ifnull("conversion_factor", 1)
     a = conv.agg(*[F.sum(F.col(m) / fct).alias(m) for m in measures])
-    kl = t.part.select("p_type", "p_size").join(guarded, F.col("p_type") == F.col("conversion_unit"), "left").agg(
+    kl = J.lookup_join(t.part.select("p_type", "p_size"), guarded, ["p_type"], ["conversion_unit"], "left").agg(
         F.sum(F.col("p_size").cast("double") / fct).alias("plan_quantity"))
     z = lambda c: S.ifnull(c, 0)
     return a.crossJoin(kl).select(  # one row each by construction
