@@ -1266,3 +1266,119 @@ def month_progress(spark, sf_dir):
         F.round(F.col("s2") * k, 0).alias("month_done"),
         F.round(F.col("s3") * k, 0).alias("cumulative"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Bill quantity report (the production statement behind J5 and the
+# IN-after-DISTINCT note): every bill node p is joined to the leaf nodes c
+# of the same org and bill whose path starts with p's path (textual prefix,
+# so customer 12 also takes customer 123 of the same nation), the leaves to
+# their quantity rows (factor null -> 1); non-leaf nodes report null, leaves
+# the rounded sums.  Nodes: region | nation | customer; org and bill = the
+# region; quantities = finished orders; soft-deleted rows made by CASE.
+_BILL_FACTOR_SQL = ("CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(CASE o_orderkey % 4 WHEN 0 THEN '1.00' "
+                    "WHEN 1 THEN '1.25' WHEN 2 THEN '1.50' ELSE '1.75' END AS DECIMAL(5,2)) END")
+
+
+@register("bill_quantity", f"""
+WITH detail AS (
+    SELECT CAST(r_regionkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS parent_id, r_name AS name,
+           'R' || CAST(r_regionkey AS VARCHAR) AS code, '' AS unit, CAST(NULL AS DECIMAL(15,2)) AS price,
+           r_regionkey AS org_id, r_regionkey AS bill_id, false AS is_leaf, 1 AS level,
+           CAST(r_regionkey AS BIGINT) AS order_no, false AS is_removed
+    FROM region
+    UNION ALL
+    SELECT CAST(n_regionkey AS VARCHAR) || '|' || CAST(n_nationkey AS VARCHAR), CAST(n_regionkey AS VARCHAR), n_name,
+           'N' || CAST(n_nationkey AS VARCHAR), '', CAST(NULL AS DECIMAL(15,2)),
+           n_regionkey, n_regionkey, false, 2, CAST(n_nationkey AS BIGINT), false
+    FROM nation
+    UNION ALL
+    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR),
+           CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR), c.c_name,
+           'C' || CAST(c.c_custkey AS VARCHAR), c.c_mktsegment, CAST(c.c_acctbal AS DECIMAL(15,2)),
+           n.n_regionkey, n.n_regionkey, true, 3, CAST(c.c_custkey AS BIGINT), c.c_custkey % 29 = 0
+    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+),
+project_quantity AS (
+    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR)
+               AS detail_id,
+           n.n_regionkey AS org_id, n.n_regionkey AS bill_id, o.o_orderstatus AS unit_work,
+           CAST(o.o_totalprice AS DECIMAL(15,2)) AS review_quantity, {_BILL_FACTOR_SQL} AS factor,
+           o.o_orderkey % 31 = 0 AS is_removed
+    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+),
+bill_quantity AS (
+    SELECT p.id,
+           IF(p.is_leaf = false, NULL, ROUND(SUM(pq.review_quantity * IFNULL(pq.factor, 1)), 3)) AS review_quantity,
+           IF(p.is_leaf = false, NULL, ROUND(SUM(ROUND(pq.review_quantity * IFNULL(pq.factor, 1), 3) * c.price), 3))
+               AS review_price
+    FROM detail p
+    JOIN detail c
+      ON c.is_removed = false AND c.org_id = p.org_id AND c.is_leaf = true AND c.bill_id = p.bill_id
+     AND left(c.id, length(p.id)) = p.id
+    LEFT JOIN project_quantity pq
+      ON pq.is_removed = false AND pq.org_id = c.org_id AND pq.unit_work = 'F' AND pq.detail_id = c.id
+    WHERE p.is_removed = false
+      AND p.bill_id IN (SELECT DISTINCT bill_id FROM project_quantity WHERE is_removed = false AND unit_work = 'F')
+    GROUP BY p.id, p.is_leaf
+)
+SELECT d.id, d.parent_id, d.name, d.code, d.unit, CAST(d.price AS DECIMAL(38,2)) AS price, b.review_quantity, b.review_price,
+       b.review_quantity AS reside_quantity, b.review_price AS reside_price
+FROM detail d JOIN bill_quantity b ON b.id = d.id
+WHERE d.is_removed = false
+ORDER BY d.level, d.order_no
+""", "J5,J7,J2,P6,A2,F1,F3,F5,F11,P12,T1")
+def bill_quantity(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    n = t.nation.select("n_nationkey", "n_regionkey", "n_name")
+    cust = t.customer.select("c_custkey", "c_nationkey", "c_name", "c_mktsegment", "c_acctbal").join(
+        n, F.col("c_nationkey") == F.col("n_nationkey"))
+    none = F.lit(None).cast("string")
+    no_price = F.lit(None).cast("decimal(15,2)")
+
+    def node(frame, id_, parent, name, code, unit, price, org, leaf, level, order_no, removed):
+        return frame.select(id_.alias("id"), parent.alias("parent_id"), name.alias("name"), code.alias("code"),
+                            unit.alias("unit"), price.alias("price"), org.alias("org_id"), org.alias("bill_id"),
+                            F.lit(leaf).alias("is_leaf"), F.lit(level).alias("level"),
+                            order_no.cast("bigint").alias("order_no"), removed.alias("is_removed"))
+
+    rk = F.col("r_regionkey")
+    regions = node(t.region, rk.cast("string"), none, F.col("r_name"), F.concat(F.lit("R"), rk.cast("string")),
+                   F.lit(""), no_price, rk, False, 1, rk, F.lit(False))
+    nk, nrk = F.col("n_nationkey"), F.col("n_regionkey")
+    nations = node(n, F.concat_ws("|", nrk, nk), nrk.cast("string"), F.col("n_name"),
+                   F.concat(F.lit("N"), nk.cast("string")), F.lit(""), no_price, nrk, False, 2, nk, F.lit(False))
+    ck = F.col("c_custkey")
+    customers = node(cust, F.concat_ws("|", nrk, nk, ck), F.concat_ws("|", nrk, nk), F.col("c_name"),
+                     F.concat(F.lit("C"), ck.cast("string")), F.col("c_mktsegment"), dec("c_acctbal"), nrk,
+                     True, 3, ck, (ck % 29) == 0)
+    detail = regions.unionByName(nations).unionByName(customers).filter(~F.col("is_removed"))
+
+    # Quantity rows of the unit of work, summed per customer before any join:
+    # the shuffle carries one row per customer.  Per leaf the price is one
+    # value, so sum(round(q*f, 3) * price) = price * sum(round(q*f, 3)), exactly.
+    k = F.col("o_orderkey")
+    factor = (F.when(k % 7 == 0, F.lit(None))
+              .otherwise(F.when(k % 4 == 0, "1.00").when(k % 4 == 1, "1.25").when(k % 4 == 2, "1.50")
+                         .otherwise("1.75").cast("decimal(5,2)")))
+    qf = dec("o_totalprice") * F.coalesce(factor, F.lit(1))
+    pq = (t.orders.filter((F.col("o_orderstatus") == "F") & ((k % 31) != 0))
+          .groupBy("o_custkey").agg(F.sum(qf).alias("sq"), F.sum(F.round(qf, 3)).alias("sr")))
+    leaves = (customers.filter(~F.col("is_removed"))
+              .join(pq, F.col("order_no") == F.col("o_custkey"), "left")  # order_no is the customer key
+              .select("org_id", "bill_id", F.col("id").alias("leaf_path"), "sq",
+                      (F.col("sr") * F.col("price")).alias("srp"), F.lit(1).alias("leaves")))
+    # bills with quantity rows: IN (SELECT DISTINCT ...) as a semi join; this
+    # pass reads only the key columns of orders and shuffles distinct keys
+    bills = (pq.select("o_custkey")
+             .join(cust.select("c_custkey", "n_regionkey"), F.col("o_custkey") == F.col("c_custkey"))
+             .select(F.col("n_regionkey").alias("bill_id")).distinct())
+    parents = detail.join(bills, "bill_id", "left_semi")
+    rolled = J.ancestor_rollup(leaves, "leaf_path", {"sq": F.sum("sq"), "srp": F.sum("srp"), "leaves": F.sum("leaves")},
+                               parents, "id", keys=["org_id", "bill_id"], mode="string", leaf_unique=True)
+    leaf_only = lambda c: F.when(F.col("is_leaf"), F.round(F.col(c), 3))
+    return (rolled.filter(F.col("leaves").isNotNull())
+            .orderBy("level", "order_no")
+            .select("id", "parent_id", "name", "code", "unit", "price",
+                    leaf_only("sq").alias("review_quantity"), leaf_only("srp").alias("review_price"),
+                    leaf_only("sq").alias("reside_quantity"), leaf_only("srp").alias("reside_price")))
