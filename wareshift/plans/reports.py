@@ -1382,3 +1382,98 @@ def bill_quantity(spark, sf_dir):
             .select("id", "parent_id", "name", "code", "unit", "price",
                     leaf_only("sq").alias("review_quantity"), leaf_only("srp").alias("review_price"),
                     leaf_only("sq").alias("reside_quantity"), leaf_only("srp").alias("reside_price")))
+
+
+# ---------------------------------------------------------------------------
+# Bill tree of a resume part (the production statement behind J6): the
+# detail nodes that have quantity rows of the part, every node of the same
+# org and bill whose full_id occurs anywhere in theirs (textual locate, so
+# nation 1 also occurs in '11|...'), de-duplicated, under the bill root
+# rows.  Bills = regions; details = nations (full_id 'n') and customers
+# (id custkey + 100, full_id 'n|id'); part quantities = urgent orders.
+_TREE_DETAIL_SQL = """
+detail AS (
+    SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(n_nationkey AS VARCHAR) AS full_id,
+           'N' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, CAST(NULL AS VARCHAR) AS unit,
+           CAST(n_regionkey AS BIGINT) AS org_id, CAST(n_regionkey AS BIGINT) AS bill_id,
+           CAST(n_nationkey AS BIGINT) AS order_no, false AS is_removed
+    FROM nation
+    UNION ALL
+    SELECT c.c_custkey + 100, CAST(n.n_nationkey AS BIGINT),
+           CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey + 100 AS VARCHAR),
+           CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE 'C' || CAST(c.c_custkey AS VARCHAR) END, c.c_name, c.c_mktsegment,
+           CAST(n.n_regionkey AS BIGINT), CAST(n.n_regionkey AS BIGINT), c.c_custkey, c.c_custkey % 23 = 0
+    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+)"""
+
+
+@register("bill_tree", f"""
+WITH {_TREE_DETAIL_SQL},
+bill_detail AS (
+    SELECT DISTINCT b.bill_id, q.detail_id, b.org_id
+    FROM (SELECT o_custkey + 100 AS detail_id, o_orderkey % 31 = 0 AS is_removed, o_orderpriority AS part FROM orders) q
+    JOIN detail b ON b.is_removed = false AND b.id = q.detail_id
+    WHERE q.is_removed = false AND q.part = '1-URGENT'
+)
+SELECT t.id, t.parent_id, t.full_id, t.code, t.name, t.unit
+FROM (
+    SELECT CAST(r_regionkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(r_regionkey AS VARCHAR) AS full_id,
+           ifnull('R' || CAST(r_regionkey AS VARCHAR), '') AS code, ifnull(r_name, '') AS name, CAST(NULL AS VARCHAR) AS unit,
+           1 AS level, CAST(r_regionkey AS BIGINT) AS order_no
+    FROM region
+    WHERE r_regionkey IN (SELECT bill_id FROM bill_detail)
+    UNION ALL
+    SELECT DISTINCT bp.id, IF(bp.parent_id = -1, bp.bill_id, bp.parent_id), concat_ws('|', CAST(bp.bill_id AS VARCHAR), bp.full_id),
+           ifnull(bp.code, ''), ifnull(bp.name, ''), bp.unit, 2, bp.order_no
+    FROM detail bc
+    JOIN detail bp ON bp.is_removed = false AND bp.org_id = bc.org_id AND bp.bill_id = bc.bill_id
+                  AND strpos(bc.full_id, bp.full_id) > 0
+    WHERE bc.is_removed = false
+      AND bc.org_id IN (SELECT org_id FROM bill_detail)
+      AND bc.id IN (SELECT detail_id FROM bill_detail)
+) t
+ORDER BY t.level, t.order_no
+""", "J6,J7,J1,U1,A5,F1,F3,F8,P6,P12,T1")
+def bill_tree(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    n = t.nation.select("n_nationkey", "n_regionkey", "n_name")
+    nk, rk = F.col("n_nationkey"), F.col("n_regionkey").cast("bigint")
+    nations = n.select(nk.cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("parent_id"),
+                       nk.cast("string").alias("full_id"), F.concat(F.lit("N"), nk.cast("string")).alias("code"),
+                       F.col("n_name").alias("name"), F.lit(None).cast("string").alias("unit"), rk.alias("org_id"),
+                       rk.alias("bill_id"), nk.cast("bigint").alias("order_no"), F.lit(False).alias("is_removed"))
+    ck = F.col("c_custkey")
+    did = ck + 100
+    customers = t.customer.select("c_custkey", "c_nationkey", "c_name", "c_mktsegment").join(
+        n, F.col("c_nationkey") == nk).select(
+        did.alias("id"), nk.cast("bigint").alias("parent_id"), F.concat_ws("|", nk, did).alias("full_id"),
+        F.when(ck % 13 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), ck.cast("string"))).alias("code"),
+        F.col("c_name").alias("name"), F.col("c_mktsegment").alias("unit"), rk.alias("org_id"), rk.alias("bill_id"),
+        ck.alias("order_no"), (ck % 23 == 0).alias("is_removed"))
+    detail = nations.unionByName(customers).filter(~F.col("is_removed")).drop("is_removed")
+
+    k = F.col("o_orderkey")
+    q = t.orders.filter((F.col("o_orderpriority") == "1-URGENT") & ((k % 31) != 0)).select(
+        (F.col("o_custkey") + 100).alias("detail_id"))
+    bill_detail = (q.join(detail.select("id", "bill_id", "org_id"), F.col("detail_id") == F.col("id"))
+                   .select("bill_id", "detail_id", "org_id").distinct())
+
+    roots = t.region.join(bill_detail.select("bill_id"), F.col("r_regionkey") == F.col("bill_id"), "left_semi").select(
+        F.col("r_regionkey").cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("parent_id"),
+        F.col("r_regionkey").cast("string").alias("full_id"),
+        S.ifnull(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")), "").alias("code"),
+        S.ifnull("r_name", "").alias("name"), F.lit(None).cast("string").alias("unit"),
+        F.lit(1).alias("level"), F.col("r_regionkey").cast("bigint").alias("order_no"))
+
+    # the two IN lists are separate conditions (org in one, id in the other)
+    bc = (detail.join(bill_detail.select("org_id").distinct(), "org_id", "left_semi")
+          .join(bill_detail.select(F.col("detail_id").alias("id")), "id", "left_semi")
+          .select("org_id", "bill_id", F.col("full_id").alias("c_full_id")))
+    hits = J.containment_join(bc, detail, "c_full_id", "full_id", keys=["org_id", "bill_id"])
+    nodes = hits.select(
+        "id", F.when(F.col("parent_id") == -1, F.col("bill_id")).otherwise(F.col("parent_id")).alias("parent_id"),
+        F.concat_ws("|", F.col("bill_id").cast("string"), F.col("full_id")).alias("full_id"),
+        S.ifnull("code", "").alias("code"), S.ifnull("name", "").alias("name"), "unit",
+        F.lit(2).alias("level"), "order_no").distinct()
+    return (roots.unionByName(nodes).orderBy("level", "order_no")
+            .select("id", "parent_id", "full_id", "code", "name", "unit"))
