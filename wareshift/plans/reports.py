@@ -1477,3 +1477,107 @@ def bill_tree(spark, sf_dir):
         F.lit(2).alias("level"), "order_no").distinct()
     return (roots.unionByName(nodes).orderBy("level", "order_no")
             .select("id", "parent_id", "full_id", "code", "name", "unit"))
+
+
+# ---------------------------------------------------------------------------
+# Purchase need report (the production statement behind A8): planned
+# material quantities per child org minus the purchased ones, kept where
+# the remainder is positive (HAVING written without GROUP BY, meant as a
+# filter), with the stock of the same org and material attached.  Plan
+# heads = submitted orders, purchase heads = urgent/high orders, stock =
+# open lines; materials = parts; soft-deleted and null quantities by CASE.
+_NEED_ITEM_SQL = """
+item AS (
+    SELECT l_orderkey AS order_id, l_partkey AS material_id, 'P' || CAST(l_partkey AS VARCHAR) AS material_code,
+           'M' || CAST(l_partkey % 50 AS VARCHAR) AS material_model, 'material ' || CAST(l_partkey AS VARCHAR) AS material_name,
+           CASE l_partkey % 3 WHEN 0 THEN 't' WHEN 1 THEN 'm3' ELSE 'kg' END AS material_unit,
+           CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(15,2)) END AS quantity,
+           l_linenumber = 7 AS is_removed, l_linestatus
+    FROM lineitem
+)"""
+
+
+@register("purchase_need", f"""
+WITH orgs AS (SELECT c_custkey AS child_org_id FROM customer WHERE c_acctbal > 0),
+{_NEED_ITEM_SQL},
+plan_head AS (
+    SELECT o_orderkey AS id, o_custkey AS org_id FROM orders
+    WHERE o_orderkey % 37 <> 0 AND o_orderstatus IN ('F', 'P') AND o_custkey IN (SELECT child_org_id FROM orgs)
+),
+purchase_head AS (
+    SELECT o_orderkey AS id, o_custkey AS org_id FROM orders
+    WHERE o_orderkey % 37 <> 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey IN (SELECT child_org_id FROM orgs)
+),
+month_quantity AS (
+    SELECT ifnull(sum(b.quantity), 0) AS quantity, a.org_id, b.material_id, b.material_model, b.material_code,
+           b.material_name, b.material_unit
+    FROM plan_head a JOIN item b ON a.id = b.order_id
+    WHERE b.is_removed = false
+    GROUP BY a.org_id, b.material_id, b.material_model, b.material_code, b.material_name, b.material_unit
+),
+supply_quantity AS (
+    SELECT ifnull(sum(b.quantity), 0) AS quantity, a.org_id, b.material_id
+    FROM purchase_head a JOIN item b ON a.id = b.order_id
+    WHERE b.is_removed = false
+    GROUP BY a.org_id, b.material_id, b.material_model, b.material_code, b.material_name, b.material_unit
+),
+result AS (
+    SELECT CAST(a.quantity AS DECIMAL(28,4)) AS plan_quantity,
+           CAST(ifnull(b.quantity, 0) AS DECIMAL(28,4)) AS purchase_quantity,
+           CAST(a.quantity - ifnull(b.quantity, 0) AS DECIMAL(28,4)) AS need_quantity,
+           a.org_id, a.material_id, a.material_model, a.material_code, a.material_name, a.material_unit
+    FROM month_quantity a LEFT JOIN supply_quantity b ON a.org_id = b.org_id AND a.material_id = b.material_id
+    WHERE (a.quantity - ifnull(b.quantity, 0)) > 0
+),
+inventory AS (
+    SELECT i.material_id, o.o_custkey AS org_id, sum(ifnull(i.quantity, 0)) AS inventory_quantity
+    FROM item i JOIN orders o ON o.o_orderkey = i.order_id
+    WHERE i.l_linestatus = 'O' AND i.is_removed = false
+    GROUP BY i.material_id, o.o_custkey
+)
+SELECT ifnull(b.inventory_quantity, 0) AS inventory_quantity,
+       CAST(a.plan_quantity AS DECIMAL(38,4)) AS plan_quantity, CAST(a.purchase_quantity AS DECIMAL(38,4)) AS purchase_quantity,
+       CAST(a.need_quantity AS DECIMAL(38,4)) AS need_quantity, a.org_id, a.material_id, a.material_model, a.material_code,
+       a.material_name, a.material_unit
+FROM result a LEFT JOIN inventory b ON a.org_id = b.org_id AND a.material_id = b.material_id
+ORDER BY a.need_quantity DESC
+""", "A8,A1,A10,J2,J7,F1,F5,P6,P8,P12,T1")
+def purchase_need(spark, sf_dir):
+    """One join of lines to orders and one aggregate for all three measures
+    (plan, purchase, stock): the statement's three scans of the two largest
+    tables become one, and the shuffle carries partial sums per (org,
+    material).  Stock rows of orgs outside the IN list never reach the
+    result, so that semi join filters all three measures."""
+    t = tables(spark, sf_dir)
+    pk = F.col("l_partkey")
+    lk = F.col("l_orderkey")
+    qty = F.when(lk % 19 == 0, F.lit(None)).otherwise(dec("l_quantity"))
+    items = t.lineitem.filter(F.col("l_linenumber") != 7).select(
+        F.col("l_orderkey").alias("order_id"), pk.alias("material_id"), qty.alias("quantity"), "l_linestatus")
+    orgs = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("child_org_id"))
+    ok = F.col("o_orderkey")
+    heads = t.orders.join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi").select(
+        ok.alias("id"), F.col("o_custkey").alias("org_id"),
+        ((ok % 37 != 0) & F.col("o_orderstatus").isin("F", "P")).alias("is_plan"),
+        ((ok % 37 != 0) & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("is_purchase"))
+    j = items.join(heads, F.col("order_id") == F.col("id"))
+    q = F.col("quantity")
+    g = j.groupBy("org_id", "material_id").agg(
+        F.count(F.when(F.col("is_plan"), 1)).alias("plan_rows"),
+        F.sum(F.when(F.col("is_plan"), q)).alias("plan"),
+        F.sum(F.when(F.col("is_purchase"), q)).alias("purchase"),
+        F.sum(F.when(F.col("l_linestatus") == "O", F.coalesce(q, F.lit(0)))).alias("stock"))
+    plan = S.ifnull("plan", 0)
+    purchase = S.ifnull("purchase", 0)
+    m = F.col("material_id")
+    out = g.filter((F.col("plan_rows") > 0) & ((plan - purchase) > 0)).select(
+        S.ifnull("stock", 0).alias("inventory_quantity"),
+        plan.cast("decimal(28,4)").alias("plan_quantity"),
+        purchase.cast("decimal(28,4)").alias("purchase_quantity"),
+        (plan - purchase).cast("decimal(28,4)").alias("need_quantity"),
+        "org_id", "material_id",
+        F.concat(F.lit("M"), (m % 50).cast("string")).alias("material_model"),
+        F.concat(F.lit("P"), m.cast("string")).alias("material_code"),
+        F.concat(F.lit("material "), m.cast("string")).alias("material_name"),
+        F.when(m % 3 == 0, "t").when(m % 3 == 1, "m3").otherwise("kg").alias("material_unit"))
+    return out.orderBy(F.col("need_quantity").desc())
