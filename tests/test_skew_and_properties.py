@@ -147,3 +147,28 @@ def test_key_changes_with_hot_target_key(spark):
     assert upd == want
     assert saved == {v: k in latest for k, _, v in pdf.itertuples(index=False)}
     assert kept == sorted(v for k, _, v in pdf.itertuples(index=False) if k not in latest)
+
+
+def test_ancestor_join_hot_root_with_aggregated_parents(spark):
+    # every child shares the root prefix 'r'; the parent side is the output
+    # of an aggregate (distinct), which would otherwise keep AQE from
+    # splitting the hot prefix
+    # (large and varied enough that the hot partition stays big after shuffle compression)
+    rows = [("r|a|%d" % (i % 40) if i % 5 else "r|b|%d" % i, (i * 7919) % 1000003) for i in range(60000)]
+    kids = spark.createDataFrame(rows, "path string, v long").repartition(8)
+    parents = spark.createDataFrame([("r",), ("r|a",), ("r|b",), ("r",), ("q",)], "p string").distinct()
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = J.ancestor_join(kids, parents, "path", "p", mode="path")
+        got = sorted((r.p, r.v) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = sorted((p, v) for path, v in rows for p in ("r", "r|a", "r|b") if path == p or path.startswith(p + "|"))
+    assert got == want
+    assert "SortMergeJoin(skew=true)" in plan

@@ -104,11 +104,11 @@ def ancestor_join(children: DataFrame, parents: DataFrame, child_path: str, pare
         exploded = path_prefixes(children, child_path, "__prefix", sep)
     else:
         raise ValueError(mode)
-    on = [exploded["__prefix"] == parents[parent_path]] + [exploded[k] == parents[k] for k in keys]
-    joined = exploded.join(parents, on, "inner")
-    for k in keys:
-        joined = joined.drop(parents[k])
-    return joined.drop("__prefix")
+    # every child of a root shares the root's prefix: a hot join key, kept
+    # splittable by AQE (see lookup_join)
+    p = parents.withColumnsRenamed({k: f"__p_{k}" for k in keys})
+    joined = lookup_join(exploded, p, ["__prefix", *keys], [parent_path, *[f"__p_{k}" for k in keys]], "inner")
+    return joined.drop("__prefix", *[f"__p_{k}" for k in keys])
 
 
 def ancestor_rollup(facts: DataFrame, path: str, measures: dict[str, Column], parents: DataFrame,
@@ -159,11 +159,9 @@ def containment_join(children: DataFrame, parents: DataFrame, child_path: str, p
         .withColumn("__sub", F.explode(subs))
         .drop("__len")
     )
-    on = [ex["__sub"] == parents[parent_path]] + [ex[k] == parents[k] for k in keys]
-    joined = ex.join(parents, on, "inner")
-    for k in keys:
-        joined = joined.drop(parents[k])
-    return joined.drop("__sub")
+    p = parents.withColumnsRenamed({k: f"__p_{k}" for k in keys})
+    joined = lookup_join(ex, p, ["__sub", *keys], [parent_path, *[f"__p_{k}" for k in keys]], "inner")
+    return joined.drop("__sub", *[f"__p_{k}" for k in keys])
 
 
 def range_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], value: str, lo: str, hi: str,
