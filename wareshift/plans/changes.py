@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wareshift.operators import changes as D
-from wareshift.plans.common import dec, tables
+from wareshift.plans.common import AS_OF, dec, ntz, tables
 from wareshift.plans.registry import register
 from wareshift.sources import inserts, logs
 
@@ -224,3 +224,93 @@ def reset_buckets(spark, sf_dir):
     o = tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus")
     out = D.reset_in_buckets(o, F.col("o_orderstatus").isin("F", "P"), "o_orderstatus", "o_orderkey", 8)
     return out.select("o_orderkey", "o_orderstatus", F.col("bucket").cast("bigint").alias("bucket"))
+
+
+# ---------------------------------------------------------------------------
+# Soft delete by a derived key set (the production UPDATE ... FROM ... JOIN
+# whose SET named an alias that does not exist, meant as the target's own
+# updated_at): parameter rows whose quantity node is a child of a selected
+# parent (self join, parent_id > 0) or a selected root are marked removed,
+# with reviser, version and updated_at set; all other rows are unchanged.
+# Nodes: nations (roots, id = nation key) and customers (id = custkey + 100,
+# parent = nation); parameters: orders.
+SOFT_DELETE_WORKS = (1, 2, 3)
+SOFT_DELETE_COMPONENT = 1
+SOFT_DELETE_REVISER = 7
+SOFT_DELETE_VERSION = 2
+
+_SOFT_DELETE_SQL = f"""
+WITH quantity_node AS (
+    SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(n_regionkey AS BIGINT) AS project_entry_work_id,
+           CAST(n_nationkey % 2 AS BIGINT) AS component_id, false AS is_removed
+    FROM nation
+    UNION ALL
+    SELECT c.c_custkey + 100, CAST(c.c_nationkey AS BIGINT), CAST(n.n_regionkey AS BIGINT), CAST(n.n_nationkey % 2 AS BIGINT),
+           c.c_custkey % 17 = 0
+    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+),
+param AS (
+    SELECT o_orderkey AS id,
+           CASE WHEN o_orderkey % 10 = 0 THEN o_custkey % 25 ELSE o_custkey + 100 END AS project_entry_work_quantity_id,
+           CASE WHEN o_orderkey % 9 = 0 THEN 'feature' ELSE 'value' END AS param_type,
+           o_orderkey % 23 = 0 AS is_removed, o_custkey AS reviser, CAST(1 AS BIGINT) AS version, o_orderdate AS updated_at
+    FROM orders
+),
+quantity AS (
+    SELECT q.id
+    FROM quantity_node q JOIN quantity_node qp ON qp.id = q.parent_id AND qp.is_removed = false
+    WHERE qp.project_entry_work_id IN {SOFT_DELETE_WORKS} AND qp.component_id = {SOFT_DELETE_COMPONENT}
+      AND q.parent_id > 0 AND q.is_removed = false
+    UNION ALL
+    SELECT id FROM quantity_node
+    WHERE project_entry_work_id IN {SOFT_DELETE_WORKS} AND component_id = {SOFT_DELETE_COMPONENT}
+      AND parent_id = -1 AND is_removed = false
+),
+hit AS (
+    SELECT DISTINCT p.id FROM param p JOIN quantity ON quantity.id = p.project_entry_work_quantity_id
+    WHERE p.is_removed = false AND p.param_type <> 'feature'
+)
+SELECT p.id, p.project_entry_work_quantity_id, p.param_type,
+       CASE WHEN h.id IS NOT NULL THEN true ELSE p.is_removed END AS is_removed,
+       CASE WHEN h.id IS NOT NULL THEN CAST({SOFT_DELETE_REVISER} AS BIGINT) ELSE p.reviser END AS reviser,
+       CASE WHEN h.id IS NOT NULL THEN CAST({SOFT_DELETE_VERSION} AS BIGINT) ELSE p.version END AS version,
+       CASE WHEN h.id IS NOT NULL THEN TIMESTAMP '{AS_OF.isoformat()} 00:00:00' ELSE p.updated_at END AS updated_at
+FROM param p LEFT JOIN hit h ON h.id = p.id
+"""
+
+
+@register("soft_delete_params", _SOFT_DELETE_SQL, "D5,D9,J12,J7,U1,P6,P8,F12")
+def soft_delete_params(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    n = t.nation.select("n_nationkey", "n_regionkey")
+    nations = n.select(F.col("n_nationkey").cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("parent_id"),
+                       F.col("n_regionkey").cast("bigint").alias("work"),
+                       (F.col("n_nationkey") % 2).cast("bigint").alias("component"), F.lit(False).alias("is_removed"))
+    ck = F.col("c_custkey")
+    customers = t.customer.select("c_custkey", "c_nationkey").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        (ck + 100).alias("id"), F.col("c_nationkey").cast("bigint").alias("parent_id"),
+        F.col("n_regionkey").cast("bigint").alias("work"), (F.col("n_nationkey") % 2).cast("bigint").alias("component"),
+        (ck % 17 == 0).alias("is_removed"))
+    live = nations.unionByName(customers).filter(~F.col("is_removed"))
+    selected = live.filter(F.col("work").isin(*SOFT_DELETE_WORKS) & (F.col("component") == SOFT_DELETE_COMPONENT))
+    children = live.filter(F.col("parent_id") > 0).join(
+        selected.select(F.col("id").alias("pid")), F.col("parent_id") == F.col("pid"), "left_semi").select("id")
+    roots = selected.filter(F.col("parent_id") == -1).select("id")
+    quantity = children.unionByName(roots).select(F.col("id").alias("project_entry_work_quantity_id"))
+
+    ok = F.col("o_orderkey")
+    param = t.orders.select(
+        ok.alias("id"),
+        F.when(ok % 10 == 0, F.col("o_custkey") % 25).otherwise(F.col("o_custkey") + 100)
+        .alias("project_entry_work_quantity_id"),
+        F.when(ok % 9 == 0, "feature").otherwise("value").alias("param_type"),
+        (ok % 23 == 0).alias("is_removed"), F.col("o_custkey").alias("reviser"),
+        F.lit(1).cast("bigint").alias("version"), F.col("o_orderdate").alias("updated_at"))
+    marked = D.mark_saved(param, quantity, "project_entry_work_quantity_id", "in_set")
+    cond = F.col("in_set") & ~F.col("is_removed") & (F.col("param_type") != "feature")
+    return D.update_where(marked, cond, {
+        "is_removed": F.lit(True),
+        "reviser": F.lit(SOFT_DELETE_REVISER).cast("bigint"),
+        "version": F.lit(SOFT_DELETE_VERSION).cast("bigint"),
+        "updated_at": ntz(AS_OF),
+    }).drop("in_set")
