@@ -1581,3 +1581,58 @@ def purchase_need(spark, sf_dir):
         F.concat(F.lit("material "), m.cast("string")).alias("material_name"),
         F.when(m % 3 == 0, "t").when(m % 3 == 1, "m3").otherwise("kg").alias("material_unit"))
     return out.orderBy(F.col("need_quantity").desc())
+
+
+# ---------------------------------------------------------------------------
+# Allotted items with their receiving records (the production statements
+# whose right side repeated an IN over the left CTE): items left-joined to
+# received-material rows by bar code.  The IN only keeps right rows whose
+# bar code occurs on the left -- exactly the rows a left join can match --
+# so it is dropped here; the oracle keeps it.  Items = lines not returned;
+# receiving records = finished lines of low tax from suppliers with a
+# service type; bar code = order key and line number.
+@register("allot_receive", """
+WITH allot AS (
+    SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS material_id,
+           'material ' || CAST(l_partkey AS VARCHAR) AS material_name, 'M' || CAST(l_partkey % 50 AS VARCHAR) AS material_model,
+           CAST(l_quantity AS DECIMAL(15,2)) AS quantity,
+           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item_bar_code, l_linenumber AS sort_code
+    FROM lineitem
+    WHERE l_returnflag <> 'R'
+      AND 'material ' || CAST(l_partkey AS VARCHAR) LIKE '%%' AND 'M' || CAST(l_partkey % 50 AS VARCHAR) LIKE '%%'
+),
+received AS (
+    SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS manufacturer, strftime(l_shipdate, '%Y%m%d') AS batch_no,
+           'T' || CAST(l_orderkey AS VARCHAR) AS test_report_no, l_returnflag AS storage_place,
+           CAST(l_linenumber AS VARCHAR) AS skill_card_no,
+           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item_bar_code,
+           CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE 'ok' END AS remark
+    FROM lineitem
+    WHERE l_linestatus = 'F' AND l_suppkey % 3 > 0 AND l_tax < 0.05
+)
+SELECT a.id, a.order_id, a.material_id, a.material_name, a.material_model, CAST(a.quantity AS DECIMAL(38,2)) AS quantity,
+       a.item_bar_code, a.sort_code, b.manufacturer, b.batch_no, b.test_report_no, b.storage_place, b.skill_card_no, b.remark
+FROM allot a
+LEFT JOIN (SELECT * FROM received WHERE item_bar_code IN (SELECT item_bar_code FROM allot)) b
+  ON a.item_bar_code = b.item_bar_code
+ORDER BY a.sort_code
+""", "J2,J7,P9,P10,P12,F8,T1")
+def allot_receive(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    li = t.lineitem
+    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
+    bar = F.concat_ws("-", ok.cast("string"), ln.cast("string"))
+    name = F.concat(F.lit("material "), pk.cast("string"))
+    model = F.concat(F.lit("M"), (pk % 50).cast("string"))
+    allot = li.filter((F.col("l_returnflag") != "R") & name.like("%%") & model.like("%%")).select(
+        (ok * 8 + ln).alias("id"), ok.alias("order_id"), pk.alias("material_id"), name.alias("material_name"),
+        model.alias("material_model"), dec("l_quantity").alias("quantity"), bar.alias("item_bar_code"),
+        ln.alias("sort_code"))
+    received = li.filter((F.col("l_linestatus") == "F") & (F.col("l_suppkey") % 3 > 0) & (F.col("l_tax") < 0.05)).select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("manufacturer"),
+        F.date_format("l_shipdate", "yyyyMMdd").alias("batch_no"),
+        F.concat(F.lit("T"), ok.cast("string")).alias("test_report_no"), F.col("l_returnflag").alias("storage_place"),
+        ln.cast("string").alias("skill_card_no"), bar.alias("b_bar"),
+        F.when(ok % 7 == 0, F.lit(None)).otherwise(F.lit("ok")).alias("remark"))
+    out = allot.join(received, F.col("item_bar_code") == F.col("b_bar"), "left").drop("b_bar")
+    return out.orderBy("sort_code")
