@@ -1636,3 +1636,87 @@ def allot_receive(spark, sf_dir):
         F.when(ok % 7 == 0, F.lit(None)).otherwise(F.lit("ok")).alias("remark"))
     out = allot.join(received, F.col("item_bar_code") == F.col("b_bar"), "left").drop("b_bar")
     return out.orderBy("sort_code")
+
+
+# ---------------------------------------------------------------------------
+# Day plan rates (the production statement behind J11 and F11): for every
+# org, the calendar row of the report date (picked by its computed key),
+# the month, quarter and year plan values, and the shares of the month and
+# year already past.  Plan values = order totals per customer; the quarter
+# value is the sum of the months whose ceil(month / 3) is the quarter.
+# Money is summed as exact decimals and turned into doubles once, so both
+# engines run the same floating-point operations.
+def _day_key_sql(d: str) -> str:
+    return f"'pp-p-' || replace(left(CAST({d} AS VARCHAR), 10), '-', '')"
+
+
+@register("day_plan_rates", f"""
+WITH da AS (
+    SELECT c_custkey AS org_id, 'pp-p-' || strftime(d, '%Y%m%d') || '-' || CAST(c_custkey AS VARCHAR) AS id,
+           year(d) AS stat_year, month(d) AS stat_month, CAST(ceil(month(d) / 3) AS INTEGER) AS stat_quarter,
+           CAST(date_trunc('month', d) AS DATE) AS stat_month_start, day(last_day(d)) AS stat_month_day_count,
+           CAST(date_trunc('year', d) AS DATE) AS stat_year_start, dayofyear(make_date(year(d), 12, 31)) AS stat_year_day_count
+    FROM customer, (SELECT {sql_date(AS_OF)} AS d) t
+),
+month_info AS (
+    SELECT o_custkey AS org_id, year(o_orderdate) AS yr, month(o_orderdate) AS mon,
+           sum(CAST(o_totalprice AS DECIMAL(15,2))) AS production_value
+    FROM orders GROUP BY 1, 2, 3
+),
+year_info AS (
+    SELECT o_custkey AS org_id, year(o_orderdate) AS yr, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS production_value
+    FROM orders GROUP BY 1, 2
+)
+SELECT da.org_id,
+       CAST(ifnull(info.production_value, 0) AS DOUBLE) / 10000 / da.stat_month_day_count AS day_plan,
+       CAST(ifnull(info.production_value, 0) AS DOUBLE) / 10000 AS month_plan,
+       (datediff('day', da.stat_month_start, {sql_date(AS_OF)}) + 1) / da.stat_month_day_count AS month_due,
+       CAST(ifnull(sum(info_qu.production_value), 0) AS DOUBLE) / 10000 AS quarter_plan,
+       CAST(ifnull(info_year.production_value, 0) AS DOUBLE) / 10000 AS year_plan,
+       (datediff('day', da.stat_year_start, {sql_date(AS_OF)}) + 1) / da.stat_year_day_count AS year_due
+FROM da
+LEFT JOIN month_info info ON da.org_id = info.org_id AND info.yr = da.stat_year AND info.mon = da.stat_month
+LEFT JOIN month_info info_qu ON da.org_id = info_qu.org_id AND info_qu.yr = da.stat_year
+                            AND CAST(ceil(info_qu.mon / 3) AS INTEGER) = da.stat_quarter
+LEFT JOIN year_info info_year ON da.org_id = info_year.org_id AND info_year.yr = da.stat_year
+WHERE da.id = {_day_key_sql(sql_date(AS_OF))} || '-' || CAST(da.org_id AS VARCHAR)
+GROUP BY da.org_id, info.production_value, da.stat_month_day_count, da.stat_month_start,
+         info_year.production_value, da.stat_year_start, da.stat_year_day_count
+""", "J11,J2,F11,F12,F13,F15,F16,A2,A6")
+def day_plan_rates(spark, sf_dir):
+    """The three joins to the month/quarter/year plan tables become one
+    aggregate per org over the report year's orders (the year window
+    reaches the scan): month, quarter and year are conditional sums."""
+    t = tables(spark, sf_dir)
+    d = F.lit(AS_OF)
+    year_start = AS_OF.replace(month=1, day=1)
+    od = F.col("o_orderdate")
+    amt = dec("o_totalprice")
+    per_org = (t.orders.filter((od >= ntz(year_start)) & (od < ntz(year_start.replace(year=AS_OF.year + 1))))
+               .groupBy(F.col("o_custkey").alias("p_org")).agg(
+                   F.sum(F.when(F.month(od) == AS_OF.month, amt)).alias("month_pv"),
+                   F.sum(F.when(S.quarter_of_month(F.month(od)) == S.quarter_of_month(F.lit(AS_OF.month)), amt))
+                   .alias("quarter_pv"),
+                   F.sum(amt).alias("year_pv")))
+    org = F.col("c_custkey")
+    da = t.customer.select(
+        org.alias("org_id"),
+        F.concat(F.lit("pp-p-"), S.date_key(d), F.lit("-"), org.cast("string")).alias("id"),
+        S.month_start(d).alias("stat_month_start"), F.dayofmonth(F.last_day(d)).alias("stat_month_day_count"),
+        F.trunc(d, "year").alias("stat_year_start"),
+        F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31))).alias("stat_year_day_count"))
+    key = F.concat(F.lit("pp-p-"), F.replace(F.left(d.cast("string"), F.lit(10)), F.lit("-"), F.lit("")),
+                   F.lit("-"), F.col("org_id").cast("string"))
+    j = da.filter(F.col("id") == key).join(per_org, F.col("org_id") == F.col("p_org"), "left")
+
+    def plan(c):
+        return S.ifnull(c, F.lit(0).cast("decimal(25,2)")).cast("double") / 10000
+
+    return j.select(
+        "org_id",
+        (plan("month_pv") / F.col("stat_month_day_count")).alias("day_plan"),
+        plan("month_pv").alias("month_plan"),
+        ((F.datediff(d, F.col("stat_month_start")) + 1) / F.col("stat_month_day_count")).alias("month_due"),
+        plan("quarter_pv").alias("quarter_plan"),
+        plan("year_pv").alias("year_plan"),
+        ((F.datediff(d, F.col("stat_year_start")) + 1) / F.col("stat_year_day_count")).alias("year_due"))
