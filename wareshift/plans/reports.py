@@ -1720,3 +1720,99 @@ def day_plan_rates(spark, sf_dir):
         plan("quarter_pv").alias("quarter_plan"),
         plan("year_pv").alias("year_plan"),
         ((F.datediff(d, F.col("stat_year_start")) + 1) / F.col("stat_year_day_count")).alias("year_due"))
+
+
+# ---------------------------------------------------------------------------
+# Category dosage summary (the production statements behind A10 and the
+# CTE-embedding notes): planned and actual dosage per material from the
+# orgs' production lines, plus audited supplement rows, summed per
+# statistic category (categories chosen by a code list, materials mapped
+# to them).  Categories = part brands; dosage = lines up to the report date.
+# The statement's two line/order joins (dosage and supplement) are one
+# join and one aggregate per material here (all arithmetic is exact in
+# decimal): a joined row adds its dosage and supplement to its material,
+# and a supplement row whose material falls back to 0 emits a second entry
+# for material 0 (0 is a real part key in the driver tables).
+CATEGORY_CODES = ("code_0", "code_1", "code_2", "code_3", "code_4")
+
+
+@register("category_dosage", f"""
+WITH orgs AS (SELECT c_custkey AS child_org_id FROM customer WHERE c_mktsegment = 'BUILDING'),
+static_class AS (
+    SELECT c.category_id, c.category_name, a.material_id
+    FROM (SELECT DISTINCT CAST(substr(p_brand, 7) AS INTEGER) AS category_id, p_brand AS category_name,
+                 'code_' || CAST(CAST(substr(p_brand, 7) AS INTEGER) % 7 AS VARCHAR) AS custome_code
+          FROM part) c
+    JOIN (SELECT p_partkey AS material_id, CAST(substr(p_brand, 7) AS INTEGER) AS statistic_id FROM part) a
+      ON a.statistic_id = c.category_id
+    WHERE c.custome_code IN {CATEGORY_CODES}
+),
+supplement_data AS (
+    SELECT ifnull(CASE WHEN l.l_orderkey % 13 = 0 THEN NULL ELSE l.l_partkey END, 0) AS material_id,
+           CAST(ifnull(CAST(l.l_extendedprice AS DECIMAL(15,2)) / 1000, 0) AS DECIMAL(28,8)) AS quantity
+    FROM orders a JOIN lineitem l ON a.o_orderkey = l.l_orderkey
+    WHERE a.o_custkey IN (SELECT child_org_id FROM orgs) AND a.o_orderpriority <> '5-LOW' AND a.o_orderstatus = 'F'
+      AND l.l_shipdate <= TIMESTAMP '{AS_OF.isoformat()} 00:00:00' AND a.o_orderkey % 29 <> 0 AND l.l_linenumber <> 6
+),
+dosage_data AS (
+    SELECT l.l_partkey AS material_id,
+           CAST(ifnull(sum(CAST(l.l_quantity AS DECIMAL(15,2))), 0) / 1000 AS DECIMAL(28,8)) AS plan_amn,
+           CAST(ifnull(sum(CAST(l.l_extendedprice AS DECIMAL(15,2))), 0) / 1000 AS DECIMAL(28,8)) AS fact_amnt
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN orgs ON o.o_custkey = orgs.child_org_id
+    WHERE l.l_linenumber <> 7 AND l.l_shipdate <= TIMESTAMP '{AS_OF.isoformat()} 00:00:00'
+    GROUP BY l.l_partkey
+),
+dosage AS (
+    SELECT material_id, sum(plan_amn) AS plan_amn, sum(fact_amnt) AS fact_amnt
+    FROM (SELECT material_id, plan_amn, fact_amnt FROM dosage_data
+          UNION ALL
+          SELECT material_id, quantity, quantity FROM supplement_data) a
+    GROUP BY material_id
+)
+SELECT category_id AS statistic_class_id, ifnull(category_name, 'none') AS statistic_class_name,
+       CAST(CAST(ifnull(sum(plan_amn), 0) AS DECIMAL(28,3)) AS DECIMAL(38,3)) AS plan_amn,
+       CAST(CAST(ifnull(sum(fact_amnt), 0) AS DECIMAL(28,3)) AS DECIMAL(38,3)) AS fact_amnt
+FROM static_class LEFT JOIN dosage ON dosage.material_id = static_class.material_id
+GROUP BY category_id, category_name
+ORDER BY category_id
+""", "A10,A1,U1,J2,J7,F1,F5,P8,P12,T1")
+def category_dosage(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    orgs = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("child_org_id"))
+    ok = F.col("o_orderkey")
+    heads = t.orders.join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi").select(
+        ok.alias("h_key"),
+        ((F.col("o_orderpriority") != "5-LOW") & (F.col("o_orderstatus") == "F") & (ok % 29 != 0)).alias("supp_head"))
+    ln = F.col("l_linenumber")
+    lines = t.lineitem.filter(F.col("l_shipdate") <= ntz(AS_OF)).select(
+        "l_orderkey", "l_partkey", dec("l_quantity").alias("q"), dec("l_extendedprice").alias("amt"),
+        (ln != 7).alias("is_dosage"), (ln != 6).alias("supp_line"))
+    j = lines.join(heads, F.col("l_orderkey") == F.col("h_key"))
+    supp_amt = F.when(F.col("supp_head") & F.col("supp_line"), F.col("amt"))
+    s_mat = F.when(F.col("l_orderkey") % 13 == 0, F.lit(0).cast("bigint")).otherwise(F.col("l_partkey"))
+    same = s_mat == F.col("l_partkey")
+    none = F.lit(None).cast("decimal(15,2)")
+    own = F.struct(F.col("l_partkey").alias("m"), F.when(F.col("is_dosage"), F.col("q")).alias("dq"),
+                   F.when(F.col("is_dosage"), F.col("amt")).alias("da"), F.when(same, supp_amt).alias("sa"))
+    fallback = F.struct(F.lit(0).cast("bigint").alias("m"), none.alias("dq"), none.alias("da"), supp_amt.alias("sa"))
+    entries = F.when(~same & supp_amt.isNotNull(), F.array(own, fallback)).otherwise(F.array(own))
+    e = j.select(F.explode(entries).alias("e")).select("e.*")
+    per_material = e.groupBy(F.col("m").alias("material_id")).agg(
+        F.sum("dq").alias("dq"), F.sum("da").alias("da"), F.sum("sa").alias("sa"))
+    zero = F.lit(0).cast("decimal(25,2)")
+    dosage = per_material.select(
+        F.col("material_id").alias("d_material"),
+        ((S.ifnull("dq", zero) + S.ifnull("sa", zero)) / 1000).alias("plan_amn"),
+        ((S.ifnull("da", zero) + S.ifnull("sa", zero)) / 1000).alias("fact_amnt"))
+
+    brand_id = F.substring(F.col("p_brand"), 7, 100).cast("int")
+    static_class = t.part.select(brand_id.alias("category_id"), F.col("p_brand").alias("category_name"),
+                                 F.col("p_partkey").alias("material_id")).filter(
+        F.concat(F.lit("code_"), (F.col("category_id") % 7).cast("string")).isin(*CATEGORY_CODES))
+    out = J.lookup_join(static_class, dosage, ["material_id"], ["d_material"], "left").groupBy(
+        "category_id", "category_name").agg(
+        S.ifnull(F.sum("plan_amn"), 0).cast("decimal(28,3)").alias("plan_amn"),
+        S.ifnull(F.sum("fact_amnt"), 0).cast("decimal(28,3)").alias("fact_amnt"))
+    return out.orderBy("category_id").select(
+        F.col("category_id").alias("statistic_class_id"),
+        S.ifnull("category_name", "none").alias("statistic_class_name"), "plan_amn", "fact_amnt")
