@@ -172,3 +172,20 @@ def test_ancestor_join_hot_root_with_aggregated_parents(spark):
     want = sorted((p, v) for path, v in rows for p in ("r", "r|a", "r|b") if path == p or path.startswith(p + "|"))
     assert got == want
     assert "SortMergeJoin(skew=true)" in plan
+
+
+KEY = st.one_of(st.none(), st.integers(0, 3))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(KEY, KEY), max_size=12), st.lists(st.tuples(KEY, KEY), max_size=8),
+       st.sampled_from(["left", "inner", "left_anti", "left_semi"]), st.sampled_from([1, 2]))
+def test_lookup_join_equals_plain_equi_join(spark, left, right, how, nkeys):
+    # struct equality (with null lookup keys dropped) must give exactly the
+    # rows of the plain equality join, nulls included
+    a = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(left)], "id int, a1 int, a2 int")
+    b = spark.createDataFrame([(j, x, y) for j, (x, y) in enumerate(right)], "jd int, b1 int, b2 int")
+    lk, rk = ["a1", "a2"][:nkeys], ["b1", "b2"][:nkeys]
+    split = J.lookup_join(a, b, lk, rk, how, split_hot_keys=True)
+    plain = J.lookup_join(a, b, lk, rk, how, split_hot_keys=False)
+    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
