@@ -66,3 +66,34 @@ def test_export_tables_and_folder_manifest(spark, tmp):
     back = DL.import_delimited(spark, os.path.join(root, "global_a.t1"), spark.createDataFrame([], "id int, flag int, s string").schema)
     assert sorted(tuple(r) for r in back.collect()) == sorted((i, int(i % 2 == 0), "x%d" % i) for i in range(300))
     assert [r.id for r in spark.read.parquet(os.path.join(tmp, "q", "global_a.t2")).collect()] == [1]
+
+
+def test_sized_parts_with_a_few_wide_lines(spark, tmp):
+    # two lines far wider than the rest must not cut every file to one row
+    rows = [(i, f"name-{i}") for i in range(5000)] + [(90001, "w" * 3000), (90002, "v" * 2500)]
+    df = spark.createDataFrame(rows, "id long, s string").repartition(2)
+    out = os.path.join(tmp, "wide")
+    per = DL.write_sized_parts(df, out, max_bytes=4096)
+    files = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert per > 100 and len(files) < 100
+    assert all(os.path.getsize(os.path.join(out, f)) <= 4096 for f in files)
+    back = sorted(tuple(r) for r in DL.import_delimited(spark, out, df.schema).collect())
+    assert back == sorted(rows)
+
+
+def test_round_trip_long_fields_and_empty_first_field(spark, tmp):
+    # fields of hundreds of thousands of characters full of escapes (the
+    # tokenizer must not recurse per character), an empty first field, and
+    # a one-column table whose values include the empty string
+    long_a = ("x\\y\u0006z" * 60000) + "\\"
+    long_b = "a" * 500000
+    rows = [("", long_a, 1), (None, long_b, 2), ("", "", 3), ("\\N", None, 4)]
+    df = spark.createDataFrame(rows, "a string, b string, k int")
+    out = os.path.join(tmp, "long")
+    DL.export_delimited(df, out)
+    back = sorted(DL.import_delimited(spark, out, df.schema).collect(), key=lambda r: r.k)
+    assert [tuple(r) for r in back] == rows
+    one = spark.createDataFrame([("",), ("v",), (None,)], "s string")
+    out1 = os.path.join(tmp, "one")
+    DL.export_delimited(one, out1)
+    assert sorted(DL.import_delimited(spark, out1, one.schema).collect(), key=repr) == sorted(one.collect(), key=repr)

@@ -27,7 +27,14 @@ NULL_TEXT = "\\N"
 PART_BYTES = 256 * 1024 * 1024
 
 _ESCAPE_RE = "([\\\\\u0006\u0007])"
-_FIELD_RE = "(?s)(?:^|\u0006)((?:\\\\.|[^\\\\\u0006])*)"
+# One field after a separator (the line gets a leading separator, so every
+# match is at least one character long and an empty first field is not
+# skipped).  The body is the unrolled form "plain run, then (escape pair,
+# plain run)*" with possessive quantifiers: Java's regex engine runs it as
+# a loop instead of recursing per character, so fields of millions of
+# characters parse (the alternation form overflows the stack from about a
+# thousand characters).
+_FIELD_RE = "(?s)\u0006([^\\\\\u0006]*+(?:\\\\.[^\\\\\u0006]*+)*+)"
 _UNESCAPE_RE = "(?s)\\\\(.)"
 
 
@@ -63,7 +70,7 @@ def export_delimited(df: DataFrame, path: str, quarantine_path: str | None = Non
 def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
     """S3 tokenizer: split on unescaped separators, ``\\N`` -> null, then
     unescape and ``try_cast`` to the schema types (junk -> null)."""
-    fields = F.regexp_extract_all(F.col(col), F.lit(_FIELD_RE), 1)
+    fields = F.regexp_extract_all(F.concat(F.lit(FIELD_SEP), F.col(col)), F.lit(_FIELD_RE), 1)
     out = []
     for i, f in enumerate(schema.fields):
         raw = fields.getItem(i)
@@ -80,19 +87,47 @@ def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> D
 def import_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S3: load delimited files into typed columns."""
     lines = spark.read.option("lineSep", ROW_SEP).text(path)
-    return parse_lines(lines.filter(F.col("value") != ""), schema)
+    if len(schema.fields) > 1:  # a valid line of a wider table holds separators
+        lines = lines.filter(F.col("value") != "")
+    return parse_lines(lines, schema)
+
+
+# A line wider than this many times the 99.9th-percentile width is an
+# outlier that would otherwise set the rows-per-file cap for every file.
+OUTLIER_QUANTILE = 0.999
+OUTLIER_FACTOR = 8
 
 
 def write_sized_parts(df: DataFrame, path: str, max_bytes: int = PART_BYTES) -> int:
-    """Cut the delimited output into files of about ``max_bytes`` on row
-    borders.  One aggregate measures the average line size; the writer caps
-    rows per file (``maxRecordsPerFile``), so no file exceeds the budget by
-    more than one row's spread.  Returns the rows-per-file cap used."""
+    """Cut the delimited output into files of at most ``max_bytes`` on
+    row borders (a single line wider than the budget gets a file of its own).
+
+    Spark's writer caps files by rows (``maxRecordsPerFile``), so the cap is
+    the budget over a line width that bounds every line in the file.  One
+    aggregate measures the widest line and the 99.9th-percentile width.  When
+    they are close, one write uses the widest line.  When a few lines are far
+    wider (one 18 MB statement among short rows would otherwise cut every
+    file to a handful of rows), the lines up to the percentile width are
+    written with its cap and the wide ones are appended with the widest
+    line's cap: every file stays within the budget and the file count
+    follows the data volume -- at the price of a second scan, paid only in
+    that case.  Returns the rows-per-file cap of the bulk of the lines."""
     lines = to_lines(df).filter(~F.col("quarantined")).select("value")
-    stats = lines.agg(F.max(F.octet_length("value") + 1).alias("b")).first()
-    widest = int(stats["b"] or 1)
-    per_file = max(1, math.floor(max_bytes / widest))
-    lines.write.mode("overwrite").option("lineSep", ROW_SEP).option("maxRecordsPerFile", per_file).text(path)
+    width = F.octet_length("value") + 1
+    stats = lines.agg(F.max(width).alias("widest"),
+                      F.percentile_approx(width, OUTLIER_QUANTILE, 10000).alias("typical")).first()
+    widest, typical = int(stats["widest"] or 1), int(stats["typical"] or 1)
+
+    def write(frame: DataFrame, cap: int, mode: str) -> None:
+        frame.write.mode(mode).option("lineSep", ROW_SEP).option("maxRecordsPerFile", cap).text(path)
+
+    if widest <= OUTLIER_FACTOR * typical:
+        per_file = max(1, math.floor(max_bytes / widest))
+        write(lines, per_file, "overwrite")
+        return per_file
+    per_file = max(1, math.floor(max_bytes / typical))
+    write(lines.filter(width <= typical), per_file, "overwrite")
+    write(lines.filter(width > typical), max(1, math.floor(max_bytes / widest)), "append")
     return per_file
 
 
