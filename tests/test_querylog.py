@@ -98,3 +98,17 @@ def test_apply_retry_outcomes(spark):
                  "z": ("keep", 1, 2.0)}
     e = {r.query_id: (r.err_msg, r.catalog) for r in e2.collect()}
     assert e == {"b": ("Column 'c' cannot be null", "modify_full_join"), "c": ("translate failed", "translate_error")}
+
+
+def test_operators_on_whole_long_statements(spark):
+    # logged statements run to millions of characters; every regex-based
+    # step must process them whole (no per-character recursion)
+    big = "select cast(a as string), isnull(b, 1) /*& hint */ -- c\n" * 20000 + "from t where x = '{{tenant}}'"
+    df = spark.createDataFrame([(big, "u1_internal_read", "db1", "boom")], "statement string, user string, db string, err string")
+    r = df.select(L.rewrite_text("statement").alias("rw"), L.strip_hints("statement").alias("sh"),
+                  L.classify_error("statement", "err").alias("cat")).first()
+    assert "cast(a as string)" not in r.rw and r.rw.count("concat(a)") == 20000
+    assert "/*&" not in r.sh and len(r.sh) == len(big) - 20000 * len("/*& hint */")
+    assert r.cat == "not_processed"
+    t = L.resolve_tenant(df).first().statement
+    assert t.endswith("'u1'") and len(t) == len(big) - len("{{tenant}}") + 2
