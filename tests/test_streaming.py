@@ -193,3 +193,46 @@ def test_log_upsert_stream_with_compaction(spark, tmp):
     rows = {r.query_id: r.tidb_sql for r in X.read_state(spark, st, ["query_id"]).collect()}
     assert rows == {"q1": "select 'new'", "q2": "", "q3": "select 3"}
     assert X.read_state(spark, sv, ["query_id"]).count() == 3
+
+
+def test_restore_batches_the_same_with_compaction(spark, tmp):
+    # the scenario above with the state folded every epoch: same loads, and
+    # the pending snapshot holds only tables that still wait
+    mk = os.path.join(tmp, "markers")
+    os.makedirs(mk)
+
+    def marker(table, size):
+        p = os.path.join(mk, f".{table}.tmp")
+        with open(p, "w") as f:
+            f.write(str(size))
+        os.rename(p, os.path.join(mk, f"{table}.finish"))
+
+    loads, clock = [], {"t": 0.0}
+    state = os.path.join(tmp, "state")
+    name = f"restore-compact-{uuid.uuid4().hex}"
+
+    def run():
+        X.stream_restore(spark, mk, state, lambda df: loads.append(sorted(r.table for r in df.collect())),
+                         lambda: clock["t"], name=name, available_now=True, max_bytes=1000, max_tables=3,
+                         max_wait_seconds=300, compact_every=1).awaitTermination()
+
+    marker("d.a", 10)
+    marker("d.b", 10)
+    run()
+    marker("d.c", 10)
+    run()
+    marker("d.big", 5000)
+    run()
+    marker("d.e", 1)
+    clock["t"] = 10.0
+    run()
+    assert loads == [["d.a", "d.b", "d.c"], ["d.big"]]
+    pending = os.path.join(state, "pending")
+    snap = X.latest_snapshot(spark, pending)
+    assert snap is not None and snap >= 3
+    data = os.path.join(pending + ".snapshots", "data", f"upto={snap}")
+    assert sorted(r.table for r in spark.read.parquet(data).collect()) == ["d.e"]
+    clock["t"] = 400.0
+    marker("d.f", 1)
+    run()
+    assert loads[-1] == ["d.e", "d.f"]

@@ -85,41 +85,51 @@ def latest_snapshot(spark: SparkSession, table_path: str, upto: int | None = Non
     return idx.agg(F.max("upto").alias("e")).first()["e"]
 
 
-def read_state(spark: SparkSession, table_path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
-    """Current table (or the table as of epoch ``upto``): the latest
-    epoch's row per key.  After a compaction only the snapshot and the
-    epoch folders after it are read -- the ``batch`` filter prunes the older
-    folders -- so the cost follows the live keys, not the stream's age."""
+def read_rows(spark: SparkSession, table_path: str, upto: int | None = None) -> DataFrame:
+    """All rows of a state table up to epoch ``upto`` with their ``batch``:
+    the newest snapshot (its rows carry the snapshot's epoch) plus the epoch
+    folders after it -- the ``batch`` filter prunes the older folders, so the
+    cost follows the snapshot size, not the stream's age."""
     deltas = spark.read.parquet(table_path)
     deltas = deltas.withColumn("batch", F.col("batch").cast("long"))
     if upto is not None:
         deltas = deltas.filter(F.col("batch") <= upto)
     snap = latest_snapshot(spark, table_path, upto)
-    if snap is not None:
-        data, _ = _snapshots(table_path)
-        base = spark.read.parquet(os.path.join(data, f"upto={int(snap)}")).withColumn(
-            "batch", F.lit(int(snap)).cast("long"))
-        deltas = base.unionByName(deltas.filter(F.col("batch") > snap))
-    return dedupe_latest(deltas, keys, order_by=["batch"]).drop("batch")
+    if snap is None:
+        return deltas
+    data, _ = _snapshots(table_path)
+    base = spark.read.parquet(os.path.join(data, f"upto={int(snap)}")).withColumn(
+        "batch", F.lit(int(snap)).cast("long"))
+    return base.unionByName(deltas.filter(F.col("batch") > snap))
 
 
-def compact_state(spark: SparkSession, table_path: str, keys: Sequence[str], upto: int) -> bool:
-    """Fold the epoch folders up to ``upto`` into one snapshot (latest row
-    per key).  The snapshot goes to a fresh folder and is entered in the
-    index only after it is completely written, so a job lost half-way
-    leaves an unreferenced folder and readers keep using the previous
-    state; rerunning it rewrites that folder.  A compaction already in the
-    index is not redone (returns False)."""
+def read_state(spark: SparkSession, table_path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
+    """Current table (or the table as of epoch ``upto``): the latest
+    epoch's row per key."""
+    return dedupe_latest(read_rows(spark, table_path, upto), keys, order_by=["batch"]).drop("batch")
+
+
+def write_snapshot(spark: SparkSession, table_path: str, rows: DataFrame, upto: int) -> bool:
+    """Record ``rows`` as the state up to epoch ``upto``.  The snapshot goes
+    to a fresh folder and is entered in the index only after it is
+    completely written, so a job lost half-way leaves an unreferenced folder
+    and readers keep using the previous state; rerunning it rewrites that
+    folder.  A snapshot already in the index is not redone (returns False)."""
+    data, index = _snapshots(table_path)
     if latest_snapshot(spark, table_path) is not None:
-        _, index = _snapshots(table_path)
         if spark.read.parquet(index).filter(F.col("upto") == upto).limit(1).count():
             return False
-    data, index = _snapshots(table_path)
-    read_state(spark, table_path, keys, upto).write.mode("overwrite").parquet(os.path.join(data, f"upto={int(upto)}"))
+    rows.drop("batch").write.mode("overwrite").parquet(os.path.join(data, f"upto={int(upto)}"))
     spark.createDataFrame([(int(upto),)], "upto long").write.mode("append").parquet(index)
     return True
 
 
+def compact_state(spark: SparkSession, table_path: str, keys: Sequence[str], upto: int) -> bool:
+    """Fold the epoch folders up to ``upto`` into one snapshot (latest row
+    per key); see :func:`write_snapshot` for the crash safety."""
+    return write_snapshot(spark, table_path, read_state(spark, table_path, keys, upto), upto)
+
+
 def _maybe_compact(spark: SparkSession, epoch_id: int, every: int | None, tables: Sequence[tuple[str, Sequence[str]]]):
     if every and epoch_id > 0 and epoch_id % every == 0:
         for path, keys in tables:
@@ -239,19 +249,22 @@ def batch_decision(pending: DataFrame, waited_seconds: float, max_bytes: int = B
 def stream_restore(spark: SparkSession, markers: str, state_path: str, load: Callable[[DataFrame], None],
                    clock: Callable[[], float], name: str = "restore", available_now: bool = False,
                    max_bytes: int = BATCH_MAX_BYTES, max_tables: int = BATCH_MAX_FILES,
-                   max_wait_seconds: float = 300.0):
+                   max_wait_seconds: float = 300.0, compact_every: int | None = None):
     """X1+X2: accumulate ready tables, load them in batches.  ``load`` gets
     the DataFrame of (table, size) to load; if it raises, the micro-batch
     fails and its markers are offered again after a restart (the checkpoint
     advances only on success).  The wait is measured from the last load, or
     from the first table seen when nothing was loaded yet; both times are
-    kept in the state folders, so they survive restarts."""
+    kept in the state folders, so they survive restarts.  With
+    ``compact_every`` the state is folded every that many epochs: the loaded
+    tables into one snapshot, and the pending rows of tables not loaded yet
+    into another, so a trigger reads what is live, not the job's history."""
     pending_path = os.path.join(state_path, "pending")
     loaded_path = os.path.join(state_path, "loaded")
 
     def read_or_empty(path: str, schema: str) -> DataFrame:
         try:
-            return spark.read.parquet(path)
+            return read_rows(spark, path)
         except Exception:  # noqa: BLE001 - no state yet
             return spark.createDataFrame([], schema)
 
@@ -271,5 +284,10 @@ def stream_restore(spark: SparkSession, markers: str, state_path: str, load: Cal
             todo = pending.orderBy(F.col("size").desc())
             load(todo)
             write_batch_state(todo.select("table", F.lit(now).alias("loaded_at")), loaded_path, epoch_id)
+        if compact_every and epoch_id > 0 and epoch_id % compact_every == 0:
+            loaded_rows = read_or_empty(loaded_path, "table string, loaded_at double, batch long")
+            write_snapshot(spark, loaded_path, loaded_rows, epoch_id)
+            waiting = read_rows(spark, pending_path).join(loaded_rows.select("table"), "table", "left_anti")
+            write_snapshot(spark, pending_path, waiting, epoch_id)
 
     return start_loader(marker_stream(spark, markers), batch, name, available_now, "5 seconds")
