@@ -56,3 +56,21 @@ def test_date_window_reaches_the_scan(spark):
     plan = _plan(spark, "plan_vs_actual").replace("\n", " ")
     pushed = re.findall(r"orders\.parquet\].*?PushedFilters: \[([^\]]*)\]", plan)
     assert pushed and "GreaterThanOrEqual(o_orderdate" in pushed[0] and "LessThan(o_orderdate" in pushed[0]
+
+
+# The statements whose repeated line/order joins are folded into one pass:
+# each table is scanned once (the bill list of bill_quantity aside, these
+# read the big tables a single time).
+SINGLE_PASS = {
+    "purchase_need": {"lineitem": 1, "orders": 1},
+    "category_dosage": {"lineitem": 1, "orders": 1},
+    "day_plan_rates": {"orders": 1},
+}
+
+
+@pytest.mark.parametrize("name", sorted(SINGLE_PASS))
+def test_folded_statements_scan_each_table_once(spark, name):
+    plan = _plan(spark, name)
+    for table, n in SINGLE_PASS[name].items():
+        scans = [ln for ln in plan.splitlines() if "FileScan" in ln and f"{table}.parquet" in ln]
+        assert len(scans) == n, (table, scans)
