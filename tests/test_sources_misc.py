@@ -71,3 +71,17 @@ def test_insert_values_both_modes(spark):
     loose = inserts.to_insert_values(df, "t", None, 1000).collect()
     counts = [r.stmt.count("),(") + 1 for r in loose]
     assert sum(counts) == 2500 and max(counts) <= 1000
+
+
+def test_unordered_insert_batches_do_not_depend_on_arrival_order(spark):
+    # a shuffle output holds the same rows whatever order they arrive in; the
+    # cheap mode must cut the same statements from either order (batch 5: the
+    # partitions hold 12k rows, so plain positions would cut different batches)
+    from wareshift.sources import inserts
+
+    rows = [(i % 5, f"v{i}") for i in range(60)]
+    a = spark.createDataFrame(rows, "k int, s string").repartition(3, "k")
+    b = spark.createDataFrame(list(reversed(rows)), "k int, s string").repartition(3, "k")
+    sa = sorted(r.stmt for r in inserts.to_insert_values(a, "t", None, 5).collect())
+    sb = sorted(r.stmt for r in inserts.to_insert_values(b, "t", None, 5).collect())
+    assert sa == sb and sum(s.count("(") - 1 for s in sa) == 60

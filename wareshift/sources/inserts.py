@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wareshift.operators.changes import with_sequence
+from wareshift.operators.changes import row_hash, with_sequence
 
 
 def sql_literal(c: str, dtype: str) -> Column:
@@ -41,10 +41,12 @@ def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None,
     With ``order_by`` the rows are numbered densely in that order (one range
     sort and a checkpoint of the numbered rows) and batch ``b`` holds rows
     ``b*batch .. b*batch+batch-1``.  Without it, batches are cut inside each
-    input partition (partition id, position // batch): no sort, no
+    input partition (partition id, position // batch): no shuffle, no
     checkpoint, same batch cap -- the cheap form when statement order does
-    not matter.  It relies on a deterministic row order inside each input
-    partition (a table scan); checkpoint a shuffled input first."""
+    not matter.  The rows of a partition are first sorted by their hash, so
+    the positions depend only on which rows the partition holds, not on the
+    order they arrive in: a partition recomputed after a lost executor (a
+    shuffle output arrives in any order) cuts the same batches."""
     types = dict(df.dtypes)
     cols = list(df.columns)
     row = F.concat(F.lit("("), F.concat_ws(", ", *[sql_literal(c, types[c]) for c in cols]), F.lit(")"))
@@ -54,7 +56,8 @@ def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None,
     else:
         pid = F.spark_partition_id().cast("long")
         pos = F.monotonically_increasing_id() - pid * (1 << 33)
-        numbered = df.select(row.alias("__row"), pid.alias("__pid"), pos.alias("__seq"))
+        numbered = df.sortWithinPartitions(row_hash(df)).select(row.alias("__row"), pid.alias("__pid"),
+                                                                 pos.alias("__seq"))
         key = (F.col("__pid") * (1 << 33) + F.floor(F.col("__seq") / batch)).cast("bigint")
     g = numbered.groupBy(key.alias("batch")).agg(
         F.array_sort(F.collect_list(F.struct("__seq", "__row"))).alias("__rows"))
