@@ -63,3 +63,12 @@ def test_upsert_lookup_keeps_old_ids(spark):
     new = spark.createDataFrame([("a", "x"), ("c", "y"), ("d", "z")], "name string, note string")
     got = {r.name: r.id for r in D.upsert_lookup(old, new, ["name"], "id").collect()}
     assert got == {"a": 10, "c": 12, "d": 13}
+
+
+def test_sparse_ids_unique_and_independent_of_arrival_order(spark):
+    rows = [(i % 5, f"v{i}") for i in range(60)]
+    a = spark.createDataFrame(rows, "k int, s string").repartition(3, "k")
+    b = spark.createDataFrame(list(reversed(rows)), "k int, s string").repartition(3, "k")
+    ia = {(r.k, r.s): r.seq_id for r in D.sparse_ids(a).collect()}
+    ib = {(r.k, r.s): r.seq_id for r in D.sparse_ids(b).collect()}
+    assert len(set(ia.values())) == 60 and ia == ib

@@ -145,8 +145,11 @@ def with_sequence(df: DataFrame, name: str = "seq_id", start: int = 1,
 
 
 def sparse_ids(df: DataFrame, name: str = "seq_id") -> DataFrame:
-    """D6 sparse form: unique, increasing per partition, not dense."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """D6 sparse form: unique, increasing per partition, not dense.  Each
+    partition is sorted by row hash first (no shuffle), so a partition
+    recomputed after a lost executor -- a shuffle output arrives in any
+    order -- gives every row the same id again."""
+    return df.sortWithinPartitions(row_hash(df)).withColumn(name, F.monotonically_increasing_id())
 
 
 def delete_keys(df: DataFrame, doomed: DataFrame, keys: Sequence[str], split_hot_keys: bool = True) -> DataFrame:
