@@ -9,9 +9,12 @@ loop:
 * ``containment_join`` (J6): ``locate(p.path, c.path) > 0``.
 * ``range_join`` (J3): equi key plus ``between`` bounds.
 
-``broadcast_if_small`` is the only place that asks for a broadcast: it
-checks the row count of a side (a ``limit(n+1).count()`` probe, which stops
-early) and leaves the side to the planner's size-checked choice otherwise.
+Broadcasts are asked for only on sides with a bound: the set of distinct
+path lengths (at most the longest path), a ``limit(1)`` row, and through
+``broadcast_if_small``, which checks the row count of a side (a
+``limit(n+1).count()`` probe, which stops early) and leaves the side to the
+planner's size-checked choice otherwise.  ``lookup_join`` keeps a hot key
+of the big side splittable by AQE.
 """
 
 from __future__ import annotations
