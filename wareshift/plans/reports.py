@@ -1632,9 +1632,12 @@ def allot_receive(spark, sf_dir):
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("manufacturer"),
         F.date_format("l_shipdate", "yyyyMMdd").alias("batch_no"),
         F.concat(F.lit("T"), ok.cast("string")).alias("test_report_no"), F.col("l_returnflag").alias("storage_place"),
-        ln.cast("string").alias("skill_card_no"), bar.alias("b_bar"),
+        ln.cast("string").alias("skill_card_no"), ok.alias("b_order"), ln.alias("b_line"),
         F.when(ok % 7 == 0, F.lit(None)).otherwise(F.lit("ok")).alias("remark"))
-    out = allot.join(received, F.col("item_bar_code") == F.col("b_bar"), "left").drop("b_bar")
+    # the bar code 'order-line' of two non-negative integers is equal exactly
+    # when both numbers are: join on them, not on the string
+    out = allot.join(received, (F.col("order_id") == F.col("b_order")) & (F.col("sort_code") == F.col("b_line")),
+                     "left").drop("b_order", "b_line")
     return out.orderBy("sort_code")
 
 
