@@ -51,3 +51,28 @@ def test_broadcast_if_small_and_units(spark):
     f = spark.createDataFrame([("a", 2), ("a", 2), ("b", 0)], "t string, f int")
     got = {r.t: r.converted for r in J.convert_units(facts, f, "t", "f", "q").collect()}
     assert got == {"a": 5.0, "b": 10.0, "c": 10.0}
+
+
+def test_bucketed_range_join_equals_plain_on_a_hot_key(spark):
+    # one key holds all facts and 400 intervals: the plain form compares
+    # every fact with every interval of the key, the bucketed form only with
+    # the intervals touching its bucket -- same rows either way
+    import datetime as dt
+
+    facts = spark.createDataFrame([(0, (i * 37) % 8000, i) for i in range(8000)] + [(1, 5, -1), (2, None, -2)],
+                                  "k int, v int, id int")
+    dims = spark.createDataFrame([(0, 20 * j, 20 * j + 19 + (j % 3) * 15, j) for j in range(400)]
+                                 + [(1, 10, 3, -9), (1, None, 9, -8)], "k int, lo int, hi int, d int")
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = J.range_join(facts, dims, ["k"], "v", "lo", "hi", how)
+        bucketed = J.range_join(facts, dims, ["k"], "v", "lo", "hi", how, bucket=20)
+        assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, bucketed.collect()), key=repr), how
+    # dates: buckets of 7 days
+    base = dt.date(1998, 1, 1)
+    fd = spark.createDataFrame([(0, base + dt.timedelta(days=i % 90), i) for i in range(900)], "k int, v date, id int")
+    dd = spark.createDataFrame([(0, base + dt.timedelta(days=10 * j), base + dt.timedelta(days=10 * j + 12), j)
+                                for j in range(9)], "k int, lo date, hi date, d int")
+    plain = J.range_join(fd, dd, ["k"], "v", "lo", "hi")
+    bucketed = J.range_join(fd, dd, ["k"], "v", "lo", "hi", bucket=7)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, bucketed.collect()))
+    assert "__fb" in bucketed._jdf.queryExecution().executedPlan().toString()

@@ -167,14 +167,48 @@ def containment_join(children: DataFrame, parents: DataFrame, child_path: str, p
     return joined.drop("__sub", *[f"__p_{k}" for k in keys])
 
 
+def _bucket_of(c: Column, width: float, dtype: str) -> Column:
+    """Bucket number of a value: ``floor(v / width)``; dates and timestamps
+    count in days (``width`` days per bucket).  Monotonic in the value."""
+    if dtype == "date" or dtype.startswith("timestamp"):
+        c = F.datediff(F.to_date(c), F.to_date(F.lit("1970-01-01")))
+    return F.floor(c / F.lit(width)).cast("long")
+
+
 def range_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], value: str, lo: str, hi: str,
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", bucket: float | None = None) -> DataFrame:
     """Equi key plus ``value between lo and hi``: a hash/sort-merge join on
-    ``keys`` with the bounds as a residual condition."""
-    cond = [facts[k] == dims[k] for k in keys] + [facts[value] >= dims[lo], facts[value] <= dims[hi]]
-    out = facts.join(dims, cond, how)
-    for k in keys:
-        out = out.drop(dims[k])
+    ``keys`` with the bounds as a residual condition.
+
+    Without ``bucket`` every fact row is compared with every dimension row
+    of its key before the bounds filter -- all pairs of a key, which for a
+    hot key with many intervals is quadratic.  With ``bucket`` (a width in
+    the value's unit, days for dates and timestamps) each dimension row is
+    expanded into the buckets its interval covers and each fact row gets
+    its own bucket, so the join runs on ``keys`` + bucket and compares a
+    fact only with the intervals that touch its bucket.  The result is the
+    same (the bucket is monotonic in the value, and a fact has exactly one
+    bucket); a dimension row costs ``(hi - lo) / bucket + 1`` rows, so pick a
+    width near the typical interval length.  Allowed for joins that keep
+    the fact side: inner, left, left_semi, left_anti."""
+    if bucket is None:
+        cond = [facts[k] == dims[k] for k in keys] + [facts[value] >= dims[lo], facts[value] <= dims[hi]]
+        out = facts.join(dims, cond, how)
+        for k in keys:
+            out = out.drop(dims[k])
+        return out
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"bucketed range join keeps the fact side only, not {how!r}")
+    ft, dt = dict(facts.dtypes), dict(dims.dtypes)
+    f = facts.withColumn("__fb", _bucket_of(F.col(value), bucket, ft[value]))
+    b_lo, b_hi = _bucket_of(F.col(lo), bucket, dt[lo]), _bucket_of(F.col(hi), bucket, dt[hi])
+    covered = F.when(b_lo <= b_hi, F.sequence(b_lo, b_hi)).otherwise(F.array().cast("array<long>"))
+    d = dims.withColumnsRenamed({k: f"__d_{k}" for k in keys}).withColumn("__db", F.explode(covered))
+    cond = ([f[k] == d[f"__d_{k}"] for k in keys] + [f["__fb"] == d["__db"]]
+            + [f[value] >= d[lo], f[value] <= d[hi]])
+    out = f.join(d, cond, how).drop("__fb")
+    if how in ("inner", "left"):
+        out = out.drop("__db", *[f"__d_{k}" for k in keys])
     return out
 
 
