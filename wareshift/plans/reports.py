@@ -1819,3 +1819,131 @@ def category_dosage(spark, sf_dir):
     return out.orderBy("category_id").select(
         F.col("category_id").alias("statistic_class_id"),
         S.ifnull("category_name", "none").alias("statistic_class_name"), "plan_amn", "fact_amnt")
+
+
+# ---------------------------------------------------------------------------
+# Month task report (the production statement behind J3 and the "add the
+# org key to the big calendar join" note): every month task of a company
+# with its calendar row (picked by its computed key), the daily reports of
+# the company's in-hand top projects from the month start to the task date,
+# the month plan, and the company's dispatch records over the same range.
+# Companies = nations, projects = customers, tasks = one per company and
+# month (dated at its last order day), daily reports / plan / dispatch =
+# orders per customer-day / urgent orders per company-month / high-priority
+# orders per company-day.
+_TASK_SQL = """
+WITH ord AS (
+    SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, CAST(o.o_totalprice AS DECIMAL(15,2)) AS amount,
+           CAST(o.o_orderdate AS DATE) AS d, c.c_nationkey AS nation, c.c_acctbal
+    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+),
+org_relation AS (
+    SELECT c_nationkey AS org_id, c_custkey AS child_org_id, 'project' AS child_ext_type, c_custkey % 3 <> 0 AS top_project
+    FROM customer
+),
+month_task AS (
+    SELECT CAST(nation AS BIGINT) * 1000000 + year(d) * 100 + month(d) AS id, nation AS org_id,
+           'e' || CAST(nation AS VARCHAR) AS editor, 'r' || CAST(nation % 4 AS VARCHAR) AS reviewer,
+           max(d) AS stat_date, month(d) = 2 AS is_removed
+    FROM ord GROUP BY nation, year(d), month(d)
+),
+d_date AS (
+    SELECT DISTINCT 'pr-c-' || strftime(d, '%Y%m%d') || '-' || CAST(nation AS VARCHAR) AS id, year(d) AS stat_year,
+           month(d) AS stat_month, CAST(date_trunc('month', d) AS DATE) AS stat_month_start
+    FROM ord
+),
+extras_info AS (SELECT DISTINCT o_custkey AS org_id, year(d) AS year, c_acctbal > 0 AS in_hand, false AS is_removed FROM ord),
+daily AS (SELECT o_custkey AS org_id, d AS stat_date, sum(amount) AS complete_amount, false AS is_removed FROM ord GROUP BY 1, 2),
+plan AS (
+    SELECT nation AS org_id, year(d) AS year, month(d) AS month, sum(amount) AS amount
+    FROM ord WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2, 3
+),
+dispatch AS (
+    SELECT nation AS org_id, d AS stat_date, CAST(count(*) AS DECIMAL(15,2)) AS plan_amount, sum(amount) AS complete_amount,
+           false AS is_removed
+    FROM ord WHERE o_orderpriority = '2-HIGH' GROUP BY 1, 2
+),
+temp AS (
+    SELECT mt.id, mt.org_id, mt.editor, mt.reviewer, da.stat_year, da.stat_month, da.stat_month_start, mt.stat_date,
+           sum(daily.complete_amount) AS complete_amount, plan.amount
+    FROM org_relation org
+    JOIN month_task mt ON org.org_id = mt.org_id AND mt.is_removed = false
+    JOIN d_date da ON da.id = 'pr-c-' || replace(left(CAST(mt.stat_date AS VARCHAR), 10), '-', '') || '-' || CAST(mt.org_id AS VARCHAR)
+    JOIN extras_info ex ON ex.org_id = org.child_org_id AND ex.year = da.stat_year AND ex.in_hand = true AND ex.is_removed = false
+    LEFT JOIN daily ON org.child_org_id = daily.org_id AND daily.is_removed = false
+                   AND daily.stat_date >= da.stat_month_start AND daily.stat_date <= mt.stat_date
+    LEFT JOIN plan ON plan.org_id = mt.org_id AND plan.year = da.stat_year AND plan.month = da.stat_month
+    WHERE org.child_ext_type = 'project' AND org.top_project = true
+    GROUP BY mt.id, mt.org_id, mt.editor, mt.reviewer, da.stat_year, da.stat_month, da.stat_month_start, mt.stat_date, plan.amount
+)
+SELECT temp.id, temp.org_id, temp.editor, temp.reviewer, temp.stat_year, temp.stat_month, temp.stat_month_start,
+       temp.stat_date, temp.complete_amount, temp.amount,
+       sum(dt.plan_amount) AS plan_amount_other, sum(dt.complete_amount) AS complete_amount_other
+FROM temp
+LEFT JOIN dispatch dt ON dt.org_id = temp.org_id AND dt.is_removed = false
+                     AND dt.stat_date >= temp.stat_month_start AND dt.stat_date <= temp.stat_date
+GROUP BY temp.id, temp.org_id, temp.editor, temp.reviewer, temp.stat_year, temp.stat_month, temp.stat_month_start,
+         temp.stat_date, temp.complete_amount, temp.amount
+ORDER BY temp.stat_date DESC
+"""
+
+
+@register("month_task_report", _TASK_SQL, "J3,J1,J2,J11,F12,F16,A1,A6,P6,P12,T1")
+def month_task_report(spark, sf_dir):
+    """Orders are aggregated once per customer and day and the result is
+    checkpointed to the shared checkpoint folder: tasks, extras, daily
+    reports, plan and dispatch all derive from it, and without the
+    checkpoint each would re-scan orders and shuffle again (column pruning
+    gives every consumer its own copy of the aggregate, so Spark cannot
+    reuse one exchange).  A task's calendar row exists by construction (its
+    date is an order day of its company), so its fields come from the date.
+    The two date-range joins are bucketed (31-day buckets): a project's
+    daily rows meet only the tasks whose month touches their bucket."""
+    t = tables(spark, sf_dir)
+    cust = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
+    od = F.col("o_orderdate").cast("date")
+    amt = dec("o_totalprice")
+    pr = F.col("o_orderpriority")
+    day = (t.orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+           .groupBy("o_custkey", F.col("c_nationkey").alias("nation"), "c_acctbal", od.alias("d"))
+           .agg(F.sum(amt).alias("amount"), F.sum(F.when(pr == "1-URGENT", amt)).alias("urgent"),
+                F.count(F.when(pr == "1-URGENT", 1)).alias("n_urgent"),
+                F.sum(F.when(pr == "2-HIGH", amt)).alias("high"), F.count(F.when(pr == "2-HIGH", 1)).alias("n_high"))
+           .checkpoint(eager=True))
+    d = F.col("d")
+    tasks = (day.groupBy("nation", F.year(d).alias("y"), F.month(d).alias("m")).agg(F.max(d).alias("stat_date"))
+             .filter(F.col("m") != 2)
+             .select((F.col("nation").cast("bigint") * 1000000 + F.col("y") * 100 + F.col("m")).cast("bigint").alias("id"),
+                     F.col("nation").alias("org_id"),
+                     F.concat(F.lit("e"), F.col("nation").cast("string")).alias("editor"),
+                     F.concat(F.lit("r"), (F.col("nation") % 4).cast("string")).alias("reviewer"),
+                     F.year("stat_date").cast("bigint").alias("stat_year"),
+                     F.month("stat_date").cast("bigint").alias("stat_month"),
+                     S.month_start("stat_date").alias("stat_month_start"), "stat_date"))
+    projects = t.customer.filter(F.col("c_custkey") % 3 != 0).select(
+        F.col("c_nationkey").alias("p_org"), F.col("c_custkey").alias("project"))
+    extras = day.filter(F.col("c_acctbal") > 0).select(
+        F.col("o_custkey").alias("x_org"), F.year(d).cast("bigint").alias("x_year")).distinct()
+    tp = (tasks.join(projects, F.col("org_id") == F.col("p_org"))
+          .join(extras, (F.col("project") == F.col("x_org")) & (F.col("stat_year") == F.col("x_year")), "left_semi"))
+    daily = day.select(F.col("o_custkey").alias("project"), F.col("d").alias("r_date"), F.col("amount").alias("r_amount"))
+    # facts = the daily rows, intervals = [month start, task date] per task and project
+    j = J.range_join(daily, tp.drop("p_org"), ["project"], "r_date", "stat_month_start", "stat_date", "inner", bucket=31)
+    done = j.groupBy("id").agg(F.sum("r_amount").alias("complete_amount"))
+    plan = day.filter(F.col("n_urgent") > 0).groupBy(
+        F.col("nation").alias("p_org"), F.year(d).cast("bigint").alias("p_year"),
+        F.month(d).cast("bigint").alias("p_month")).agg(F.sum("urgent").alias("amount"))
+    temp = (tasks.join(tp.select("id").distinct(), "id", "left_semi")
+            .join(done, "id", "left")
+            .join(plan, (F.col("org_id") == F.col("p_org")) & (F.col("stat_year") == F.col("p_year"))
+                  & (F.col("stat_month") == F.col("p_month")), "left")
+            .drop("p_org", "p_year", "p_month"))
+    dispatch = day.filter(F.col("n_high") > 0).groupBy(F.col("nation").alias("org_id"), F.col("d").alias("s_date")).agg(
+        F.sum("n_high").cast("decimal(15,2)").alias("plan_amount"), F.sum("high").alias("s_amount"))
+    k = J.range_join(dispatch, temp.select("id", "org_id", "stat_month_start", "stat_date"), ["org_id"], "s_date",
+                     "stat_month_start", "stat_date", "inner", bucket=31)
+    other = k.groupBy("id").agg(F.sum("plan_amount").alias("plan_amount_other"),
+                                F.sum("s_amount").alias("complete_amount_other"))
+    return (temp.join(other, "id", "left").orderBy(F.col("stat_date").desc())
+            .select("id", "org_id", "editor", "reviewer", "stat_year", "stat_month", "stat_month_start", "stat_date",
+                    "complete_amount", "amount", "plan_amount_other", "complete_amount_other"))
