@@ -1266,684 +1266,3 @@ def month_progress(spark, sf_dir):
         F.round(F.col("s2") * k, 0).alias("month_done"),
         F.round(F.col("s3") * k, 0).alias("cumulative"),
     )
-
-
-# ---------------------------------------------------------------------------
-# Bill quantity report (the production statement behind J5 and the
-# IN-after-DISTINCT note): every bill node p is joined to the leaf nodes c
-# of the same org and bill whose path starts with p's path (textual prefix,
-# so customer 12 also takes customer 123 of the same nation), the leaves to
-# their quantity rows (factor null -> 1); non-leaf nodes report null, leaves
-# the rounded sums.  Nodes: region | nation | customer; org and bill = the
-# region; quantities = finished orders; soft-deleted rows made by CASE.
-_BILL_FACTOR_SQL = ("CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(CASE o_orderkey % 4 WHEN 0 THEN '1.00' "
-                    "WHEN 1 THEN '1.25' WHEN 2 THEN '1.50' ELSE '1.75' END AS DECIMAL(5,2)) END")
-
-
-@register("bill_quantity", f"""
-WITH detail AS (
-    SELECT CAST(r_regionkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS parent_id, r_name AS name,
-           'R' || CAST(r_regionkey AS VARCHAR) AS code, '' AS unit, CAST(NULL AS DECIMAL(15,2)) AS price,
-           r_regionkey AS org_id, r_regionkey AS bill_id, false AS is_leaf, 1 AS level,
-           CAST(r_regionkey AS BIGINT) AS order_no, false AS is_removed
-    FROM region
-    UNION ALL
-    SELECT CAST(n_regionkey AS VARCHAR) || '|' || CAST(n_nationkey AS VARCHAR), CAST(n_regionkey AS VARCHAR), n_name,
-           'N' || CAST(n_nationkey AS VARCHAR), '', CAST(NULL AS DECIMAL(15,2)),
-           n_regionkey, n_regionkey, false, 2, CAST(n_nationkey AS BIGINT), false
-    FROM nation
-    UNION ALL
-    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR),
-           CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR), c.c_name,
-           'C' || CAST(c.c_custkey AS VARCHAR), c.c_mktsegment, CAST(c.c_acctbal AS DECIMAL(15,2)),
-           n.n_regionkey, n.n_regionkey, true, 3, CAST(c.c_custkey AS BIGINT), c.c_custkey % 29 = 0
-    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-),
-project_quantity AS (
-    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR)
-               AS detail_id,
-           n.n_regionkey AS org_id, n.n_regionkey AS bill_id, o.o_orderstatus AS unit_work,
-           CAST(o.o_totalprice AS DECIMAL(15,2)) AS review_quantity, {_BILL_FACTOR_SQL} AS factor,
-           o.o_orderkey % 31 = 0 AS is_removed
-    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
-),
-bill_quantity AS (
-    SELECT p.id,
-           IF(p.is_leaf = false, NULL, ROUND(SUM(pq.review_quantity * IFNULL(pq.factor, 1)), 3)) AS review_quantity,
-           IF(p.is_leaf = false, NULL, ROUND(SUM(ROUND(pq.review_quantity * IFNULL(pq.factor, 1), 3) * c.price), 3))
-               AS review_price
-    FROM detail p
-    JOIN detail c
-      ON c.is_removed = false AND c.org_id = p.org_id AND c.is_leaf = true AND c.bill_id = p.bill_id
-     AND left(c.id, length(p.id)) = p.id
-    LEFT JOIN project_quantity pq
-      ON pq.is_removed = false AND pq.org_id = c.org_id AND pq.unit_work = 'F' AND pq.detail_id = c.id
-    WHERE p.is_removed = false
-      AND p.bill_id IN (SELECT DISTINCT bill_id FROM project_quantity WHERE is_removed = false AND unit_work = 'F')
-    GROUP BY p.id, p.is_leaf
-)
-SELECT d.id, d.parent_id, d.name, d.code, d.unit, CAST(d.price AS DECIMAL(38,2)) AS price, b.review_quantity, b.review_price,
-       b.review_quantity AS reside_quantity, b.review_price AS reside_price
-FROM detail d JOIN bill_quantity b ON b.id = d.id
-WHERE d.is_removed = false
-ORDER BY d.level, d.order_no
-""", "J5,J7,J2,P6,A2,F1,F3,F5,F11,P12,T1")
-def bill_quantity(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    n = t.nation.select("n_nationkey", "n_regionkey", "n_name")
-    cust = t.customer.select("c_custkey", "c_nationkey", "c_name", "c_mktsegment", "c_acctbal").join(
-        n, F.col("c_nationkey") == F.col("n_nationkey"))
-    none = F.lit(None).cast("string")
-    no_price = F.lit(None).cast("decimal(15,2)")
-
-    def node(frame, id_, parent, name, code, unit, price, org, leaf, level, order_no, removed):
-        return frame.select(id_.alias("id"), parent.alias("parent_id"), name.alias("name"), code.alias("code"),
-                            unit.alias("unit"), price.alias("price"), org.alias("org_id"), org.alias("bill_id"),
-                            F.lit(leaf).alias("is_leaf"), F.lit(level).alias("level"),
-                            order_no.cast("bigint").alias("order_no"), removed.alias("is_removed"))
-
-    rk = F.col("r_regionkey")
-    regions = node(t.region, rk.cast("string"), none, F.col("r_name"), F.concat(F.lit("R"), rk.cast("string")),
-                   F.lit(""), no_price, rk, False, 1, rk, F.lit(False))
-    nk, nrk = F.col("n_nationkey"), F.col("n_regionkey")
-    nations = node(n, F.concat_ws("|", nrk, nk), nrk.cast("string"), F.col("n_name"),
-                   F.concat(F.lit("N"), nk.cast("string")), F.lit(""), no_price, nrk, False, 2, nk, F.lit(False))
-    ck = F.col("c_custkey")
-    customers = node(cust, F.concat_ws("|", nrk, nk, ck), F.concat_ws("|", nrk, nk), F.col("c_name"),
-                     F.concat(F.lit("C"), ck.cast("string")), F.col("c_mktsegment"), dec("c_acctbal"), nrk,
-                     True, 3, ck, (ck % 29) == 0)
-    detail = regions.unionByName(nations).unionByName(customers).filter(~F.col("is_removed"))
-
-    # Quantity rows of the unit of work, summed per customer before any join:
-    # the shuffle carries one row per customer.  Per leaf the price is one
-    # value, so sum(round(q*f, 3) * price) = price * sum(round(q*f, 3)), exactly.
-    k = F.col("o_orderkey")
-    factor = (F.when(k % 7 == 0, F.lit(None))
-              .otherwise(F.when(k % 4 == 0, "1.00").when(k % 4 == 1, "1.25").when(k % 4 == 2, "1.50")
-                         .otherwise("1.75").cast("decimal(5,2)")))
-    qf = dec("o_totalprice") * F.coalesce(factor, F.lit(1))
-    pq = (t.orders.filter((F.col("o_orderstatus") == "F") & ((k % 31) != 0))
-          .groupBy("o_custkey").agg(F.sum(qf).alias("sq"), F.sum(F.round(qf, 3)).alias("sr")))
-    leaves = (customers.filter(~F.col("is_removed"))
-              .join(pq, F.col("order_no") == F.col("o_custkey"), "left")  # order_no is the customer key
-              .select("org_id", "bill_id", F.col("id").alias("leaf_path"), "sq",
-                      (F.col("sr") * F.col("price")).alias("srp"), F.lit(1).alias("leaves")))
-    # bills with quantity rows: IN (SELECT DISTINCT ...) as a semi join; this
-    # pass reads only the key columns of orders and shuffles distinct keys
-    bills = (pq.select("o_custkey")
-             .join(cust.select("c_custkey", "n_regionkey"), F.col("o_custkey") == F.col("c_custkey"))
-             .select(F.col("n_regionkey").alias("bill_id")).distinct())
-    parents = detail.join(bills, "bill_id", "left_semi")
-    rolled = J.ancestor_rollup(leaves, "leaf_path", {"sq": F.sum("sq"), "srp": F.sum("srp"), "leaves": F.sum("leaves")},
-                               parents, "id", keys=["org_id", "bill_id"], mode="string", leaf_unique=True)
-    leaf_only = lambda c: F.when(F.col("is_leaf"), F.round(F.col(c), 3))
-    return (rolled.filter(F.col("leaves").isNotNull())
-            .orderBy("level", "order_no")
-            .select("id", "parent_id", "name", "code", "unit", "price",
-                    leaf_only("sq").alias("review_quantity"), leaf_only("srp").alias("review_price"),
-                    leaf_only("sq").alias("reside_quantity"), leaf_only("srp").alias("reside_price")))
-
-
-# ---------------------------------------------------------------------------
-# Bill tree of a resume part (the production statement behind J6): the
-# detail nodes that have quantity rows of the part, every node of the same
-# org and bill whose full_id occurs anywhere in theirs (textual locate, so
-# nation 1 also occurs in '11|...'), de-duplicated, under the bill root
-# rows.  Bills = regions; details = nations (full_id 'n') and customers
-# (id custkey + 100, full_id 'n|id'); part quantities = urgent orders.
-_TREE_DETAIL_SQL = """
-detail AS (
-    SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(n_nationkey AS VARCHAR) AS full_id,
-           'N' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, CAST(NULL AS VARCHAR) AS unit,
-           CAST(n_regionkey AS BIGINT) AS org_id, CAST(n_regionkey AS BIGINT) AS bill_id,
-           CAST(n_nationkey AS BIGINT) AS order_no, false AS is_removed
-    FROM nation
-    UNION ALL
-    SELECT c.c_custkey + 100, CAST(n.n_nationkey AS BIGINT),
-           CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey + 100 AS VARCHAR),
-           CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE 'C' || CAST(c.c_custkey AS VARCHAR) END, c.c_name, c.c_mktsegment,
-           CAST(n.n_regionkey AS BIGINT), CAST(n.n_regionkey AS BIGINT), c.c_custkey, c.c_custkey % 23 = 0
-    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-)"""
-
-
-@register("bill_tree", f"""
-WITH {_TREE_DETAIL_SQL},
-bill_detail AS (
-    SELECT DISTINCT b.bill_id, q.detail_id, b.org_id
-    FROM (SELECT o_custkey + 100 AS detail_id, o_orderkey % 31 = 0 AS is_removed, o_orderpriority AS part FROM orders) q
-    JOIN detail b ON b.is_removed = false AND b.id = q.detail_id
-    WHERE q.is_removed = false AND q.part = '1-URGENT'
-)
-SELECT t.id, t.parent_id, t.full_id, t.code, t.name, t.unit
-FROM (
-    SELECT CAST(r_regionkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(r_regionkey AS VARCHAR) AS full_id,
-           ifnull('R' || CAST(r_regionkey AS VARCHAR), '') AS code, ifnull(r_name, '') AS name, CAST(NULL AS VARCHAR) AS unit,
-           1 AS level, CAST(r_regionkey AS BIGINT) AS order_no
-    FROM region
-    WHERE r_regionkey IN (SELECT bill_id FROM bill_detail)
-    UNION ALL
-    SELECT DISTINCT bp.id, IF(bp.parent_id = -1, bp.bill_id, bp.parent_id), concat_ws('|', CAST(bp.bill_id AS VARCHAR), bp.full_id),
-           ifnull(bp.code, ''), ifnull(bp.name, ''), bp.unit, 2, bp.order_no
-    FROM detail bc
-    JOIN detail bp ON bp.is_removed = false AND bp.org_id = bc.org_id AND bp.bill_id = bc.bill_id
-                  AND strpos(bc.full_id, bp.full_id) > 0
-    WHERE bc.is_removed = false
-      AND bc.org_id IN (SELECT org_id FROM bill_detail)
-      AND bc.id IN (SELECT detail_id FROM bill_detail)
-) t
-ORDER BY t.level, t.order_no
-""", "J6,J7,J1,U1,A5,F1,F3,F8,P6,P12,T1")
-def bill_tree(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    n = t.nation.select("n_nationkey", "n_regionkey", "n_name")
-    nk, rk = F.col("n_nationkey"), F.col("n_regionkey").cast("bigint")
-    nations = n.select(nk.cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("parent_id"),
-                       nk.cast("string").alias("full_id"), F.concat(F.lit("N"), nk.cast("string")).alias("code"),
-                       F.col("n_name").alias("name"), F.lit(None).cast("string").alias("unit"), rk.alias("org_id"),
-                       rk.alias("bill_id"), nk.cast("bigint").alias("order_no"), F.lit(False).alias("is_removed"))
-    ck = F.col("c_custkey")
-    did = ck + 100
-    customers = t.customer.select("c_custkey", "c_nationkey", "c_name", "c_mktsegment").join(
-        n, F.col("c_nationkey") == nk).select(
-        did.alias("id"), nk.cast("bigint").alias("parent_id"), F.concat_ws("|", nk, did).alias("full_id"),
-        F.when(ck % 13 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), ck.cast("string"))).alias("code"),
-        F.col("c_name").alias("name"), F.col("c_mktsegment").alias("unit"), rk.alias("org_id"), rk.alias("bill_id"),
-        ck.alias("order_no"), (ck % 23 == 0).alias("is_removed"))
-    detail = nations.unionByName(customers).filter(~F.col("is_removed")).drop("is_removed")
-
-    k = F.col("o_orderkey")
-    q = t.orders.filter((F.col("o_orderpriority") == "1-URGENT") & ((k % 31) != 0)).select(
-        (F.col("o_custkey") + 100).alias("detail_id"))
-    bill_detail = (q.join(detail.select("id", "bill_id", "org_id"), F.col("detail_id") == F.col("id"))
-                   .select("bill_id", "detail_id", "org_id").distinct())
-
-    roots = t.region.join(bill_detail.select("bill_id"), F.col("r_regionkey") == F.col("bill_id"), "left_semi").select(
-        F.col("r_regionkey").cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("parent_id"),
-        F.col("r_regionkey").cast("string").alias("full_id"),
-        S.ifnull(F.concat(F.lit("R"), F.col("r_regionkey").cast("string")), "").alias("code"),
-        S.ifnull("r_name", "").alias("name"), F.lit(None).cast("string").alias("unit"),
-        F.lit(1).alias("level"), F.col("r_regionkey").cast("bigint").alias("order_no"))
-
-    # the two IN lists are separate conditions (org in one, id in the other)
-    bc = (detail.join(bill_detail.select("org_id").distinct(), "org_id", "left_semi")
-          .join(bill_detail.select(F.col("detail_id").alias("id")), "id", "left_semi")
-          .select("org_id", "bill_id", F.col("full_id").alias("c_full_id")))
-    hits = J.containment_join(bc, detail, "c_full_id", "full_id", keys=["org_id", "bill_id"])
-    nodes = hits.select(
-        "id", F.when(F.col("parent_id") == -1, F.col("bill_id")).otherwise(F.col("parent_id")).alias("parent_id"),
-        F.concat_ws("|", F.col("bill_id").cast("string"), F.col("full_id")).alias("full_id"),
-        S.ifnull("code", "").alias("code"), S.ifnull("name", "").alias("name"), "unit",
-        F.lit(2).alias("level"), "order_no").distinct()
-    return (roots.unionByName(nodes).orderBy("level", "order_no")
-            .select("id", "parent_id", "full_id", "code", "name", "unit"))
-
-
-# ---------------------------------------------------------------------------
-# Purchase need report (the production statement behind A8): planned
-# material quantities per child org minus the purchased ones, kept where
-# the remainder is positive (HAVING written without GROUP BY, meant as a
-# filter), with the stock of the same org and material attached.  Plan
-# heads = submitted orders, purchase heads = urgent/high orders, stock =
-# open lines; materials = parts; soft-deleted and null quantities by CASE.
-_NEED_ITEM_SQL = """
-item AS (
-    SELECT l_orderkey AS order_id, l_partkey AS material_id, 'P' || CAST(l_partkey AS VARCHAR) AS material_code,
-           'M' || CAST(l_partkey % 50 AS VARCHAR) AS material_model, 'material ' || CAST(l_partkey AS VARCHAR) AS material_name,
-           CASE l_partkey % 3 WHEN 0 THEN 't' WHEN 1 THEN 'm3' ELSE 'kg' END AS material_unit,
-           CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(15,2)) END AS quantity,
-           l_linenumber = 7 AS is_removed, l_linestatus
-    FROM lineitem
-)"""
-
-
-@register("purchase_need", f"""
-WITH orgs AS (SELECT c_custkey AS child_org_id FROM customer WHERE c_acctbal > 0),
-{_NEED_ITEM_SQL},
-plan_head AS (
-    SELECT o_orderkey AS id, o_custkey AS org_id FROM orders
-    WHERE o_orderkey % 37 <> 0 AND o_orderstatus IN ('F', 'P') AND o_custkey IN (SELECT child_org_id FROM orgs)
-),
-purchase_head AS (
-    SELECT o_orderkey AS id, o_custkey AS org_id FROM orders
-    WHERE o_orderkey % 37 <> 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey IN (SELECT child_org_id FROM orgs)
-),
-month_quantity AS (
-    SELECT ifnull(sum(b.quantity), 0) AS quantity, a.org_id, b.material_id, b.material_model, b.material_code,
-           b.material_name, b.material_unit
-    FROM plan_head a JOIN item b ON a.id = b.order_id
-    WHERE b.is_removed = false
-    GROUP BY a.org_id, b.material_id, b.material_model, b.material_code, b.material_name, b.material_unit
-),
-supply_quantity AS (
-    SELECT ifnull(sum(b.quantity), 0) AS quantity, a.org_id, b.material_id
-    FROM purchase_head a JOIN item b ON a.id = b.order_id
-    WHERE b.is_removed = false
-    GROUP BY a.org_id, b.material_id, b.material_model, b.material_code, b.material_name, b.material_unit
-),
-result AS (
-    SELECT CAST(a.quantity AS DECIMAL(28,4)) AS plan_quantity,
-           CAST(ifnull(b.quantity, 0) AS DECIMAL(28,4)) AS purchase_quantity,
-           CAST(a.quantity - ifnull(b.quantity, 0) AS DECIMAL(28,4)) AS need_quantity,
-           a.org_id, a.material_id, a.material_model, a.material_code, a.material_name, a.material_unit
-    FROM month_quantity a LEFT JOIN supply_quantity b ON a.org_id = b.org_id AND a.material_id = b.material_id
-    WHERE (a.quantity - ifnull(b.quantity, 0)) > 0
-),
-inventory AS (
-    SELECT i.material_id, o.o_custkey AS org_id, sum(ifnull(i.quantity, 0)) AS inventory_quantity
-    FROM item i JOIN orders o ON o.o_orderkey = i.order_id
-    WHERE i.l_linestatus = 'O' AND i.is_removed = false
-    GROUP BY i.material_id, o.o_custkey
-)
-SELECT ifnull(b.inventory_quantity, 0) AS inventory_quantity,
-       CAST(a.plan_quantity AS DECIMAL(38,4)) AS plan_quantity, CAST(a.purchase_quantity AS DECIMAL(38,4)) AS purchase_quantity,
-       CAST(a.need_quantity AS DECIMAL(38,4)) AS need_quantity, a.org_id, a.material_id, a.material_model, a.material_code,
-       a.material_name, a.material_unit
-FROM result a LEFT JOIN inventory b ON a.org_id = b.org_id AND a.material_id = b.material_id
-ORDER BY a.need_quantity DESC
-""", "A8,A1,A10,J2,J7,F1,F5,P6,P8,P12,T1")
-def purchase_need(spark, sf_dir):
-    """One join of lines to orders and one aggregate for all three measures
-    (plan, purchase, stock): the statement's three scans of the two largest
-    tables become one, and the shuffle carries partial sums per (org,
-    material).  Stock rows of orgs outside the IN list never reach the
-    result, so that semi join filters all three measures."""
-    t = tables(spark, sf_dir)
-    pk = F.col("l_partkey")
-    lk = F.col("l_orderkey")
-    qty = F.when(lk % 19 == 0, F.lit(None)).otherwise(dec("l_quantity"))
-    items = t.lineitem.filter(F.col("l_linenumber") != 7).select(
-        F.col("l_orderkey").alias("order_id"), pk.alias("material_id"), qty.alias("quantity"), "l_linestatus")
-    orgs = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("child_org_id"))
-    ok = F.col("o_orderkey")
-    heads = t.orders.join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi").select(
-        ok.alias("id"), F.col("o_custkey").alias("org_id"),
-        ((ok % 37 != 0) & F.col("o_orderstatus").isin("F", "P")).alias("is_plan"),
-        ((ok % 37 != 0) & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias("is_purchase"))
-    j = items.join(heads, F.col("order_id") == F.col("id"))
-    q = F.col("quantity")
-    g = j.groupBy("org_id", "material_id").agg(
-        F.count(F.when(F.col("is_plan"), 1)).alias("plan_rows"),
-        F.sum(F.when(F.col("is_plan"), q)).alias("plan"),
-        F.sum(F.when(F.col("is_purchase"), q)).alias("purchase"),
-        F.sum(F.when(F.col("l_linestatus") == "O", F.coalesce(q, F.lit(0)))).alias("stock"))
-    plan = S.ifnull("plan", 0)
-    purchase = S.ifnull("purchase", 0)
-    m = F.col("material_id")
-    out = g.filter((F.col("plan_rows") > 0) & ((plan - purchase) > 0)).select(
-        S.ifnull("stock", 0).alias("inventory_quantity"),
-        plan.cast("decimal(28,4)").alias("plan_quantity"),
-        purchase.cast("decimal(28,4)").alias("purchase_quantity"),
-        (plan - purchase).cast("decimal(28,4)").alias("need_quantity"),
-        "org_id", "material_id",
-        F.concat(F.lit("M"), (m % 50).cast("string")).alias("material_model"),
-        F.concat(F.lit("P"), m.cast("string")).alias("material_code"),
-        F.concat(F.lit("material "), m.cast("string")).alias("material_name"),
-        F.when(m % 3 == 0, "t").when(m % 3 == 1, "m3").otherwise("kg").alias("material_unit"))
-    return out.orderBy(F.col("need_quantity").desc())
-
-
-# ---------------------------------------------------------------------------
-# Allotted items with their receiving records (the production statements
-# whose right side repeated an IN over the left CTE): items left-joined to
-# received-material rows by bar code.  The IN only keeps right rows whose
-# bar code occurs on the left -- exactly the rows a left join can match --
-# so it is dropped here; the oracle keeps it.  Items = lines not returned;
-# receiving records = finished lines of low tax from suppliers with a
-# service type; bar code = order key and line number.
-@register("allot_receive", """
-WITH allot AS (
-    SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS material_id,
-           'material ' || CAST(l_partkey AS VARCHAR) AS material_name, 'M' || CAST(l_partkey % 50 AS VARCHAR) AS material_model,
-           CAST(l_quantity AS DECIMAL(15,2)) AS quantity,
-           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item_bar_code, l_linenumber AS sort_code
-    FROM lineitem
-    WHERE l_returnflag <> 'R'
-      AND 'material ' || CAST(l_partkey AS VARCHAR) LIKE '%%' AND 'M' || CAST(l_partkey % 50 AS VARCHAR) LIKE '%%'
-),
-received AS (
-    SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS manufacturer, strftime(l_shipdate, '%Y%m%d') AS batch_no,
-           'T' || CAST(l_orderkey AS VARCHAR) AS test_report_no, l_returnflag AS storage_place,
-           CAST(l_linenumber AS VARCHAR) AS skill_card_no,
-           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item_bar_code,
-           CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE 'ok' END AS remark
-    FROM lineitem
-    WHERE l_linestatus = 'F' AND l_suppkey % 3 > 0 AND l_tax < 0.05
-)
-SELECT a.id, a.order_id, a.material_id, a.material_name, a.material_model, CAST(a.quantity AS DECIMAL(38,2)) AS quantity,
-       a.item_bar_code, a.sort_code, b.manufacturer, b.batch_no, b.test_report_no, b.storage_place, b.skill_card_no, b.remark
-FROM allot a
-LEFT JOIN (SELECT * FROM received WHERE item_bar_code IN (SELECT item_bar_code FROM allot)) b
-  ON a.item_bar_code = b.item_bar_code
-ORDER BY a.sort_code
-""", "J2,J7,P9,P10,P12,F8,T1")
-def allot_receive(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    li = t.lineitem
-    ok, ln, pk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-    bar = F.concat_ws("-", ok.cast("string"), ln.cast("string"))
-    name = F.concat(F.lit("material "), pk.cast("string"))
-    model = F.concat(F.lit("M"), (pk % 50).cast("string"))
-    allot = li.filter((F.col("l_returnflag") != "R") & name.like("%%") & model.like("%%")).select(
-        (ok * 8 + ln).alias("id"), ok.alias("order_id"), pk.alias("material_id"), name.alias("material_name"),
-        model.alias("material_model"), dec("l_quantity").alias("quantity"), bar.alias("item_bar_code"),
-        ln.alias("sort_code"))
-    received = li.filter((F.col("l_linestatus") == "F") & (F.col("l_suppkey") % 3 > 0) & (F.col("l_tax") < 0.05)).select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("manufacturer"),
-        F.date_format("l_shipdate", "yyyyMMdd").alias("batch_no"),
-        F.concat(F.lit("T"), ok.cast("string")).alias("test_report_no"), F.col("l_returnflag").alias("storage_place"),
-        ln.cast("string").alias("skill_card_no"), ok.alias("b_order"), ln.alias("b_line"),
-        F.when(ok % 7 == 0, F.lit(None)).otherwise(F.lit("ok")).alias("remark"))
-    # the bar code 'order-line' of two non-negative integers is equal exactly
-    # when both numbers are: join on them, not on the string
-    out = allot.join(received, (F.col("order_id") == F.col("b_order")) & (F.col("sort_code") == F.col("b_line")),
-                     "left").drop("b_order", "b_line")
-    return out.orderBy("sort_code")
-
-
-# ---------------------------------------------------------------------------
-# Day plan rates (the production statement behind J11 and F11): for every
-# org, the calendar row of the report date (picked by its computed key),
-# the month, quarter and year plan values, and the shares of the month and
-# year already past.  Plan values = order totals per customer; the quarter
-# value is the sum of the months whose ceil(month / 3) is the quarter.
-# Money is summed as exact decimals and turned into doubles once, so both
-# engines run the same floating-point operations.
-def _day_key_sql(d: str) -> str:
-    return f"'pp-p-' || replace(left(CAST({d} AS VARCHAR), 10), '-', '')"
-
-
-@register("day_plan_rates", f"""
-WITH da AS (
-    SELECT c_custkey AS org_id, 'pp-p-' || strftime(d, '%Y%m%d') || '-' || CAST(c_custkey AS VARCHAR) AS id,
-           year(d) AS stat_year, month(d) AS stat_month, CAST(ceil(month(d) / 3) AS INTEGER) AS stat_quarter,
-           CAST(date_trunc('month', d) AS DATE) AS stat_month_start, day(last_day(d)) AS stat_month_day_count,
-           CAST(date_trunc('year', d) AS DATE) AS stat_year_start, dayofyear(make_date(year(d), 12, 31)) AS stat_year_day_count
-    FROM customer, (SELECT {sql_date(AS_OF)} AS d) t
-),
-month_info AS (
-    SELECT o_custkey AS org_id, year(o_orderdate) AS yr, month(o_orderdate) AS mon,
-           sum(CAST(o_totalprice AS DECIMAL(15,2))) AS production_value
-    FROM orders GROUP BY 1, 2, 3
-),
-year_info AS (
-    SELECT o_custkey AS org_id, year(o_orderdate) AS yr, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS production_value
-    FROM orders GROUP BY 1, 2
-)
-SELECT da.org_id,
-       CAST(ifnull(info.production_value, 0) AS DOUBLE) / 10000 / da.stat_month_day_count AS day_plan,
-       CAST(ifnull(info.production_value, 0) AS DOUBLE) / 10000 AS month_plan,
-       (datediff('day', da.stat_month_start, {sql_date(AS_OF)}) + 1) / da.stat_month_day_count AS month_due,
-       CAST(ifnull(sum(info_qu.production_value), 0) AS DOUBLE) / 10000 AS quarter_plan,
-       CAST(ifnull(info_year.production_value, 0) AS DOUBLE) / 10000 AS year_plan,
-       (datediff('day', da.stat_year_start, {sql_date(AS_OF)}) + 1) / da.stat_year_day_count AS year_due
-FROM da
-LEFT JOIN month_info info ON da.org_id = info.org_id AND info.yr = da.stat_year AND info.mon = da.stat_month
-LEFT JOIN month_info info_qu ON da.org_id = info_qu.org_id AND info_qu.yr = da.stat_year
-                            AND CAST(ceil(info_qu.mon / 3) AS INTEGER) = da.stat_quarter
-LEFT JOIN year_info info_year ON da.org_id = info_year.org_id AND info_year.yr = da.stat_year
-WHERE da.id = {_day_key_sql(sql_date(AS_OF))} || '-' || CAST(da.org_id AS VARCHAR)
-GROUP BY da.org_id, info.production_value, da.stat_month_day_count, da.stat_month_start,
-         info_year.production_value, da.stat_year_start, da.stat_year_day_count
-""", "J11,J2,F11,F12,F13,F15,F16,A2,A6")
-def day_plan_rates(spark, sf_dir):
-    """The three joins to the month/quarter/year plan tables become one
-    aggregate per org over the report year's orders (the year window
-    reaches the scan): month, quarter and year are conditional sums."""
-    t = tables(spark, sf_dir)
-    d = F.lit(AS_OF)
-    year_start = AS_OF.replace(month=1, day=1)
-    od = F.col("o_orderdate")
-    amt = dec("o_totalprice")
-    per_org = (t.orders.filter((od >= ntz(year_start)) & (od < ntz(year_start.replace(year=AS_OF.year + 1))))
-               .groupBy(F.col("o_custkey").alias("p_org")).agg(
-                   F.sum(F.when(F.month(od) == AS_OF.month, amt)).alias("month_pv"),
-                   F.sum(F.when(S.quarter_of_month(F.month(od)) == S.quarter_of_month(F.lit(AS_OF.month)), amt))
-                   .alias("quarter_pv"),
-                   F.sum(amt).alias("year_pv")))
-    org = F.col("c_custkey")
-    da = t.customer.select(
-        org.alias("org_id"),
-        F.concat(F.lit("pp-p-"), S.date_key(d), F.lit("-"), org.cast("string")).alias("id"),
-        S.month_start(d).alias("stat_month_start"), F.dayofmonth(F.last_day(d)).alias("stat_month_day_count"),
-        F.trunc(d, "year").alias("stat_year_start"),
-        F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31))).alias("stat_year_day_count"))
-    key = F.concat(F.lit("pp-p-"), F.replace(F.left(d.cast("string"), F.lit(10)), F.lit("-"), F.lit("")),
-                   F.lit("-"), F.col("org_id").cast("string"))
-    j = da.filter(F.col("id") == key).join(per_org, F.col("org_id") == F.col("p_org"), "left")
-
-    def plan(c):
-        return S.ifnull(c, F.lit(0).cast("decimal(25,2)")).cast("double") / 10000
-
-    return j.select(
-        "org_id",
-        (plan("month_pv") / F.col("stat_month_day_count")).alias("day_plan"),
-        plan("month_pv").alias("month_plan"),
-        ((F.datediff(d, F.col("stat_month_start")) + 1) / F.col("stat_month_day_count")).alias("month_due"),
-        plan("quarter_pv").alias("quarter_plan"),
-        plan("year_pv").alias("year_plan"),
-        ((F.datediff(d, F.col("stat_year_start")) + 1) / F.col("stat_year_day_count")).alias("year_due"))
-
-
-# ---------------------------------------------------------------------------
-# Category dosage summary (the production statements behind A10 and the
-# CTE-embedding notes): planned and actual dosage per material from the
-# orgs' production lines, plus audited supplement rows, summed per
-# statistic category (categories chosen by a code list, materials mapped
-# to them).  Categories = part brands; dosage = lines up to the report date.
-# The statement's two line/order joins (dosage and supplement) are one
-# join and one aggregate per material here (all arithmetic is exact in
-# decimal): a joined row adds its dosage and supplement to its material,
-# and a supplement row whose material falls back to 0 emits a second entry
-# for material 0 (0 is a real part key in the driver tables).
-CATEGORY_CODES = ("code_0", "code_1", "code_2", "code_3", "code_4")
-
-
-@register("category_dosage", f"""
-WITH orgs AS (SELECT c_custkey AS child_org_id FROM customer WHERE c_mktsegment = 'BUILDING'),
-static_class AS (
-    SELECT c.category_id, c.category_name, a.material_id
-    FROM (SELECT DISTINCT CAST(substr(p_brand, 7) AS INTEGER) AS category_id, p_brand AS category_name,
-                 'code_' || CAST(CAST(substr(p_brand, 7) AS INTEGER) % 7 AS VARCHAR) AS custome_code
-          FROM part) c
-    JOIN (SELECT p_partkey AS material_id, CAST(substr(p_brand, 7) AS INTEGER) AS statistic_id FROM part) a
-      ON a.statistic_id = c.category_id
-    WHERE c.custome_code IN {CATEGORY_CODES}
-),
-supplement_data AS (
-    SELECT ifnull(CASE WHEN l.l_orderkey % 13 = 0 THEN NULL ELSE l.l_partkey END, 0) AS material_id,
-           CAST(ifnull(CAST(l.l_extendedprice AS DECIMAL(15,2)) / 1000, 0) AS DECIMAL(28,8)) AS quantity
-    FROM orders a JOIN lineitem l ON a.o_orderkey = l.l_orderkey
-    WHERE a.o_custkey IN (SELECT child_org_id FROM orgs) AND a.o_orderpriority <> '5-LOW' AND a.o_orderstatus = 'F'
-      AND l.l_shipdate <= TIMESTAMP '{AS_OF.isoformat()} 00:00:00' AND a.o_orderkey % 29 <> 0 AND l.l_linenumber <> 6
-),
-dosage_data AS (
-    SELECT l.l_partkey AS material_id,
-           CAST(ifnull(sum(CAST(l.l_quantity AS DECIMAL(15,2))), 0) / 1000 AS DECIMAL(28,8)) AS plan_amn,
-           CAST(ifnull(sum(CAST(l.l_extendedprice AS DECIMAL(15,2))), 0) / 1000 AS DECIMAL(28,8)) AS fact_amnt
-    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN orgs ON o.o_custkey = orgs.child_org_id
-    WHERE l.l_linenumber <> 7 AND l.l_shipdate <= TIMESTAMP '{AS_OF.isoformat()} 00:00:00'
-    GROUP BY l.l_partkey
-),
-dosage AS (
-    SELECT material_id, sum(plan_amn) AS plan_amn, sum(fact_amnt) AS fact_amnt
-    FROM (SELECT material_id, plan_amn, fact_amnt FROM dosage_data
-          UNION ALL
-          SELECT material_id, quantity, quantity FROM supplement_data) a
-    GROUP BY material_id
-)
-SELECT category_id AS statistic_class_id, ifnull(category_name, 'none') AS statistic_class_name,
-       CAST(CAST(ifnull(sum(plan_amn), 0) AS DECIMAL(28,3)) AS DECIMAL(38,3)) AS plan_amn,
-       CAST(CAST(ifnull(sum(fact_amnt), 0) AS DECIMAL(28,3)) AS DECIMAL(38,3)) AS fact_amnt
-FROM static_class LEFT JOIN dosage ON dosage.material_id = static_class.material_id
-GROUP BY category_id, category_name
-ORDER BY category_id
-""", "A10,A1,U1,J2,J7,F1,F5,P8,P12,T1")
-def category_dosage(spark, sf_dir):
-    t = tables(spark, sf_dir)
-    orgs = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("child_org_id"))
-    ok = F.col("o_orderkey")
-    heads = t.orders.join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi").select(
-        ok.alias("h_key"),
-        ((F.col("o_orderpriority") != "5-LOW") & (F.col("o_orderstatus") == "F") & (ok % 29 != 0)).alias("supp_head"))
-    ln = F.col("l_linenumber")
-    lines = t.lineitem.filter(F.col("l_shipdate") <= ntz(AS_OF)).select(
-        "l_orderkey", "l_partkey", dec("l_quantity").alias("q"), dec("l_extendedprice").alias("amt"),
-        (ln != 7).alias("is_dosage"), (ln != 6).alias("supp_line"))
-    j = lines.join(heads, F.col("l_orderkey") == F.col("h_key"))
-    supp_amt = F.when(F.col("supp_head") & F.col("supp_line"), F.col("amt"))
-    s_mat = F.when(F.col("l_orderkey") % 13 == 0, F.lit(0).cast("bigint")).otherwise(F.col("l_partkey"))
-    same = s_mat == F.col("l_partkey")
-    none = F.lit(None).cast("decimal(15,2)")
-    own = F.struct(F.col("l_partkey").alias("m"), F.when(F.col("is_dosage"), F.col("q")).alias("dq"),
-                   F.when(F.col("is_dosage"), F.col("amt")).alias("da"), F.when(same, supp_amt).alias("sa"))
-    fallback = F.struct(F.lit(0).cast("bigint").alias("m"), none.alias("dq"), none.alias("da"), supp_amt.alias("sa"))
-    entries = F.when(~same & supp_amt.isNotNull(), F.array(own, fallback)).otherwise(F.array(own))
-    e = j.select(F.explode(entries).alias("e")).select("e.*")
-    per_material = e.groupBy(F.col("m").alias("material_id")).agg(
-        F.sum("dq").alias("dq"), F.sum("da").alias("da"), F.sum("sa").alias("sa"))
-    zero = F.lit(0).cast("decimal(25,2)")
-    dosage = per_material.select(
-        F.col("material_id").alias("d_material"),
-        ((S.ifnull("dq", zero) + S.ifnull("sa", zero)) / 1000).alias("plan_amn"),
-        ((S.ifnull("da", zero) + S.ifnull("sa", zero)) / 1000).alias("fact_amnt"))
-
-    brand_id = F.substring(F.col("p_brand"), 7, 100).cast("int")
-    static_class = t.part.select(brand_id.alias("category_id"), F.col("p_brand").alias("category_name"),
-                                 F.col("p_partkey").alias("material_id")).filter(
-        F.concat(F.lit("code_"), (F.col("category_id") % 7).cast("string")).isin(*CATEGORY_CODES))
-    out = J.lookup_join(static_class, dosage, ["material_id"], ["d_material"], "left").groupBy(
-        "category_id", "category_name").agg(
-        S.ifnull(F.sum("plan_amn"), 0).cast("decimal(28,3)").alias("plan_amn"),
-        S.ifnull(F.sum("fact_amnt"), 0).cast("decimal(28,3)").alias("fact_amnt"))
-    return out.orderBy("category_id").select(
-        F.col("category_id").alias("statistic_class_id"),
-        S.ifnull("category_name", "none").alias("statistic_class_name"), "plan_amn", "fact_amnt")
-
-
-# ---------------------------------------------------------------------------
-# Month task report (the production statement behind J3 and the "add the
-# org key to the big calendar join" note): every month task of a company
-# with its calendar row (picked by its computed key), the daily reports of
-# the company's in-hand top projects from the month start to the task date,
-# the month plan, and the company's dispatch records over the same range.
-# Companies = nations, projects = customers, tasks = one per company and
-# month (dated at its last order day), daily reports / plan / dispatch =
-# orders per customer-day / urgent orders per company-month / high-priority
-# orders per company-day.
-_TASK_SQL = """
-WITH ord AS (
-    SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, CAST(o.o_totalprice AS DECIMAL(15,2)) AS amount,
-           CAST(o.o_orderdate AS DATE) AS d, c.c_nationkey AS nation, c.c_acctbal
-    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-),
-org_relation AS (
-    SELECT c_nationkey AS org_id, c_custkey AS child_org_id, 'project' AS child_ext_type, c_custkey % 3 <> 0 AS top_project
-    FROM customer
-),
-month_task AS (
-    SELECT CAST(nation AS BIGINT) * 1000000 + year(d) * 100 + month(d) AS id, nation AS org_id,
-           'e' || CAST(nation AS VARCHAR) AS editor, 'r' || CAST(nation % 4 AS VARCHAR) AS reviewer,
-           max(d) AS stat_date, month(d) = 2 AS is_removed
-    FROM ord GROUP BY nation, year(d), month(d)
-),
-d_date AS (
-    SELECT DISTINCT 'pr-c-' || strftime(d, '%Y%m%d') || '-' || CAST(nation AS VARCHAR) AS id, year(d) AS stat_year,
-           month(d) AS stat_month, CAST(date_trunc('month', d) AS DATE) AS stat_month_start
-    FROM ord
-),
-extras_info AS (SELECT DISTINCT o_custkey AS org_id, year(d) AS year, c_acctbal > 0 AS in_hand, false AS is_removed FROM ord),
-daily AS (SELECT o_custkey AS org_id, d AS stat_date, sum(amount) AS complete_amount, false AS is_removed FROM ord GROUP BY 1, 2),
-plan AS (
-    SELECT nation AS org_id, year(d) AS year, month(d) AS month, sum(amount) AS amount
-    FROM ord WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2, 3
-),
-dispatch AS (
-    SELECT nation AS org_id, d AS stat_date, CAST(count(*) AS DECIMAL(15,2)) AS plan_amount, sum(amount) AS complete_amount,
-           false AS is_removed
-    FROM ord WHERE o_orderpriority = '2-HIGH' GROUP BY 1, 2
-),
-temp AS (
-    SELECT mt.id, mt.org_id, mt.editor, mt.reviewer, da.stat_year, da.stat_month, da.stat_month_start, mt.stat_date,
-           sum(daily.complete_amount) AS complete_amount, plan.amount
-    FROM org_relation org
-    JOIN month_task mt ON org.org_id = mt.org_id AND mt.is_removed = false
-    JOIN d_date da ON da.id = 'pr-c-' || replace(left(CAST(mt.stat_date AS VARCHAR), 10), '-', '') || '-' || CAST(mt.org_id AS VARCHAR)
-    JOIN extras_info ex ON ex.org_id = org.child_org_id AND ex.year = da.stat_year AND ex.in_hand = true AND ex.is_removed = false
-    LEFT JOIN daily ON org.child_org_id = daily.org_id AND daily.is_removed = false
-                   AND daily.stat_date >= da.stat_month_start AND daily.stat_date <= mt.stat_date
-    LEFT JOIN plan ON plan.org_id = mt.org_id AND plan.year = da.stat_year AND plan.month = da.stat_month
-    WHERE org.child_ext_type = 'project' AND org.top_project = true
-    GROUP BY mt.id, mt.org_id, mt.editor, mt.reviewer, da.stat_year, da.stat_month, da.stat_month_start, mt.stat_date, plan.amount
-)
-SELECT temp.id, temp.org_id, temp.editor, temp.reviewer, temp.stat_year, temp.stat_month, temp.stat_month_start,
-       temp.stat_date, temp.complete_amount, temp.amount,
-       sum(dt.plan_amount) AS plan_amount_other, sum(dt.complete_amount) AS complete_amount_other
-FROM temp
-LEFT JOIN dispatch dt ON dt.org_id = temp.org_id AND dt.is_removed = false
-                     AND dt.stat_date >= temp.stat_month_start AND dt.stat_date <= temp.stat_date
-GROUP BY temp.id, temp.org_id, temp.editor, temp.reviewer, temp.stat_year, temp.stat_month, temp.stat_month_start,
-         temp.stat_date, temp.complete_amount, temp.amount
-ORDER BY temp.stat_date DESC
-"""
-
-
-@register("month_task_report", _TASK_SQL, "J3,J1,J2,J11,F12,F16,A1,A6,P6,P12,T1")
-def month_task_report(spark, sf_dir):
-    """Orders are aggregated once per customer and day and the result is
-    checkpointed to the shared checkpoint folder: tasks, extras, daily
-    reports, plan and dispatch all derive from it, and without the
-    checkpoint each would re-scan orders and shuffle again (column pruning
-    gives every consumer its own copy of the aggregate, so Spark cannot
-    reuse one exchange).  A task's calendar row exists by construction (its
-    date is an order day of its company), so its fields come from the date.
-    The two date-range joins are bucketed (31-day buckets): a project's
-    daily rows meet only the tasks whose month touches their bucket."""
-    t = tables(spark, sf_dir)
-    cust = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
-    od = F.col("o_orderdate").cast("date")
-    amt = dec("o_totalprice")
-    pr = F.col("o_orderpriority")
-    day = (t.orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-           .groupBy("o_custkey", F.col("c_nationkey").alias("nation"), "c_acctbal", od.alias("d"))
-           .agg(F.sum(amt).alias("amount"), F.sum(F.when(pr == "1-URGENT", amt)).alias("urgent"),
-                F.count(F.when(pr == "1-URGENT", 1)).alias("n_urgent"),
-                F.sum(F.when(pr == "2-HIGH", amt)).alias("high"), F.count(F.when(pr == "2-HIGH", 1)).alias("n_high"))
-           .checkpoint(eager=True))
-    d = F.col("d")
-    tasks = (day.groupBy("nation", F.year(d).alias("y"), F.month(d).alias("m")).agg(F.max(d).alias("stat_date"))
-             .filter(F.col("m") != 2)
-             .select((F.col("nation").cast("bigint") * 1000000 + F.col("y") * 100 + F.col("m")).cast("bigint").alias("id"),
-                     F.col("nation").alias("org_id"),
-                     F.concat(F.lit("e"), F.col("nation").cast("string")).alias("editor"),
-                     F.concat(F.lit("r"), (F.col("nation") % 4).cast("string")).alias("reviewer"),
-                     F.year("stat_date").cast("bigint").alias("stat_year"),
-                     F.month("stat_date").cast("bigint").alias("stat_month"),
-                     S.month_start("stat_date").alias("stat_month_start"), "stat_date"))
-    projects = t.customer.filter(F.col("c_custkey") % 3 != 0).select(
-        F.col("c_nationkey").alias("p_org"), F.col("c_custkey").alias("project"))
-    extras = day.filter(F.col("c_acctbal") > 0).select(
-        F.col("o_custkey").alias("x_org"), F.year(d).cast("bigint").alias("x_year")).distinct()
-    tp = (tasks.join(projects, F.col("org_id") == F.col("p_org"))
-          .join(extras, (F.col("project") == F.col("x_org")) & (F.col("stat_year") == F.col("x_year")), "left_semi"))
-    daily = day.select(F.col("o_custkey").alias("project"), F.col("d").alias("r_date"), F.col("amount").alias("r_amount"))
-    # facts = the daily rows, intervals = [month start, task date] per task and project
-    j = J.range_join(daily, tp.drop("p_org"), ["project"], "r_date", "stat_month_start", "stat_date", "inner", bucket=31)
-    done = j.groupBy("id").agg(F.sum("r_amount").alias("complete_amount"))
-    plan = day.filter(F.col("n_urgent") > 0).groupBy(
-        F.col("nation").alias("p_org"), F.year(d).cast("bigint").alias("p_year"),
-        F.month(d).cast("bigint").alias("p_month")).agg(F.sum("urgent").alias("amount"))
-    temp = (tasks.join(tp.select("id").distinct(), "id", "left_semi")
-            .join(done, "id", "left")
-            .join(plan, (F.col("org_id") == F.col("p_org")) & (F.col("stat_year") == F.col("p_year"))
-                  & (F.col("stat_month") == F.col("p_month")), "left")
-            .drop("p_org", "p_year", "p_month"))
-    dispatch = day.filter(F.col("n_high") > 0).groupBy(F.col("nation").alias("org_id"), F.col("d").alias("s_date")).agg(
-        F.sum("n_high").cast("decimal(15,2)").alias("plan_amount"), F.sum("high").alias("s_amount"))
-    k = J.range_join(dispatch, temp.select("id", "org_id", "stat_month_start", "stat_date"), ["org_id"], "s_date",
-                     "stat_month_start", "stat_date", "inner", bucket=31)
-    other = k.groupBy("id").agg(F.sum("plan_amount").alias("plan_amount_other"),
-                                F.sum("s_amount").alias("complete_amount_other"))
-    return (temp.join(other, "id", "left").orderBy(F.col("stat_date").desc())
-            .select("id", "org_id", "editor", "reviewer", "stat_year", "stat_month", "stat_month_start", "stat_date",
-                    "complete_amount", "amount", "plan_amount_other", "complete_amount_other"))
