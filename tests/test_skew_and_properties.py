@@ -189,3 +189,18 @@ def test_lookup_join_equals_plain_equi_join(spark, left, right, how, nkeys):
     split = J.lookup_join(a, b, lk, rk, how, split_hot_keys=True)
     plain = J.lookup_join(a, b, lk, rk, how, split_hot_keys=False)
     assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+IV = st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-5, 60)), st.one_of(st.none(), st.integers(-5, 60)))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-5, 60))), max_size=25),
+       st.lists(IV, max_size=10), st.sampled_from([1, 3, 7, 100]),
+       st.sampled_from(["inner", "left", "left_semi", "left_anti"]))
+def test_bucketed_range_join_property(spark, facts, dims, width, how):
+    f = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(facts)], "k int, v int, id int")
+    d = spark.createDataFrame([(k, lo, hi, j) for j, (k, lo, hi) in enumerate(dims)], "k int, lo int, hi int, d int")
+    plain = J.range_join(f, d, ["k"], "v", "lo", "hi", how)
+    bucketed = J.range_join(f, d, ["k"], "v", "lo", "hi", how, bucket=width)
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, bucketed.collect()), key=repr)
