@@ -1139,22 +1139,24 @@ SELECT round(ifnull(a.receive_quantity, 0), 0) AS receive_quantity,
        round(ifnull(b.plan_quantity, 0), 0) AS plan_quantity,
        round(ifnull(a.delivery_quantity, 0) + ifnull(a.fact_amnt, 0), 0) AS delivery_quantity
 FROM convert_quantity a, kl_quantity b
-""", "U3,J13,J9,A9,F1,F11")
+""", "J13,J9,A9,F1,F11")
 def material_balance(spark, sf_dir):
-    from wareshift.operators.setops import tagged_union
-
+    """The statement's receive / delivery / dosage sources are exclusive
+    filters of the same lines, so the zero-filled union is one projection
+    (one scan of the lines instead of three); the measures and rows are
+    those of the union."""
     t = tables(spark, sf_dir)
     unit = t.part.select("p_partkey", F.col("p_type").alias("material_unit"))
     li = t.lineitem.select("l_partkey", "l_returnflag", "l_quantity", "l_linenumber").join(
         unit, F.col("l_partkey") == F.col("p_partkey"))
     flag = F.col("l_returnflag")
-    parts = {
-        "receive": li.filter(flag == "R").select("material_unit", F.col("l_quantity").alias("receive_quantity")),
-        "delivery": li.filter(flag == "A").select("material_unit", F.col("l_quantity").alias("delivery_quantity")),
-        "dosage": li.filter(flag == "N").select("material_unit", F.col("l_linenumber").cast("double").alias("fact_amnt")),
-    }
+    zero = F.lit(0.0)
+    allm = li.filter(flag.isin("R", "A", "N")).select(
+        "material_unit",
+        F.when(flag == "R", F.col("l_quantity")).otherwise(zero).alias("receive_quantity"),
+        F.when(flag == "A", F.col("l_quantity")).otherwise(zero).alias("delivery_quantity"),
+        F.when(flag == "N", F.col("l_linenumber").cast("double")).otherwise(zero).alias("fact_amnt"))
     measures = ["receive_quantity", "delivery_quantity", "fact_amnt"]
-    allm = tagged_union(parts, measures, tag="type", fill=F.lit(0.0))
     factors = t.part.select(F.col("p_type").alias("conversion_unit"), (F.length("p_type") % 3).alias("f")).distinct()
     guarded = factors.select("conversion_unit", F.coalesce(F.when(F.col("f") != 0, F.col("f")), F.lit(1)).alias("conversion_factor"))
     conv = J.lookup_join(allm, guarded, ["material_unit"], ["conversion_unit"], "left")
