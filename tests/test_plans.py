@@ -66,6 +66,7 @@ SINGLE_PASS = {
     "category_dosage": {"lineitem": 1, "orders": 1},
     "day_plan_rates": {"orders": 1},
     "material_balance": {"lineitem": 1},
+    "material_pivot": {"lineitem": 1, "orders": 1},
     # reads its checkpointed customer-day aggregate, never orders again
     "month_task_report": {"orders": 0},
 }

@@ -1077,30 +1077,33 @@ SELECT pro_line, mater_info,
 FROM items GROUP BY pro_line, mater_info
 """, "A3,A6,A10,J2,F1,F5,F8,U1,P12")
 def material_pivot(spark, sf_dir):
+    """One pass over the org's orders and their lines: the final pivot sums
+    everything per (line, material), so the production rows need no grouping
+    of their own, and each joined row adds a production entry (orders in the
+    date window; an order without lines adds its null row) and a supplement
+    entry (finished orders, per line).  The statement joins orders to lines
+    twice; this joins them once."""
     t = tables(spark, sf_dir)
     d3 = "decimal(28,3)"
     orgs = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("child_org_id"))
-    li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
     od = F.col("o_orderdate")
-    produce = (t.orders.filter((od >= ntz("1996-01-01 00:00:00")) & (od <= ntz("1998-12-31 00:00:00")))
-               .join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi")
-               .select("o_orderkey", "o_custkey", "o_orderpriority"))
-    mater = F.concat(S.ifnull("l_returnflag", ""), F.lit(" | "), S.ifnull("l_linestatus", ""))
-    produce_data = (produce.join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-                    .groupBy(mater.alias("mater_info"), F.col("o_orderpriority").alias("pro_line"),
-                             F.col("o_orderkey").alias("schedule_id"), F.col("o_custkey").alias("org_id"),
-                             F.col("l_linestatus").alias("status"))
-                    .agg(F.sum(F.col("l_quantity").cast(d3)).alias("plan_amn"),
-                         F.sum(F.col("l_extendedprice").cast(d3)).alias("fact_amnt")))
-    supplement = (t.orders.filter(F.col("o_orderstatus") == "F")
-                  .join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi")
-                  .join(li, F.col("l_orderkey") == F.col("o_orderkey"))
-                  .select(S.ifnull("l_quantity", 0).cast(d3).alias("plan_amn"),
-                          S.ifnull("l_quantity", 0).cast(d3).alias("fact_amnt"),
-                          F.concat(S.ifnull("l_returnflag", ""), S.ifnull("l_linestatus", "")).alias("mater_info"),
-                          F.col("o_orderpriority").alias("pro_line"), F.col("l_linestatus").alias("status")))
-    cols = ["plan_amn", "fact_amnt", "mater_info", "pro_line", "status"]
-    u = produce_data.select(*cols).unionByName(supplement.select(*cols))
+    in_window = (od >= ntz("1996-01-01 00:00:00")) & (od <= ntz("1998-12-31 00:00:00"))
+    heads = (t.orders.filter(in_window | (F.col("o_orderstatus") == "F"))
+             .join(orgs, F.col("o_custkey") == F.col("child_org_id"), "left_semi")
+             .select("o_orderkey", F.col("o_orderpriority").alias("pro_line"), in_window.alias("in_window"),
+                     (F.col("o_orderstatus") == "F").alias("is_finished")))
+    li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus")
+    j = heads.join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    rf, ls = S.ifnull("l_returnflag", ""), S.ifnull("l_linestatus", "")
+    produce = F.when(F.col("in_window"), F.struct(
+        F.concat(rf, F.lit(" | "), ls).alias("mater_info"), F.col("l_linestatus").alias("status"),
+        F.col("l_quantity").cast(d3).alias("plan_amn"), F.col("l_extendedprice").cast(d3).alias("fact_amnt")))
+    q0 = S.ifnull("l_quantity", 0).cast(d3)
+    supplement = F.when(F.col("is_finished") & F.col("l_orderkey").isNotNull(), F.struct(
+        F.concat(rf, ls).alias("mater_info"), F.col("l_linestatus").alias("status"),
+        q0.alias("plan_amn"), q0.alias("fact_amnt")))
+    entries = F.filter(F.array(produce, supplement), lambda e: e.isNotNull())
+    u = j.select("pro_line", F.explode(entries).alias("e")).select("pro_line", "e.*")
     return A.pivot_measures(u, ["pro_line", "mater_info"], "status", ["F", "O"],
                             {"plan": F.col("plan_amn"), "fact": F.col("fact_amnt")})
 
