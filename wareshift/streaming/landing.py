@@ -90,17 +90,23 @@ def read_rows(spark: SparkSession, table_path: str, upto: int | None = None) ->
     the newest snapshot (its rows carry the snapshot's epoch) plus the epoch
     folders after it -- the ``batch`` filter prunes the older folders, so the
     cost follows the snapshot size, not the stream's age."""
-    deltas = spark.read.parquet(table_path)
-    deltas = deltas.withColumn("batch", F.col("batch").cast("long"))
-    if upto is not None:
-        deltas = deltas.filter(F.col("batch") <= upto)
     snap = latest_snapshot(spark, table_path, upto)
+    try:
+        deltas = spark.read.parquet(table_path)
+    except Exception:  # noqa: BLE001 - the epoch folders may be gone once a snapshot covers them
+        if snap is None:
+            raise
+        deltas = None
+    if deltas is not None:
+        deltas = deltas.withColumn("batch", F.col("batch").cast("long"))
+        if upto is not None:
+            deltas = deltas.filter(F.col("batch") <= upto)
     if snap is None:
         return deltas
     data, _ = _snapshots(table_path)
     base = spark.read.parquet(os.path.join(data, f"upto={int(snap)}")).withColumn(
         "batch", F.lit(int(snap)).cast("long"))
-    return base.unionByName(deltas.filter(F.col("batch") > snap))
+    return base if deltas is None else base.unionByName(deltas.filter(F.col("batch") > snap))
 
 
 def read_state(spark: SparkSession, table_path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
