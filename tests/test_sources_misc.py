@@ -85,3 +85,16 @@ def test_unordered_insert_batches_do_not_depend_on_arrival_order(spark):
     sa = sorted(r.stmt for r in inserts.to_insert_values(a, "t", None, 5).collect())
     sb = sorted(r.stmt for r in inserts.to_insert_values(b, "t", None, 5).collect())
     assert sa == sb and sum(s.count("(") - 1 for s in sa) == 60
+
+
+def test_run_query_tool_writes_results(spark, tmp, small_dir, capsys):
+    import sys as _sys
+
+    _sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    import run_query
+
+    assert run_query.main(["run_query", "--list"]) == 0
+    assert "plan_vs_actual" in capsys.readouterr().out.split()
+    assert run_query.main(["run_query", small_dir, tmp, "no_such_query"]) == 2
+    assert run_query.main(["run_query", small_dir, tmp, "plan_vs_actual"]) == 0
+    assert spark.read.parquet(os.path.join(tmp, "plan_vs_actual")).count() == 25
