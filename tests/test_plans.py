@@ -69,6 +69,7 @@ SINGLE_PASS = {
     "material_pivot": {"lineitem": 1, "orders": 1},
     # reads its checkpointed customer-day aggregate, never orders again
     "month_task_report": {"orders": 0},
+    "month_progress": {"orders": 0},
 }
 
 

@@ -1228,30 +1228,37 @@ GROUP BY r.org_id, r.surplus_amount, r.mon, {", ".join(f"p.{n}_plan" for n in MO
 
 @register("month_progress", _month_progress_sql(), "A12,T4,W1,A3,F3,F1,F13,F15,J2,P7")
 def month_progress(spark, sf_dir):
+    """The month reports, the prior year's plan and the daily amounts all
+    come from one aggregate of the orders per org and day (the open-order
+    sum and the status flag combine across days, money is exact), which is
+    checkpointed to the shared folder: orders are read once instead of once
+    per consumer."""
     t = tables(spark, sf_dir)
     y, m = REPORT_MONTH
     amt = dec("o_totalprice")
-    rep = t.orders.groupBy(
-        F.col("o_custkey").alias("org_id"), F.year("o_orderdate").cast("bigint").alias("yr"),
-        F.month("o_orderdate").cast("bigint").alias("mon"),
-    ).agg(A.conditional_sum(amt, F.col("o_orderstatus") == "O").alias("surplus_amount"),
-          F.max(F.when(F.col("o_orderstatus") == "P", 0).otherwise(1)).alias("status")).filter(F.col("status") == 1)
+    day = (t.orders.groupBy(F.col("o_custkey").alias("o_org"), F.col("o_orderdate").cast("date").alias("d")).agg(
+        F.sum(amt).alias("amount"), A.conditional_sum(amt, F.col("o_orderstatus") == "O").alias("open_amount"),
+        F.max(F.when(F.col("o_orderstatus") == "P", 0).otherwise(1)).alias("not_pending"))
+        .checkpoint(eager=True))
+    rep = day.groupBy(
+        F.col("o_org").alias("org_id"), F.year("d").cast("bigint").alias("yr"), F.month("d").cast("bigint").alias("mon"),
+    ).agg(F.sum("open_amount").alias("surplus_amount"),
+          F.max("not_pending").alias("status")).filter(F.col("status") == 1)
     start = S.month_date("yr", "mon")
     report = rep.filter((F.col("yr") == y) & (F.col("mon") == m)).select(
         "org_id", "mon", "surplus_amount", start.alias("stat_start"), F.last_day(start).alias("stat_end"))
     last = W.latest_per_key(rep.filter(F.col("yr") < y).select("org_id", "yr", "mon"), ["org_id"], ["yr", "mon"]).select(
         F.col("org_id").alias("l_org"), S.next_month_start(S.month_date("yr", "mon")).alias("l_start"))
     plan = A.pivot_measures(
-        t.orders.filter(F.year("o_orderdate") == y - 1).select(
-            F.col("o_custkey").alias("p_org"), F.month("o_orderdate").alias("pm"), amt.alias("amt")),
+        day.filter(F.year("d") == y - 1).select(
+            F.col("o_org").alias("p_org"), F.month("d").alias("pm"), F.col("amount").alias("amt")),
         ["p_org"], "pm", list(range(1, 13)), {"plan": F.col("amt")}, totals=False)
     month_col = None
     for i, n in enumerate(MONTH_NAMES):
         c = F.col(f"plan_{i + 1}")
         month_col = F.when(F.col("mon") == i + 1, c) if month_col is None else month_col.when(F.col("mon") == i + 1, c)
-    # Group the orders narrow (per org and day) before joining the report row.
-    daily = t.orders.groupBy(F.col("o_custkey").alias("o_org"), F.col("o_orderdate").cast("date").alias("d")).agg(
-        F.sum(amt).alias("amount"))
+    # The orders grouped narrow (per org and day) before joining the report row.
+    daily = day.select("o_org", "d", "amount")
     j = (report.join(last, F.col("l_org") == F.col("org_id"), "left")
          .join(plan, F.col("p_org") == F.col("org_id"), "left")
          .join(daily, F.col("o_org") == F.col("org_id"), "left"))
