@@ -70,6 +70,7 @@ SINGLE_PASS = {
     # reads its checkpointed customer-day aggregate, never orders again
     "month_task_report": {"orders": 0},
     "month_progress": {"orders": 0},
+    "month_report_status": {"orders": 0},
 }
 
 

@@ -1014,6 +1014,10 @@ JOIN latest l ON l.org_id = u.org_id
 LEFT JOIN month_report t ON t.org_id = u.org_id AND t.status = 1 AND t.yr = {REPORT_MONTH[0]} AND t.mon = {REPORT_MONTH[1]}
 """, "W1,J2,J4,A2,P12")
 def month_report_status(spark, sf_dir):
+    """The month reports (one row per org and month, far fewer than the
+    orders) feed three consumers -- latest report, earlier reports, this
+    month's report -- so they are checkpointed to the shared folder and the
+    orders are read once."""
     t = tables(spark, sf_dir)
     amt = dec("o_totalprice")
     rep = t.orders.groupBy(
@@ -1021,7 +1025,7 @@ def month_report_status(spark, sf_dir):
         F.month("o_orderdate").cast("bigint").alias("mon"),
     ).agg(F.sum(amt).alias("contract_amount"),
           A.conditional_sum(amt, F.col("o_orderstatus") == "O").alias("surplus_amount"),
-          F.max(F.when(F.col("o_orderstatus") == "P", 0).otherwise(1)).alias("status"))
+          F.max(F.when(F.col("o_orderstatus") == "P", 0).otherwise(1)).alias("status")).checkpoint(eager=True)
     ok = rep.filter(F.col("status") == 1)
     latest = W.latest_per_key(
         ok.select("org_id", "yr", "mon", (F.col("contract_amount") - F.col("surplus_amount")).alias("total_amount")),
