@@ -76,3 +76,17 @@ def test_bucketed_range_join_equals_plain_on_a_hot_key(spark):
     bucketed = J.range_join(fd, dd, ["k"], "v", "lo", "hi", bucket=7)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, bucketed.collect()))
     assert "__fb" in bucketed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_range_join_on_ntz_timestamps(spark):
+    import datetime as dt
+
+    base = dt.datetime(1998, 1, 1, 6, 30)
+    facts = spark.createDataFrame([(i % 3, base + dt.timedelta(hours=7 * i), i) for i in range(400)],
+                                  "k int, v timestamp_ntz, id int")
+    dims = spark.createDataFrame([(j % 3, base + dt.timedelta(days=4 * j, hours=3), base + dt.timedelta(days=4 * j + 5), j)
+                                  for j in range(30)], "k int, lo timestamp_ntz, hi timestamp_ntz, d int")
+    for how in ("inner", "left"):
+        plain = J.range_join(facts, dims, ["k"], "v", "lo", "hi", how)
+        bucketed = J.range_join(facts, dims, ["k"], "v", "lo", "hi", how, bucket=2)
+        assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, bucketed.collect()), key=repr)
