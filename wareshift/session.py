@@ -43,14 +43,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured shared checkpoint folder; only when none is
-    configured (local tests) make a private one under /tmp."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="wareshift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    """Use the shared checkpoint folder the session names.
+
+    Where none is named, a session in one JVM (``local[...]``, as in tests)
+    gets a private folder; on a cluster that raises, since executors cannot
+    share a folder of the driver's machine.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(root)
+        return root
+    if context.getCheckpointDir() is None:
+        if not (context.master == "local" or context.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wareshift-ckpt-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
