@@ -32,3 +32,16 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareshift.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+@query("op10_token_ids")
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from wareshift.llm.token_ids import read_token_ids, write_token_ids
+    from wareshift.session import scratch_path
+
+    out = scratch_path(spark, "op10")
+    write_token_ids(table(spark, sf_dir, "documents"), out, public_tokenizers.path("word_bpe_49k.json"), end_id=2,
+                    by_word=True)
+    return read_token_ids(spark, out)
