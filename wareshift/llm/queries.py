@@ -45,3 +45,44 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_token_ids(table(spark, sf_dir, "documents"), out, public_tokenizers.path("word_bpe_49k.json"), end_id=2,
                     by_word=True)
     return read_token_ids(spark, out)
+
+
+@query("op5_mix_sources", r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents
+), per AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS n,
+         CAST([3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS BIGINT) AS w
+  FROM sized GROUP BY source
+), level AS (
+  -- with the sources before it (by size for weight) at their caps: words and weights left
+  SELECT *, 1.5::DOUBLE * sum(n) OVER () - 2.0::DOUBLE * coalesce(sum(n) OVER earlier, 0) AS words,
+         sum(w) OVER () - coalesce(sum(w) OVER earlier, 0) AS weights
+  FROM per
+  WINDOW earlier AS (ORDER BY n / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), open AS (
+  SELECT words, weights FROM level WHERE 2.0::DOUBLE * n * weights > words * w
+  ORDER BY n / w, source NULLS LAST LIMIT 1
+), goal AS (
+  SELECT source, n, CASE WHEN 2.0::DOUBLE * n * level.weights <= level.words * w THEN 2.0::DOUBLE * n
+                         ELSE open.words * w / open.weights END AS target,
+         CAST('0x' || substr(md5('0:' || coalesce('=' || source, 'null')), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+  FROM level LEFT JOIN open ON true
+), ranked AS (
+  SELECT doc_id, source, size,
+         CAST(row_number() OVER (PARTITION BY source ORDER BY size, doc_id) AS DOUBLE) AS k
+  FROM sized
+)
+SELECT doc_id, size, n AS source_size, target,
+       CASE WHEN n = 0 THEN 0 ELSE size * CAST(floor(u + k * target / n) - floor(u + (k - 1) * target / n) AS BIGINT)
+       END AS taken
+FROM ranked r JOIN goal g ON r.source IS NOT DISTINCT FROM g.source
+""")
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wareshift.llm.mixing import plan_mix
+
+    plan = plan_mix(table(spark, sf_dir, "documents"), ["doc_id"])
+    return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
