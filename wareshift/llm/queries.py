@@ -86,3 +86,77 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     plan = plan_mix(table(spark, sf_dir, "documents"), ["doc_id"])
     return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def _pii_sql() -> str:
+    """The contract's patterns as they stand, with the added kinds."""
+    from wareshift.llm.pii import CONTEXT, KINDS
+
+    plain = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+        "card": r"[0-9](?:[\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "iban": "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}",
+        "national_phone": r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}",
+    }
+    found = "\nUNION ALL\n".join(
+        f"SELECT rid, {no} AS no, '{k.name}' AS kind, regexp_extract_all(t, '{plain[k.name]}') AS found, "
+        f"string_split_regex(t, '{plain[k.name]}') AS parts FROM d WHERE regexp_matches(t, '{plain[k.name]}')"
+        for no, k in enumerate(KINDS))
+    near = "regexp_matches(around, '(^|[^a-z])({})([^a-z]|$)')".format
+    scores = " ".join(
+        f"WHEN '{k.name}' THEN {k.score}::DOUBLE + CASE WHEN {near(k.words)} THEN {k.raises} ELSE 0 END"
+        + (f" - CASE WHEN {near(k.lowers_words)} THEN {k.lowers} ELSE 0 END" if k.lowers else "") for k in KINDS)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({found}),
+e AS (SELECT rid, no, kind, unnest(found) AS found, unnest(parts[:len(found)]) AS before,
+             unnest(parts[2:]) AS after, generate_subscripts(found, 1) AS pos FROM m),
+s AS (
+  SELECT *, CAST(sum(length(before) + length(found)) OVER (PARTITION BY rid, no ORDER BY pos) AS BIGINT) AS stop,
+         lower(right(before, {CONTEXT}) || ' ' || left(after, {CONTEXT})) AS around,
+         regexp_replace(found, '[^0-9]', '', 'g') AS digits FROM e
+), c AS (
+  SELECT *, stop - length(found) AS start,
+    CASE kind
+      WHEN 'email' THEN true
+      WHEN 'ip' THEN list_max(list_transform(string_split(found, '.'), lambda p: CAST(p AS HUGEINT))) <= 255
+      WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(
+             string_split(reverse(digits), ''),
+             lambda x, i: CASE WHEN i % 2 = 1 THEN CAST(x AS INT) WHEN CAST(x AS INT) > 4
+                          THEN CAST(x AS INT) * 2 - 9 ELSE CAST(x AS INT) * 2 END)) % 10 = 0
+      WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+      WHEN 'iban' THEN list_reduce(list_prepend(0::HUGEINT, list_transform(
+             string_split(replace(found, ' ', '')[5:] || replace(found, ' ', '')[:4], ''),
+             lambda x: CAST(CASE WHEN x BETWEEN '0' AND '9' THEN ascii(x) - 48 ELSE ascii(x) - 55 END AS HUGEINT))),
+             lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1
+      ELSE NOT regexp_matches(right(before, {CONTEXT}), '\+[0-9 ]*$')
+    END AS ok,
+    CASE kind {scores} END AS score
+  FROM s
+), kept AS (SELECT * FROM c WHERE ok AND (no < 4 OR score >= 0.5)),
+g AS (
+  SELECT rid, count(*) FILTER (no = 0) AS n0, count(*) FILTER (no = 1) AS n1, count(*) FILTER (no = 2) AS n2,
+         count(*) FILTER (no = 3) AS n3,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY no, start) FILTER (no < 4) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY no, start) AS spans
+  FROM kept GROUP BY rid
+)
+SELECT doc_id, coalesce(n0, 0) AS n_email, coalesce(n1, 0) AS n_ip, coalesce(n2, 0) AS n_card,
+       coalesce(n3, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (rid)
+"""
+
+
+@query("op8_pii", _pii_sql())
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wareshift.llm.pii import BASE, count, digest, find_pii
+
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
+    counts = [count(spans, k).alias(f"n_{k}") for k in BASE]
+    return find_pii(table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(digest(base), 256).alias("base_sha256"), digest(spans).alias("spans"))
