@@ -160,3 +160,15 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [count(spans, k).alias(f"n_{k}") for k in BASE]
     return find_pii(table(spark, sf_dir, "documents")).select(
         "doc_id", *counts, F.sha2(digest(base), 256).alias("base_sha256"), digest(spans).alias("spans"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wareshift.llm.toxicity import held_out, learn, score_documents
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn(docs, table(spark, sf_dir, "labels"))
+    return score_documents(docs, model, threshold=0.7).select(
+        F.col("in_doc_id").alias("doc_id"), held_out(F.col("in_doc_id")).alias("held_out"), "score", "predicted", "n_hits")
