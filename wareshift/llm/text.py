@@ -127,18 +127,7 @@ class Words:
 
     def hashes(self, seed: int = 1, fold_case: bool = False) -> np.ndarray:
         """One 64-bit fingerprint per word; ``fold_case`` reads A-Z as a-z."""
-        values = _VALUES[seed, fold_case]
-        out = np.zeros(len(self), _U)
-        at = 0
-        while at < len(self):
-            to = int(np.searchsorted(self.start, self.start[at] + _BLOCK))
-            to = max(to, at + 1)
-            lo, hi = self.start[at], self.end[to - 1]
-            power, inverse = _powers(_BASE, int(hi - lo))
-            begins = self.start[at:to] - lo
-            out[at:to] = np.add.reduceat(values[self.data[lo:hi]] * power[: hi - lo], begins) * inverse[begins]
-            at = to
-        return mix(out)
+        return segment_hashes(self.data, self.start, self.end, seed, fold_case)
 
     def grams(self, hashes: np.ndarray, n: int) -> np.ndarray:
         """Fingerprints of the n words from each position on; positions whose
@@ -159,6 +148,23 @@ class Words:
         return self.row[:m] == self.row[n - 1 :]
 
 
+def segment_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 1,
+                   fold_case: bool = False) -> np.ndarray:
+    """One 64-bit fingerprint per segment; only separators may lie between
+    segments."""
+    values = _VALUES[seed, fold_case]
+    out = np.zeros(len(start), _U)
+    at = 0
+    while at < len(start):
+        to = max(int(np.searchsorted(start, start[at] + _BLOCK)), at + 1)
+        lo, hi = start[at], end[to - 1]
+        power, inverse = _powers(_BASE, int(hi - lo))
+        begins = start[at:to] - lo
+        out[at:to] = np.add.reduceat(values[data[lo:hi]] * power[: hi - lo], begins) * inverse[begins]
+        at = to
+    return mix(out)
+
+
 def shingles(words: Words, n: int, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The distinct n-word shingles of each row as (row, fingerprint), sorted
     by row and fingerprint.  A row with fewer words has one shingle, all its

@@ -21,8 +21,8 @@ their ids' checksum; an empty table gives a folder without blocks.
 from __future__ import annotations
 
 import os
-import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wareshift.llm.stage import written
-from wareshift.llm.text import Words, slices
+from wareshift.llm.text import Words, segment_hashes, slices
 
 #: Ids after which a block ends (its last document is completed).
 BLOCK_IDS = 262_144
 #: Bytes of text whose distinct words are encoded together.
 SLICE_BYTES = 4_000_000
-#: Words, and units of words, whose ids a worker remembers.
-CACHE_WORDS = 300_000
+#: Units whose ids a worker remembers.
+CACHE_UNITS = 400_000
 
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
@@ -68,11 +68,58 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-#: Words of these characters (no apostrophe) split into runs of letters,
-#: single digits and runs of other characters, each a unit of its own.
-_PLAIN = re.compile("[!-&(-~À-ÖØ-öø-ÿ]+")
-_UNITS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_PROBES = ("Hello", "a1b22,,c", "Éàß--x", "ÀÖØÞ", "tion.***", "(~)", "x_y", "2024-01-01", "straße;")
+# Classes of the bytes of a lower-case text.
+_LETTER, _DIGIT, _SIGN, _ODD = 1, 2, 3, 4
+_CLASS = np.full(256, _ODD, np.uint8)
+_CLASS[33:127] = _SIGN
+_CLASS[ord("'")] = _ODD  # may start a contraction
+_CLASS[ord("0") : ord("9") + 1] = _DIGIT
+_CLASS[ord("A") : ord("Z") + 1] = _CLASS[ord("a") : ord("z") + 1] = _LETTER
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_LATIN = 0xC3  # first byte of the letters À to ÿ, and of the signs × and ÷
+
+
+class Units:
+    """The units of the words of a column, as segments of ``data``.
+
+    A word of ASCII (without an apostrophe or a special token's string) and
+    the letters À to ÿ falls into runs of letters, single digits and runs of
+    signs, in lower case; any other word is one unit as it stands
+    (``odd``)."""
+
+    def __init__(self, words: Words, specials: list[str]):
+        data, start = words.data, words.start
+        before = np.zeros(len(data), np.uint8)
+        before[1:] = data[:-1]
+        kind = _CLASS[data]
+        latin = data == _LATIN
+        second = (before == _LATIN) & (data >= 0x80)
+        kind[latin | (second & (data != 0x97) & (data != 0xB7))] = _LETTER
+        odd = kind == _ODD
+        for s in specials:
+            raw = s.encode()
+            if len(raw) > 1:
+                odd[1:] |= (data[1:] == raw[1]) & (before[1:] == raw[0])
+            else:
+                odd |= data == raw[0]
+        odd_word = np.logical_or.reduceat(odd, start)
+        odd_byte = np.zeros(len(data), bool)
+        odd_byte[start[0] :] = np.repeat(odd_word, np.diff(np.append(start, len(data))))
+        raised = ((data >= 65) & (data <= 90)) | (second & (data <= 0x9E))
+        self.data = np.where(raised & ~odd_byte, data + np.uint8(32), data)
+        first = np.zeros(len(data), bool)
+        first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        first &= (kind > 0) & ~odd_byte
+        first[start] = True
+        self.start = np.flatnonzero(first)
+        word = np.searchsorted(start, self.start, side="right") - 1
+        self.end = np.minimum(np.append(self.start[1:], len(data)), words.end[word])
+        self.odd = odd_word[word]
+        #: index of the first unit of each row, and one past the last
+        self.first = np.searchsorted(self.start, words.offsets)
+
+
+_PROBES = ("Hello a1b22,,c Éàß--x ÀÖØÞ tion.***", "(~) x_y 2024-01-01 straße; it's 'tis x×y", " a\n\tB ", "", "日本 é́")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -86,11 +133,11 @@ class Encoder:
     """Ids of whole texts from a ``tokenizers`` file.
 
     ``by_word``: the tokenizer drops white space and never joins across it,
-    so a text's ids are its words' ids in a row.  Each distinct word of a
-    slice is then looked up once, in a cache of bounded size; the library
-    encodes the words not found.  Words of plain characters go to the
-    library's model in units (checked against the whole tokenizer on loading),
-    other words through the whole tokenizer.
+    so a text's ids are its words' ids in a row.  Words fall into units (see
+    Units); each distinct unit of a slice is looked up once, in a cache of
+    bounded size.  The library's model tokenizes the units not found, the
+    whole tokenizer the odd words; if the two disagree on probes, every word
+    goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, by_word: bool):
@@ -104,9 +151,9 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
-        self.words: dict[int, bytes] = {}
-        self.units: dict[str, bytes] = {}
-        self.plain = by_word and all(self._by_units(p) == self._whole(p) for p in _PROBES)
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.cache: dict[tuple[int, int], bytes] = {}
+        self.plain = by_word and self._agrees()
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and each row's number of ids."""
@@ -117,55 +164,57 @@ class Encoder:
         words = Words(column)
         if not len(words):
             return np.zeros(0, self.dtype), np.zeros(len(column), np.int64)
-        key, other = words.hashes(1), words.hashes(2)
+        units = Units(words, self.specials) if self.plain else _whole_words(words)
+        key = segment_hashes(units.data, units.start, units.end, 1)
+        other = segment_hashes(units.data, units.start, units.end, 2)
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
         clash = np.flatnonzero(other != other[first[which]])
-        if len(clash):  # equal first fingerprints of different words
+        if len(clash):  # equal first fingerprints of different units
             which[clash] = len(first) + np.arange(len(clash))
             first = np.concatenate([first, clash])
         # both fingerprints, 128 bits, make the cache's key
         keys = zip(key[first].tolist(), other[first].tolist())
-        begins, ends = words.start[first].tolist(), words.end[first].tolist()
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
+        places = zip(units.start[first].tolist(), units.end[first].tolist(), units.odd[first].tolist())
+        if len(self.cache) > CACHE_UNITS:
+            self.cache = {}
         found = []
-        raw = words.data.tobytes()
-        for k, a, b in zip(keys, begins, ends):
-            ids = self.words.get(k)
+        raw = units.data.tobytes()
+        for k, (a, b, odd) in zip(keys, places):
+            ids = self.cache.get(k)
             if ids is None:
-                ids = self.words[k] = self._word(raw[a:b].decode())
+                ids = self.cache[k] = (self._whole if odd else self._unit)(raw[a:b])
             found.append(ids)
         flat = np.frombuffer(b"".join(found), self.dtype)
         size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
         begin = np.cumsum(size) - size
         size, begin = size[which], begin[which]
         total = np.cumsum(size)
-        per_row = np.concatenate([[0], total])[words.first]
+        per_row = np.concatenate([[0], total])[units.first]
         if not total[-1]:
             return np.zeros(0, self.dtype), np.zeros(len(column), np.int64)
         at = np.arange(total[-1]) + np.repeat(begin - (total - size), size)
         return flat[at], np.diff(per_row)
 
-    def _word(self, word: str) -> bytes:
-        if self.plain and _PLAIN.fullmatch(word) and not any(s in word for s in self.specials):
-            return self._by_units(word)
-        return self._whole(word)
+    def _whole(self, word: bytes) -> bytes:
+        return array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
 
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
+    def _unit(self, unit: bytes) -> bytes:
+        spelled = unit.decode() if unit.isascii() else unit.decode("latin-1").translate(self.letters)
+        return array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _by_units(self, word: str) -> bytes:
-        out = b""
-        for unit in _UNITS.findall(word.lower()):
-            ids = self.units.get(unit)
-            if ids is None:
-                if len(self.units) > CACHE_WORDS:
-                    self.units = {}
-                spelled = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.letters)
-                ids = np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
-                self.units[unit] = ids
-            out += ids
-        return out
+    def _agrees(self) -> bool:
+        """Whether units give what the whole tokenizer gives, on probes."""
+        self.plain = True
+        flat, size = self.texts(pa.array(_PROBES))
+        want = [self.tokenizer.encode(p, add_special_tokens=False).ids for p in _PROBES]
+        return size.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+
+
+def _whole_words(words: Words):
+    units = Units.__new__(Units)
+    units.data, units.start, units.end, units.first = words.data, words.start, words.end, words.first
+    units.odd = np.ones(len(words), bool)
+    return units
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
