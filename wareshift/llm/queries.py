@@ -172,3 +172,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn(docs, table(spark, sf_dir, "labels"))
     return score_documents(docs, model, threshold=0.7).select(
         F.col("in_doc_id").alias("doc_id"), held_out(F.col("in_doc_id")).alias("held_out"), "score", "predicted", "n_hits")
+
+
+@query("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareshift.llm.ann import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), query_every=100, k=10)
