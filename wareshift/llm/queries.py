@@ -179,3 +179,39 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareshift.llm.ann import nearest_neighbours
 
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), query_every=100, k=10)
+
+
+@query("op7_decontamination", r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, row_number() OVER () AS rid,
+         regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM texts WHERE text IS NOT NULL
+), item AS (
+  SELECT rid, id, least(len(w), 5) AS n, w FROM words WHERE kind = 'b' AND len(w) > 0
+), item_shingle AS (
+  SELECT DISTINCT rid, id, n, array_to_string(w[i : i + n - 1], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM item)
+), sized AS (
+  SELECT *, count(*) OVER (PARTITION BY rid) AS n_item FROM item_shingle
+), doc_shingle AS (
+  SELECT DISTINCT rid, id, n, array_to_string(w[i : i + n - 1], ' ') AS s
+  FROM (SELECT rid, id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM words, (SELECT DISTINCT n FROM item) WHERE kind = 'd' AND len(w) >= n)
+)
+SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared, any_value(n_item) AS n_item,
+       count(*) / CAST(any_value(n_item) AS DOUBLE) AS containment
+FROM doc_shingle d JOIN sized b ON d.n = b.n AND d.s = b.s
+GROUP BY d.rid, d.id, b.rid, b.id
+HAVING count(*) * 10 >= any_value(n_item) * 8
+""")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wareshift.llm.decontaminate import mark
+
+    marked = mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    found = marked.select("row.doc_id", F.explode("items").alias("i"))
+    return found.select("doc_id", "i.item_id", F.col("i.shared").alias("n_shared"), F.col("i.size").alias("n_item"),
+                        (F.col("i.shared") / F.col("i.size")).alias("containment"))

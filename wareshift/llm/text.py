@@ -19,6 +19,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _GRAM_BASE = 0xD6E8FEB86659FD93 | 1
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
+#: Separators that leave letters and digits: all other ASCII.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 #: Bytes of text that one slice of a batch holds (a longer document is a
 #: slice of its own).
@@ -103,10 +105,12 @@ class Words:
     its first word.
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, separators: np.ndarray = _WS):
         self.data, self.offsets = text_bytes(column)
         n = len(self.data)
-        inside = ~_WS[self.data]
+        inside = ~separators[self.data]
+        if separators is not _WS:
+            self.data = np.where(inside, self.data, np.uint8(32))
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         ends = inside.copy()
