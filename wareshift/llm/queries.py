@@ -215,3 +215,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = marked.select("row.doc_id", F.explode("items").alias("i"))
     return found.select("doc_id", "i.item_id", F.col("i.shared").alias("n_shared"), F.col("i.size").alias("n_item"),
                         (F.col("i.shared") / F.col("i.size")).alias("containment"))
+
+
+@query("op2_jaccard_join")
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareshift.llm.jaccard import jaccard_components
+
+    found = jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
