@@ -223,3 +223,13 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wareshift.llm.substrings import remove_repeats
+
+    found = remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
