@@ -233,3 +233,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = remove_repeats(table(spark, sf_dir, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from wareshift.llm.lines import removed_lines
+
+    found = removed_lines(table(spark, sf_dir, "documents"), distance=2, near_chars=30)
+    numbers = F.array_join(F.col("removed").cast("array<string>"), ",")
+    return found.select("doc_id", "n_lines", "n_removed", "n_near", numbers.alias("removed"))
