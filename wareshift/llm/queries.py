@@ -235,7 +235,37 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
-@query("op6_line_dedup")
+@query("op6_line_dedup", r"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(text, chr(10)) AS lines FROM documents
+), line AS (
+  SELECT rid, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM doc
+), each AS (
+  SELECT row_number() OVER () AS lid, line, length(line) AS chars, length(line) // 3 AS third
+  FROM (SELECT DISTINCT line FROM line WHERE length(line) >= 30)
+), pair AS (
+  -- two edits leave one third of the shorter line whole
+  SELECT a.line AS a, b.line AS b FROM each a JOIN each b ON b.chars BETWEEN a.chars AND a.chars + 2 AND a.lid <> b.lid
+  WHERE (contains(b.line, left(a.line, a.third)) OR contains(b.line, substr(a.line, a.third + 1, a.third))
+         OR contains(b.line, substr(a.line, 2 * a.third + 1)))
+    AND levenshtein(a.line, b.line) <= 2
+), edge AS (
+  SELECT a, b FROM pair UNION SELECT b, a FROM pair
+), reach(line, other) AS (
+  SELECT a, a FROM edge UNION SELECT r.line, e.b FROM reach r JOIN edge e ON r.other = e.a
+), grp AS (
+  SELECT line, min(other) AS g FROM reach GROUP BY line
+), placed AS (
+  SELECT rid, doc_id, pos, l.line, coalesce(g, l.line) AS g FROM line l LEFT JOIN grp ON l.line = grp.line
+), judged AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) > 1 AND line <> '' AS removed,
+         line <> first_value(line) OVER (PARTITION BY g ORDER BY doc_id, pos) AS near
+  FROM placed
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed, count(*) FILTER (near) AS n_near,
+       coalesce(string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FILTER (removed), '') AS removed
+FROM judged GROUP BY rid, doc_id
+""")
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
