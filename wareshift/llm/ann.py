@@ -151,7 +151,7 @@ def _nearest(q_ids: np.ndarray, q: np.ndarray, ids: list, x: np.ndarray, k: int)
 
 
 def nearest_neighbours(vectors: DataFrame, query_every: int, k: int = 10, tables: int = 4, mass: float = 0.5,
-                       block: int = 4096, sample: int = 2000, seed: int = 20, id_col: str = "vec_id",
+                       block: int = 1024, sample: int = 2000, seed: int = 20, id_col: str = "vec_id",
                        vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, id, score for the rows whose id is divisible by
     ``query_every``, searched in all rows."""

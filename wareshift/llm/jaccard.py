@@ -22,8 +22,8 @@ that may link (100 * intersection >= percent * union):
    of its links there and its number of links, never the pairs.
 4. Components of those rows, joined back to the documents.
 
-Sets below nine shingles link with equal sets only (one shingle more or less
-is under nine tenths), so they need no join.
+Sets too small to differ by one shingle (below nine at 90 percent) link with
+equal sets only, so they need no join.
 
 Defined results: null or wordless texts have an empty set and link with
 nothing; repeated rows are equal sets; a null id never names a component
@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wareshift.llm.components import components
@@ -56,6 +56,11 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
+def smallest(percent: int) -> int:
+    """Least shingles of a set that can link with an unequal one."""
+    return -(-100 // (100 - percent)) - 1 if percent < 100 else 1 << 62
+
+
 def pair_needed(a, b, percent: int):
     """Least intersection of linked sets of a and b shingles."""
     return -(-percent * (a + b) // (100 + percent))
@@ -121,31 +126,33 @@ def frequent(texts: DataFrame, n: int, table: int) -> tuple[np.ndarray, np.ndarr
 
 
 def signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
-    """rid, id, th (fingerprint of the text), n, key (of the set), prefix."""
-    src = docs.select(F.monotonically_increasing_id().alias("rid"), "id", F.xxhash64("text").alias("th"), "text")
+    """rid, id, k1, k2 (fingerprints of the row's id and text, and its text),
+    n, key (of the set), prefix."""
+    src = docs.select(F.monotonically_increasing_id().alias("rid"), "id", "k1", "k2", "text")
     id_type = src.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = order.value
         for batch in batches:
             for part in slices(batch, limit=1_000_000):
-                row, gram = shingles(Words(part.column(3)), n, True)
+                row, gram = shingles(Words(part.column(4)), n, True)
                 size = np.bincount(row, minlength=part.num_rows)
                 begin = np.concatenate([[0], np.cumsum(size)])
                 raw = gram.tobytes()
                 key = [hashlib.blake2b(raw[8 * a : 8 * b], digest_size=16).digest() if b > a else None
                        for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
                 gram = gram[np.lexsort((rare.counts(gram), row))]  # stable: equal counts stay by fingerprint
-                first = np.where(size >= 9, np.minimum(size, size - needed(size, percent) + SHARED), 0)
+                first = np.where(size >= smallest(percent), np.minimum(size, size - needed(size, percent) + SHARED), 0)
                 end = np.cumsum(first)
                 at = np.arange(end[-1]) + np.repeat(begin[:-1] - (end - first), first) if len(end) else end
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], end]), pa.int32()),
                                                   pa.array(gram[at].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), part.column(2), pa.array(size, pa.int64()),
-                    pa.array(key, pa.binary()), prefix], names=["rid", "id", "th", "n", "key", "prefix"])
+                    part.column(0), part.column(1), part.column(2), part.column(3), pa.array(size, pa.int64()),
+                    pa.array(key, pa.binary()), prefix], names=["rid", "id", "k1", "k2", "n", "key", "prefix"])
 
-    return src.mapInArrow(run, f"rid bigint, id {id_type}, th bigint, n bigint, key binary, prefix array<bigint>")
+    return src.mapInArrow(
+        run, f"rid bigint, id {id_type}, k1 bigint, k2 bigint, n bigint, key binary, prefix array<bigint>")
 
 
 def candidate_edges(classes: DataFrame, percent: int, block: int) -> DataFrame:
@@ -255,15 +262,21 @@ def _roots(n: int, x: np.ndarray, y: np.ndarray) -> list[int]:
     return [find(i) for i in range(n)]
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return src.withColumn("k1", F.xxhash64("id", "text")).withColumn("k2", F.xxhash64(F.lit(1), "text"))
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, table: int = 1 << 20, block: int = 64,
                        tile: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: its id, n_shingles, component_id (the smallest id it
-    reaches by links) and n_links (classes of other texts it links to); rid
-    numbers the rows."""
-    if percent < 90:
-        raise ValueError("sets of fewer than nine shingles are only exact from 90 percent on")
+    reaches by links) and n_links (classes of other texts it links to); with
+    k1, k2 (fingerprints of id and text, and of the text) and component (a
+    number of the component, null without words)."""
+    if needed(smallest(percent), percent) < SHARED:
+        raise ValueError("the percentage is too low for the prefix join")
     spark = docs.sparkSession
-    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    src = _keyed(docs, id_col, text_col)
     order = spark.sparkContext.broadcast(Order(*frequent(src, n, table)))  # at most ``table`` entries
     signed = written(signatures(src, order, n, percent), "signatures")
     sets = signed.where("n > 0").groupBy("key").agg(F.min("rid").alias("rid"), F.min("id").alias("low_id"))
@@ -277,9 +290,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, table: in
         "component", F.coalesce("component", "class"))
     lowest = label.groupBy("component").agg(F.min("low_id").alias("component_id"))
     label = label.select("key", "class", "component").join(lowest, "component").join(degree, "class", "left")
-    label = label.select("key", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    out = signed.select("rid", "id", "th", "n", "key").join(label, "key", "left")
-    return out.select("rid", "th", F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+    label = label.select("key", "component", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    out = signed.select("id", "k1", "k2", "n", "key").join(label, "key", "left")
+    return out.select("k1", "k2", "component", F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
                       F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
@@ -289,10 +302,9 @@ def _verify(src: DataFrame, signed: DataFrame, clusters: DataFrame, n: int, perc
     sized = clusters.groupBy("component").agg(F.ceil(F.count("*") / tile).cast("int").alias("chunks"))
     member = clusters.join(sized, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     # the sets again, of the classes in clusters only; a text is found by id and fingerprint
-    where = signed.select(F.col("rid").alias("node"), F.col("id").alias("wid"), F.col("th").alias("wth"))
-    member = member.join(where, "node").dropDuplicates(["node"])
-    texts = src.withColumn("th", F.xxhash64("text")).join(
-        member, F.col("id").eqNullSafe(F.col("wid")) & (F.col("th") == F.col("wth"))).dropDuplicates(["node"])
+    where = signed.select(F.col("rid").alias("node"), "k1", "k2")
+    member = member.join(where, "node").dropDuplicates(["k1", "k2"])
+    texts = src.join(member, ["k1", "k2"]).dropDuplicates(["node"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,3 +340,21 @@ def _verify(src: DataFrame, signed: DataFrame, clusters: DataFrame, n: int, perc
     done = written(tiles.groupBy("component", "i", "j").applyInArrow(verify, schema), "links")
     degree = done.groupBy(F.col("node").alias("class")).agg(F.sum("links").alias("n_links"))
     return done.select(F.col("node").alias("a"), F.col("root").alias("b")), degree
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents without their near duplicates: of each component the row
+    of the smallest id; documents without words all stay."""
+    found = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
+    groups = found.where(F.col("component").isNotNull()).groupBy("component").agg(
+        F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), "k1", "k2")).alias("first"))
+    chosen = groups.select("first.k1", "first.k2", F.lit(True).alias("once"))
+    chosen = chosen.unionByName(found.where(F.col("component").isNull()).select("k1", "k2", F.lit(False).alias("once"))
+                                .distinct())
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = docs.select(row.alias("row"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("k1"),
+                       F.xxhash64(F.lit(1), text).alias("k2"))
+    copy = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))
+    kept = rows.join(chosen, ["k1", "k2"]).withColumn("copy", copy).where("copy = 1 OR NOT once")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

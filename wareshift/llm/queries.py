@@ -170,8 +170,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = learn(docs, table(spark, sf_dir, "labels"))
-    return score_documents(docs, model, threshold=0.7).select(
-        F.col("in_doc_id").alias("doc_id"), held_out(F.col("in_doc_id")).alias("held_out"), "score", "predicted", "n_hits")
+    return score_documents(docs, model, ["doc_id"], threshold=0.7).select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted", "n_hits")
 
 
 @query("op4_nearest_neighbours")

@@ -79,21 +79,20 @@ def fold(text: str) -> list[str]:
     text = text.lower()
     if not text.isascii():
         text = text.translate(_FOLD)
-    return [w for w in map(_cached, text.split()) if w]
+    if len(_FOLDED) > TABLE:
+        _FOLDED.clear()
+    return [w for w in map(_FOLDED.__getitem__, text.split()) if w]
 
 
-_WORDS: dict[str, str] = {}
+class _Folded(dict):
+    """Folded words by word, emptied between texts when it grows."""
 
+    def __missing__(self, word: str) -> str:
+        self[word] = folded = fold_word(word)
+        return folded
 
-def _cached(word: str) -> str:
-    if word.isascii() and word.isalpha() and len(word) < 3:
-        return word
-    got = _WORDS.get(word)
-    if got is None:
-        if len(_WORDS) > TABLE:
-            _WORDS.clear()
-        got = _WORDS[word] = fold_word(word)
-    return got
+
+_FOLDED = _Folded()
 
 
 def features(words: list[str]) -> set[str]:
@@ -293,14 +292,11 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     return w
 
 
-def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, each prefixed ``in_``, with score, predicted and n_hits.
-
-    Prefixing keeps a clashing column name apart.
-    """
-    keep = [c for c in docs.columns if c != text_col]
+def score_documents(docs: DataFrame, model: Model, carry: list[str], threshold: float = 0.7,
+                    text_col: str = "text") -> DataFrame:
+    """``row`` (struct of the ``carry`` columns), score, predicted, n_hits."""
     src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"),
-                      F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"))
+                      F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = None
@@ -319,5 +315,10 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = 0.7, text_
 
     row = src.schema["row"].dataType.simpleString()
     out = src.mapInArrow(run, f"row {row}, score double, n_hits bigint")
-    return out.select(*[F.col("row").getField(c).alias(f"in_{c}") for c in keep], "score",
-                      (F.col("score") >= threshold).cast("int").alias("predicted"), "n_hits")
+    return out.select("row", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_hits")
+
+
+def acceptable_documents(docs: DataFrame, model: Model, **options) -> DataFrame:
+    """The documents not predicted toxic, with all their columns."""
+    kept = score_documents(docs, model, docs.columns, **options).where("predicted = 0")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
