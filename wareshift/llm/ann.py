@@ -44,7 +44,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v: array<double>) of the rows that take part."""
     v = F.col(f"`{vector_col}`").cast("array<double>")
     fine = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < F.lit(math.inf))) & F.exists("v", lambda x: x != 0)
-    rows = vectors.select(F.col(f"`{id_col}`").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & fine)
+    rows = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & fine)
     lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     return rows.where(F.size("v") == (lengths.n if lengths else 0))
 
