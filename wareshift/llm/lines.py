@@ -78,7 +78,15 @@ def edit_distance(longer: Column, shorter: Column, distance: int) -> Column:
     ``up``/``down``: rows one more/less than the row above; ``even``: cells
     equal to their upper left neighbour.  The value on the diagonal that ends
     in the last cell grows by one in each column where that cell is not even.
+
+    The arrays are bound as a lambda's variable: written into the inner
+    lambdas as expressions, they would be made again for every character.
     """
+    pair = F.array(F.struct(longer.alias("a"), shorter.alias("b")))
+    return F.element_at(F.transform(pair, lambda p: _distance(p["a"], p["b"], distance)), 1)
+
+
+def _distance(longer: Column, shorter: Column, distance: int) -> Column:
     width = 2 * distance + 1
     mask = (1 << width) - 1
     end = F.size(longer) - F.size(shorter) + distance
