@@ -101,11 +101,12 @@ def having_count(df: DataFrame, keys: Sequence[str], min_count: int = 2) -> Data
 
 
 def two_level(parts: Sequence[DataFrame], inner_keys: Sequence[str], outer_keys: Sequence[str],
-              measure: str) -> DataFrame:
+              measure: str, top: str | None = None) -> DataFrame:
     """A10: aggregate a union of sources, then aggregate again on coarser
-    keys."""
+    keys; ``top`` names the greatest inner group's measure."""
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     inner = u.groupBy(*inner_keys).agg(F.sum(measure).alias(measure))
-    return inner.groupBy(*outer_keys).agg(F.sum(measure).alias(measure), F.count(F.lit(1)).alias("groups"))
+    extra = [F.max(measure).alias(top)] if top else []
+    return inner.groupBy(*outer_keys).agg(F.sum(measure).alias(measure), F.count(F.lit(1)).alias("groups"), *extra)

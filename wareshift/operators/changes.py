@@ -36,26 +36,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
            order_by: Sequence[str] = ()) -> DataFrame:
     """Insert source rows with new keys; on a key clash overwrite only
     ``update_cols`` (all non-key source columns when None).  Duplicate
-    source keys keep the greatest ``order_by`` row (H3)."""
+    source keys keep the greatest ``order_by`` row (H3).
+
+    Two joins instead of one full outer join, which Spark cannot broadcast:
+    a left join overwrites, a left-anti join finds the new keys, so a small
+    source is broadcast and the target is not shuffled."""
     keys = list(keys)
     src = dedupe_latest(source, keys, order_by)
     if update_cols is None:
         update_cols = [c for c in src.columns if c not in keys]
-    t = target.withColumn("__t", F.lit(True))
-    s = src.select(*[F.col(c).alias(f"__s_{c}") for c in src.columns]).withColumn("__s", F.lit(True))
-    j = t.join(s, [t[k] == s[f"__s_{k}"] for k in keys], "full")
-    out = []
-    for c in target.columns:
-        sc = f"__s_{c}"
-        if c in keys:
-            out.append(F.coalesce(F.col(c), F.col(sc)).alias(c))
-        elif c in update_cols and c in src.columns:
-            out.append(F.when(F.col("__s").isNotNull(), F.col(sc)).otherwise(F.col(c)).alias(c))
-        elif c in src.columns:
-            out.append(F.when(F.col("__t").isNotNull(), F.col(c)).otherwise(F.col(sc)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    renamed = src.select(*[F.col(c).alias(f"__s_{c}") for c in src.columns]).withColumn("__s", F.lit(True))
+    changed = lookup_join(target, renamed, keys, [f"__s_{k}" for k in keys], "left")
+    kept = changed.select(*[
+        F.when(F.col("__s").isNotNull(), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c)
+        if c in update_cols and c in src.columns and c not in keys else F.col(c) for c in target.columns])
+    known = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+    new = src.join(known, [src[k] == known[f"__t_{k}"] for k in keys], "left_anti")
+    types = dict(target.dtypes)
+    added = new.select(*[F.col(c) if c in src.columns else F.lit(None).cast(types[c]).alias(c) for c in target.columns])
+    return kept.unionByName(added)
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], cols: Sequence[str],

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wareshift.operators.joins import lookup_join
+
 # Business databases are those with these prefixes/suffixes or
 # in the special list; temporary (leading ___) and *_text copies are not.
 BUSINESS_PREFIXES = ("global_", "asset_")
@@ -70,16 +72,18 @@ def not_removed(df: DataFrame, flag: str = "is_removed") -> DataFrame:
 
 def drop_blocked(df: DataFrame, blocked: DataFrame, col: str, blocked_col: str | None = None) -> DataFrame:
     """P11 block-list as a left-anti join (the list is broadcast by the
-    planner when it is under the size threshold)."""
-    b = blocked.select(F.col(blocked_col or col).alias(col)).distinct()
-    return df.join(b, col, "left_anti")
+    planner when it is under the size threshold; a hot id of the log stays
+    splittable otherwise)."""
+    b = blocked.select(F.col(blocked_col or col).alias("__blocked")).distinct()
+    return lookup_join(df, b, [col], ["__blocked"], "left_anti")
 
 
 def mark_blocked(df: DataFrame, blocked: DataFrame, col: str, flag: str = "enabled") -> DataFrame:
     """P11 as in the reference: set ``enabled = false`` for listed ids."""
-    b = blocked.select(F.col(col)).distinct().withColumn("__blk", F.lit(True))
+    b = blocked.select(F.col(col).alias("__blocked")).distinct().withColumn("__blk", F.lit(True))
     prior = F.coalesce(F.col(flag), F.lit(True)) if flag in df.columns else F.lit(True)
-    return df.join(b, col, "left").withColumn(flag, prior & F.col("__blk").isNull()).drop("__blk")
+    joined = lookup_join(df, b, [col], ["__blocked"], "left")
+    return joined.withColumn(flag, prior & F.col("__blk").isNull()).drop("__blk", "__blocked")
 
 
 def base_tables(catalog: DataFrame, db: str | None = None, table_type: str = "table_type") -> DataFrame:

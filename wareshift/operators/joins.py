@@ -10,11 +10,9 @@ loop:
 * ``range_join`` (J3): equi key plus ``between`` bounds.
 
 Broadcasts are asked for only on sides with a bound: the set of distinct
-path lengths (at most the longest path), a ``limit(1)`` row, and through
-``broadcast_if_small``, which checks the row count of a side (a
-``limit(n+1).count()`` probe, which stops early) and leaves the side to the
-planner's size-checked choice otherwise.  ``lookup_join`` keeps a hot key
-of the big side splittable by AQE.
+path lengths (at most the longest path) and a ``limit(1)`` row; any other
+side is left to the planner's size-checked choice.  ``lookup_join`` keeps a
+hot key of the big side splittable by AQE.
 """
 
 from __future__ import annotations
@@ -24,15 +22,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it holds at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], lookup_keys: Sequence[str],
                 how: str = "left", split_hot_keys: bool = True) -> DataFrame:
     """Join ``df`` (big, keys possibly hot) with ``lookup`` (one row per
@@ -220,13 +209,17 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def convert_units(facts: DataFrame, factors: DataFrame, key: str, factor: str, value: str,
-                  out: str = "converted", split_hot_keys: bool = True) -> DataFrame:
+                  out: str = "converted", split_hot_keys: bool = True, factor_out: str | None = None) -> DataFrame:
     """Divide by a de-duplicated conversion factor; 0 or null -> 1.
-    A unit shared by a third of the facts is split (see :func:`lookup_join`)."""
+    ``factor_out`` keeps the factor used.  A unit shared by a third of the
+    facts is split (see :func:`lookup_join`)."""
     f = factors.groupBy(F.col(key).alias("__fk")).agg(F.max(factor).alias("__f"))
     guarded = F.coalesce(F.when(F.col("__f") != 0, F.col("__f")), F.lit(1))
     j = lookup_join(facts, f, [key], ["__fk"], "left", split_hot_keys)
-    return j.withColumn(out, F.col(value) / guarded).drop("__f", "__fk")
+    j = j.withColumn(out, F.col(value) / guarded)
+    if factor_out is not None:
+        j = j.withColumn(factor_out, guarded)
+    return j.drop("__f", "__fk")
 
 
 def semi(df: DataFrame, sub: DataFrame, on, how: str = "left_semi") -> DataFrame:
@@ -235,9 +228,13 @@ def semi(df: DataFrame, sub: DataFrame, on, how: str = "left_semi") -> DataFrame
 
 
 def anti_not_in(df: DataFrame, sub: DataFrame, col: str, sub_col: str) -> DataFrame:
-    """J8 null-aware ``NOT IN``: when the sub-result holds a null nothing
-    qualifies; a null probe value never qualifies."""
+    """J8 null-aware ``NOT IN``: an empty sub-result qualifies every row, a
+    null probe included; otherwise a null probe never qualifies, and when the
+    sub-result holds a null nothing does."""
     nulls = sub.filter(F.col(sub_col).isNull()).limit(1).select(F.lit(1).alias("__null"))
     kept = lookup_join(df.filter(F.col(col).isNotNull()), sub.select(F.col(sub_col).alias("__k")).distinct(),
                        [col], ["__k"], "left_anti")
-    return kept.join(F.broadcast(nulls), F.lit(True), "left_anti")
+    kept = kept.join(F.broadcast(nulls), F.lit(True), "left_anti")
+    any_row = sub.limit(1).select(F.lit(1).alias("__any"))
+    unknown = df.filter(F.col(col).isNull()).join(F.broadcast(any_row), F.lit(True), "left_anti")
+    return kept.unionByName(unknown)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wareshift.functions import rules as R
-from wareshift.operators.changes import update_from, upsert
+from wareshift.operators.changes import dedupe_latest, reset_in_buckets, update_from, upsert
 
 
 def _c(c):
@@ -100,9 +100,9 @@ def is_known_translate_error(err) -> Column:
 
 
 def drop_noise(log: DataFrame, text: str = "statement", db: str = "db", drop_dbs: Sequence[str] = ()) -> DataFrame:
-    cond = ~is_noise(text)
+    cond = ~F.coalesce(is_noise(text), F.lit(False))  # a row without a text or db is not noise
     if drop_dbs:
-        cond = cond & ~F.col(db).isin(list(drop_dbs))
+        cond = cond & ~F.coalesce(F.col(db).isin(list(drop_dbs)), F.lit(False))
     return log.filter(cond)
 
 
@@ -154,7 +154,8 @@ def record_outcome(statements: DataFrame, results: DataFrame, second_round: bool
         F.col("execute_result").alias(res),
         F.col("executed_at").alias("execute_time"),
     )
-    return update_from(statements, src, ["query_id"], [dur, res, "execute_time"], unique_source=True)
+    # of repeated outcomes of one statement the latest counts
+    return update_from(statements, src, ["query_id"], [dur, res, "execute_time"], order_by=["execute_time"])
 
 
 def record_errors(errors: DataFrame, results: DataFrame, sql_date: str) -> DataFrame:
@@ -192,8 +193,9 @@ def retry_worklist(errors: DataFrame, statements: DataFrame, categories: Sequenc
 
 
 def apply_retry(statements: DataFrame, errors: DataFrame, attempts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Apply retry attempts.  ``attempts``: query_id (unique), translated
-    (bool), new_sql, err_msg, duration, executed_at, timed_out.
+    """Apply retry attempts.  ``attempts``: query_id, translated (bool),
+    new_sql, err_msg, duration, executed_at, timed_out; of repeated attempts
+    at one statement the latest counts.
 
     * translation failed -> error category ``translate_error`` with the
       message, statement result reset to null and its text emptied;
@@ -202,7 +204,7 @@ def apply_retry(statements: DataFrame, errors: DataFrame, attempts: DataFrame) -
 
     One left join per table: the per-column conditions decide which columns
     an attempt overwrites."""
-    a = attempts.select(
+    a = dedupe_latest(attempts, ["query_id"], ["executed_at"]).select(
         F.col("query_id").alias("__q"), F.col("translated").alias("__tr"), F.col("new_sql").alias("__sql"),
         F.col("err_msg").alias("__err"), F.col("duration").alias("__dur"), F.col("executed_at").alias("__at"),
         F.coalesce(F.col("timed_out"), F.lit(False)).alias("__to"),
@@ -227,10 +229,12 @@ def apply_retry(statements: DataFrame, errors: DataFrame, attempts: DataFrame) -
 
 
 # L11
-def progress(outcomes: DataFrame, ts: str = "execute_time", result: str = "execute_result") -> DataFrame:
-    """finished / failed counts and rate = finished per second of elapsed time."""
+def progress(outcomes: DataFrame, ts: str = "execute_time", result: str = "execute_result",
+             by: Sequence[str] = ()) -> DataFrame:
+    """finished / failed counts and rate = finished per second of elapsed
+    time, over all rows or per ``by``."""
     elapsed = F.unix_micros(F.max(ts).cast("timestamp")) - F.unix_micros(F.min(ts).cast("timestamp"))
-    return outcomes.agg(
+    return outcomes.groupBy(*by).agg(
         F.count(F.col(result)).alias("finished"),
         F.sum(F.when(F.col(result) == 0, 1).otherwise(0)).alias("failed"),
         F.when(elapsed > 0, F.count(F.col(result)) / (elapsed / F.lit(1e6))).alias("rate"),
@@ -239,9 +243,7 @@ def progress(outcomes: DataFrame, ts: str = "execute_time", result: str = "execu
 
 # L12
 def reset_run(statements: DataFrame, sql_date: str, buckets: int = 8) -> DataFrame:
-    """Clear results of executed rows of one date (the reference split the
-    update into ``order_id % buckets`` slices; one column update covers all)."""
-    from wareshift.operators.changes import update_where
-
+    """Clear results of executed rows of one date; ``bucket`` (``order_id %
+    buckets``) lets the caller write the result slice by slice."""
     cond = (F.col("sql_date") == sql_date) & (F.col("execute_result") >= 0)
-    return update_where(statements, cond, {"execute_result": F.lit(None).cast("int")})
+    return reset_in_buckets(statements, cond, "execute_result", "order_id", buckets)

@@ -59,7 +59,7 @@ def diff_columns(a: DataFrame, b: DataFrame, db: str = "db", tbl: str = "tbl", c
     return g.withColumn("schema_match", (F.col("source_only") == "") & (F.col("target_only") == ""))
 
 
-def side_summary(df: DataFrame, table: str, fields: Sequence[str], timestamp_fields: Sequence[str] = (),
+def side_summary(df: DataFrame, table: str | Sequence[str], fields: Sequence[str], timestamp_fields: Sequence[str] = (),
                  round_seconds: bool = False) -> DataFrame:
     """R4/R5 one side: row count and max of each present field per table.
     ``round_seconds`` rounds timestamp fields to whole seconds first (the
@@ -70,20 +70,27 @@ def side_summary(df: DataFrame, table: str, fields: Sequence[str], timestamp_fie
             continue
         v = round_to_second(f) if (round_seconds and f in timestamp_fields) else F.col(f)
         aggs.append(F.max(v).alias(f"max_{f}"))
-    return df.groupBy(table).agg(*aggs)
+    return df.groupBy(*_names(table)).agg(*aggs)
 
 
-def compare_counts_max(source: DataFrame, target: DataFrame, table: str = "tbl",
+def _names(table: str | Sequence[str]) -> list[str]:
+    return [table] if isinstance(table, str) else list(table)
+
+
+def compare_counts_max(source: DataFrame, target: DataFrame, table: str | Sequence[str] = "tbl",
                        fields: Sequence[str] = ("id", "version", "updated_at"),
                        timestamp_fields: Sequence[str] = ("updated_at",)) -> DataFrame:
     """R4 + R5: counts per table, and when they agree the maxima of
-    id/version/updated_at (null-safe ``<=>``: null vs null is equal)."""
+    id/version/updated_at (null-safe ``<=>``: null vs null is equal).
+    ``table`` names the key columns; with database and table
+    (``["db", "tbl"]``) the result feeds :func:`mismatch_report`."""
+    keys = _names(table)
     a = side_summary(source, table, fields, timestamp_fields, round_seconds=True)
     b = side_summary(target, table, fields, timestamp_fields)
     present = [f for f in fields if f in source.columns and f in target.columns]
-    a = a.select(table, *[F.col(c).alias(f"source_{c}") for c in a.columns if c != table])
-    b = b.select(table, *[F.col(c).alias(f"target_{c}") for c in b.columns if c != table])
-    j = a.join(b, table, "full")
+    a = a.select(*keys, *[F.col(c).alias(f"source_{c}") for c in a.columns if c not in keys])
+    b = b.select(*keys, *[F.col(c).alias(f"target_{c}") for c in b.columns if c not in keys])
+    j = a.join(b, keys, "full")
     count_match = F.coalesce(F.col("source_cnt") == F.col("target_cnt"), F.lit(False))
     max_match = F.lit(True)
     for f in present:

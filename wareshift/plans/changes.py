@@ -121,9 +121,8 @@ FROM customer
 """, "D4")
 def update_case(spark, sf_dir):
     c = tables(spark, sf_dir).customer.select("c_custkey", "c_mktsegment")
-    m = spark.createDataFrame(list(SEGMENT_RENAMES.items()), "c_mktsegment string, new_segment string")
-    j = c.join(F.broadcast(m), "c_mktsegment", "left")
-    return j.select("c_custkey", F.coalesce("new_segment", "c_mktsegment").alias("c_mktsegment"))
+    keyed = c.withColumn("segment", F.col("c_mktsegment"))
+    return D.update_by_case(keyed, "segment", "c_mktsegment", SEGMENT_RENAMES, spark).select("c_custkey", "c_mktsegment")
 
 
 # Conditional update, soft delete and column copy.
@@ -239,43 +238,26 @@ SOFT_DELETE_COMPONENT = 1
 SOFT_DELETE_REVISER = 7
 SOFT_DELETE_VERSION = 2
 
+# Rule: an order points at a nation (keys that are multiples of ten: customer
+# key modulo 25) or at its customer (id: key + 100).  It is marked if it is
+# live and no feature, and the nation (its own, or its customer's) is in a
+# selected region and has an odd key; a customer must be live too, and its
+# nation's key above zero.
 _SOFT_DELETE_SQL = f"""
-WITH quantity_node AS (
-    SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(n_regionkey AS BIGINT) AS project_entry_work_id,
-           CAST(n_nationkey % 2 AS BIGINT) AS component_id, false AS is_removed
-    FROM nation
-    UNION ALL
-    SELECT c.c_custkey + 100, CAST(c.c_nationkey AS BIGINT), CAST(n.n_regionkey AS BIGINT), CAST(n.n_nationkey % 2 AS BIGINT),
-           c.c_custkey % 17 = 0
-    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-),
-param AS (
-    SELECT o_orderkey AS id,
-           CASE WHEN o_orderkey % 10 = 0 THEN o_custkey % 25 ELSE o_custkey + 100 END AS project_entry_work_quantity_id,
-           CASE WHEN o_orderkey % 9 = 0 THEN 'feature' ELSE 'value' END AS param_type,
-           o_orderkey % 23 = 0 AS is_removed, o_custkey AS reviser, CAST(1 AS BIGINT) AS version, o_orderdate AS updated_at
-    FROM orders
-),
-quantity AS (
-    SELECT q.id
-    FROM quantity_node q JOIN quantity_node qp ON qp.id = q.parent_id AND qp.is_removed = false
-    WHERE qp.project_entry_work_id IN {SOFT_DELETE_WORKS} AND qp.component_id = {SOFT_DELETE_COMPONENT}
-      AND q.parent_id > 0 AND q.is_removed = false
-    UNION ALL
-    SELECT id FROM quantity_node
-    WHERE project_entry_work_id IN {SOFT_DELETE_WORKS} AND component_id = {SOFT_DELETE_COMPONENT}
-      AND parent_id = -1 AND is_removed = false
-),
-hit AS (
-    SELECT DISTINCT p.id FROM param p JOIN quantity ON quantity.id = p.project_entry_work_quantity_id
-    WHERE p.is_removed = false AND p.param_type <> 'feature'
+WITH pointed AS (
+    SELECT o.*, o_orderkey % 10 = 0 AS at_nation, c_nationkey, coalesce(c_custkey % 17 <> 0, false) AS live_customer
+    FROM orders o LEFT JOIN customer ON c_custkey = o_custkey
+), judged AS (
+    SELECT p.*, coalesce(o_orderkey % 23 <> 0 AND o_orderkey % 9 <> 0 AND n_regionkey IN {SOFT_DELETE_WORKS}
+           AND n_nationkey % 2 = {SOFT_DELETE_COMPONENT} AND (at_nation OR live_customer AND n_nationkey > 0), false) AS marked
+    FROM pointed p LEFT JOIN nation ON n_nationkey = CASE WHEN at_nation THEN o_custkey % 25 ELSE c_nationkey END
 )
-SELECT p.id, p.project_entry_work_quantity_id, p.param_type,
-       CASE WHEN h.id IS NOT NULL THEN true ELSE p.is_removed END AS is_removed,
-       CASE WHEN h.id IS NOT NULL THEN CAST({SOFT_DELETE_REVISER} AS BIGINT) ELSE p.reviser END AS reviser,
-       CASE WHEN h.id IS NOT NULL THEN CAST({SOFT_DELETE_VERSION} AS BIGINT) ELSE p.version END AS version,
-       CASE WHEN h.id IS NOT NULL THEN TIMESTAMP '{AS_OF.isoformat()} 00:00:00' ELSE p.updated_at END AS updated_at
-FROM param p LEFT JOIN hit h ON h.id = p.id
+SELECT o_orderkey AS id, CASE WHEN at_nation THEN o_custkey % 25 ELSE o_custkey + 100 END AS project_entry_work_quantity_id,
+       CASE WHEN o_orderkey % 9 = 0 THEN 'feature' ELSE 'value' END AS param_type, marked OR o_orderkey % 23 = 0 AS is_removed,
+       CASE WHEN marked THEN {SOFT_DELETE_REVISER} ELSE o_custkey END AS reviser,
+       CASE WHEN marked THEN {SOFT_DELETE_VERSION} ELSE 1 END AS version,
+       CASE WHEN marked THEN TIMESTAMP '{AS_OF.isoformat()} 00:00:00' ELSE o_orderdate END AS updated_at
+FROM judged
 """
 
 

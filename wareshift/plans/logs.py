@@ -341,7 +341,7 @@ def log_retry(spark, sf_dir):
 
 # L10 apply: translated retries either succeed (error row deleted), fail
 # again (re-classified) or fail to translate (translate_error).
-@register("log_retry_apply", W(_ERRORS_SQL + f""",
+@register("log_retry_apply", W(_ERRORS_SQL + "," + _STATEMENTS_SQL + f""",
 attempts AS (
     SELECT query_id, event_id % 4 <> 0 AS translated, replace(statement, 'isnull(', 'ifnull(') AS new_sql,
            CASE WHEN event_id % 3 = 0 THEN 'Invalid transaction' WHEN event_id % 3 = 1 THEN 'Lost connection' ELSE '' END AS err_msg
@@ -349,11 +349,18 @@ attempts AS (
 ),
 a AS (SELECT *, translated AND err_msg = '' AS ok FROM attempts)
 SELECT e.query_id,
-       CASE WHEN a.query_id IS NULL THEN e.err_msg ELSE a.err_msg END AS err_msg,
+       'error' AS part,
+       CASE WHEN a.query_id IS NULL THEN e.err_msg ELSE a.err_msg END AS body,
        CASE WHEN a.query_id IS NULL THEN e.catalog WHEN NOT a.translated THEN 'translate_error'
-            ELSE {_classify_sql('a.new_sql', 'a.err_msg')} END AS catalog
+            ELSE {_classify_sql('a.new_sql', 'a.err_msg')} END AS catalog,
+       CAST(NULL AS INTEGER) AS execute_result
 FROM errors e LEFT JOIN a ON a.query_id = e.query_id
 WHERE a.query_id IS NULL OR NOT a.ok
+UNION ALL
+SELECT s.query_id, 'statement',
+       CASE WHEN a.query_id IS NULL THEN s.tidb_sql WHEN a.translated THEN a.new_sql ELSE '' END, NULL,
+       CASE WHEN a.query_id IS NULL THEN s.execute_result WHEN NOT a.translated THEN NULL WHEN a.ok THEN 1 ELSE 0 END
+FROM statements s LEFT JOIN a ON a.query_id = s.query_id
 """), "L10,D3,D7")
 def log_retry_apply(spark, sf_dir):
     errors = _errors(spark, sf_dir)
@@ -365,8 +372,12 @@ def log_retry_apply(spark, sf_dir):
         F.when(k % 3 == 0, "Invalid transaction").when(k % 3 == 1, "Lost connection").otherwise("").alias("err_msg"),
         F.lit(1.0).alias("duration"), F.lit(None).cast("timestamp_ntz").alias("executed_at"),
         F.lit(False).alias("timed_out"))
-    _, err = L.apply_retry(st, errors.select("query_id", "sql_date", "hash_id", "err_msg", "catalog"), attempts)
-    return err.select("query_id", "err_msg", "catalog")
+    st, err = L.apply_retry(st, errors.select("query_id", "sql_date", "hash_id", "err_msg", "catalog"), attempts)
+    none = F.lit(None)
+    return err.select("query_id", F.lit("error").alias("part"), F.col("err_msg").alias("body"), "catalog",
+                      none.cast("int").alias("execute_result")).unionByName(
+        st.select("query_id", F.lit("statement").alias("part"), F.col("tidb_sql").alias("body"),
+                  none.cast("string").alias("catalog"), "execute_result"))
 
 
 # L11
@@ -380,11 +391,7 @@ def log_progress(spark, sf_dir):
     st = _statements(spark, sf_dir)
     res = st.filter(F.col("duration") > 2).select(
         "sql_type", F.when(F.coalesce("err_msg", F.lit("")) != "", 0).otherwise(1).alias("r"), "created_at")
-    elapsed = F.timestamp_diff("MICROSECOND", F.min("created_at"), F.max("created_at"))
-    return res.groupBy("sql_type").agg(
-        F.count("r").alias("finished"),
-        F.sum(F.when(F.col("r") == 0, 1).otherwise(0)).cast("bigint").alias("failed"),
-        F.round(F.count("r") / (elapsed / F.lit(1e6)), 3).alias("rate"))
+    return L.progress(res, ts="created_at", result="r", by=["sql_type"]).withColumn("rate", F.round("rate", 3))
 
 
 # Reset results of one date.
@@ -394,11 +401,7 @@ SELECT query_id, CASE WHEN sql_date = '{SQL_DATE}' AND execute_result >= 0 THEN
 FROM statements
 """), "L12,D5,D8")
 def log_reset(spark, sf_dir):
-    from wareshift.operators.changes import reset_in_buckets
-
-    st = _statements(spark, sf_dir)
-    cond = (F.col("sql_date") == SQL_DATE) & (F.col("execute_result") >= 0)
-    return reset_in_buckets(st, cond, "execute_result", "order_id", 8).select(
+    return L.reset_run(_statements(spark, sf_dir), SQL_DATE, 8).select(
         "query_id", "execute_result", F.col("bucket").cast("bigint").alias("bucket"))
 
 
@@ -422,8 +425,15 @@ def sequence_ids(spark, sf_dir):
     return with_sequence(o, "seq_id", 1, order_by=["o_orderkey"])
 
 
-# Approximate distinct users per statement type (rows-only check).
-@register("approx_distinct", None, "A15")
+# Approximate distinct users per statement type.  The sketches of two
+# engines differ, so the result says whether the estimate lies within four
+# standard deviations (20 %) of the exact count.
+@register("approx_distinct", """
+SELECT event_type, count(DISTINCT user_id) AS users, true AS within_bound FROM events GROUP BY event_type
+""", "A15")
 def approx_distinct(spark, sf_dir):
     e = tables(spark, sf_dir).events
-    return e.groupBy("event_type").agg(F.approx_count_distinct("user_id").alias("approx_users"))
+    approx = e.groupBy("event_type").agg(F.approx_count_distinct("user_id").alias("approx_users"))
+    exact = e.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("approx_users") - F.col("users")) <= F.greatest(F.lit(2.0), 0.2 * F.col("users"))
+    return exact.join(approx, "event_type").select("event_type", "users", near.alias("within_bound"))

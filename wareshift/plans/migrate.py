@@ -191,6 +191,49 @@ def compare_counts_max(spark, sf_dir):
     return R.compare_counts_max(src, tgt, "tbl")
 
 
+# R4-R6 over two databases that hold tables of the same names: counts and
+# maxima per (db, tbl), and the report of the tables that fail them.
+_TWO_DBS_SQL = """
+WITH src AS (
+    SELECT 'db' || CAST(user_id % 2 AS VARCHAR) AS db, event_type AS tbl, count(*) AS n, max(event_id) AS id
+    FROM events GROUP BY 1, 2
+), tgt AS (
+    SELECT 'db' || CAST(user_id % 2 AS VARCHAR) AS db, event_type AS tbl, count(*) AS n,
+           max(event_id + CASE WHEN event_type = 'click' AND user_id % 2 = 1 THEN 1 ELSE 0 END) AS id
+    FROM events WHERE NOT (event_type = 'signup' AND user_id % 2 = 0) AND NOT (event_type = 'view' AND event_id % 5 = 0)
+    GROUP BY 1, 2
+)"""
+
+
+def _two_dbs(spark, sf_dir):
+    e = tables(spark, sf_dir).events
+    db = F.concat(F.lit("db"), (F.col("user_id") % 2).cast("string")).alias("db")
+    kind, odd = F.col("event_type"), F.col("user_id") % 2 == 1
+    src = e.select(db, kind.alias("tbl"), F.col("event_id").alias("id"))
+    tgt = e.filter(~((kind == "signup") & ~odd) & ~((kind == "view") & (F.col("event_id") % 5 == 0))).select(
+        db, kind.alias("tbl"), (F.col("event_id") + F.when((kind == "click") & odd, 1).otherwise(0)).alias("id"))
+    return src, tgt, R.compare_counts_max(src, tgt, ["db", "tbl"], ["id"], [])
+
+
+@register("compare_counts_max_dbs", _TWO_DBS_SQL + """
+SELECT coalesce(s.db, t.db) AS db, coalesce(s.tbl, t.tbl) AS tbl, coalesce(s.n = t.n, false) AS count_match,
+       coalesce(s.n = t.n, false) AND s.id IS NOT DISTINCT FROM t.id AS data_match
+FROM src s FULL JOIN tgt t ON s.db = t.db AND s.tbl = t.tbl
+""", "R4,R5")
+def compare_counts_max_dbs(spark, sf_dir):
+    return _two_dbs(spark, sf_dir)[2].select("db", "tbl", "count_match", "data_match")
+
+
+@register("mismatch_data", _TWO_DBS_SQL + """
+SELECT s.db || '.' || s.tbl AS table_name FROM src s LEFT JOIN tgt t ON s.db = t.db AND s.tbl = t.tbl
+WHERE t.n IS NULL OR s.n <> t.n OR s.id <> t.id
+""", "R6,R4,R5")
+def mismatch_data(spark, sf_dir):
+    src, tgt, data = _two_dbs(spark, sf_dir)
+    names = ["db", "tbl"]
+    return R.mismatch_report(src.select(*names).distinct(), tgt.select(*names).distinct(), data_report=data)
+
+
 # ---------------------------------------------------------------------------
 # Schema records of real tables: types from the table schema, string
 # lengths profiled from the data.

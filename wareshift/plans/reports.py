@@ -8,6 +8,7 @@ from wareshift.functions import scalars as S
 from wareshift.operators import aggregates as A
 from wareshift.operators import joins as J
 from wareshift.operators import windows as W
+from wareshift.operators.changes import with_sequence
 from wareshift.plans.common import AS_OF, dec, ntz, sql_date, stat_cycle, tables
 from wareshift.plans.registry import register
 
@@ -131,15 +132,14 @@ def period_totals(spark, sf_dir):
     d = F.col("o_orderdate").cast("date")
     a = F.lit(AS_OF)
     amt = dec("o_totalprice")
-    return o.groupBy("o_custkey").agg(
-        A.conditional_sum(amt, d >= F.trunc(a, "year")).alias("ytd"),
-        A.conditional_sum(amt, d >= F.trunc(a, "month")).alias("mtd"),
-        F.sum(amt).alias("cumulative"),
+    totals = A.period_totals(o, ["o_custkey"], "o_orderdate", amt, AS_OF)
+    counts = o.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum(F.when(d > F.date_sub(a, 30), 1).otherwise(0)).cast("bigint").alias("last_30d"),
         F.datediff(a, F.max(d)).cast("bigint").alias("days_since_last"),
         F.add_months(F.min(d), 12).alias("first_anniversary"),
     )
+    return totals.join(counts, "o_custkey")
 
 
 # ---------------------------------------------------------------------------
@@ -387,6 +387,20 @@ def anti_not_in(spark, sf_dir):
     return J.anti_not_in(probe, sub, "probe", "o_custkey").select("c_custkey", "c_name")
 
 
+# J8 on an empty list: every row qualifies, null probes included.
+@register("anti_not_in_empty", """
+SELECT c_custkey, c_name FROM customer
+WHERE (CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END)
+      NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice < 0)
+""", "J8")
+def anti_not_in_empty(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    probe = t.customer.select("c_custkey", "c_name",
+                              F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None)).otherwise(F.col("c_custkey")).alias("probe"))
+    sub = t.orders.filter(F.col("o_totalprice") < 0).select("o_custkey")
+    return J.anti_not_in(probe, sub, "probe", "o_custkey").select("c_custkey", "c_name")
+
+
 # Comma join of two one-row aggregates.
 @register("cross_totals", """
 SELECT a.order_total, a.order_count, b.line_qty, b.line_count
@@ -428,16 +442,15 @@ JOIN customer o ON o.c_custkey = f.orig_key
 """, "J12,F3")
 def self_parent(spark, sf_dir):
     """The originals are one row per nation (semi-join of customers with the
-    per-nation minimum), so they are broadcast behind a size check and every
-    customer meets its original on the nation key -- the hot original key of
-    a big nation never becomes one shuffle partition."""
+    per-nation minimum); every customer meets its original on the nation
+    key, which stays splittable for a big nation."""
     t = tables(spark, sf_dir)
     c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_name")
     first = c.groupBy("c_nationkey").agg(F.min("c_custkey").alias("orig_key"))
     orig = c.join(first, (c.c_custkey == first.orig_key) & (c.c_nationkey == first.c_nationkey), "left_semi").select(
         F.col("c_nationkey").alias("o_nation"), F.col("c_custkey").alias("orig_key"),
         F.col("c_acctbal").alias("o_bal"), F.col("c_name").alias("o_name"))
-    j = c.join(J.broadcast_if_small(orig, 100_000), F.col("c_nationkey") == F.col("o_nation"))
+    j = J.lookup_join(c, orig, ["c_nationkey"], ["o_nation"], "inner")
     return j.select(
         "c_custkey", "orig_key",
         F.when(F.col("c_acctbal") < F.col("o_bal"), F.col("o_name")).otherwise(F.col("c_name")).alias("pick_name"),
@@ -463,11 +476,10 @@ def unit_convert(spark, sf_dir):
          .join(part, F.col("l_partkey") == F.col("p_partkey"))
          .groupBy("p_type").agg(F.sum(dec("l_quantity")).alias("qty")))
     factors = part.select("p_type", (F.length("p_type") % 3).alias("f")).distinct()
-    out = J.convert_units(q, factors, "p_type", "f", "qty", "ratio")
-    guard = F.coalesce(F.when(F.col("f") != 0, F.col("f")), F.lit(1))
-    out = out.join(factors, "p_type", "left")
-    return out.select("p_type", "qty", guard.cast("bigint").alias("factor"),
-                      F.round(F.col("qty").cast("double") / guard, 2).alias("converted"))
+    out = J.convert_units(q.withColumn("amount", F.col("qty").cast("double")), factors, "p_type", "f", "amount",
+                          "converted", factor_out="factor")
+    return out.select("p_type", "qty", F.col("factor").cast("bigint").alias("factor"),
+                      F.round("converted", 2).alias("converted"))
 
 
 # Scalar subquery in a predicate.
@@ -479,8 +491,8 @@ GROUP BY o_orderstatus
 def scalar_subquery(spark, sf_dir):
     t = tables(spark, sf_dir)
     o = t.orders.select("o_orderstatus", "o_totalprice")
-    avg = o.agg(F.avg("o_totalprice").alias("__avg"))  # one row: broadcast is size-safe
-    return (o.crossJoin(F.broadcast(avg)).filter(F.col("o_totalprice") > F.col("__avg"))
+    average = o.agg(F.avg("o_totalprice")).scalar()
+    return (o.filter(F.col("o_totalprice") > average)
             .groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("above_avg"), F.sum(dec("o_totalprice")).alias("total")))
 
 
@@ -628,9 +640,7 @@ def two_level(spark, sf_dir):
     t = tables(spark, sf_dir)
     o = t.orders.select(F.lit("cust").alias("src"), F.col("o_custkey").alias("k"), dec("o_totalprice").alias("amount"))
     li = t.lineitem.select(F.lit("supp").alias("src"), F.col("l_suppkey").alias("k"), dec("l_extendedprice").alias("amount"))
-    inner = o.unionByName(li).groupBy("src", "k").agg(F.sum("amount").alias("amount"))
-    return inner.groupBy("src").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("groups"),
-                                    F.max("amount").alias("top_group"))
+    return A.two_level([o, li], ["src", "k"], ["src"], "amount", top="top_group")
 
 
 # Union of branches each with its own (ordered) limit and a constant.
@@ -662,18 +672,20 @@ def latest_per_key(spark, sf_dir):
     return latest.select("o_custkey", "o_orderkey", "o_orderdate", dec("o_totalprice").alias("price"))
 
 
-# Mixed asc/desc sort with explicit null ordering, top 50.
+# Mixed asc/desc sort with explicit null ordering; the position in
+# the order is part of the result.
 @register("sort_mixed", """
-SELECT o_orderkey, prio, CAST(o_totalprice AS DECIMAL(38,2)) AS price FROM (
-    SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS prio FROM orders
-) x ORDER BY prio ASC NULLS FIRST, o_totalprice DESC, o_orderkey LIMIT 50
+SELECT o_orderkey, prio, CAST(o_totalprice AS DECIMAL(38,2)) AS price,
+       CAST(row_number() OVER (ORDER BY prio ASC NULLS FIRST, o_totalprice DESC, o_orderkey) AS BIGINT) AS position
+FROM (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderpriority END AS prio FROM orders)
 """, "T1,T7")
 def sort_mixed(spark, sf_dir):
     t = tables(spark, sf_dir)
     o = t.orders.select("o_orderkey", "o_totalprice",
                         F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_orderpriority")).alias("prio"))
-    top = W.page(o, [F.col("prio").asc_nulls_first(), F.col("o_totalprice").desc(), F.col("o_orderkey")], limit=50)
-    return top.select("o_orderkey", "prio", dec("o_totalprice").alias("price"))
+    order = [F.col("prio").asc_nulls_first(), F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    placed = with_sequence(o, "position", 1, order_by=order)
+    return placed.select("o_orderkey", "prio", dec("o_totalprice").alias("price"), "position")
 
 
 # Limit + offset.
@@ -959,7 +971,7 @@ FROM customer
 WHERE (c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') OR c_acctbal BETWEEN 9000 AND 9500)
   AND NOT (c_nationkey = 3) AND c_nationkey <> 7 AND c_nationkey != 8
   AND c_name LIKE 'Customer#%' AND c_name NOT LIKE '%99'
-  AND regexp_matches(lower(c_mktsegment), '^(auto|house)') IS NOT NULL
+  AND regexp_matches(lower(c_mktsegment), '^(auto|house|mach)')
   AND (CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END) IS NOT NULL
 """, "P7,P8,P9,P10")
 def predicate_mix(spark, sf_dir):
@@ -969,7 +981,7 @@ def predicate_mix(spark, sf_dir):
         (c.c_mktsegment.isin("AUTOMOBILE", "HOUSEHOLD") | c.c_acctbal.between(9000, 9500))
         & ~(c.c_nationkey == 3) & (c.c_nationkey != 7) & (c.c_nationkey != 8)
         & c.c_name.like("Customer#%") & ~c.c_name.like("%99")
-        & F.lower(c.c_mktsegment).rlike("^(auto|house)").isNotNull()
+        & F.lower(c.c_mktsegment).rlike("^(auto|house|mach)")
         & F.when(c.c_acctbal < 0, F.lit(None)).otherwise(c.c_acctbal).isNotNull()
     )
     return c.filter(cond).select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
@@ -1047,38 +1059,26 @@ def month_report_status(spark, sf_dir):
 # grouped by an output alias, unioned with audited supplement rows (whose
 # material key lacks the ' | ' separator, as in the original), then pivoted
 # into plan/fact per line status with totals.
+# Rule: of the orders of building customers, a line counts once with its
+# quantity and price if the order is in the date window (an order without
+# lines counts as one null line), under 'flag | status', and once more with
+# its quantity as both if the order is finished, under 'flagstatus'.  Summed
+# per order priority and that label, by line status and in all.
 @register("material_pivot", """
-WITH orgs AS (SELECT c_custkey AS child_org_id FROM customer WHERE c_mktsegment = 'BUILDING'),
-produce AS (
-    SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
-    WHERE o_custkey IN (SELECT child_org_id FROM orgs)
-      AND o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1998-12-31 00:00:00'
-),
-produce_data AS (
-    SELECT sum(CAST(b.l_quantity AS DECIMAL(28,3))) AS plan_amn, sum(CAST(b.l_extendedprice AS DECIMAL(28,3))) AS fact_amnt,
-           a.o_orderpriority AS pro_line, a.o_orderkey AS schedule_id, a.o_custkey AS org_id,
-           concat(ifnull(b.l_returnflag, ''), ' | ', ifnull(b.l_linestatus, '')) AS mater_info,
-           b.l_linestatus AS status
-    FROM produce a LEFT JOIN lineitem b ON b.l_orderkey = a.o_orderkey
-    GROUP BY mater_info, a.o_orderpriority, a.o_orderkey, a.o_custkey, b.l_linestatus
-),
-supplement_data AS (
-    SELECT CAST(ifnull(b.l_quantity, 0) AS DECIMAL(28,3)) AS plan_amn, CAST(ifnull(b.l_quantity, 0) AS DECIMAL(28,3)) AS fact_amnt,
-           a.o_orderpriority AS pro_line, a.o_orderkey AS schedule_id, a.o_custkey AS org_id,
-           concat(ifnull(b.l_returnflag, ''), ifnull(b.l_linestatus, '')) AS mater_info, b.l_linestatus AS status
-    FROM orders a JOIN lineitem b ON b.l_orderkey = a.o_orderkey
-    WHERE a.o_custkey IN (SELECT child_org_id FROM orgs) AND a.o_orderstatus = 'F'
-),
-items AS (
-    SELECT plan_amn, fact_amnt, mater_info, pro_line, status FROM produce_data
+WITH line AS (
+    SELECT o_orderpriority AS pro_line, coalesce(l_returnflag, '') AS flag, l_linestatus AS status,
+           CAST(l_quantity AS DECIMAL(28,3)) AS q, CAST(l_extendedprice AS DECIMAL(28,3)) AS price,
+           o_orderdate BETWEEN TIMESTAMP '1996-01-01 00:00:00' AND TIMESTAMP '1998-12-31 00:00:00' AS in_window,
+           o_orderstatus = 'F' AND l_orderkey IS NOT NULL AS finished
+    FROM orders JOIN customer ON c_custkey = o_custkey AND c_mktsegment = 'BUILDING' LEFT JOIN lineitem ON l_orderkey = o_orderkey
+), entry AS (
+    SELECT pro_line, flag || ' | ' || coalesce(status, '') AS mater_info, status, q AS p, price AS f FROM line WHERE in_window
     UNION ALL
-    SELECT plan_amn, fact_amnt, mater_info, pro_line, status FROM supplement_data
+    SELECT pro_line, flag || status, status, q, q FROM line WHERE finished
 )
-SELECT pro_line, mater_info,
-       sum(CASE WHEN status = 'F' THEN plan_amn END) AS plan_F, sum(CASE WHEN status = 'F' THEN fact_amnt END) AS fact_F,
-       sum(CASE WHEN status = 'O' THEN plan_amn END) AS plan_O, sum(CASE WHEN status = 'O' THEN fact_amnt END) AS fact_O,
-       sum(plan_amn) AS plan_total, sum(fact_amnt) AS fact_total
-FROM items GROUP BY pro_line, mater_info
+SELECT pro_line, mater_info, sum(p) FILTER (status = 'F') AS plan_F, sum(f) FILTER (status = 'F') AS fact_F,
+       sum(p) FILTER (status = 'O') AS plan_O, sum(f) FILTER (status = 'O') AS fact_O, sum(p) AS plan_total, sum(f) AS fact_total
+FROM entry GROUP BY pro_line, mater_info
 """, "A3,A6,A10,J2,F1,F5,F8,U1,P12")
 def material_pivot(spark, sf_dir):
     """One pass over the org's orders and their lines: the final pivot sums
@@ -1117,35 +1117,22 @@ def material_pivot(spark, sf_dir):
 # aligned with zero fill and a type tag, converted through a de-duplicated
 # unit-factor table (0 or null -> 1), totalled, and combined with the planned
 # quantity -- two one-row aggregates joined by a comma join.
-_FACTOR_SQL = "SELECT DISTINCT p_type AS conversion_unit, CASE ifnull(length(p_type) % 3, 0) WHEN 0 THEN 1 ELSE length(p_type) % 3 END AS conversion_factor FROM part"
-
-
-@register("material_balance", f"""
-WITH unit AS (SELECT p_partkey, p_type AS material_unit FROM part),
-receive AS (SELECT u.material_unit, l.l_quantity AS q FROM lineitem l JOIN unit u ON u.p_partkey = l.l_partkey WHERE l.l_returnflag = 'R'),
-delivery AS (SELECT u.material_unit, l.l_quantity AS q FROM lineitem l JOIN unit u ON u.p_partkey = l.l_partkey WHERE l.l_returnflag = 'A'),
-dosage AS (SELECT u.material_unit, CAST(l.l_linenumber AS DOUBLE) AS q FROM lineitem l JOIN unit u ON u.p_partkey = l.l_partkey WHERE l.l_returnflag = 'N'),
-all_material AS (
-    SELECT material_unit, q AS receive_quantity, 0 AS delivery_quantity, 0 AS fact_amnt, 'receive' AS type FROM receive
-    UNION ALL SELECT material_unit, 0, q, 0, 'delivery' FROM delivery
-    UNION ALL SELECT material_unit, 0, 0, q, 'dosage' FROM dosage
-),
-convert_quantity AS (
-    SELECT sum(receive_quantity / ifnull(conversion_factor, 1)) AS receive_quantity,
-           sum(delivery_quantity / ifnull(conversion_factor, 1)) AS delivery_quantity,
-           sum(fact_amnt / ifnull(conversion_factor, 1)) AS fact_amnt
-    FROM all_material a LEFT JOIN ({_FACTOR_SQL}) b ON a.material_unit = b.conversion_unit
-),
-kl_quantity AS (
-    SELECT sum(CAST(p_size AS DOUBLE) / ifnull(conversion_factor, 1)) AS plan_quantity
-    FROM part a LEFT JOIN ({_FACTOR_SQL}) b ON a.p_type = b.conversion_unit
+# Rule: a line's measure (quantity of returned and accepted lines, line number
+# of the others) is divided by its part's unit factor, the length of the type
+# modulo three, zero counting as one; a part's size likewise.
+@register("material_balance", """
+WITH unit AS (
+    SELECT p_partkey, p_size, CASE WHEN length(p_type) % 3 = 0 THEN 1 ELSE length(p_type) % 3 END AS factor FROM part
+), line AS (
+    SELECT coalesce(sum(l_quantity / factor) FILTER (l_returnflag = 'R'), 0) AS returned,
+           coalesce(sum(l_quantity / factor) FILTER (l_returnflag = 'A'), 0) AS accepted,
+           coalesce(sum(l_linenumber / factor) FILTER (l_returnflag = 'N'), 0) AS used
+    FROM lineitem JOIN unit ON p_partkey = l_partkey
 )
-SELECT round(ifnull(a.receive_quantity, 0), 0) AS receive_quantity,
-       round(ifnull(a.delivery_quantity, 0), 0) AS mq_delivery_quantity,
-       round(ifnull(a.fact_amnt, 0), 0) AS fact_amnt,
-       round(ifnull(b.plan_quantity, 0), 0) AS plan_quantity,
-       round(ifnull(a.delivery_quantity, 0) + ifnull(a.fact_amnt, 0), 0) AS delivery_quantity
-FROM convert_quantity a, kl_quantity b
+SELECT round(returned, 0) AS receive_quantity, round(accepted, 0) AS mq_delivery_quantity, round(used, 0) AS fact_amnt,
+       round((SELECT coalesce(sum(p_size / factor), 0) FROM unit), 0) AS plan_quantity,
+       round(accepted + used, 0) AS delivery_quantity
+FROM line
 """, "J13,J9,A9,F1,F11")
 def material_balance(spark, sf_dir):
     """The statement's receive / delivery / dosage sources are exclusive

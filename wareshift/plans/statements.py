@@ -25,53 +25,41 @@ _BILL_FACTOR_SQL = ("CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(CASE o_ord
                     "WHEN 1 THEN '1.25' WHEN 2 THEN '1.50' ELSE '1.75' END AS DECIMAL(5,2)) END")
 
 
+# Rule: a node is a region, a nation or a live customer; its id is the keys
+# from the region down.  A node is reported if a live customer of the region
+# has an id that starts with it, and the region has live finished orders.
+# Customers report the amounts (times factor) of the customers so found, and
+# the same rounded per order and priced; other nodes report null.
 @register("bill_quantity", f"""
-WITH detail AS (
-    SELECT CAST(r_regionkey AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS parent_id, r_name AS name,
-           'R' || CAST(r_regionkey AS VARCHAR) AS code, '' AS unit, CAST(NULL AS DECIMAL(15,2)) AS price,
-           r_regionkey AS org_id, r_regionkey AS bill_id, false AS is_leaf, 1 AS level,
-           CAST(r_regionkey AS BIGINT) AS order_no, false AS is_removed
-    FROM region
-    UNION ALL
-    SELECT CAST(n_regionkey AS VARCHAR) || '|' || CAST(n_nationkey AS VARCHAR), CAST(n_regionkey AS VARCHAR), n_name,
-           'N' || CAST(n_nationkey AS VARCHAR), '', CAST(NULL AS DECIMAL(15,2)),
-           n_regionkey, n_regionkey, false, 2, CAST(n_nationkey AS BIGINT), false
-    FROM nation
-    UNION ALL
-    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR),
-           CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR), c.c_name,
-           'C' || CAST(c.c_custkey AS VARCHAR), c.c_mktsegment, CAST(c.c_acctbal AS DECIMAL(15,2)),
-           n.n_regionkey, n.n_regionkey, true, 3, CAST(c.c_custkey AS BIGINT), c.c_custkey % 29 = 0
-    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-),
-project_quantity AS (
-    SELECT CAST(n.n_regionkey AS VARCHAR) || '|' || CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey AS VARCHAR)
-               AS detail_id,
-           n.n_regionkey AS org_id, n.n_regionkey AS bill_id, o.o_orderstatus AS unit_work,
-           CAST(o.o_totalprice AS DECIMAL(15,2)) AS review_quantity, {_BILL_FACTOR_SQL} AS factor,
-           o.o_orderkey % 31 = 0 AS is_removed
-    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
-),
-bill_quantity AS (
-    SELECT p.id,
-           IF(p.is_leaf = false, NULL, ROUND(SUM(pq.review_quantity * IFNULL(pq.factor, 1)), 3)) AS review_quantity,
-           IF(p.is_leaf = false, NULL, ROUND(SUM(ROUND(pq.review_quantity * IFNULL(pq.factor, 1), 3) * c.price), 3))
-               AS review_price
-    FROM detail p
-    JOIN detail c
-      ON c.is_removed = false AND c.org_id = p.org_id AND c.is_leaf = true AND c.bill_id = p.bill_id
-     AND left(c.id, length(p.id)) = p.id
-    LEFT JOIN project_quantity pq
-      ON pq.is_removed = false AND pq.org_id = c.org_id AND pq.unit_work = 'F' AND pq.detail_id = c.id
-    WHERE p.is_removed = false
-      AND p.bill_id IN (SELECT DISTINCT bill_id FROM project_quantity WHERE is_removed = false AND unit_work = 'F')
-    GROUP BY p.id, p.is_leaf
+WITH live_order AS (
+    SELECT o_custkey, CAST(o_totalprice AS DECIMAL(15,2)) * coalesce({_BILL_FACTOR_SQL}, 1) AS amount
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 31 <> 0
+), region_with_orders AS (
+    SELECT DISTINCT n_regionkey FROM live_order JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+), buyer AS (
+    SELECT n_regionkey, n_regionkey || '|' || n_nationkey AS above, n_regionkey || '|' || n_nationkey || '|' || c_custkey AS id,
+           c_name, c_mktsegment, c_custkey, CAST(c_acctbal AS DECIMAL(15,2)) AS price,
+           sum(amount) AS amount, CAST(sum(round(amount, 3)) AS DECIMAL(20,3)) AS rounded
+    FROM customer JOIN nation ON n_nationkey = c_nationkey LEFT JOIN live_order ON o_custkey = c_custkey
+    WHERE c_custkey % 29 <> 0
+    GROUP BY ALL
+), node AS (
+    SELECT n_regionkey, id, above AS parent_id, c_name AS name, 'C' || c_custkey AS code, c_mktsegment AS unit, price,
+           true AS sells FROM buyer
+    UNION ALL SELECT n_regionkey, n_regionkey || '|' || n_nationkey, CAST(n_regionkey AS VARCHAR), n_name, 'N' || n_nationkey,
+           '', NULL, false FROM nation
+    UNION ALL SELECT r_regionkey, CAST(r_regionkey AS VARCHAR), NULL, r_name, 'R' || r_regionkey, '', NULL, false FROM region
+), found AS (
+    SELECT node.id, parent_id, name, code, unit, CAST(node.price AS DECIMAL(38,2)) AS price,
+           CASE WHEN sells THEN round(sum(b.amount), 3) END AS quantity,
+           CASE WHEN sells THEN round(sum(b.rounded * b.price), 3) END AS money
+    FROM node JOIN buyer b ON b.n_regionkey = node.n_regionkey AND starts_with(b.id, node.id)
+    WHERE node.n_regionkey IN (FROM region_with_orders)
+    GROUP BY node.id, parent_id, name, code, unit, node.price, sells
 )
-SELECT d.id, d.parent_id, d.name, d.code, d.unit, CAST(d.price AS DECIMAL(38,2)) AS price, b.review_quantity, b.review_price,
-       b.review_quantity AS reside_quantity, b.review_price AS reside_price
-FROM detail d JOIN bill_quantity b ON b.id = d.id
-WHERE d.is_removed = false
-ORDER BY d.level, d.order_no
+SELECT id, parent_id, name, code, unit, price, quantity AS review_quantity, money AS review_price,
+       quantity AS reside_quantity, money AS reside_price
+FROM found
 """, "J5,J7,J2,P6,A2,F1,F3,F5,F11,P12,T1")
 def bill_quantity(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -136,48 +124,29 @@ def bill_quantity(spark, sf_dir):
 # nation 1 also occurs in '11|...'), de-duplicated, under the bill root
 # rows.  Bills = regions; details = nations (full_id 'n') and customers
 # (id custkey + 100, full_id 'n|id'); part quantities = urgent orders.
-_TREE_DETAIL_SQL = """
-detail AS (
-    SELECT CAST(n_nationkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(n_nationkey AS VARCHAR) AS full_id,
-           'N' || CAST(n_nationkey AS VARCHAR) AS code, n_name AS name, CAST(NULL AS VARCHAR) AS unit,
-           CAST(n_regionkey AS BIGINT) AS org_id, CAST(n_regionkey AS BIGINT) AS bill_id,
-           CAST(n_nationkey AS BIGINT) AS order_no, false AS is_removed
+# Rule: nodes are nations (path: nation key) and live customers (id: key +
+# 100; path: nation | id).  Customers with a live urgent order are picked.
+# Reported: each region with a picked customer, and each node whose path
+# occurs anywhere in the path of a picked customer of its region.
+@register("bill_tree", """
+WITH node AS (
+    SELECT n_regionkey AS region, n_nationkey AS id, NULL AS nation, CAST(n_nationkey AS VARCHAR) AS path,
+           'N' || n_nationkey AS code, n_name AS name, NULL AS unit
     FROM nation
     UNION ALL
-    SELECT c.c_custkey + 100, CAST(n.n_nationkey AS BIGINT),
-           CAST(n.n_nationkey AS VARCHAR) || '|' || CAST(c.c_custkey + 100 AS VARCHAR),
-           CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE 'C' || CAST(c.c_custkey AS VARCHAR) END, c.c_name, c.c_mktsegment,
-           CAST(n.n_regionkey AS BIGINT), CAST(n.n_regionkey AS BIGINT), c.c_custkey, c.c_custkey % 23 = 0
-    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
-)"""
-
-
-@register("bill_tree", f"""
-WITH {_TREE_DETAIL_SQL},
-bill_detail AS (
-    SELECT DISTINCT b.bill_id, q.detail_id, b.org_id
-    FROM (SELECT o_custkey + 100 AS detail_id, o_orderkey % 31 = 0 AS is_removed, o_orderpriority AS part FROM orders) q
-    JOIN detail b ON b.is_removed = false AND b.id = q.detail_id
-    WHERE q.is_removed = false AND q.part = '1-URGENT'
+    SELECT n_regionkey, c_custkey + 100, n_nationkey, n_nationkey || '|' || (c_custkey + 100),
+           CASE WHEN c_custkey % 13 <> 0 THEN 'C' || c_custkey ELSE '' END, c_name, c_mktsegment
+    FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE c_custkey % 23 <> 0
+), picked AS (
+    SELECT region, path FROM node
+    WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey + 100 = id AND o_orderkey % 31 <> 0 AND o_orderpriority = '1-URGENT')
 )
-SELECT t.id, t.parent_id, t.full_id, t.code, t.name, t.unit
-FROM (
-    SELECT CAST(r_regionkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(r_regionkey AS VARCHAR) AS full_id,
-           ifnull('R' || CAST(r_regionkey AS VARCHAR), '') AS code, ifnull(r_name, '') AS name, CAST(NULL AS VARCHAR) AS unit,
-           1 AS level, CAST(r_regionkey AS BIGINT) AS order_no
-    FROM region
-    WHERE r_regionkey IN (SELECT bill_id FROM bill_detail)
-    UNION ALL
-    SELECT DISTINCT bp.id, IF(bp.parent_id = -1, bp.bill_id, bp.parent_id), concat_ws('|', CAST(bp.bill_id AS VARCHAR), bp.full_id),
-           ifnull(bp.code, ''), ifnull(bp.name, ''), bp.unit, 2, bp.order_no
-    FROM detail bc
-    JOIN detail bp ON bp.is_removed = false AND bp.org_id = bc.org_id AND bp.bill_id = bc.bill_id
-                  AND strpos(bc.full_id, bp.full_id) > 0
-    WHERE bc.is_removed = false
-      AND bc.org_id IN (SELECT org_id FROM bill_detail)
-      AND bc.id IN (SELECT detail_id FROM bill_detail)
-) t
-ORDER BY t.level, t.order_no
+SELECT CAST(r_regionkey AS BIGINT) AS id, CAST(-1 AS BIGINT) AS parent_id, CAST(r_regionkey AS VARCHAR) AS full_id,
+       'R' || r_regionkey AS code, r_name AS name, NULL AS unit
+FROM region WHERE EXISTS (SELECT 1 FROM picked WHERE region = r_regionkey)
+UNION ALL
+SELECT id, coalesce(nation, region), region || '|' || path, code, name, unit
+FROM node WHERE EXISTS (SELECT 1 FROM picked WHERE picked.region = node.region AND contains(picked.path, node.path))
 """, "J6,J7,J1,U1,A5,F1,F3,F8,P6,P12,T1")
 def bill_tree(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -231,61 +200,27 @@ def bill_tree(spark, sf_dir):
 # filter), with the stock of the same org and material attached.  Plan
 # heads = submitted orders, purchase heads = urgent/high orders, stock =
 # open lines; materials = parts; soft-deleted and null quantities by CASE.
-_NEED_ITEM_SQL = """
-item AS (
-    SELECT l_orderkey AS order_id, l_partkey AS material_id, 'P' || CAST(l_partkey AS VARCHAR) AS material_code,
-           'M' || CAST(l_partkey % 50 AS VARCHAR) AS material_model, 'material ' || CAST(l_partkey AS VARCHAR) AS material_name,
-           CASE l_partkey % 3 WHEN 0 THEN 't' WHEN 1 THEN 'm3' ELSE 'kg' END AS material_unit,
-           CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE CAST(l_quantity AS DECIMAL(15,2)) END AS quantity,
-           l_linenumber = 7 AS is_removed, l_linestatus
-    FROM lineitem
-)"""
-
-
-@register("purchase_need", f"""
-WITH orgs AS (SELECT c_custkey AS child_org_id FROM customer WHERE c_acctbal > 0),
-{_NEED_ITEM_SQL},
-plan_head AS (
-    SELECT o_orderkey AS id, o_custkey AS org_id FROM orders
-    WHERE o_orderkey % 37 <> 0 AND o_orderstatus IN ('F', 'P') AND o_custkey IN (SELECT child_org_id FROM orgs)
-),
-purchase_head AS (
-    SELECT o_orderkey AS id, o_custkey AS org_id FROM orders
-    WHERE o_orderkey % 37 <> 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_custkey IN (SELECT child_org_id FROM orgs)
-),
-month_quantity AS (
-    SELECT ifnull(sum(b.quantity), 0) AS quantity, a.org_id, b.material_id, b.material_model, b.material_code,
-           b.material_name, b.material_unit
-    FROM plan_head a JOIN item b ON a.id = b.order_id
-    WHERE b.is_removed = false
-    GROUP BY a.org_id, b.material_id, b.material_model, b.material_code, b.material_name, b.material_unit
-),
-supply_quantity AS (
-    SELECT ifnull(sum(b.quantity), 0) AS quantity, a.org_id, b.material_id
-    FROM purchase_head a JOIN item b ON a.id = b.order_id
-    WHERE b.is_removed = false
-    GROUP BY a.org_id, b.material_id, b.material_model, b.material_code, b.material_name, b.material_unit
-),
-result AS (
-    SELECT CAST(a.quantity AS DECIMAL(28,4)) AS plan_quantity,
-           CAST(ifnull(b.quantity, 0) AS DECIMAL(28,4)) AS purchase_quantity,
-           CAST(a.quantity - ifnull(b.quantity, 0) AS DECIMAL(28,4)) AS need_quantity,
-           a.org_id, a.material_id, a.material_model, a.material_code, a.material_name, a.material_unit
-    FROM month_quantity a LEFT JOIN supply_quantity b ON a.org_id = b.org_id AND a.material_id = b.material_id
-    WHERE (a.quantity - ifnull(b.quantity, 0)) > 0
-),
-inventory AS (
-    SELECT i.material_id, o.o_custkey AS org_id, sum(ifnull(i.quantity, 0)) AS inventory_quantity
-    FROM item i JOIN orders o ON o.o_orderkey = i.order_id
-    WHERE i.l_linestatus = 'O' AND i.is_removed = false
-    GROUP BY i.material_id, o.o_custkey
+# Rule: of the customers in credit, per customer and part, what submitted
+# orders plan less what urgent and high orders buy, where something is left;
+# with the open lines' quantity as stock.
+@register("purchase_need", """
+WITH moved AS (
+    SELECT o_custkey AS org_id, l_partkey AS material_id,
+           CASE WHEN l_orderkey % 19 <> 0 THEN CAST(l_quantity AS DECIMAL(15,2)) END AS q,
+           o_orderkey % 37 <> 0 AND o_orderstatus IN ('F', 'P') AS planned,
+           o_orderkey % 37 <> 0 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AS bought, l_linestatus = 'O' AS open
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+    WHERE l_linenumber <> 7 AND c_acctbal > 0
+), balance AS (
+    SELECT org_id, material_id, coalesce(sum(q) FILTER (planned), 0) AS planned, coalesce(sum(q) FILTER (bought), 0) AS bought,
+           coalesce(sum(q) FILTER (open), 0) AS stock, count(*) FILTER (planned) AS plans
+    FROM moved GROUP BY ALL
 )
-SELECT ifnull(b.inventory_quantity, 0) AS inventory_quantity,
-       CAST(a.plan_quantity AS DECIMAL(38,4)) AS plan_quantity, CAST(a.purchase_quantity AS DECIMAL(38,4)) AS purchase_quantity,
-       CAST(a.need_quantity AS DECIMAL(38,4)) AS need_quantity, a.org_id, a.material_id, a.material_model, a.material_code,
-       a.material_name, a.material_unit
-FROM result a LEFT JOIN inventory b ON a.org_id = b.org_id AND a.material_id = b.material_id
-ORDER BY a.need_quantity DESC
+SELECT stock AS inventory_quantity, CAST(planned AS DECIMAL(38,4)) AS plan_quantity,
+       CAST(bought AS DECIMAL(38,4)) AS purchase_quantity, CAST(planned - bought AS DECIMAL(38,4)) AS need_quantity,
+       org_id, material_id, 'M' || material_id % 50 AS material_model, 'P' || material_id AS material_code,
+       'material ' || material_id AS material_name, ['t', 'm3', 'kg'][1 + material_id % 3] AS material_unit
+FROM balance WHERE plans > 0 AND planned > bought
 """, "A8,A1,A10,J2,J7,F1,F5,P6,P8,P12,T1")
 def purchase_need(spark, sf_dir):
     """One join of lines to orders and one aggregate for all three measures
@@ -325,7 +260,7 @@ def purchase_need(spark, sf_dir):
         F.concat(F.lit("P"), m.cast("string")).alias("material_code"),
         F.concat(F.lit("material "), m.cast("string")).alias("material_name"),
         F.when(m % 3 == 0, "t").when(m % 3 == 1, "m3").otherwise("kg").alias("material_unit"))
-    return out.orderBy(F.col("need_quantity").desc())
+    return out.orderBy(F.col("need_quantity").desc(), "org_id", "material_id")
 
 
 # ---------------------------------------------------------------------------
@@ -383,7 +318,7 @@ def allot_receive(spark, sf_dir):
     # when both numbers are: join on them, not on the string
     out = allot.join(received, (F.col("order_id") == F.col("b_order")) & (F.col("sort_code") == F.col("b_line")),
                      "left").drop("b_order", "b_line")
-    return out.orderBy("sort_code")
+    return out.orderBy("sort_code", "id")
 
 
 # ---------------------------------------------------------------------------
@@ -576,60 +511,28 @@ def category_dosage(spark, sf_dir):
 # month (dated at its last order day), daily reports / plan / dispatch =
 # orders per customer-day / urgent orders per company-month / high-priority
 # orders per company-day.
+# Rule: a task per nation and month but February, dated at the nation's last
+# order day of the month, if the nation has an in-hand project (customer key
+# not a multiple of three, in credit) with an order in that year.  It reports
+# the in-hand projects' amounts of the month, the urgent amounts, and the
+# number and amount of the high-priority orders.
 _TASK_SQL = """
-WITH ord AS (
-    SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, CAST(o.o_totalprice AS DECIMAL(15,2)) AS amount,
-           CAST(o.o_orderdate AS DATE) AS d, c.c_nationkey AS nation, c.c_acctbal
-    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-),
-org_relation AS (
-    SELECT c_nationkey AS org_id, c_custkey AS child_org_id, 'project' AS child_ext_type, c_custkey % 3 <> 0 AS top_project
-    FROM customer
-),
-month_task AS (
-    SELECT CAST(nation AS BIGINT) * 1000000 + year(d) * 100 + month(d) AS id, nation AS org_id,
-           'e' || CAST(nation AS VARCHAR) AS editor, 'r' || CAST(nation % 4 AS VARCHAR) AS reviewer,
-           max(d) AS stat_date, month(d) = 2 AS is_removed
-    FROM ord GROUP BY nation, year(d), month(d)
-),
-d_date AS (
-    SELECT DISTINCT 'pr-c-' || strftime(d, '%Y%m%d') || '-' || CAST(nation AS VARCHAR) AS id, year(d) AS stat_year,
-           month(d) AS stat_month, CAST(date_trunc('month', d) AS DATE) AS stat_month_start
-    FROM ord
-),
-extras_info AS (SELECT DISTINCT o_custkey AS org_id, year(d) AS year, c_acctbal > 0 AS in_hand, false AS is_removed FROM ord),
-daily AS (SELECT o_custkey AS org_id, d AS stat_date, sum(amount) AS complete_amount, false AS is_removed FROM ord GROUP BY 1, 2),
-plan AS (
-    SELECT nation AS org_id, year(d) AS year, month(d) AS month, sum(amount) AS amount
-    FROM ord WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2, 3
-),
-dispatch AS (
-    SELECT nation AS org_id, d AS stat_date, CAST(count(*) AS DECIMAL(15,2)) AS plan_amount, sum(amount) AS complete_amount,
-           false AS is_removed
-    FROM ord WHERE o_orderpriority = '2-HIGH' GROUP BY 1, 2
-),
-temp AS (
-    SELECT mt.id, mt.org_id, mt.editor, mt.reviewer, da.stat_year, da.stat_month, da.stat_month_start, mt.stat_date,
-           sum(daily.complete_amount) AS complete_amount, plan.amount
-    FROM org_relation org
-    JOIN month_task mt ON org.org_id = mt.org_id AND mt.is_removed = false
-    JOIN d_date da ON da.id = 'pr-c-' || replace(left(CAST(mt.stat_date AS VARCHAR), 10), '-', '') || '-' || CAST(mt.org_id AS VARCHAR)
-    JOIN extras_info ex ON ex.org_id = org.child_org_id AND ex.year = da.stat_year AND ex.in_hand = true AND ex.is_removed = false
-    LEFT JOIN daily ON org.child_org_id = daily.org_id AND daily.is_removed = false
-                   AND daily.stat_date >= da.stat_month_start AND daily.stat_date <= mt.stat_date
-    LEFT JOIN plan ON plan.org_id = mt.org_id AND plan.year = da.stat_year AND plan.month = da.stat_month
-    WHERE org.child_ext_type = 'project' AND org.top_project = true
-    GROUP BY mt.id, mt.org_id, mt.editor, mt.reviewer, da.stat_year, da.stat_month, da.stat_month_start, mt.stat_date, plan.amount
+WITH sold AS (
+    SELECT c_nationkey AS nation, CAST(o_orderdate AS DATE) AS d, year(o_orderdate) AS y, month(o_orderdate) AS m,
+           o_orderpriority AS priority, CAST(o_totalprice AS DECIMAL(15,2)) AS amount,
+           c_custkey % 3 <> 0 AND c_acctbal > 0 AS in_hand
+    FROM orders JOIN customer ON c_custkey = o_custkey
+), in_month AS (
+    SELECT nation, y, m, max(d) AS last_day, sum(amount) FILTER (in_hand) AS done,
+           sum(amount) FILTER (priority = '1-URGENT') AS urgent, sum(amount) FILTER (priority = '2-HIGH') AS high,
+           nullif(count(*) FILTER (priority = '2-HIGH'), 0) AS highs
+    FROM sold GROUP BY nation, y, m
 )
-SELECT temp.id, temp.org_id, temp.editor, temp.reviewer, temp.stat_year, temp.stat_month, temp.stat_month_start,
-       temp.stat_date, temp.complete_amount, temp.amount,
-       sum(dt.plan_amount) AS plan_amount_other, sum(dt.complete_amount) AS complete_amount_other
-FROM temp
-LEFT JOIN dispatch dt ON dt.org_id = temp.org_id AND dt.is_removed = false
-                     AND dt.stat_date >= temp.stat_month_start AND dt.stat_date <= temp.stat_date
-GROUP BY temp.id, temp.org_id, temp.editor, temp.reviewer, temp.stat_year, temp.stat_month, temp.stat_month_start,
-         temp.stat_date, temp.complete_amount, temp.amount
-ORDER BY temp.stat_date DESC
+SELECT CAST(nation AS BIGINT) * 1000000 + y * 100 + m AS id, nation AS org_id, 'e' || nation AS editor,
+       'r' || nation % 4 AS reviewer, y AS stat_year, m AS stat_month, make_date(y, m, 1) AS stat_month_start,
+       last_day AS stat_date, done AS complete_amount, urgent AS amount, highs AS plan_amount_other,
+       high AS complete_amount_other
+FROM in_month WHERE m <> 2 AND (nation, y) IN (SELECT (nation, y) FROM sold WHERE in_hand)
 """
 
 
@@ -642,8 +545,9 @@ def month_task_report(spark, sf_dir):
     gives every consumer its own copy of the aggregate, so Spark cannot
     reuse one exchange).  A task's calendar row exists by construction (its
     date is an order day of its company), so its fields come from the date.
-    The two date-range joins are bucketed (31-day buckets): a project's
-    daily rows meet only the tasks whose month touches their bucket."""
+    The amounts are summed per company and day before they meet the tasks,
+    and the two date-range joins are bucketed (31-day buckets): a day meets
+    only the tasks whose month touches its bucket."""
     t = tables(spark, sf_dir)
     cust = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
     od = F.col("o_orderdate").cast("date")
@@ -665,20 +569,17 @@ def month_task_report(spark, sf_dir):
                      F.year("stat_date").cast("bigint").alias("stat_year"),
                      F.month("stat_date").cast("bigint").alias("stat_month"),
                      S.month_start("stat_date").alias("stat_month_start"), "stat_date"))
-    projects = t.customer.filter(F.col("c_custkey") % 3 != 0).select(
-        F.col("c_nationkey").alias("p_org"), F.col("c_custkey").alias("project"))
-    extras = day.filter(F.col("c_acctbal") > 0).select(
-        F.col("o_custkey").alias("x_org"), F.year(d).cast("bigint").alias("x_year")).distinct()
-    tp = (tasks.join(projects, F.col("org_id") == F.col("p_org"))
-          .join(extras, (F.col("project") == F.col("x_org")) & (F.col("stat_year") == F.col("x_year")), "left_semi"))
-    daily = day.select(F.col("o_custkey").alias("project"), F.col("d").alias("r_date"), F.col("amount").alias("r_amount"))
-    # facts = the daily rows, intervals = [month start, task date] per task and project
-    j = J.range_join(daily, tp.drop("p_org"), ["project"], "r_date", "stat_month_start", "stat_date", "inner", bucket=31)
+    in_hand = day.filter((F.col("o_custkey") % 3 != 0) & (F.col("c_acctbal") > 0))
+    years = in_hand.select(F.col("nation").alias("org_id"), F.year(d).cast("bigint").alias("stat_year")).distinct()
+    # facts = the in-hand projects' amounts per company and day, intervals =
+    # [month start, task date]: no project ever meets a task
+    daily = in_hand.groupBy(F.col("nation").alias("org_id"), F.col("d").alias("r_date")).agg(F.sum("amount").alias("r_amount"))
+    j = J.range_join(daily, tasks, ["org_id"], "r_date", "stat_month_start", "stat_date", "inner", bucket=31)
     done = j.groupBy("id").agg(F.sum("r_amount").alias("complete_amount"))
     plan = day.filter(F.col("n_urgent") > 0).groupBy(
         F.col("nation").alias("p_org"), F.year(d).cast("bigint").alias("p_year"),
         F.month(d).cast("bigint").alias("p_month")).agg(F.sum("urgent").alias("amount"))
-    temp = (tasks.join(tp.select("id").distinct(), "id", "left_semi")
+    temp = (tasks.join(years, ["org_id", "stat_year"], "left_semi")
             .join(done, "id", "left")
             .join(plan, (F.col("org_id") == F.col("p_org")) & (F.col("stat_year") == F.col("p_year"))
                   & (F.col("stat_month") == F.col("p_month")), "left")
@@ -689,6 +590,6 @@ def month_task_report(spark, sf_dir):
                      "stat_month_start", "stat_date", "inner", bucket=31)
     other = k.groupBy("id").agg(F.sum("plan_amount").alias("plan_amount_other"),
                                 F.sum("s_amount").alias("complete_amount_other"))
-    return (temp.join(other, "id", "left").orderBy(F.col("stat_date").desc())
+    return (temp.join(other, "id", "left").orderBy(F.col("stat_date").desc(), "id")
             .select("id", "org_id", "editor", "reviewer", "stat_year", "stat_month", "stat_month_start", "stat_date",
                     "complete_amount", "amount", "plan_amount_other", "complete_amount_other"))
