@@ -22,8 +22,9 @@ def _rows():
 def test_round_trip_and_quarantine(spark, tmp):
     df = spark.createDataFrame(_rows(), SCHEMA)
     out, q = os.path.join(tmp, "out"), os.path.join(tmp, "q")
-    DL.export_delimited(df, out, q)
-    back = DL.import_delimited(spark, out, df.schema)
+    assert DL.export_delimited(df, out, q)[:2] == (6, 1)
+    back, rejected = DL.import_delimited(spark, out, df.schema)
+    assert rejected.count() == 0
     got = sorted(tuple(r) for r in back.collect())
     want = sorted(r for r in _rows() if r[0] != 6)
     assert got == want
@@ -35,7 +36,9 @@ def test_round_trip_and_quarantine(spark, tmp):
 def test_sized_parts_manifest_and_name_list(spark, tmp):
     df = spark.range(5000).select(F.col("id"), F.concat(F.lit("name-"), F.col("id").cast("string")).alias("s"))
     out = os.path.join(tmp, "parts")
-    per = DL.write_sized_parts(df.repartition(2), out, max_bytes=4096)
+    done = DL.write_sized_parts(df.repartition(2), out, os.path.join(tmp, "q"), max_bytes=4096)
+    per = done.rows_per_file
+    assert done.written == df.count() and done.quarantined == 0
     files = [f for f in os.listdir(out) if f.startswith("part-")]
     assert per > 1 and len(files) >= 5000 // per
     assert all(os.path.getsize(os.path.join(out, f)) <= 4096 for f in files)
@@ -59,11 +62,13 @@ def test_export_tables_and_folder_manifest(spark, tmp):
     root = os.path.join(tmp, "export")
     a = spark.createDataFrame([(i, i % 2 == 0, "x%d" % i) for i in range(300)], "id int, flag boolean, s string")
     b = spark.createDataFrame([(1, "has\u0007eol"), (2, "ok")], "id int, s string")
-    DL.export_table(a, root, "global_a", "t1", max_bytes=1024)
-    DL.export_table(b, root, "global_a", "t2", quarantine_root=os.path.join(tmp, "q"))
+    quarantine = os.path.join(tmp, "q")
+    assert DL.export_table(a, root, "global_a", "t1", quarantine, max_bytes=1024)[:2] == (300, 0)
+    assert DL.export_table(b, root, "global_a", "t2", quarantine)[:2] == (1, 1)
+    assert DL.export_table(b, root, "global_a", "t2", quarantine)[:2] == (1, 1)  # takes the old folder's place
     man = {r.table: (r.files, r.bytes) for r in DL.file_manifest(spark, root, "part-*", by="folder").collect()}
     assert set(man) == {"global_a.t1", "global_a.t2"} and man["global_a.t1"][0] > 1
-    back = DL.import_delimited(spark, os.path.join(root, "global_a.t1"), spark.createDataFrame([], "id int, flag int, s string").schema)
+    back, _ = DL.import_delimited(spark, os.path.join(root, "global_a.t1"), spark.createDataFrame([], "id int, flag int, s string").schema)
     assert sorted(tuple(r) for r in back.collect()) == sorted((i, int(i % 2 == 0), "x%d" % i) for i in range(300))
     assert [r.id for r in spark.read.parquet(os.path.join(tmp, "q", "global_a.t2")).collect()] == [1]
 
@@ -73,11 +78,11 @@ def test_sized_parts_with_a_few_wide_lines(spark, tmp):
     rows = [(i, f"name-{i}") for i in range(5000)] + [(90001, "w" * 3000), (90002, "v" * 2500)]
     df = spark.createDataFrame(rows, "id long, s string").repartition(2)
     out = os.path.join(tmp, "wide")
-    per = DL.write_sized_parts(df, out, max_bytes=4096)
+    per = DL.write_sized_parts(df, out, os.path.join(tmp, "q"), max_bytes=4096).rows_per_file
     files = [f for f in os.listdir(out) if f.startswith("part-")]
     assert per > 100 and len(files) < 100
     assert all(os.path.getsize(os.path.join(out, f)) <= 4096 for f in files)
-    back = sorted(tuple(r) for r in DL.import_delimited(spark, out, df.schema).collect())
+    back = sorted(tuple(r) for r in DL.import_delimited(spark, out, df.schema)[0].collect())
     assert back == sorted(rows)
 
 
@@ -90,10 +95,23 @@ def test_round_trip_long_fields_and_empty_first_field(spark, tmp):
     rows = [("", long_a, 1), (None, long_b, 2), ("", "", 3), ("\\N", None, 4)]
     df = spark.createDataFrame(rows, "a string, b string, k int")
     out = os.path.join(tmp, "long")
-    DL.export_delimited(df, out)
-    back = sorted(DL.import_delimited(spark, out, df.schema).collect(), key=lambda r: r.k)
+    DL.export_delimited(df, out, os.path.join(tmp, "q"))
+    back = sorted(DL.import_delimited(spark, out, df.schema)[0].collect(), key=lambda r: r.k)
     assert [tuple(r) for r in back] == rows
     one = spark.createDataFrame([("",), ("v",), (None,)], "s string")
     out1 = os.path.join(tmp, "one")
-    DL.export_delimited(one, out1)
-    assert sorted(DL.import_delimited(spark, out1, one.schema).collect(), key=repr) == sorted(one.collect(), key=repr)
+    DL.export_delimited(one, out1, os.path.join(tmp, "q1"))
+    assert sorted(DL.import_delimited(spark, out1, one.schema)[0].collect(), key=repr) == sorted(one.collect(), key=repr)
+
+
+def test_lines_that_do_not_fit_are_rejected_with_reasons(spark, tmp):
+    sep = DL.FIELD_SEP
+    lines = [f"1{sep}a{sep}1", f"2{sep}b", f"3{sep}c{sep}0{sep}more", f"x{sep}d{sep}1", f"5{sep}e{sep}1\\", f"\\N{sep}\\N{sep}\\N"]
+    path = os.path.join(tmp, "in")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.option("lineSep", DL.ROW_SEP).text(path)
+    good, rejected = DL.import_delimited(spark, path, spark.createDataFrame([], "id int, s string, flag boolean").schema)
+    assert sorted(map(tuple, good.collect()), key=str) == sorted([(1, "a", True), (None, None, None)], key=str)
+    reasons = {r.value: r.reason for r in rejected.collect()}
+    assert reasons[lines[1]] == "2 fields, not 3" and reasons[lines[2]] == "4 fields, not 3"
+    assert reasons[lines[3]] == "id is not int" and reasons[lines[4]] == "stray escape"
+    assert len(reasons) == 4

@@ -21,7 +21,11 @@ def test_read_log_records_defaults(spark, tmp):
     ]
     with open(p, "w") as f:
         f.write("\n".join(json.dumps(r) for r in recs))
-    got = {r.query_id: (r.hash_id, r.sql_type, r.tidb_sql) for r in logs.read_log_records(spark, p).collect()}
+    with open(p, "a") as f:
+        f.write('\n{"queryId": broken\n\n{"tenant": "no id"}\n')
+    tasks, rejected = logs.read_log_records(spark, p)
+    assert sorted(r.value for r in rejected.collect()) == ['{"queryId": broken', '{"tenant": "no id"}']
+    got = {r.query_id: (r.hash_id, r.sql_type, r.tidb_sql) for r in tasks.collect()}
     assert got == {"a": ("h", "Query", "select 1"), "b": ("", "unknown", ""), "c": ("", "unknown", "s")}
 
 

@@ -37,7 +37,8 @@ def test_log_upsert_stream_is_incremental_and_idempotent(spark, tmp):
         _task(3, success=False, error="boom", tidbSql="ignored"),
         _task(4, success=False, error="不支持转换的函数 instr"),
     ])
-    q = X.stream_log_upsert(spark, land, st, er, sv, "0115", available_now=True, name=NAME)
+    q = X.stream_log_upsert(spark, land, st, er, sv, "0115", os.path.join(tmp, "big"), os.path.join(tmp, "bad"),
+                            available_now=True, name=NAME)
     q.awaitTermination()
     rows = {r.query_id: r for r in X.read_state(spark, st, ["query_id"]).collect()}
     assert set(rows) == {"q1", "q3"}
@@ -48,7 +49,8 @@ def test_log_upsert_stream_is_incremental_and_idempotent(spark, tmp):
 
     # a second file: only it is processed; q1 is updated in place
     _drop(land, "b.json", [_task(1, tidbSql="select 'new'", hash={"value": "h1", "valid": True}), _task(5)])
-    q = X.stream_log_upsert(spark, land, st, er, sv, "0115", available_now=True, name=NAME)
+    q = X.stream_log_upsert(spark, land, st, er, sv, "0115", os.path.join(tmp, "big"), os.path.join(tmp, "bad"),
+                            available_now=True, name=NAME)
     q.awaitTermination()
     rows = {r.query_id: r for r in X.read_state(spark, st, ["query_id"]).collect()}
     assert set(rows) == {"q1", "q3", "q5"} and rows["q1"].tidb_sql == "select 'new'"
@@ -146,9 +148,8 @@ def test_restore_batches_by_count_size_and_wait(spark, tmp):
     run()
     assert len(loads) == 2                  # waited 10 s since the last load
     clock["t"] = 400.0
-    marker("d.f", 1)
     run()
-    assert loads[-1] == ["d.e", "d.f"]       # waited too long: all pending
+    assert loads[-1] == ["d.e"]              # waited too long, with no later marker
     d = X.batch_decision(spark.createDataFrame([], "table string, size bigint"), 1e9).first()
     assert (d.tables, d.ready) == (0, False)
 
@@ -184,12 +185,12 @@ def test_log_upsert_stream_with_compaction(spark, tmp):
     land = os.path.join(tmp, "landing")
     st, er, sv = (os.path.join(tmp, n) for n in ("statements", "errors", "saved"))
     _drop(land, "a.json", [_task(1), _task(2, success=False, error="boom")])
-    X.stream_log_upsert(spark, land, st, er, sv, "0115", available_now=True, name=name,
-                        compact_every=1).awaitTermination()
+    X.stream_log_upsert(spark, land, st, er, sv, "0115", os.path.join(tmp, "big"), os.path.join(tmp, "bad"),
+                        available_now=True, name=name, compact_every=1).awaitTermination()
     _drop(land, "b.json", [_task(1, tidbSql="select 'new'"), _task(3)])
-    X.stream_log_upsert(spark, land, st, er, sv, "0115", available_now=True, name=name,
-                        compact_every=1).awaitTermination()
-    assert X.latest_snapshot(spark, st) == 1 and X.latest_snapshot(spark, sv) == 1
+    X.stream_log_upsert(spark, land, st, er, sv, "0115", os.path.join(tmp, "big"), os.path.join(tmp, "bad"),
+                        available_now=True, name=name, compact_every=1).awaitTermination()
+    assert X.latest_snapshot(spark, er) == 1 and X.latest_snapshot(spark, sv) == 1
     rows = {r.query_id: r.tidb_sql for r in X.read_state(spark, st, ["query_id"]).collect()}
     assert rows == {"q1": "select 'new'", "q2": "", "q3": "select 3"}
     assert X.read_state(spark, sv, ["query_id"]).count() == 3
@@ -236,6 +237,9 @@ def test_restore_batches_the_same_with_compaction(spark, tmp):
     marker("d.f", 1)
     run()
     assert loads[-1] == ["d.e", "d.f"]
+    clock["t"] = 401.0
+    run()
+    assert loads[-1] == ["d.e", "d.f"] and len(loads) == 3
 
 
 def test_state_reads_from_the_snapshot_when_epoch_folders_are_gone(spark, tmp):
@@ -247,3 +251,89 @@ def test_state_reads_from_the_snapshot_when_epoch_folders_are_gone(spark, tmp):
     assert not os.path.exists(path)
     got = {r.k: r.v for r in X.read_state(spark, path, ["k"]).collect()}
     assert got == {"k": 2, "k0": 0, "k1": 1, "k2": 2}
+
+
+def test_running_restore_loads_the_last_table_without_a_later_marker(spark, tmp):
+    import time
+
+    mk = os.path.join(tmp, "markers")
+    os.makedirs(mk)
+    with open(os.path.join(mk, "d.last.finish"), "w") as f:
+        f.write("5")
+    loads, clock = [], {"t": 0.0}
+    q = X.stream_restore(spark, mk, os.path.join(tmp, "state"), lambda df: loads.append([r.table for r in df.collect()]),
+                         lambda: clock["t"], name=f"restore-run-{uuid.uuid4().hex}", max_wait_seconds=300)
+    try:
+        until = time.time() + 60
+        while q.lastProgress is None and time.time() < until:
+            time.sleep(0.5)
+        clock["t"] = 400.0
+        while not loads and time.time() < until:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    assert loads == [["d.last"]]
+
+
+def test_every_landed_row_is_in_exactly_one_output(spark, tmp):
+    land = os.path.join(tmp, "landing")
+    st, er, sv, big, bad = (os.path.join(tmp, n) for n in ("statements", "errors", "saved", "big", "bad"))
+    _drop(land, "a.json", [
+        _task(1), _task(2, success=False, error=None), _task(3, db=None), _task(4, tidbSql="x" * 50),
+        _task(5, impalaSql="y" * 60), _task(6, db="noise_db"), {"tenant": "no id"}])
+    with open(os.path.join(land, "broken.json"), "w") as f:
+        f.write("{not json\n")
+    X.stream_log_upsert(spark, land, st, er, sv, "0115", big, bad, available_now=True, name=f"all-{uuid.uuid4().hex}",
+                        drop_dbs=["noise_db"], oversize_limit=40).awaitTermination()
+    kept = {r.query_id: r for r in X.read_statements(spark, st).collect()}
+    assert set(kept) == {"q1", "q2", "q3", "q4", "q5"}
+    assert kept["q4"].tidb_sql == "big_sql" and kept["q5"].impala_sql == "big_sql"
+    assert {(r.query_id, r.field, r.big_text) for r in spark.read.parquet(big).collect()} == {
+        ("q4", "tidb_sql", "x" * 50), ("q5", "impala_sql", "y" * 60)}
+    assert [r.query_id for r in X.read_state(spark, er, ["query_id"]).collect()] == ["q2"]
+    assert sorted(json.loads(r.value)["tenant"] if "tenant" in r.value else r.value
+                  for r in spark.read.parquet(bad).collect()) == ["no id", "{not json"]
+    assert {r.query_id for r in spark.read.parquet(sv).collect()} == {f"q{i}" for i in range(1, 7)}
+
+
+def test_replay_pipeline_connects(spark, tmp):
+    from wareshift.operators import querylog as L
+
+    land, res = os.path.join(tmp, "landing"), os.path.join(tmp, "results")
+    st, er, sv, big, bad, out, err = (os.path.join(tmp, n) for n in ("st", "er", "sv", "big", "bad", "out", "err"))
+    names = f"chain-{uuid.uuid4().hex}"
+
+    def land_tasks():
+        X.stream_log_upsert(spark, land, st, er, sv, "0115", big, bad, available_now=True, name=names).awaitTermination()
+
+    _drop(land, "a.json", [_task(1), _task(2, tenant="first")])
+    land_tasks()
+    table = X.read_statements(spark, st, out)
+    claimed = L.claim_batch(table, -1, 10)
+    assert {r.query_id for r in claimed.collect()} == {"q1", "q2"}
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("q1", "h", "select 1", "", 1.0, t0, False), ("q2", "h", "select 2", "Lost connection", 9.0, t0, False)]
+
+    def execute(rows, folder, second=False):
+        path = os.path.join(res, folder)
+        spark.createDataFrame(rows, X.OUTCOME_SCHEMA).coalesce(1).write.parquet(path)
+        X.stream_outcomes(spark, path, out + ("2" if second else ""), err, "0115", available_now=True,
+                          name=f"{names}-{folder}", second_round=second).awaitTermination()
+
+    execute(rows, "one")
+    # a repeated id changes the translated text only
+    _drop(land, "b.json", [_task(2, tidbSql="select 'new'", tenant="second")])
+    land_tasks()
+    table = {r.query_id: r for r in X.read_statements(spark, st, out).collect()}
+    assert (table["q1"].execute_result, table["q2"].execute_result) == (1, 0)
+    assert table["q2"].tidb_sql == "select 'new'" and table["q2"].tenant == "first"
+    assert L.claim_batch(X.read_statements(spark, st, out), -1, 10).count() == 0
+    failed = X.read_state(spark, err, ["query_id"])
+    flagged = X.read_statements(spark, st, out).withColumn("tiflash_only", F.lit(False))
+    category = failed.first().catalog
+    assert [r.query_id for r in L.retry_worklist(failed, flagged, [category], "0115").collect()] == ["q2"]
+    # the same results again change nothing
+    before = sorted(map(tuple, X.read_statements(spark, st, out).collect()))
+    b0 = spark.read.parquet(os.path.join(out, "batch=0"))
+    X.write_batch_state(spark.createDataFrame(b0.collect(), b0.schema), out, 0)
+    assert sorted(map(tuple, X.read_statements(spark, st, out).collect())) == before

@@ -12,8 +12,10 @@ regex functions.
 from __future__ import annotations
 
 import math
+import uuid
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,37 +57,65 @@ def to_lines(df: DataFrame) -> DataFrame:
     return d.select(line.alias("value"), has_eol.alias("quarantined"))
 
 
-def export_delimited(df: DataFrame, path: str, quarantine_path: str | None = None, mode: str = "overwrite") -> None:
-    """Write ``df`` as delimited text (rows with ``\\x07`` go to
-    ``quarantine_path`` as parquet, with their original columns)."""
-    lines = to_lines(df)
+class Exported(NamedTuple):
+    """Rows written, rows quarantined, and the rows-per-file cap (None: not cut)."""
+
+    written: int
+    quarantined: int
+    rows_per_file: int | None = None
+
+
+def _quarantine(df: DataFrame, path: str, mode: str) -> int:
+    """Write the rows that hold a row separator, with their original columns."""
+    eol = F.lit(False)
+    for c in df.columns:
+        eol = eol | F.coalesce(F.col(f"`{c}`").cast("string").contains(ROW_SEP), F.lit(False))
+    df.filter(eol).write.mode(mode).parquet(path)
+    return df.sparkSession.read.parquet(path).count()
+
+
+def export_delimited(df: DataFrame, path: str, quarantine_path: str, mode: str = "overwrite") -> Exported:
+    """Write ``df`` as delimited text; rows with ``\\x07`` cannot be
+    written and go to ``quarantine_path`` as parquet.  No row is lost: the
+    counts of both are returned."""
+    seen = Observation()
+    lines = to_lines(df).observe(seen, F.count(F.lit(1)).alias("n"))
     lines.filter(~F.col("quarantined")).select("value").write.mode(mode).option("lineSep", ROW_SEP).text(path)
-    if quarantine_path is not None:
-        eol = F.lit(False)
-        for c in df.columns:
-            eol = eol | F.coalesce(F.col(c).cast("string").contains(ROW_SEP), F.lit(False))
-        df.filter(eol).write.mode(mode).parquet(quarantine_path)
+    quarantined = _quarantine(df, quarantine_path, mode)
+    return Exported(seen.get["n"] - quarantined, quarantined)
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> DataFrame:
+def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """S3 tokenizer: split on unescaped separators, ``\\N`` -> null, then
-    unescape and ``try_cast`` to the schema types (junk -> null)."""
-    fields = F.regexp_extract_all(F.concat(F.lit(FIELD_SEP), F.col(col)), F.lit(_FIELD_RE), 1)
-    out = []
+    unescape and ``try_cast`` to the schema types.  Returns (good, rejected):
+    a line with too few or too many fields, a field that is not of its type,
+    or a stray escape at the end goes to the second with its reasons."""
+    line = F.concat(F.lit(FIELD_SEP), F.col(col))
+    fields = F.regexp_extract_all(line, F.lit(_FIELD_RE), F.lit(1))
+    whole = F.regexp_extract_all(line, F.lit(_FIELD_RE), F.lit(0))
+    split = lines.select(F.col(col).alias("line"), fields.alias("fields"),
+                         (F.length(F.array_join(whole, "")) < F.length(line)).alias("stray"))
+    n = len(schema.fields)
+    values, reasons = [], [F.when(F.size("fields") != n, F.concat(F.size("fields").cast("string"), F.lit(f" fields, not {n}"))),
+                           F.when(F.col("stray"), F.lit("stray escape"))]
     for i, f in enumerate(schema.fields):
-        raw = fields.getItem(i)
+        raw = F.get(F.col("fields"), F.lit(i))
         text = F.when(raw == NULL_TEXT, F.lit(None)).otherwise(F.regexp_replace(raw, _UNESCAPE_RE, "$1"))
-        if isinstance(f.dataType, T.BooleanType):
-            out.append(F.when(text.isNull(), F.lit(None)).otherwise(text.try_cast("int") != 0).alias(f.name))
-        elif isinstance(f.dataType, T.StringType):
-            out.append(text.alias(f.name))
+        if isinstance(f.dataType, T.StringType):
+            value = text
+        elif isinstance(f.dataType, T.BooleanType):
+            value = text.try_cast("int") != 0
         else:
-            out.append(text.try_cast(f.dataType).alias(f.name))
-    return lines.select(*out)
+            value = text.try_cast(f.dataType)
+        values.append(value.alias(f.name))
+        reasons.append(F.when(text.isNotNull() & value.isNull(), F.lit(f"{f.name} is not {f.dataType.simpleString()}")))
+    parsed = split.select("line", F.struct(*values).alias("row"), F.array_join(F.array_compact(F.array(*reasons)), ", ").alias("reason"))
+    good = parsed.filter(F.col("reason") == "").select("row.*")
+    return good, parsed.filter(F.col("reason") != "").select(F.col("line").alias(col), "reason")
 
 
-def import_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """S3: load delimited files into typed columns."""
+def import_delimited(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """S3: load delimited files; (typed rows, rejected lines with reasons)."""
     lines = spark.read.option("lineSep", ROW_SEP).text(path)
     if len(schema.fields) > 1:  # a valid line of a wider table holds separators
         lines = lines.filter(F.col("value") != "")
@@ -98,7 +128,7 @@ OUTLIER_QUANTILE = 0.999
 OUTLIER_FACTOR = 8
 
 
-def write_sized_parts(df: DataFrame, path: str, max_bytes: int = PART_BYTES) -> int:
+def write_sized_parts(df: DataFrame, path: str, quarantine_path: str, max_bytes: int = PART_BYTES) -> Exported:
     """Cut the delimited output into files of at most ``max_bytes`` on
     row borders (a single line wider than the budget gets a file of its own).
 
@@ -109,26 +139,37 @@ def write_sized_parts(df: DataFrame, path: str, max_bytes: int = PART_BYTES) ->
     wider (one 18 MB statement among short rows would otherwise cut every
     file to a handful of rows), the lines up to the percentile width are
     written with its cap and the wide ones are appended with the widest
-    line's cap: every file stays within the budget and the file count
-    follows the data volume -- at the price of a second scan, paid only in
-    that case.  Returns the rows-per-file cap of the bulk of the lines."""
-    lines = to_lines(df).filter(~F.col("quarantined")).select("value")
+    line's cap.  Both go to a folder beside ``path`` that takes its place
+    when it is complete, so a failure between the writes leaves the table as
+    it was.  Rows holding a row separator go to ``quarantine_path``."""
+    spark = df.sparkSession
+    lines = to_lines(df)
     width = F.octet_length("value") + 1
-    stats = lines.agg(F.max(width).alias("widest"),
-                      F.percentile_approx(width, OUTLIER_QUANTILE, 10000).alias("typical")).first()
+    fine = ~F.col("quarantined")
+    stats = lines.agg(F.max(F.when(fine, width)).alias("widest"),
+                      F.percentile_approx(F.when(fine, width), OUTLIER_QUANTILE, 10000).alias("typical"),
+                      F.count(F.when(fine, 1)).alias("n")).first()
     widest, typical = int(stats["widest"] or 1), int(stats["typical"] or 1)
+    staging = f"{path.rstrip('/')}.writing-{uuid.uuid4().hex[:8]}"
 
     def write(frame: DataFrame, cap: int, mode: str) -> None:
-        frame.write.mode(mode).option("lineSep", ROW_SEP).option("maxRecordsPerFile", cap).text(path)
+        frame.select("value").write.mode(mode).option("lineSep", ROW_SEP).option("maxRecordsPerFile", cap).text(staging)
 
     if widest <= OUTLIER_FACTOR * typical:
         per_file = max(1, math.floor(max_bytes / widest))
-        write(lines, per_file, "overwrite")
-        return per_file
-    per_file = max(1, math.floor(max_bytes / typical))
-    write(lines.filter(width <= typical), per_file, "overwrite")
-    write(lines.filter(width > typical), max(1, math.floor(max_bytes / widest)), "append")
-    return per_file
+        write(lines.filter(fine), per_file, "overwrite")
+    else:
+        per_file = max(1, math.floor(max_bytes / typical))
+        write(lines.filter(fine & (width <= typical)), per_file, "overwrite")
+        write(lines.filter(fine & (width > typical)), max(1, math.floor(max_bytes / widest)), "append")
+    quarantined = _quarantine(df, quarantine_path, "overwrite")
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"{staging} is complete but could not take the place of {path}")
+    return Exported(int(stats["n"]), quarantined, per_file)
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*", by: str = "name") -> DataFrame:
@@ -147,20 +188,14 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*", by: str = "na
     return files.groupBy(table.alias("table")).agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
-def export_table(df: DataFrame, root: str, db: str, table: str, max_bytes: int = PART_BYTES,
-                 quarantine_root: str | None = None) -> str:
+def export_table(df: DataFrame, root: str, db: str, table: str, quarantine_root: str,
+                 max_bytes: int = PART_BYTES) -> Exported:
     """Export one table for the loader (S1 + P3 + S2 + S4): booleans as
     0/1, escaped delimited text cut into parts of at most ``max_bytes``,
     written to ``<root>/<db>.<table>``; rows holding a row separator go to
     ``<quarantine_root>/<db>.<table>``."""
-    out = f"{root.rstrip('/')}/{db}.{table}"
-    write_sized_parts(df, out, max_bytes)
-    if quarantine_root is not None:
-        eol = F.lit(False)
-        for c in df.columns:
-            eol = eol | F.coalesce(F.col(c).cast("string").contains(ROW_SEP), F.lit(False))
-        df.filter(eol).write.mode("overwrite").parquet(f"{quarantine_root.rstrip('/')}/{db}.{table}")
-    return out
+    name = f"{db}.{table}"
+    return write_sized_parts(df, f"{root.rstrip('/')}/{name}", f"{quarantine_root.rstrip('/')}/{name}", max_bytes)
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

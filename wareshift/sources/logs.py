@@ -28,8 +28,10 @@ OVERSIZE_MARKER = "big_sql"
 def parse_task_records(lines: DataFrame, col: str = "value") -> DataFrame:
     """S5 on a frame of JSON lines: typed task columns with the defaults
     of the original (hash '' unless valid, sqlType 'unknown', translated
-    text only when the translation succeeded)."""
-    r = lines.select(F.from_json(F.col(col), TASK_SCHEMA).alias("r")).select("r.*")
+    text only when the translation succeeded).  Lines that are no task (no
+    JSON object, or one without ``queryId``) are left to
+    :func:`rejected_task_lines`."""
+    r = lines.select(F.from_json(F.col(col), TASK_SCHEMA).alias("r")).select("r.*").filter(F.col("queryId").isNotNull())
     return r.select(
         F.col("queryId").alias("query_id"), "tenant", "db",
         F.when(F.col("hash.valid"), F.col("hash.value")).otherwise(F.lit("")).alias("hash_id"),
@@ -41,16 +43,25 @@ def parse_task_records(lines: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
-def read_log_records(spark: SparkSession, path: str) -> DataFrame:
-    """Newline-separated JSON objects -> task rows."""
-    return parse_task_records(spark.read.text(path))
+def rejected_task_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """The non-empty lines that :func:`parse_task_records` cannot use."""
+    no_task = F.from_json(F.col(col), TASK_SCHEMA)["queryId"].isNull()
+    return lines.filter(no_task & (F.trim(F.coalesce(F.col(col), F.lit(""))) != "")).select(col)
+
+
+def read_log_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Newline-separated JSON objects -> (task rows, rejected lines)."""
+    lines = spark.read.text(path)
+    return parse_task_records(lines), rejected_task_lines(lines)
 
 
 def read_statements(spark: SparkSession, path: str, replacements: dict[str, str] | None = None) -> DataFrame:
     """Script files -> one row per non-empty statement split on ';',
     with literal replacements applied."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    parts = files.select("file", F.posexplode(F.split("value", ";")).alias("pos", "stmt"))
+    # the text source cuts at ';' itself, so a large script is many records
+    # that several tasks read; the order within a file is that of the records
+    parts = spark.read.option("lineSep", ";").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos"), F.col("value").alias("stmt"))
     out = parts.select("file", "pos", F.regexp_replace("stmt", r"^\s+|\s+$", "").alias("stmt")).filter(F.col("stmt") != "")
     for old, new in (replacements or {}).items():
         out = out.withColumn("stmt", F.replace("stmt", F.lit(old), F.lit(new)))

@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from wareshift.operators.changes import dedupe_latest
 from wareshift.operators.querylog import drop_noise, is_known_translate_error, outcome_rows
 from wareshift.session import checkpoint_root
-from wareshift.sources.logs import OVERSIZE_LIMIT, parse_task_records, split_oversize
+from wareshift.sources.logs import OVERSIZE_LIMIT, parse_task_records, rejected_task_lines, split_oversize
 
 # Load batch limits of the restore job.
 BATCH_MAX_BYTES = 50 * 1024 ** 3
@@ -67,6 +68,17 @@ def write_batch_state(batch: DataFrame, table_path: str, epoch_id: int) -> None:
         os.path.join(table_path, f"batch={int(epoch_id)}"))
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet folder, or None if nothing was written to it yet; any other
+    failure to read is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def _snapshots(table_path: str) -> tuple[str, str]:
     root = table_path.rstrip("/") + ".snapshots"
     return os.path.join(root, "data"), os.path.join(root, "index")
@@ -76,9 +88,8 @@ def latest_snapshot(spark: SparkSession, table_path: str, upto: int | None = Non
     """Epoch of the newest complete snapshot (at most ``upto``), or None.
     The index holds one row per finished compaction."""
     _, index = _snapshots(table_path)
-    try:
-        idx = spark.read.parquet(index)
-    except Exception:  # noqa: BLE001 - never compacted
+    idx = _read_if_there(spark, index)
+    if idx is None:  # never compacted
         return None
     if upto is not None:
         idx = idx.filter(F.col("upto") <= upto)
@@ -91,12 +102,8 @@ def read_rows(spark: SparkSession, table_path: str, upto: int | None = None) ->
     folders after it -- the ``batch`` filter prunes the older folders, so the
     cost follows the snapshot size, not the stream's age."""
     snap = latest_snapshot(spark, table_path, upto)
-    try:
-        deltas = spark.read.parquet(table_path)
-    except Exception:  # noqa: BLE001 - the epoch folders may be gone once a snapshot covers them
-        if snap is None:
-            raise
-        deltas = None
+    # the epoch folders may be gone once a snapshot covers them
+    deltas = spark.read.parquet(table_path) if snap is None else _read_if_there(spark, table_path)
     if deltas is not None:
         deltas = deltas.withColumn("batch", F.col("batch").cast("long"))
         if upto is not None:
@@ -152,37 +159,82 @@ def start_loader(stream: DataFrame, fn: Callable[[DataFrame, int], None], name:
 
 
 def stream_log_upsert(spark: SparkSession, landing: str, statements_path: str, errors_path: str,
-                      saved_path: str, sql_date: str, available_now: bool = False, name: str = "log_upsert",
-                      drop_dbs: Sequence[str] = (), oversize_path: str | None = None,
-                      compact_every: int | None = None):
+                      saved_path: str, sql_date: str, oversize_path: str, rejects_path: str,
+                      available_now: bool = False, name: str = "log_upsert", drop_dbs: Sequence[str] = (),
+                      compact_every: int | None = None, oversize_limit: int = OVERSIZE_LIMIT):
     """Task records (JSON lines) -> filter noise -> statements and error
-    rows upserted by query id -> ids marked saved.  With ``compact_every``
-    the state tables are folded into a snapshot every that many epochs."""
+    rows upserted by query id -> ids marked saved.
+
+    Texts above ``oversize_limit`` characters (either text) go whole to
+    ``oversize_path`` by query id and field, lines that are no task to
+    ``rejects_path``; only parsed ids are marked saved.  ``order_id`` rises
+    with the epoch.  With ``compact_every`` the state tables are folded into
+    a snapshot every that many epochs."""
     raw = stream_landing(spark, landing, fmt="text")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        tasks = parse_task_records(df)
-        known = ~F.col("success") & is_known_translate_error("err_msg")
-        kept = drop_noise(tasks.withColumnRenamed("impala_sql", "statement"), drop_dbs=drop_dbs).filter(~known) \
-            .withColumnRenamed("statement", "impala_sql")
-        main, side = split_oversize(kept, "query_id", "tidb_sql", OVERSIZE_LIMIT)
-        st = main.select("query_id", "hash_id", "tenant", "db", "sql_type", "impala_sql", "impala_duration",
-                         "tidb_sql", F.lit(sql_date).alias("sql_date"))
-        write_batch_state(st, statements_path, epoch_id)
-        errs = kept.filter(~F.col("success")).select(
-            "query_id", F.lit(sql_date).alias("sql_date"), "hash_id", "err_msg",
-            F.lit("translate_error").alias("catalog"))
-        write_batch_state(errs, errors_path, epoch_id)
-        if oversize_path is not None:
+        df.persist()  # read and parsed once for all sinks
+        try:
+            tasks = parse_task_records(df)
+            known = F.coalesce(~F.col("success") & is_known_translate_error("err_msg"), F.lit(False))
+            kept = drop_noise(tasks.withColumnRenamed("impala_sql", "statement"), drop_dbs=drop_dbs).filter(~known) \
+                .withColumnRenamed("statement", "impala_sql")
+            main, side = kept, None
+            for text in ("impala_sql", "tidb_sql"):
+                main, big = split_oversize(main, "query_id", text, oversize_limit)
+                big = big.select("query_id", F.lit(text).alias("field"), "big_text")
+                side = big if side is None else side.unionByName(big)
+            # an order of the statements: the epoch, then the id's hash
+            order_id = F.lit(int(epoch_id)) * F.lit(1 << 40) + F.pmod(F.xxhash64("query_id"), F.lit(1 << 40))
+            st = main.select("query_id", order_id.alias("order_id"), "hash_id", "tenant", "db", "sql_type", "impala_sql",
+                             "impala_duration", "tidb_sql", F.lit(sql_date).alias("sql_date"))
+            write_batch_state(st, statements_path, epoch_id)
+            errs = kept.filter(~F.coalesce("success", F.lit(False))).select(
+                "query_id", F.lit(sql_date).alias("sql_date"), "hash_id", "err_msg",
+                F.lit("translate_error").alias("catalog"))
+            write_batch_state(errs, errors_path, epoch_id)
             write_batch_state(side, oversize_path, epoch_id)
-        # every parsed id is finished (noise included), as in the source job
-        write_batch_state(tasks.select("query_id"), saved_path, epoch_id)
-        _maybe_compact(spark, epoch_id, compact_every,
-                       [(statements_path, ["query_id"]), (errors_path, ["query_id"]), (saved_path, ["query_id"])])
+            write_batch_state(rejected_task_lines(df), rejects_path, epoch_id)
+            # every parsed id is finished (noise included), as in the source job
+            write_batch_state(tasks.select("query_id"), saved_path, epoch_id)
+        finally:
+            df.unpersist()
+        _maybe_compact(spark, epoch_id, compact_every, [(errors_path, ["query_id"]), (saved_path, ["query_id"])])
 
     return start_loader(raw, batch, name, available_now, "3 seconds")
 
 
+def read_statements(spark: SparkSession, statements_path: str, outcomes_path: str | None = None) -> DataFrame:
+    """The statements table that X3 and X4 keep, as ``claim_batch`` and
+    ``retry_worklist`` read it.
+
+    A repeated query id changes only the translated text (the first arrival
+    keeps its other columns and its place); the outcome columns are those of
+    the latest execution, per round."""
+    rows = read_rows(spark, statements_path)
+    fixed = [c for c in rows.columns if c not in ("query_id", "tidb_sql", "batch")]
+    table = rows.groupBy("query_id").agg(
+        F.min(F.struct("batch", *fixed)).alias("first"), F.max(F.struct("batch", "tidb_sql")).alias("last"))
+    table = table.select("query_id", *[F.col(f"first.{c}").alias(c) for c in fixed], "last.tidb_sql")
+    done = None
+    if outcomes_path is not None:
+        done = _read_if_there(spark, outcomes_path)
+    none = {"execute_result": "int", "tidb_duration": "double", "execute_time": "timestamp_ntz",
+            "execute_result2": "int", "tidb_duration2": "double"}
+    if done is None:
+        return table.withColumns({c: F.lit(None).cast(t) for c, t in none.items()})
+    runs = read_rows(spark, outcomes_path)
+    when = F.struct("execute_time", "batch", "execute_result", "tidb_duration")
+    best = runs.groupBy("query_id").agg(F.max(F.when(~F.col("second_round"), when)).alias("one"),
+                                        F.max(F.when(F.col("second_round"), when)).alias("two"))
+    best = best.select(
+        F.col("query_id").alias("__q"), F.col("one.execute_result").alias("execute_result"),
+        F.col("one.tidb_duration").alias("tidb_duration"),
+        F.greatest("one.execute_time", "two.execute_time").alias("execute_time"),
+        F.col("two.execute_result").alias("execute_result2"), F.col("two.tidb_duration").alias("tidb_duration2"))
+    return table.join(best, F.col("query_id") == F.col("__q"), "left").drop("__q")
+
+
 OUTCOME_SCHEMA = T.StructType([
     T.StructField("query_id", T.StringType()), T.StructField("hash_id", T.StringType()),
     T.StructField("sql", T.StringType()), T.StructField("err_msg", T.StringType()),
@@ -193,21 +245,24 @@ OUTCOME_SCHEMA = T.StructType([
 
 def stream_outcomes(spark: SparkSession, landing: str, outcomes_path: str, errors_path: str,
                     sql_date: str, available_now: bool = False, name: str = "outcomes", fmt: str = "parquet",
-                    compact_every: int | None = None):
+                    compact_every: int | None = None, second_round: bool = False):
     """Executed-statement results -> outcome rows (result, duration,
-    time) and classified error rows, ignored categories dropped."""
+    time, round), which :func:`read_statements` puts into the statements
+    table, and classified error rows, ignored categories dropped."""
     from wareshift.operators.querylog import drop_ignored
 
     stream = stream_landing(spark, landing, OUTCOME_SCHEMA, fmt=fmt)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
-        rows = outcome_rows(df)
+        rows = outcome_rows(df).persist()
         write_batch_state(rows.select("query_id", "execute_result", F.col("duration").alias("tidb_duration"),
-                                      F.col("executed_at").alias("execute_time")), outcomes_path, epoch_id)
+                                      F.col("executed_at").alias("execute_time"),
+                                      F.lit(second_round).alias("second_round")), outcomes_path, epoch_id)
         errs = drop_ignored(rows.filter(F.col("execute_result") == 0)).select(
             "query_id", F.lit(sql_date).alias("sql_date"), "hash_id", "err_msg", "catalog")
         write_batch_state(errs, errors_path, epoch_id)
-        _maybe_compact(spark, epoch_id, compact_every, [(outcomes_path, ["query_id"]), (errors_path, ["query_id"])])
+        rows.unpersist()
+        _maybe_compact(spark, epoch_id, compact_every, [(errors_path, ["query_id"])])
 
     return start_loader(stream, batch, name, available_now, "1 second")
 
@@ -229,6 +284,8 @@ def run_retry_once(spark: SparkSession, landing: str, schema: T.StructType, fn:
 # ALL pending tables (the largest first).
 
 MARKER_SUFFIX = ".finish"
+# Epoch numbers of decisions made outside a micro-batch lie above all others.
+TICK_EPOCHS = 10 ** 15
 
 
 def marker_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -269,14 +326,20 @@ def stream_restore(spark: SparkSession, markers: str, state_path: str, load: Cal
     loaded_path = os.path.join(state_path, "loaded")
 
     def read_or_empty(path: str, schema: str) -> DataFrame:
-        try:
-            return read_rows(spark, path)
-        except Exception:  # noqa: BLE001 - no state yet
-            return spark.createDataFrame([], schema)
+        there = latest_snapshot(spark, path) is not None or _read_if_there(spark, path) is not None
+        return read_rows(spark, path) if there else spark.createDataFrame([], schema)
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         now = float(clock())
         write_batch_state(df.filter(F.col("size").isNotNull()).withColumn("arrived", F.lit(now)), pending_path, epoch_id)
+        decide(now, epoch_id)
+        if compact_every and epoch_id > 0 and epoch_id % compact_every == 0:
+            loaded_rows = read_or_empty(loaded_path, "table string, loaded_at double, batch long")
+            write_snapshot(spark, loaded_path, loaded_rows, epoch_id)
+            waiting = read_rows(spark, pending_path).join(loaded_rows.select("table"), "table", "left_anti")
+            write_snapshot(spark, pending_path, waiting, epoch_id)
+
+    def decide(now: float, epoch_id: int) -> None:
         pend = read_or_empty(pending_path, "table string, size bigint, arrived double, batch long")
         done = read_or_empty(loaded_path, "table string, loaded_at double, batch long")
         pending = pend.join(done.select("table"), "table", "left_anti").groupBy("table").agg(
@@ -290,10 +353,16 @@ def stream_restore(spark: SparkSession, markers: str, state_path: str, load: Cal
             todo = pending.orderBy(F.col("size").desc())
             load(todo)
             write_batch_state(todo.select("table", F.lit(now).alias("loaded_at")), loaded_path, epoch_id)
-        if compact_every and epoch_id > 0 and epoch_id % compact_every == 0:
-            loaded_rows = read_or_empty(loaded_path, "table string, loaded_at double, batch long")
-            write_snapshot(spark, loaded_path, loaded_rows, epoch_id)
-            waiting = read_rows(spark, pending_path).join(loaded_rows.select("table"), "table", "left_anti")
-            write_snapshot(spark, pending_path, waiting, epoch_id)
 
-    return start_loader(marker_stream(spark, markers), batch, name, available_now, "5 seconds")
+    if not available_now:
+        # a tick a second makes batches without new markers, so the wait
+        # limit fires whether or not another marker follows
+        tick = spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(
+            F.lit(None).cast("string").alias("table"), F.lit(None).cast("bigint").alias("size"))
+        return start_loader(marker_stream(spark, markers).unionByName(tick), batch, name, False, "5 seconds")
+    query = start_loader(marker_stream(spark, markers), batch, name, True, "5 seconds")
+    query.awaitTermination()
+    # the same decision once more, for tables left by runs without new markers
+    now = float(clock())
+    decide(now, TICK_EPOCHS + int(now * 1000))
+    return query
