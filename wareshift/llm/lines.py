@@ -119,10 +119,12 @@ def _distance(longer: Column, shorter: Column, distance: int) -> Column:
 def near_lines(distinct: DataFrame, distance: int) -> DataFrame:
     """(a, b): the pairs of lines (lid, line, chars) within the distance."""
     entries = distinct.select(F.col("lid").alias("a"), F.explode(_entries(distance)).alias("key"))
-    lookups = distinct.select(F.col("lid").alias("b"), F.explode(_lookups(distance)).alias("l")).select(
-        "b", "l.key", "l.same")
+    # a lookup's line and whether it is for its own length travel as one number
+    lookups = distinct.select("lid", F.explode(_lookups(distance)).alias("l")).select(
+        (F.col("lid") * 2 + F.col("l.same").cast("bigint")).alias("by"), F.col("l.key").alias("key"))
     # lines of one length find each other both ways: one is enough
-    pairs = entries.join(lookups, "key").where((F.col("a") < F.col("b")) | (~F.col("same") & (F.col("a") != F.col("b"))))
+    pairs = entries.join(lookups, "key").withColumn("b", F.shiftright("by", 1))
+    pairs = pairs.where((F.col("a") < F.col("b")) | ((F.col("by") % 2 == 0) & (F.col("a") != F.col("b"))))
     pairs = pairs.select("a", "b").distinct()
     short = distinct.select(F.col("lid").alias("a"), F.col("line").alias("line_a"), F.col("chars").alias("chars_a"))
     long = distinct.select(F.col("lid").alias("b"), F.col("line").alias("line_b"), F.col("chars").alias("chars_b"))
@@ -148,7 +150,7 @@ def line_verdicts(docs: DataFrame, distance: int = 2, near_chars: int = 30, id_c
     distinct = written(
         lines.select("h1", "h2", "line", F.length("line").alias("chars")).where(F.col("chars") >= near_chars)
         .groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("chars").alias("chars"))
-        .withColumn("lid", F.monotonically_increasing_id()), "distinct-lines")
+        .withColumn("lid", F.monotonically_increasing_id()), "distinct-lines", compression="zstd")
     groups = components(near_lines(distinct.select("lid", "line", "chars"), distance))
     keys = distinct.select("lid", "h1", "h2")
     groups = (groups.join(keys.withColumnRenamed("lid", "node"), "node")
