@@ -19,11 +19,12 @@ def test_fold_leaves_plain_words_and_numbers():
 
 def test_hits_count_a_word_once_and_respect_exceptions():
     model = X.Model({" idio": 1.0, " idiot ": 2.0, " scum": 1.5}, frozenset({" scum bucket "}))
-    auto = model.automaton()
+    auto = model.matcher()
     words = X.fold("An idiot and idiocy in the scum bucket and scum")
     assert X.hits(words, auto, frozenset()) == [(1, 2.0), (3, 1.0), (6, 1.5), (9, 1.5)]
     assert X.hits(words, auto, model.exceptions) == [(1, 2.0), (3, 1.0), (9, 1.5)]
     assert X.hits([], auto, model.exceptions) == [] and X.hits(["unidiot"], auto, frozenset()) == []
+    assert X.hits(["1d!ocy", "sc.um"], auto, frozenset()) == [(0, 1.0), (1, 1.5)]
 
 
 def test_long_texts_need_more_hits():

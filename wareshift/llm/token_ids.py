@@ -39,7 +39,7 @@ BLOCK_IDS = 262_144
 #: Bytes of text whose distinct words are encoded together.
 SLICE_BYTES = 4_000_000
 #: Units whose ids a worker remembers.
-CACHE_UNITS = 400_000
+CACHE_UNITS = 150_000
 
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
@@ -251,6 +251,7 @@ def encode(docs: DataFrame, tokenizer_path: str, end_id: int, by_word: bool, id_
                     pa.array([r.tobytes() for r in rows], pa.binary()),
                     pa.array([zlib.crc32(r.astype("<u4").tobytes()) for r in rows], pa.int64()),
                 ], names=["id", "row", "ids", "crc"])
+        pa.default_memory_pool().release_unused()
 
     return src.mapInArrow(run, schema)
 

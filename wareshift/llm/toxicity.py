@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -51,7 +52,6 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 _FOLD = {ord(c): to for to, cs in LOOK_ALIKES.items() for c in cs + cs.upper() if ord(c) > 127}
 _SUBST = {ord(c): to for c, to in SUBSTITUTES.items()}
 _MARKS = re.compile("[̀-ͯ​-‏­]")
-_TOKEN = re.compile(r"[^\s]+")
 _SIGNS = re.compile(r"[^\w]|_")
 _DRAWN = re.compile(r"(.)\1{2,}")
 _TRAIL = re.compile(r"[!?.,;:$@#%&*]+$")
@@ -59,10 +59,14 @@ _TRAIL = re.compile(r"[!?.,;:$@#%&*]+$")
 STARTS = (4, 5, 6, 7, 8)
 #: Entries of a task's count table before it is handed on.
 TABLE = 200_000
+#: Words whose result a task remembers.
+REMEMBERED = 100_000
 
 
 def fold_word(word: str) -> str:
     """The letters a lower-case word stands for; '' if it has none."""
+    if not word.isascii():
+        word = _MARKS.sub("", unicodedata.normalize("NFKC", word)).lower().translate(_FOLD)
     word = _TRAIL.sub("", word)
     if not word.isalpha():
         if not any(c.isalpha() for c in word):
@@ -71,40 +75,39 @@ def fold_word(word: str) -> str:
     return _DRAWN.sub(r"\1", word)
 
 
-def fold(text: str) -> list[str]:
-    """The folded words of a text."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text)
-        text = _MARKS.sub("", text)
-    text = text.lower()
-    if not text.isascii():
-        text = text.translate(_FOLD)
-    if len(_FOLDED) > TABLE:
-        _FOLDED.clear()
-    return [w for w in map(_FOLDED.__getitem__, text.split()) if w]
+class _Remembered(dict):
+    """Results of a function of a word, emptied between texts when it grows."""
 
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
 
-class _Folded(dict):
-    """Folded words by word, emptied between texts when it grows."""
+    def __missing__(self, word: str):
+        self[word] = value = self.of(word)
+        return value
 
-    def __missing__(self, word: str) -> str:
-        self[word] = folded = fold_word(word)
-        return folded
+    def all(self, words) -> list:
+        if len(self) > REMEMBERED:
+            self.clear()
+        return list(map(self.__getitem__, words))
 
 
-_FOLDED = _Folded()
+def split(text: str) -> list[str]:
+    """The lower-case words of a text."""
+    return text.lower().split()
 
 
-def features(words: list[str]) -> set[str]:
-    """Whole words as ' word ', word starts as ' star'."""
-    out = set()
-    for w in set(words):
-        if len(w) > 2:
-            out.add(f" {w} ")
-            for n in STARTS:
-                if len(w) >= n:
-                    out.add(f" {w[:n]}")
-    return out
+def fold(text: str) -> list[str]:
+    """The folded words of a text."""
+    return [w for w in map(fold_word, split(text)) if w]
+
+
+def word_features(word: str) -> tuple[str, ...]:
+    """Of a folded word: itself as ' word ', its starts as ' star'."""
+    word = fold_word(word)
+    if len(word) < 3:
+        return ()
+    return (f" {word} ", *(f" {word[:n]}" for n in STARTS if len(word) >= n))
 
 
 @dataclass
@@ -116,40 +119,39 @@ class Model:
     exceptions: frozenset = frozenset()
     curve: tuple[float, ...] = ()
 
-    def automaton(self):
+    def matcher(self) -> _Remembered:
+        """The weight of a word: the heaviest entry it starts with, found by
+        the automaton on the folded word; 0 if none.  Results are remembered,
+        as most words recur."""
         import ahocorasick
 
-        found = ahocorasick.Automaton()
+        automaton = ahocorasick.Automaton()
         for term, weight in self.terms.items():
-            found.add_word(term, (len(term), weight))
-        found.make_automaton()
-        return found
-
-
-def hits(words: list[str], automaton, exceptions: frozenset) -> list[tuple[int, float]]:
-    """(word number, weight) of each word an entry starts, the heaviest entry
-    of a word counting, without words inside an exception phrase."""
-    text = " " + " ".join(words) + " "
-    best: dict[int, float] = {}
-    for end, (size, weight) in automaton.iter(text):
-        start = end - size + 1
-        if weight > best.get(start, -math.inf):
-            best[start] = weight
-    if not best:
+            automaton.add_word(term, (len(term), weight))
+        automaton.make_automaton()
+
+        def weight(word: str) -> float:
+            found = [w for end, (size, w) in automaton.iter(f" {fold_word(word)} ") if end - size == -1]
+            return max(found, default=0.0)
+
+        return _Remembered(weight if self.terms else lambda word: 0.0)
+
+
+def hits(words: list[str], matcher: _Remembered, exceptions: frozenset) -> list[tuple[int, float]]:
+    """(word number, weight) of the words that start with an entry, without
+    those inside an exception phrase."""
+    weights = matcher.all(words)
+    if not any(weights):
         return []
     out = []
-    number = at = 0
-    for start in sorted(best):
-        number += text.count(" ", at, start)
-        at = start
-        if exceptions and (_pair(words, number - 1) in exceptions or _pair(words, number) in exceptions):
-            continue
-        out.append((number, best[start]))
+    for i, w in enumerate(weights):
+        if w and not (exceptions and (_pair(words, i - 1) in exceptions or _pair(words, i) in exceptions)):
+            out.append((i, w))
     return out
 
 
 def _pair(words: list[str], i: int) -> str:
-    return f" {words[i]} {words[i + 1]} " if 0 <= i < len(words) - 1 else ""
+    return f" {fold_word(words[i])} {fold_word(words[i + 1])} " if 0 <= i < len(words) - 1 else ""
 
 
 def measures(found: list[tuple[int, float]], n_words: int) -> tuple[float, float]:
@@ -184,20 +186,21 @@ def held_out(id_col):
 
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table: dict[str, list[int]] = {}
+    tables = Counter(), Counter()  # clean, toxic
+    features = _Remembered(word_features)
 
     def flush():
-        return pa.RecordBatch.from_arrays([
-            pa.array(list(table), pa.string()), pa.array([v[0] for v in table.values()], pa.int64()),
-            pa.array([v[1] for v in table.values()], pa.int64())], names=["term", "clean", "toxic"])
+        terms = list(tables[0].keys() | tables[1].keys())
+        columns = [pa.array(terms, pa.string()), *(pa.array([t[k] for k in terms], pa.int64()) for t in tables)]
+        return pa.RecordBatch.from_arrays(columns, names=["term", "clean", "toxic"])
 
     for batch in batches:
         for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-            for f in features(fold(text.as_py() or "")):
-                table.setdefault(f, [0, 0])[toxic] += 1
-            if len(table) > TABLE:
+            tables[toxic].update(set().union(*features.all(set(split(text.as_py() or "")))))
+            if len(tables[0]) + len(tables[1]) > TABLE:
                 yield flush()
-                table.clear()
+                tables[0].clear()
+                tables[1].clear()
     yield flush()
 
 
@@ -248,12 +251,12 @@ def _exceptions(rows: DataFrame, model: Model) -> frozenset:
     """Word pairs with a hit that clean documents hold (five at least) and
     toxic ones do not; at most ten times the lexicon."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = model.automaton()
+        matcher = model.matcher()
         for batch in batches:
             pairs, labels = [], []
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = fold(text.as_py() or "")
-                near = {_pair(words, i) for n, _ in hits(words, automaton, frozenset()) for i in (n - 1, n)} - {""}
+                words = split(text.as_py() or "")
+                near = {_pair(words, i) for n, _ in hits(words, matcher, frozenset()) for i in (n - 1, n)} - {""}
                 pairs += near
                 labels += [toxic] * len(near)
             yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.string()), pa.array(labels, pa.int32())],
@@ -266,12 +269,12 @@ def _exceptions(rows: DataFrame, model: Model) -> frozenset:
 
 def _measure(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = model.automaton()
+        matcher = model.matcher()
         for batch in batches:
             out = []
             for text in batch.column(0):
-                words = fold(text.as_py() or "")
-                out.append(measures(hits(words, automaton, model.exceptions), len(words)))
+                words = split(text.as_py() or "")
+                out.append(measures(hits(words, matcher, model.exceptions), len(words)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(1), pa.array([t for t, _ in out], pa.float64()),
                 pa.array([r for _, r in out], pa.float64())], names=["toxic", "total", "rate"])
@@ -294,31 +297,34 @@ def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
 
 def score_documents(docs: DataFrame, model: Model, carry: list[str], threshold: float = 0.7,
                     text_col: str = "text") -> DataFrame:
-    """``row`` (struct of the ``carry`` columns), score, predicted, n_hits."""
-    src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"),
-                      F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"))
+    """``row`` (struct of the ``carry`` columns but the text), ``text`` if
+    carried (else null), score, predicted, n_hits."""
+    with_text = text_col in carry
+    src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(
+        F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(c) for c in carry if c != text_col]).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = None
+        matcher = None
         for batch in batches:
-            if automaton is None and model.terms:
-                automaton = model.automaton()
+            matcher = model.matcher() if matcher is None else matcher
             scores, counts = [], []
             for text in batch.column(0):
-                words = fold(text.as_py() or "") if automaton is not None else []
-                found = hits(words, automaton, model.exceptions) if words else []
+                words = split(text.as_py() or "")
+                found = hits(words, matcher, model.exceptions)
                 scores.append(score(model.curve, *measures(found, len(words))))
                 counts.append(len(found))
             yield pa.RecordBatch.from_arrays([
-                batch.column(1), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())],
-                names=["row", "score", "n_hits"])
+                batch.column(1), batch.column(0) if with_text else pa.nulls(batch.num_rows, pa.string()),
+                pa.array(scores, pa.float64()), pa.array(counts, pa.int64())], names=["row", "text", "score", "n_hits"])
+        pa.default_memory_pool().release_unused()
 
     row = src.schema["row"].dataType.simpleString()
-    out = src.mapInArrow(run, f"row {row}, score double, n_hits bigint")
-    return out.select("row", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_hits")
+    out = src.mapInArrow(run, f"row {row}, text string, score double, n_hits bigint")
+    return out.select("row", "text", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_hits")
 
 
-def acceptable_documents(docs: DataFrame, model: Model, **options) -> DataFrame:
+def acceptable_documents(docs: DataFrame, model: Model, text_col: str = "text", **options) -> DataFrame:
     """The documents not predicted toxic, with all their columns."""
-    kept = score_documents(docs, model, docs.columns, **options).where("predicted = 0")
-    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    kept = score_documents(docs, model, docs.columns, text_col=text_col, **options).where("predicted = 0")
+    return kept.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+                         for c in docs.columns])
