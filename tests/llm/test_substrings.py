@@ -63,6 +63,27 @@ def test_several_automata(monkeypatch):
     assert got.tolist() == want
 
 
+def test_a_passage_longer_than_an_automaton(monkeypatch):
+    """Cut into overlapping parts: no alphabet exceeds the limit, the coverage is that of the whole."""
+    monkeypatch.setattr(S, "AUTOMATON_WORDS", 20)
+    sizes, whole = [], S.covered
+    monkeypatch.setattr(S, "covered", lambda words, passages: sizes.extend(t - f for f, t in passages) or whole(words, passages))
+    texts = ["a0 " + " ".join(f"w{i}" for i in range(n)) + " z0 " + " ".join(f"w{i}" for i in range(30, 38)) for n in (200, 200, 63)]
+    words = Words(pa.array(texts))
+    p = S.Pieces(words, 9, 4)
+    grams = [w[i : i + 9] for w in (t.split() for t in texts) for i in range(len(w) - 8)]
+    seen = collections.Counter(map(tuple, grams))
+    d1, d2 = p.digests(np.arange(len(p.first)))
+    flat = sum((t.split() for t in texts), [])
+    mask = [sum(1 << i for i in range(c) if seen[tuple(flat[f + i : f + i + 9])] > 1) for f, c in zip(p.first.tolist(), p.count.tolist())]
+    got = S._shard_cover(words, 9, 4, d1, d2, np.array(mask, np.int64))
+    want = np.zeros(len(flat), bool)
+    for f in np.flatnonzero(words.whole(9)).tolist():
+        if seen[tuple(flat[f : f + 9])] > 1:
+            want[f : f + 9] = True
+    assert got.tolist() == want.tolist() and max(sizes) <= 20
+
+
 def test_pieces_partition_the_windows():
     rnd = random.Random(1)
     texts = [" ".join(rnd.choice("abcd") for _ in range(n)) for n in (0, 3, 9, 10, 200)]

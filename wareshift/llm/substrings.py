@@ -168,12 +168,21 @@ def _piece_places(window: int, seed: int, seeds):
     return run
 
 
+def _parts(first: int, last: int, window: int) -> Iterator[tuple[int, int]]:
+    """A passage (word range) in parts that one automaton can spell.  They
+    overlap by window - 1 words, so every window lies in some part; a part
+    holds windows of the passage only, so it covers nothing else."""
+    step = max(1, AUTOMATON_WORDS - window + 1)
+    for at in range(first, max(first + 1, last - window + 1), step):
+        yield at, min(last, at + step + window - 1)
+
+
 def covered(words: Words, passages: list[tuple[int, int]]) -> np.ndarray:
     """Which words the occurrences of the passages (word ranges) cover.
 
-    The passages are compiled into automata over word numbers, each of at
-    most AUTOMATON_WORDS words (a longer passage has one to itself); words
-    of no passage are one symbol.
+    The passages, of at most AUTOMATON_WORDS words each, are compiled into
+    automata over word numbers, each of at most AUTOMATON_WORDS words in all;
+    words of no passage are one symbol.
     """
     import ahocorasick
 
@@ -241,8 +250,9 @@ def _shard_cover(words: Words, window: int, seed: int, d1: np.ndarray, d2: np.nd
     last = start[np.append(np.flatnonzero(new)[1:], len(start)) - 1] + window
     passages = {}
     raw = p.hashes
-    for f, t in zip(first.tolist(), last.tolist()):
-        passages.setdefault(raw[f:t].tobytes(), (f, t))
+    for whole in zip(first.tolist(), last.tolist()):
+        for f, t in _parts(*whole, window):
+            passages.setdefault(raw[f:t].tobytes(), (f, t))
     return covered(words, sorted(passages.values()))
 
 
