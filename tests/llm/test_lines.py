@@ -6,7 +6,7 @@ import pytest
 from awkward_tables import documents
 from pyspark.sql import functions as F
 
-from wareshift.llm.lines import edit_distance, near_lines, removed_lines, without_lines
+from wareshift.llm.lines import allowed, edit_distance, near_lines, near_lines_by_length, removed_lines, without_lines
 
 
 def edits(a, b):
@@ -121,3 +121,47 @@ def test_empty_table_and_long_lines(spark, nothing):
 def test_text_without_lines(spark):
     df = spark.createDataFrame([("a\nb\n\nc", [1, 3])], "t string, r array<int>")
     assert df.select(without_lines(F.col("t"), F.col("r")).alias("x")).first().x == "a\n"
+
+
+def length_lines(seed):
+    rnd = random.Random(seed)
+    base = ["".join(rnd.choice("abcé ") for _ in range(n)) for n in [*range(18, 64, 3), 79, 80, 81, 99, 100, 119, 120, 338, 342, 700]]
+    out = set()
+    for x in base:
+        k = max(len(x) // 20, 2)
+        for n in (0, 1, k - 1, k, k + 1):
+            out.add(change(rnd, x, n))
+            out.add(x[: len(x) - n] + "a" * n)
+            # edits dealt evenly over the line leave the shortest whole parts
+            at = {(2 * i + 1) * len(x) // (2 * n) for i in range(n)} if n else set()
+            out.add("".join("" if i in at else c for i, c in enumerate(x)))
+            out.add("".join("z" + c if i in at else c for i, c in enumerate(x)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_pairs_by_length(spark, seed):
+    """5 % of the shorter line, two edits at least from 30 characters on."""
+    lines = length_lines(seed)
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "lid bigint, line string, chars int")
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in near_lines_by_length(df, 5, 2, 30).collect()}
+    want = set()
+    for j, b in enumerate(lines):
+        for i, a in enumerate(lines[:j]):
+            n = min(len(a), len(b))
+            most = max(n // 20, 2) if n >= 30 else n // 20
+            assert allowed(n, 5, 2, 30) == most
+            if most and abs(len(a) - len(b)) <= most and edits(a, b) <= most:
+                want.add((i, j))
+    assert got == want and len(want) > 200
+
+
+def test_long_lines_six_edits_apart(spark):
+    rnd = random.Random(7)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(338))
+    near = "".join("z" + c if i % 56 == 50 else c for i, c in enumerate(line))
+    short = "a line of 25 characters.."
+    df = documents(spark, [(1, line), (2, near), (3, short), (4, short.replace("25", "26"))])
+    assert edits(line, near) == 6
+    assert [r[2] for r in run(df)] == [0, 0, 0, 0]
+    assert [r[2] for r in run(df, percent=5)] == [0, 1, 0, 1]

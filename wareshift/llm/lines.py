@@ -15,6 +15,11 @@ banded bit-parallel edit distance: the cells within ``distance`` of the
 diagonal are one small bit vector of vertical differences, moved one column
 at a time by integer operations.
 
+With ``percent`` the edits allowed grow with the shorter line's length (see
+:func:`allowed`).  Too many for a lookup per shift, so each line is entered
+under its ``edits + 1`` segments' first characters, for the lengths and places
+where the longer line can have them, and looks up all its character grams.
+
 Defined results: a null text has no lines, an empty text one empty line;
 repeated rows are documents of their own (their lines are repeats); null ids
 come last in the order of occurrences.
@@ -135,10 +140,84 @@ def near_lines(distinct: DataFrame, distance: int) -> DataFrame:
     return chars.where(edit_distance(F.col("long"), F.col("short"), distance) <= distance).select("a", "b")
 
 
+GRAM_STEP = 256
+
+
+def allowed(n, percent: int, distance: int, near_chars: int):
+    """Edits that a line of n characters may be away from a longer one:
+    ``percent`` of n, and ``distance`` at least from ``near_chars`` on."""
+    share = n * percent // 100 if isinstance(n, int) else F.floor(n * percent / 100).cast("int")
+    if isinstance(n, int):
+        return max(share, distance) if n >= near_chars else share
+    return F.when(n >= near_chars, F.greatest(share, F.lit(distance))).otherwise(share)
+
+
+def _gram_sizes(percent: int, distance: int, near_chars: int) -> list[tuple[int, int, int]]:
+    """(first length, last length, characters of a gram): no segment of the
+    lines of a class is shorter than its gram."""
+    near = [n for n in range(1, 20_000 // percent) if allowed(n, percent, distance, near_chars)]
+    cut = max(near_chars, (distance + 1) * 100 // percent)
+    out = []
+    for some in ([n for n in near if n < cut], [n for n in near if n >= cut]):
+        if some:
+            out.append((some[0], some[-1], min(max(1, n // (allowed(n, percent, distance, near_chars) + 1)) for n in some)))
+    out[-1] = (out[-1][0], 2**31 - 1, out[-1][2])
+    return out
+
+
+def near_lines_by_length(distinct: DataFrame, percent: int, distance: int, near_chars: int) -> DataFrame:
+    """(a, b): the pairs of lines (lid, line, chars) that are at most as many
+    edits apart as :func:`allowed` gives the shorter one."""
+    edits = allowed(F.col("chars"), percent, distance, near_chars)
+    lines = distinct.withColumn("edits", edits)
+
+    def band(n: Column) -> Column:  # about 6 % of length each
+        return F.floor(F.ln(n) * 17).cast("int")
+
+    def place(pos: Column) -> Column:  # about 10 % of the length each
+        return F.floor(pos / (F.floor(F.exp((F.col("band") + 1) / 17) / 10) + 2)).cast("int")
+
+    entries = lookups = None
+    for first, last, gram in _gram_sizes(percent, distance, near_chars):
+        e = lines.where(F.col("chars").between(first, last) & (F.col("edits") > 0)).select(
+            "lid", "line", "chars", "edits", F.explode(F.sequence(F.lit(0), F.col("edits"))).alias("i"))
+        at = (F.col("i") * F.floor(F.col("chars") / (F.col("edits") + 1))).cast("int")
+        e = e.select("lid", "chars", "edits", at.alias("at"), F.substring("line", at + 1, F.lit(gram)).alias("gram"))
+        e = e.select("lid", "edits", "at", "gram", F.explode(
+            F.sequence(band(F.col("chars")), band(F.col("chars") + F.col("edits")))).alias("band"))
+        e = e.select("lid", "gram", "band", F.explode(F.sequence(
+            place(F.greatest(F.lit(0), F.col("at") - F.col("edits"))), place(F.col("at") + F.col("edits")))).alias("place"))
+        e = e.select(F.col("lid").alias("a"), F.xxhash64(F.lit(gram), "band", "place", "gram").alias("key"))
+        # the longer line can be of the next class
+        most = last + (allowed(last, percent, distance, near_chars) if last < 2**31 - 1 else 0)
+        b = lines.where(F.col("chars").between(first, most)).select(
+            "lid", "line", band(F.col("chars")).alias("band"), (F.col("chars") - gram).alias("last"))
+        # cut first: a substring is counted from the start of its text
+        b = b.select("lid", "line", "band", "last", F.explode(F.sequence(F.lit(0), "last", F.lit(GRAM_STEP))).alias("s"))
+        b = b.select("lid", "band", "s", F.least(F.col("last") - F.col("s"), F.lit(GRAM_STEP - 1)).alias("most"),
+                     F.substring("line", F.col("s") + 1, F.lit(GRAM_STEP + gram - 1)).alias("piece"))
+        b = b.select("lid", "band", "s", "piece", F.explode(F.sequence(F.lit(0), "most")).alias("o"))
+        b = b.select(F.col("lid").alias("b"), F.xxhash64(
+            F.lit(gram), "band", place(F.col("s") + F.col("o")), F.substring("piece", F.col("o") + 1, F.lit(gram))).alias("key"))
+        entries, lookups = (e, b) if entries is None else (entries.unionByName(e), lookups.unionByName(b))
+    pairs = entries.join(lookups, "key").where("a <> b").select("a", "b").distinct()
+    short = lines.select(F.col("lid").alias("a"), F.col("line").alias("line_a"), F.col("chars").alias("chars_a"), "edits")
+    long = distinct.select(F.col("lid").alias("b"), F.col("line").alias("line_b"), F.col("chars").alias("chars_b"))
+    sizes = lines.select(F.col("lid").alias("a"), F.col("chars").alias("chars_a"), F.col("edits"))
+    # lengths first: lines of one length find each other both ways
+    fits = pairs.join(sizes, "a").join(long.select("b", "chars_b"), "b").where(
+        F.col("chars_b").between(F.col("chars_a"), F.col("chars_a") + F.col("edits"))
+        & ((F.col("chars_a") < F.col("chars_b")) | (F.col("a") < F.col("b")))).select("a", "b")
+    both = fits.join(short.select("a", "line_a", "edits"), "a").join(long.select("b", "line_b"), "b")
+    return both.where(F.expr("levenshtein(line_b, line_a, edits) >= 0")).select("a", "b")
+
+
 def line_verdicts(docs: DataFrame, distance: int = 2, near_chars: int = 30, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", percent: int | None = None) -> DataFrame:
     """One row per line: rid (number of the document's row), id, pos (from
-    0), removed, near (removed for a line that is not equal)."""
+    0), removed, near (removed for a line that is not equal).  With
+    ``percent``, near lines are those :func:`allowed` says."""
+    least = near_chars if percent is None else min(near_chars, -(-100 // percent))
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(f"`{id_col}`").alias("id"), text.alias("text"))
     lines = rows.select("rid", "id", F.posexplode_outer(F.split("text", "\n", -1)).alias("pos", "line"))
@@ -148,10 +227,12 @@ def line_verdicts(docs: DataFrame, distance: int = 2, near_chars: int = 30, id_c
     places = written(lines.select("rid", "id", "pos", F.col("line").isNull().alias("none"), "h1", "h2",
                                   (F.coalesce(F.length("line"), F.lit(0)) == 0).alias("blank")), "lines")
     distinct = written(
-        lines.select("h1", "h2", "line", F.length("line").alias("chars")).where(F.col("chars") >= near_chars)
+        lines.select("h1", "h2", "line", F.length("line").alias("chars")).where(F.col("chars") >= least)
         .groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("chars").alias("chars"))
         .withColumn("lid", F.monotonically_increasing_id()), "distinct-lines", compression="zstd")
-    groups = components(near_lines(distinct.select("lid", "line", "chars"), distance))
+    each = distinct.select("lid", "line", "chars")
+    groups = components(near_lines(each, distance) if percent is None else
+                        near_lines_by_length(each, percent, distance, near_chars))
     keys = distinct.select("lid", "h1", "h2")
     groups = (groups.join(keys.withColumnRenamed("lid", "node"), "node")
               .join(keys.select(F.col("lid").alias("component"), F.col("h1").alias("g1"), F.col("h2").alias("g2")), "component")
