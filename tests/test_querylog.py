@@ -54,6 +54,16 @@ def test_claim_filters_before_limit(spark):
     assert got == [4, 5]
 
 
+def test_claims_take_the_rest_of_a_tie(spark):
+    rows = [(o, q, "select 1", "db", None) for o, q in [(1, "a"), (2, "c"), (2, "b"), (2, "d"), (3, "e")]]
+    st = spark.createDataFrame(rows, "order_id long, query_id string, tidb_sql string, db string, execute_result int")
+    got, last = [], (0, None)
+    while some := L.claim_batch(st, last[0], 2, last_query_id=last[1]).collect():
+        got += [r.query_id for r in some]
+        last = (some[-1].order_id, some[-1].query_id)
+    assert got == ["a", "b", "c", "d", "e"]
+
+
 def test_outcome_and_progress(spark):
     import datetime as dt
 

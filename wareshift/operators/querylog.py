@@ -169,19 +169,25 @@ def record_errors(errors: DataFrame, results: DataFrame, sql_date: str) -> DataF
 
 # L9
 def claim_batch(statements: DataFrame, last_order_id: int, n: int, second_round: bool = False,
-                sql_date: str | None = None) -> DataFrame:
+                sql_date: str | None = None, last_query_id: str | None = None) -> DataFrame:
     """Next ``n`` unexecuted statements after ``last_order_id`` with
-    non-empty text and db (empty texts are filtered BEFORE the limit)."""
+    non-empty text and db (empty texts are filtered BEFORE the limit).
+
+    Statements can share an ``order_id``: the next claim passes both ids of
+    the last row, so the rest of a tie that the limit cut is claimed too."""
     text, res = ("tidb_sql2", "execute_result2") if second_round else ("tidb_sql", "execute_result")
+    after = F.col("order_id") > F.lit(last_order_id)
+    if last_query_id is not None:
+        after = after | ((F.col("order_id") == F.lit(last_order_id)) & (F.col("query_id") > F.lit(last_query_id)))
     cond = (
         F.col(res).isNull()
-        & (F.col("order_id") > F.lit(last_order_id))
+        & after
         & (F.coalesce(F.col(text), F.lit("")) != "")
         & (F.coalesce(F.col("db"), F.lit("")) != "")
     )
     if sql_date is not None:
         cond = cond & (F.col("sql_date") == sql_date)
-    return statements.filter(cond).orderBy("order_id").limit(n)
+    return statements.filter(cond).orderBy("order_id", "query_id").limit(n)
 
 
 # L10

@@ -184,7 +184,7 @@ def stream_log_upsert(spark: SparkSession, landing: str, statements_path: str, e
                 main, big = split_oversize(main, "query_id", text, oversize_limit)
                 big = big.select("query_id", F.lit(text).alias("field"), "big_text")
                 side = big if side is None else side.unionByName(big)
-            # an order of the statements: the epoch, then the id's hash
+            # an order of the statements: the epoch, then the id's hash; two can share it, so claims go by (order_id, query_id)
             order_id = F.lit(int(epoch_id)) * F.lit(1 << 40) + F.pmod(F.xxhash64("query_id"), F.lit(1 << 40))
             st = main.select("query_id", order_id.alias("order_id"), "hash_id", "tenant", "db", "sql_type", "impala_sql",
                              "impala_duration", "tidb_sql", F.lit(sql_date).alias("sql_date"))
