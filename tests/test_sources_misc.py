@@ -77,6 +77,20 @@ def test_insert_values_both_modes(spark):
     assert sum(counts) == 2500 and max(counts) <= 1000
 
 
+def test_insert_statements_are_bounded_in_bytes(spark):
+    from wareshift.sources import inserts
+
+    sizes = [10, 10, 900, 10, 400, 400, 400, 3000, 5, 5, *[90] * 40]
+    df = spark.createDataFrame([(i, "é" * (n // 2)) for i, n in enumerate(sizes)], "id long, s string").repartition(2)
+    for order_by in (["id"], None):
+        got = inserts.to_insert_values(df, "t", order_by, 30, max_bytes=1000).orderBy("batch", "part").collect()
+        rows = [r.stmt.split(" values ")[1].split("),(") for r in got]
+        ids = [int(x.lstrip("(").split(",")[0]) for each in rows for x in each]
+        assert sorted(ids) == list(range(len(sizes))) and (order_by is None or ids == sorted(ids))
+        assert all(len(each) <= 30 for each in rows)
+        assert all(len(each) == 1 or len(r.stmt.split(" values ")[1].encode()) <= 1000 + len(each) for r, each in zip(got, rows))
+
+
 def test_unordered_insert_batches_do_not_depend_on_arrival_order(spark):
     # a shuffle output holds the same rows whatever order they arrive in; the
     # cheap mode must cut the same statements from either order (batch 5: the

@@ -187,7 +187,7 @@ FROM r GROUP BY 1
 """, "S7,D12")
 def insert_values(spark, sf_dir):
     o = tables(spark, sf_dir).orders
-    return inserts.to_insert_values(o, "orders", ["o_orderkey"], 1000)
+    return inserts.to_insert_values(o, "orders", ["o_orderkey"], 1000).select("batch", "stmt")
 
 
 OVERSIZE_CHARS = 20_000

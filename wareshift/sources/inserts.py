@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wareshift.operators.changes import row_hash, with_sequence
@@ -35,8 +35,14 @@ def sql_literal(c: str, dtype: str) -> Column:
     return F.coalesce(v, F.lit("NULL"))
 
 
-def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None, batch: int = 1000) -> DataFrame:
-    """Insert statements of at most ``batch`` rows.
+def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None, batch: int = 1000,
+                     max_bytes: int = 3_000_000) -> DataFrame:
+    """Insert statements (batch, part, stmt) of at most ``batch`` rows and
+    about ``max_bytes`` bytes of row text.
+
+    A batch is cut into parts by its running bytes: a row of more than half
+    of ``max_bytes`` has a part to itself (a single row can exceed the
+    bound, no row is dropped), the others of a part stay below the bound.
 
     With ``order_by`` the rows are numbered densely in that order (one range
     sort and a checkpoint of the numbered rows) and batch ``b`` holds rows
@@ -59,7 +65,13 @@ def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None,
         numbered = df.sortWithinPartitions(row_hash(df)).select(row.alias("__row"), pid.alias("__pid"),
                                                                  pos.alias("__seq"))
         key = (F.col("__pid") * (1 << 33) + F.floor(F.col("__seq") / batch)).cast("bigint")
-    g = numbered.groupBy(key.alias("batch")).agg(
+    # bytes before a row, in halves of the bound: a larger row ends its half
+    half, size = max(1, max_bytes // 2), F.octet_length("__row")
+    order = Window.partitionBy("batch").orderBy("__seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sized = numbered.select(key.alias("batch"), "__seq", "__row").withColumn(
+        "__before", F.sum(size.cast("bigint")).over(order) - size)
+    part = F.floor(F.col("__before") / half) * 2 + (size > half).cast("bigint")
+    g = sized.groupBy("batch", part.cast("bigint").alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("__seq", "__row"))).alias("__rows"))
     head = f"insert into {table} ({', '.join(cols)}) values "
-    return g.select("batch", F.concat(F.lit(head), F.array_join(F.transform("__rows", lambda x: x["__row"]), ",")).alias("stmt"))
+    return g.select("batch", "part", F.concat(F.lit(head), F.array_join(F.transform("__rows", lambda x: x["__row"]), ",")).alias("stmt"))
