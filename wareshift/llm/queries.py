@@ -321,3 +321,12 @@ def op6_line_dedup_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = removed_lines(table(spark, sf_dir, "documents"), distance=2, near_chars=30, percent=5)
     numbers = F.array_join(F.col("removed").cast("array<string>"), ",")
     return found.select("doc_id", "n_lines", "n_removed", "n_near", numbers.alias("removed"))
+
+
+@query("op12_bpe_round_trip")
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from wareshift.llm.bpe import round_trip_digests
+
+    return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), by_word=True)
