@@ -330,3 +330,17 @@ def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wareshift.llm.bpe import round_trip_digests
 
     return round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareshift.llm.whitening import by_component, whiten
+
+    return by_component(whiten(table(spark, sf_dir, "embeddings"), components=32))
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wareshift.llm.conversations import damage, repair_report
+
+    return repair_report(damage(table(spark, sf_dir, "conversations")))
