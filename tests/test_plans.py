@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = sorted(QUERIES)
 # Queries whose only un-partitioned window is the per-partition offset of
 # with_sequence (one row per partition).
-SEQUENCE_QUERIES = {"sequence_ids", "insert_values", "upsert_lookup", "sort_mixed"}
+SEQUENCE_QUERIES = {"sequence_ids", "insert_values", "upsert_lookup", "sort_mixed", "offset_only"}
 HEADLINE_READS = {
     "pivot_flags": {"lineitem": {"l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"}},
     "latest_per_key": {"orders": {"o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"}},
@@ -106,3 +106,19 @@ def test_folded_statements_scan_each_table_once(spark, name):
     for table, n in SINGLE_PASS[name].items():
         scans = [ln for ln in plan.splitlines() if "FileScan" in ln and f"{table}.parquet" in ln]
         assert len(scans) == n, (table, scans)
+
+
+def test_offset_without_limit_has_no_single_task(spark):
+    df = E.queries()["offset_only"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Limit" not in plan and "Offset" not in plan
+    # the one-partition exchange carries a row per range, not the rows
+    lines = plan.splitlines()
+    single = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    assert all("HashAggregate(keys=[__pid" in lines[i + 1] for i in single)
+
+
+def test_ancestor_list_repeats_no_wide_row(spark):
+    plan = _plan(spark, "ancestor_list")
+    generate = [ln for ln in plan.splitlines() if "Generate" in ln or "BroadcastNestedLoopJoin" in ln]
+    assert generate and all("amount" not in ln and "cnt" not in ln for ln in generate)

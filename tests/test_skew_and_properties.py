@@ -150,11 +150,11 @@ def test_key_changes_with_hot_target_key(spark):
 
 
 def test_ancestor_join_hot_root_with_aggregated_parents(spark):
-    # every child shares the root prefix 'r'; the parent side is the output
-    # of an aggregate (distinct), which would otherwise keep AQE from
-    # splitting the hot prefix
+    # every child shares the root prefix 'r', and one path holds four fifths
+    # of the children; the parent side is the output of an aggregate
+    # (distinct), which would otherwise keep AQE from splitting the hot path
     # (large and varied enough that the hot partition stays big after shuffle compression)
-    rows = [("r|a|%d" % (i % 40) if i % 5 else "r|b|%d" % i, (i * 7919) % 1000003) for i in range(60000)]
+    rows = [("r|a|7" if i % 5 else "r|b|%d" % i, (i * 7919) % 1000003) for i in range(60000)]
     kids = spark.createDataFrame(rows, "path string, v long").repartition(8)
     parents = spark.createDataFrame([("r",), ("r|a",), ("r|b",), ("r",), ("q",)], "p string").distinct()
     conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
@@ -172,6 +172,10 @@ def test_ancestor_join_hot_root_with_aggregated_parents(spark):
     want = sorted((p, v) for path, v in rows for p in ("r", "r|a", "r|b") if path == p or path.startswith(p + "|"))
     assert got == want
     assert "SortMergeJoin(skew=true)" in plan
+    # below the expansion into prefixes there are distinct paths only
+    assert "Generate" in plan
+    for below in plan.split("Generate")[1:]:
+        assert "HashAggregate(keys=[__path" in below.split("\n")[1] + below.split("\n")[2] + below.split("\n")[3]
 
 
 KEY = st.one_of(st.none(), st.integers(0, 3))
@@ -204,3 +208,106 @@ def test_bucketed_range_join_property(spark, facts, dims, width, how):
     plain = J.range_join(f, d, ["k"], "v", "lo", "hi", how)
     bucketed = J.range_join(f, d, ["k"], "v", "lo", "hi", how, bucket=width)
     assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, bucketed.collect()), key=repr)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 1), st.one_of(st.none(), st.text("ab|", max_size=9))), max_size=12),
+       st.lists(st.tuples(st.integers(0, 1), st.one_of(st.none(), st.text("ab|", max_size=5))), max_size=8))
+def test_containment_property(spark, kids, parents):
+    # short, empty, repeated and null paths on both sides
+    c = spark.createDataFrame([(k, p, i) for i, (k, p) in enumerate(kids)], "k int, c string, ci int")
+    p = spark.createDataFrame([(k, q, j) for j, (k, q) in enumerate(parents)], "k int, p string, pj int")
+    want = sorted((i, j) for i, (kc, cp) in enumerate(kids) for j, (kp, pp) in enumerate(parents)
+                  if kc == kp and cp is not None and pp is not None and pp in cp)
+    assert sorted((r.ci, r.pj) for r in J.containment_join(c, p, "c", "p", keys=["k"]).collect()) == want
+    counts = {r.pj: r.children for r in J.containment_count(c, p, "c", "p", keys=["k"]).collect()}
+    assert counts == {j: sum(b == j for _, b in want) for j in {b for _, b in want}}
+    assert sorted(r.pj for r in J.contained_in_any(p, c, "p", "c", keys=["k"]).collect()) == sorted({j for _, j in want})
+
+
+def test_containment_costs_a_row_per_gram_not_per_substring(spark):
+    c = spark.createDataFrame([("x" * 50 + "%04d" % i + "y" * 50,) for i in range(40)], "c string")
+    p = spark.createDataFrame([("x" * n,) for n in range(1, 41)] + [("0007y",), ("q",)], "p string")
+    got = J.contained_pairs(c, p, "c", "p")
+    assert got.count() == 40 * 40 + 1
+    got.collect()
+    made = _rows_made(got, "Generate")
+    # distinct grams of 1, 2 and 3 characters of 104, not the 40 lengths' substrings
+    assert max(made) <= 40 * 3 * 20
+
+
+def _rows_made(df, node):
+    """Output rows of every ``node`` of the executed plan."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(plan.executedPlan())
+        elif hasattr(plan, "plan") and name.endswith("QueryStage"):
+            todo.append(plan.plan())
+        kids = plan.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        metrics = plan.metrics()
+        if name == node and metrics.contains("numOutputRows"):
+            found.append(metrics.apply("numOutputRows").value())
+    return found
+
+
+IVL = st.tuples(st.integers(0, 1), st.integers(-(10**6), 10**6), st.one_of(st.integers(0, 40), st.integers(0, 2 * 10**6)))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(-(10**6), 10**6)), max_size=25), st.lists(IVL, max_size=10),
+       st.sampled_from([1, 10, 1000]), st.sampled_from(["inner", "left", "left_semi", "left_anti"]))
+def test_range_join_of_any_length_property(spark, facts, dims, width, how):
+    f = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(facts)], "k int, v long, id int")
+    d = spark.createDataFrame([(k, lo, lo + n, j) for j, (k, lo, n) in enumerate(dims)], "k int, lo long, hi long, d int")
+    plain = J.range_join(f, d, ["k"], "v", "lo", "hi", how)
+    covered = J.range_join(f, d, ["k"], "v", "lo", "hi", how, bucket=width)
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, covered.collect()), key=repr)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(-70, 70), st.integers(-3, 150)), min_size=1, max_size=20))
+def test_dyadic_cover_is_exact_and_disjoint(spark, spans):
+    df = spark.createDataFrame([(a, a + n) for a, n in spans], "a long, b long")
+    for r in df.select("a", "b", J.dyadic_cover("a", "b").alias("c")).collect():
+        numbers = [x for b in r.c for x in range(b.node << b.level, (b.node + 1) << b.level)]
+        assert sorted(numbers) == list(range(r.a, r.b + 1))
+        assert len({b.level for b in r.c}) * 2 >= len(r.c)
+
+
+def test_an_open_interval_costs_few_rows(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.date(1992, 1, 1) + dt.timedelta(days=i), dt.date(9999, 12, 31)) for i in range(400)],
+                               "lo date, hi date")
+    days = df.select(J._bucket_of(F.col("lo"), 1, "date").alias("a"), J._bucket_of(F.col("hi"), 1, "date").alias("b"))
+    assert days.select(F.max(F.size(J.dyadic_cover("a", "b"))).alias("n")).first().n < 50
+    facts = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(1992, 1, 5),), (dt.date(1991, 1, 1),)], "day date")
+    j = J.range_join(facts, df, [], "day", "lo", "hi", bucket=1)
+    assert {r["day"].year: r["count"] for r in j.groupBy("day").count().collect()} == {2024: 400, 1992: 5}
+    infinite = spark.createDataFrame([(0.5, float("inf")), (float("-inf"), 2.0)], "lo double, hi double")
+    points = spark.createDataFrame([(1.0,), (1e300,), (-1e300,)], "x double")
+    got = J.range_join(points, infinite, [], "x", "lo", "hi", bucket=0.25)
+    assert sorted((r.x, r.lo) for r in got.collect()) == [(-1e300, float("-inf")), (1.0, float("-inf")), (1.0, 0.5), (1e300, 0.5)]
+
+
+def test_deep_pages_are_cut_from_ranges(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(30000)], "k long, v long").repartition(8)
+    whole = sorted((i % 7, i) for i in range(30000))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        rest = W.page(df, ["k", "v"], offset=12345)
+        plan = rest._jdf.queryExecution().executedPlan().toString()
+        assert "Limit" not in plan and "Offset" not in plan and rest.rdd.getNumPartitions() > 4
+        assert [tuple(r) for r in rest.collect()] == whole[12345:]
+        assert [tuple(r) for r in W.page(df, ["k", "v"], limit=100, offset=20000).collect()] == whole[20000:20100]
+    finally:
+        spark.conf.set(key, before)
+    assert [tuple(r) for r in W.page(df, ["k", "v"], limit=100, offset=50).collect()] == whole[50:150]
+    assert W.page(df, ["k", "v"], offset=30000).count() == 0
+    assert W.page(df, ["k", "v"], offset=0).count() == 30000

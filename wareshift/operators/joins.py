@@ -7,11 +7,13 @@ loop:
 
 * ``ancestor_join`` (J5): ``LEFT(c.path, LENGTH(p.path)) = p.path``.
 * ``containment_join`` (J6): ``locate(p.path, c.path) > 0``.
-* ``range_join`` (J3): equi key plus ``between`` bounds.
+* ``range_join`` (J3): equi key plus ``between`` bounds, intervals of any
+  length.
 
 Broadcasts are asked for only on sides with a bound: the set of distinct
-path lengths (at most the longest path) and a ``limit(1)`` row; any other
-side is left to the planner's size-checked choice.  ``lookup_join`` keeps a
+path lengths (at most the longest path), one-row aggregates (gram sizes,
+block levels) and a ``limit(1)`` row; any other side is left to the
+planner's size-checked choice.  ``lookup_join`` keeps a
 hot key of the big side splittable by AQE.
 """
 
@@ -86,21 +88,26 @@ def ancestor_join(children: DataFrame, parents: DataFrame, child_path: str, pare
     child's path (and whose ``keys`` are equal).
 
     ``mode='string'`` reproduces ``LEFT(c.path, LENGTH(p.path)) = p.path``;
-    ``mode='path'`` only matches whole segments.  Column names of the two
-    sides must not clash except for ``keys``.
-    """
+    ``mode='path'`` only matches whole segments.  Only the distinct (keys,
+    path) pairs are expanded into prefixes and meet the parents; the rows
+    join that result by their own path, so no other column of theirs is
+    repeated per prefix.  Column names of the two sides must not clash
+    except for ``keys``."""
+    if mode not in ("string", "path"):
+        raise ValueError(mode)
+    names = [f"__c_{k}" for k in keys]
+    distinct = children.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(child_path).alias("__path")).distinct()
     if mode == "string":
         lengths = parents.select(F.length(F.col(parent_path)).alias("plen")).distinct()
-        exploded = path_prefixes(children, child_path, "__prefix", sep, lengths=lengths)
-    elif mode == "path":
-        exploded = path_prefixes(children, child_path, "__prefix", sep)
+        exploded = path_prefixes(distinct, "__path", "__prefix", sep, lengths=lengths)
     else:
-        raise ValueError(mode)
+        exploded = path_prefixes(distinct, "__path", "__prefix", sep)
     # every child of a root shares the root's prefix: a hot join key, kept
     # splittable by AQE (see lookup_join)
     p = parents.withColumnsRenamed({k: f"__p_{k}" for k in keys})
-    joined = lookup_join(exploded, p, ["__prefix", *keys], [parent_path, *[f"__p_{k}" for k in keys]], "inner")
-    return joined.drop("__prefix", *[f"__p_{k}" for k in keys])
+    found = lookup_join(exploded, p, ["__prefix", *names], [parent_path, *[f"__p_{k}" for k in keys]], "inner").drop(
+        "__prefix", *[f"__p_{k}" for k in keys])
+    return lookup_join(children, found, [child_path, *keys], ["__path", *names], "inner").drop("__path", *names)
 
 
 def ancestor_rollup(facts: DataFrame, path: str, measures: dict[str, Column], parents: DataFrame,
@@ -131,37 +138,111 @@ def ancestor_rollup(facts: DataFrame, path: str, measures: dict[str, Column], pa
     return out.drop("__prefix")
 
 
+#: Characters of the grams that the containment index is built on.
+GRAM = 3
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """Distinct substrings of ``size`` characters; size 0 gives ''."""
+    n = F.length(text)
+    return F.when(size == 0, F.array(F.lit(""))).when(n >= size, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.substring(text, i, size)))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def contained_pairs(children: DataFrame, parents: DataFrame, child_path: str, parent_path: str,
+                    keys: Sequence[str] = ()) -> DataFrame:
+    """Distinct (keys..., __child, __parent) with ``locate(parent, child) > 0``.
+
+    An index on the rarest gram: every distinct parent path enters under the
+    one of its three-character grams (shorter paths: the whole path) that the
+    fewest child paths hold, a child looks up each of its distinct grams
+    once, and ``locate`` verifies.  A child that contains a parent holds all
+    the parent's grams, so nothing is missed, and a parent has one entry, so
+    a pair comes once.  A child costs one row per distinct gram (its length
+    at most), never one per substring; a parent with a gram that no child
+    holds drops out before the lookups."""
+    kc = [f"__k{i}" for i in range(len(keys))]
+    c = children.select(*[F.col(k).alias(n) for k, n in zip(keys, kc)], F.col(child_path).alias("__child")).filter(
+        F.col("__child").isNotNull()).distinct()
+    p = parents.select(*[F.col(k).alias(n) for k, n in zip(keys, kc)], F.col(parent_path).alias("__parent")).filter(
+        F.col("__parent").isNotNull()).distinct()
+    size = F.least(F.lit(GRAM), F.length("__parent"))
+    # the gram sizes in use: one row holding at most GRAM + 1 numbers
+    sizes = p.agg(F.collect_set(size).alias("__sizes"))
+    lookups = c.crossJoin(F.broadcast(sizes)).withColumn("__gram", F.explode(F.flatten(F.transform(
+        "__sizes", lambda s: _grams(F.col("__child"), s))))).drop("__sizes")
+    counts = lookups.groupBy(*kc, "__gram").agg(F.count(F.lit(1)).alias("__n"))
+    entered = p.withColumn("__gram", F.explode(_grams(F.col("__parent"), size)))
+    counts = counts.withColumnsRenamed({n: f"__n{n}" for n in kc}).withColumnRenamed("__gram", "__counted")
+    rated = lookup_join(entered, counts, ["__gram", *kc], ["__counted", *[f"__n{n}" for n in kc]], "left")
+    rarest = rated.groupBy(*kc, "__parent").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram")).alias("__r"))
+    index = rarest.filter(F.col("__r.n") > 0).select(
+        *[F.col(n).alias(f"__i{n}") for n in kc], F.col("__r.__gram").alias("__entry"), "__parent")
+    met = lookup_join(lookups, index, ["__gram", *kc], ["__entry", *[f"__i{n}" for n in kc]], "inner")
+    return met.filter(F.expr("locate(__parent, __child) > 0")).select(*kc, "__child", "__parent")
+
+
 def containment_join(children: DataFrame, parents: DataFrame, child_path: str, parent_path: str,
                      keys: Sequence[str] = ()) -> DataFrame:
-    """``locate(p.path, c.path) > 0`` within equal ``keys``, as an equi-join.
-
-    Each child is expanded into its substrings whose lengths occur among
-    the parent paths (a bounded set), then joined on equality; rows are
-    de-duplicated per (child, parent) so a parent that occurs twice in one
-    child path matches once, as the predicate form does (substrings of one
-    length are made distinct per row; different lengths never coincide)."""
-    lengths = F.broadcast(parents.select(F.length(F.col(parent_path)).alias("__len")).distinct())
-    n = F.length(F.col(child_path))
-    subs = F.array_distinct(F.transform(
-        F.sequence(F.lit(1), n - F.col("__len") + 1),
-        lambda pos: F.substring(F.col(child_path), pos, F.col("__len")),
-    ))
-    ex = (
-        children.join(lengths, F.col("__len") <= n, "inner")
-        .withColumn("__sub", F.explode(subs))
-        .drop("__len")
-    )
+    """``locate(p.path, c.path) > 0`` within equal ``keys``: the rows of both
+    sides joined through :func:`contained_pairs`."""
+    kc = [f"__k{i}" for i in range(len(keys))]
+    pairs = contained_pairs(children, parents, child_path, parent_path, keys)
     p = parents.withColumnsRenamed({k: f"__p_{k}" for k in keys})
-    joined = lookup_join(ex, p, ["__sub", *keys], [parent_path, *[f"__p_{k}" for k in keys]], "inner")
-    return joined.drop("__sub", *[f"__p_{k}" for k in keys])
+    found = lookup_join(pairs, p, ["__parent", *kc], [parent_path, *[f"__p_{k}" for k in keys]], "inner").drop(
+        "__parent", *[f"__p_{k}" for k in keys])
+    return lookup_join(children, found, [child_path, *keys], ["__child", *kc], "inner").drop("__child", *kc)
+
+
+def containment_count(children: DataFrame, parents: DataFrame, child_path: str, parent_path: str,
+                      keys: Sequence[str] = (), out: str = "children") -> DataFrame:
+    """Parents with the number of child rows whose path contains theirs
+    (parents without any are left out).  Equal child paths are counted
+    first and the pairs are summed where they arise: no row of either side
+    is repeated per pair."""
+    kc = [f"__k{i}" for i in range(len(keys))]
+    weight = children.groupBy(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], F.col(child_path).alias("__of")).agg(
+        F.count(F.lit(1)).alias("__w"))
+    pairs = contained_pairs(children, parents, child_path, parent_path, keys)
+    weighed = lookup_join(pairs, weight, ["__child", *kc], ["__of", *[f"__w{i}" for i in range(len(keys))]], "inner")
+    counted = weighed.groupBy(*kc, "__parent").agg(F.sum("__w").alias(out))
+    return lookup_join(parents, counted, [parent_path, *keys], ["__parent", *kc], "inner").drop("__parent", *kc)
+
+
+def contained_in_any(parents: DataFrame, children: DataFrame, parent_path: str, child_path: str,
+                     keys: Sequence[str] = ()) -> DataFrame:
+    """The parents whose path occurs in some child path of equal ``keys``."""
+    kc = [f"__k{i}" for i in range(len(keys))]
+    hit = contained_pairs(children, parents, child_path, parent_path, keys).select(*kc, "__parent").distinct()
+    return lookup_join(parents, hit, [parent_path, *keys], ["__parent", *kc], "left_semi")
 
 
 def _bucket_of(c: Column, width: float, dtype: str) -> Column:
     """Bucket number of a value: ``floor(v / width)``; dates and timestamps
-    count in days (``width`` days per bucket).  Monotonic in the value."""
+    count in days (``width`` days per bucket).  Monotonic in the value; very
+    large numbers share the outermost buckets."""
     if dtype == "date" or dtype.startswith("timestamp"):
         c = F.datediff(F.to_date(c), F.to_date(F.lit("1970-01-01")))
-    return F.floor(c / F.lit(width)).cast("long")
+    edge = F.lit(float(1 << 52))
+    return F.floor(F.least(F.greatest(c / F.lit(width), -edge), edge)).cast("long")
+
+
+def dyadic_cover(lo: str, hi: str) -> Column:
+    """The fewest aligned blocks ``[node << level, (node + 1) << level)``
+    that make up the whole numbers from column ``lo`` to column ``hi``, as
+    an array of (level, node); at most two a level, empty if hi < lo.
+
+    At level k the part still open is ``[ceil(lo / 2**k), (hi + 1) >> k)``;
+    its first block is taken where that start is odd, its last where that
+    end is odd."""
+    levels = "sequence(0, 54)"
+    start = f"-shiftright(-{lo}, k)"
+    end = f"shiftright({hi} + 1, k)"
+    block = "struct(k AS level, {} AS node)".format
+    return F.expr(f"""concat(
+        transform(filter({levels}, k -> {start} < {end} AND ({start}) & 1 = 1), k -> {block(start)}),
+        transform(filter({levels}, k -> {start} < {end} AND ({end}) & 1 = 1), k -> {block(end + ' - 1')}))""")
 
 
 def range_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], value: str, lo: str, hi: str,
@@ -171,15 +252,15 @@ def range_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], value: st
 
     Without ``bucket`` every fact row is compared with every dimension row
     of its key before the bounds filter -- all pairs of a key, which for a
-    hot key with many intervals is quadratic.  With ``bucket`` (a width in
-    the value's unit, days for dates and timestamps) each dimension row is
-    expanded into the buckets its interval covers and each fact row gets
-    its own bucket, so the join runs on ``keys`` + bucket and compares a
-    fact only with the intervals that touch its bucket.  The result is the
-    same (the bucket is monotonic in the value, and a fact has exactly one
-    bucket); a dimension row costs ``(hi - lo) / bucket + 1`` rows, so pick a
-    width near the typical interval length.  Allowed for joins that keep
-    the fact side: inner, left, left_semi, left_anti."""
+    hot key with many intervals is quadratic.  With ``bucket`` (the width of
+    the finest buckets in the value's unit, days for dates and timestamps)
+    an interval of any length, open-ended ones included, becomes the few
+    aligned blocks of buckets that make it up (:func:`dyadic_cover`), and
+    each distinct (key, value) of the facts looks up the blocks that hold
+    its bucket, one per level in use.  It meets an interval in exactly one
+    block, with the bounds checked there; the facts then join what their
+    (key, value) met, so no fact row is repeated for the lookups.  Allowed
+    for joins that keep the fact side: inner, left, left_semi, left_anti."""
     if bucket is None:
         cond = [facts[k] == dims[k] for k in keys] + [facts[value] >= dims[lo], facts[value] <= dims[hi]]
         out = facts.join(dims, cond, how)
@@ -189,16 +270,23 @@ def range_join(facts: DataFrame, dims: DataFrame, keys: Sequence[str], value: st
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"bucketed range join keeps the fact side only, not {how!r}")
     ft, dt = dict(facts.dtypes), dict(dims.dtypes)
-    f = facts.withColumn("__fb", _bucket_of(F.col(value), bucket, ft[value]))
-    b_lo, b_hi = _bucket_of(F.col(lo), bucket, dt[lo]), _bucket_of(F.col(hi), bucket, dt[hi])
-    covered = F.when(b_lo <= b_hi, F.sequence(b_lo, b_hi)).otherwise(F.array().cast("array<long>"))
-    d = dims.withColumnsRenamed({k: f"__d_{k}" for k in keys}).withColumn("__db", F.explode(covered))
-    cond = ([f[k] == d[f"__d_{k}"] for k in keys] + [f["__fb"] == d["__db"]]
-            + [f[value] >= d[lo], f[value] <= d[hi]])
-    out = f.join(d, cond, how).drop("__fb")
-    if how in ("inner", "left"):
-        out = out.drop("__db", *[f"__d_{k}" for k in keys])
-    return out
+    points = facts.filter(F.col(value).isNotNull()).select(
+        *[F.col(k).alias(f"__f_{k}") for k in keys], F.col(value).alias("__v")).distinct()
+    points = points.withColumn("__fb", _bucket_of(F.col("__v"), bucket, ft[value]))
+    blocks = dims.withColumnsRenamed({k: f"__d_{k}" for k in keys}).withColumns(
+        {"__lo": _bucket_of(F.col(lo), bucket, dt[lo]), "__hi": _bucket_of(F.col(hi), bucket, dt[hi])})
+    blocks = blocks.withColumn("__b", F.explode(dyadic_cover("__lo", "__hi"))).drop("__lo", "__hi")
+    # the levels in use: one row holding at most 55 numbers
+    levels = blocks.agg(F.collect_set("__b.level").alias("__levels"))
+    probes = points.crossJoin(F.broadcast(levels)).withColumn("__level", F.explode("__levels")).withColumn(
+        "__node", F.expr("shiftright(__fb, __level)")).drop("__levels", "__fb")
+    met = probes.join(blocks, [F.col(f"__f_{k}") == F.col(f"__d_{k}") for k in keys]
+                      + [F.col("__level") == F.col("__b.level"), F.col("__node") == F.col("__b.node"),
+                         F.col("__v") >= F.col(lo), F.col("__v") <= F.col(hi)])
+    met = met.drop("__level", "__node", "__b", *[f"__d_{k}" for k in keys])
+    cond = [facts[k] == met[f"__f_{k}"] for k in keys] + [facts[value] == met["__v"]]
+    out = facts.join(met, cond, how)
+    return out.drop("__v", *[f"__f_{k}" for k in keys]) if how in ("inner", "left") else out
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:

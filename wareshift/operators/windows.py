@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wareshift.operators.changes import with_sequence
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) -> DataFrame:
     """``row_number() over (partition by keys order by o1 desc, ...) = 1``.
@@ -25,14 +27,28 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]
     )
 
 
+#: Up to this many rows, skipped ones included, a page is each task's first
+#: rows merged by the driver; beyond, sorted ranges are counted.
+MERGED_ROWS = 10_000
+
+
 def page(df: DataFrame, order: Sequence[Column | str], limit: int | None = None, offset: int = 0) -> DataFrame:
-    """Ordered page; ``limit=None`` is offset without limit."""
-    out = df.orderBy(*order)
-    if offset:
-        out = out.offset(offset)
-    if limit is not None:
-        out = out.limit(limit)
-    return out
+    """Ordered page; ``limit=None`` is offset without limit.
+
+    A page that starts deep, or has no end, is cut without a task that holds
+    all rows: the rows are range-sorted and numbered by the counts of the
+    ranges before theirs (:func:`~wareshift.operators.changes.with_sequence`),
+    and each range drops what lies outside the page.  The result keeps the
+    ranges' order."""
+    if limit is not None and offset + limit <= MERGED_ROWS:
+        out = df.orderBy(*order)
+        return (out.offset(offset) if offset else out).limit(limit)
+    if not offset and limit is None:
+        return df.orderBy(*order)
+    place = F.col("__place")
+    numbered = with_sequence(df, "__place", 0, order_by=list(order))
+    inside = place >= offset if limit is None else (place >= offset) & (place < offset + limit)
+    return numbered.filter(inside).drop("__place")
 
 
 def keyset_page(df: DataFrame, key: str, after, n: int) -> DataFrame:

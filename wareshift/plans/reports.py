@@ -242,6 +242,35 @@ def range_join_ship(spark, sf_dir):
     return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), F.sum(dec("l_quantity")).alias("qty"))
 
 
+# J3, intervals of any length: an urgent order puts its customer on terms
+# for 45 days, every third one for good (9999-12-31); all orders of the
+# customer under each of its terms.
+@register("range_join_open", """
+SELECT t.o_orderkey AS terms, t.kind, CAST(count(*) AS BIGINT) AS orders,
+       sum(CAST(o.o_totalprice AS DECIMAL(15,2))) AS amount, min(CAST(o.o_orderdate AS DATE)) AS first_day
+FROM orders o JOIN (
+    SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS since,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'open' ELSE 'closed' END AS kind,
+           CASE WHEN o_orderkey % 3 = 0 THEN DATE '9999-12-31' ELSE CAST(o_orderdate AS DATE) + 45 END AS until
+    FROM orders WHERE o_orderpriority = '1-URGENT'
+) t ON t.o_custkey = o.o_custkey AND CAST(o.o_orderdate AS DATE) BETWEEN t.since AND t.until
+GROUP BY t.o_orderkey, t.kind
+""", "J3")
+def range_join_open(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    day = F.col("o_orderdate").cast("date")
+    terms = t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select(
+        "o_custkey", F.col("o_orderkey").alias("terms"), day.alias("since"),
+        F.when(F.col("o_orderkey") % 3 == 0, "open").otherwise("closed").alias("kind"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.to_date(F.lit("9999-12-31"))).otherwise(F.date_add(day, 45)).alias("until"))
+    # amounts per customer and day meet the terms, not single orders
+    daily = t.orders.groupBy("o_custkey", day.alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(dec("o_totalprice")).alias("amount"))
+    j = J.range_join(daily, terms, ["o_custkey"], "day", "since", "until", bucket=1)
+    return j.groupBy("terms", "kind").agg(
+        F.sum("n").alias("orders"), F.sum("amount").alias("amount"), F.min("day").alias("first_day"))
+
+
 # OR / theta residual in ON (earlier years, or same year up to next month).
 @register("or_theta_join", """
 SELECT o.o_orderstatus, CAST(count(*) AS BIGINT) AS lines
@@ -335,6 +364,21 @@ def ancestor_rollup_path(spark, sf_dir):
     return _rollup(spark, sf_dir, "path")
 
 
+# J5 without aggregate: every customer with orders under each node whose
+# path is a prefix of its own.
+@register("ancestor_list", f"""
+WITH {_NODES_SQL}, {_LEAF_SQL}
+SELECT l.path AS customer, p.path AS ancestor, p.level, l.amount, CAST(l.cnt AS BIGINT) AS orders
+FROM leaf l JOIN nodes p ON left(l.path, length(p.path)) = p.path
+""", "J5")
+def ancestor_list(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    leaves = _order_leaves(t).withColumnRenamed("path", "customer")
+    nodes = _nodes(t).select(F.col("path").alias("ancestor"), "level")
+    return J.ancestor_join(leaves, nodes, "customer", "ancestor").select(
+        "customer", "ancestor", "level", "amount", F.col("cnt").alias("orders"))
+
+
 # Containment locate(p.path, c.path) > 0 inside the same region, for
 # the customers that placed an urgent order.
 @register("path_contains", f"""
@@ -354,8 +398,7 @@ def path_contains(spark, sf_dir):
     picked = nodes.filter(F.col("level") == 3).join(
         urgent, F.split_part(F.col("path"), F.lit("|"), F.lit(3)).cast("bigint") == F.col("o_custkey"), "left_semi")
     c = picked.select(F.col("path").alias("c_path"), "rk")
-    j = J.containment_join(c, nodes, "c_path", "path", keys=["rk"])
-    return j.groupBy("path", "level").agg(F.count(F.lit(1)).alias("children"))
+    return J.containment_count(c, nodes, "c_path", "path", keys=["rk"]).select("path", "level", "children")
 
 
 # ---------------------------------------------------------------------------

@@ -183,7 +183,7 @@ def bill_tree(spark, sf_dir):
     bc = (detail.join(bill_detail.select("org_id").distinct(), "org_id", "left_semi")
           .join(bill_detail.select(F.col("detail_id").alias("id")), "id", "left_semi")
           .select("org_id", "bill_id", F.col("full_id").alias("c_full_id")))
-    hits = J.containment_join(bc, detail, "c_full_id", "full_id", keys=["org_id", "bill_id"])
+    hits = J.contained_in_any(detail, bc, "full_id", "c_full_id", keys=["org_id", "bill_id"])
     nodes = hits.select(
         "id", F.when(F.col("parent_id") == -1, F.col("bill_id")).otherwise(F.col("parent_id")).alias("parent_id"),
         F.concat_ws("|", F.col("bill_id").cast("string"), F.col("full_id")).alias("full_id"),
