@@ -11,15 +11,18 @@ regex functions.
 
 from __future__ import annotations
 
-import math
-import uuid
+from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wareshift.operators.filters import bool_to_int
+from wareshift.sources.generations import current, current_slots, replace
 
 # The loader's file dialect.
 FIELD_SEP = "\u0006"
@@ -58,31 +61,34 @@ def to_lines(df: DataFrame) -> DataFrame:
 
 
 class Exported(NamedTuple):
-    """Rows written, rows quarantined, and the rows-per-file cap (None: not cut)."""
+    """Rows written and quarantined; of a cut export the number of parts and
+    the folder that holds them."""
 
     written: int
     quarantined: int
-    rows_per_file: int | None = None
+    parts: int | None = None
+    folder: str | None = None
 
 
-def _quarantine(df: DataFrame, path: str, mode: str) -> int:
-    """Write the rows that hold a row separator, with their original columns."""
+def _quarantine(df: DataFrame, path: str, mode: str, n: int) -> None:
+    """Write the ``n`` rows that hold a row separator, with their original
+    columns; the input is read for them only if there are any."""
     eol = F.lit(False)
     for c in df.columns:
         eol = eol | F.coalesce(F.col(f"`{c}`").cast("string").contains(ROW_SEP), F.lit(False))
-    df.filter(eol).write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    (df.filter(eol) if n else df.limit(0)).write.mode(mode).parquet(path)
 
 
 def export_delimited(df: DataFrame, path: str, quarantine_path: str, mode: str = "overwrite") -> Exported:
     """Write ``df`` as delimited text; rows with ``\\x07`` cannot be
     written and go to ``quarantine_path`` as parquet.  No row is lost: the
-    counts of both are returned."""
+    counts of both are returned, taken while the lines are written."""
     seen = Observation()
-    lines = to_lines(df).observe(seen, F.count(F.lit(1)).alias("n"))
-    lines.filter(~F.col("quarantined")).select("value").write.mode(mode).option("lineSep", ROW_SEP).text(path)
-    quarantined = _quarantine(df, quarantine_path, mode)
-    return Exported(seen.get["n"] - quarantined, quarantined)
+    held = F.col("quarantined")
+    lines = to_lines(df).observe(seen, F.count(F.lit(1)).alias("n"), F.count(F.when(held, 1)).alias("held"))
+    lines.filter(~held).select("value").write.mode(mode).option("lineSep", ROW_SEP).text(path)
+    _quarantine(df, quarantine_path, mode, seen.get["held"])
+    return Exported(seen.get["n"] - seen.get["held"], seen.get["held"])
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -115,87 +121,109 @@ def parse_lines(lines: DataFrame, schema: T.StructType, col: str = "value") -> t
 
 
 def import_delimited(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """S3: load delimited files; (typed rows, rejected lines with reasons)."""
-    lines = spark.read.option("lineSep", ROW_SEP).text(path)
-    if len(schema.fields) > 1:  # a valid line of a wider table holds separators
-        lines = lines.filter(F.col("value") != "")
+    """S3: load delimited files, or the parts of a cut export; (typed rows,
+    rejected lines with reasons).  An empty line is a line of one empty
+    field: a row of a one-column table, a reject of a wider one."""
+    lines = spark.read.option("lineSep", ROW_SEP).text(current(spark, path) or path).select("value")
     return parse_lines(lines, schema)
 
 
-# A line wider than this many times the 99.9th-percentile width is an
-# outlier that would otherwise set the rows-per-file cap for every file.
-OUTLIER_QUANTILE = 0.999
-OUTLIER_FACTOR = 8
+def _cut_points(lines: DataFrame, max_bytes: int) -> tuple[int, int, dict[int, tuple[int, int]], int, int, int]:
+    """How the lines fall into parts, from one aggregate with a row per input
+    partition: bytes between cuts, the width from which a line is a part of
+    its own, each partition's first numbers (of shared parts, of lines
+    alone), the parts and the lines in all, and the quarantined lines."""
+    width = (F.octet_length("value") + 1).cast("bigint")
+    held = F.col("quarantined")
+    alone = max_bytes // 2
+    shared = ~held & (width <= alone)
+    rows = lines.groupBy(F.spark_partition_id().alias("pid")).agg(
+        F.sum(F.when(shared, width)).alias("bytes"), F.max(F.when(shared, width)).alias("widest"),
+        F.count(F.when(~held & (width > alone), 1)).alias("alone"), F.count(F.when(~held, 1)).alias("n"),
+        F.count(F.when(held, 1)).alias("held")).collect()  # one row per partition
+    step = max(1, max_bytes - max((r.widest or 0 for r in rows), default=0))
+    first, n = {}, 1
+    for r in sorted(rows, key=lambda r: r.pid):
+        parts = -(-(r.bytes or 0) // step)
+        first[r.pid] = (n, n + parts)
+        n += parts + r.alone
+    return step, alone, first, n - 1, sum(r.n for r in rows), sum(r.held for r in rows)
+
+
+def write_sized_parts(df: DataFrame, path: str, quarantine_path: str, max_bytes: int = PART_BYTES,
+                      prefix: str = "part") -> Exported:
+    """Cut the delimited output into parts of at most ``max_bytes`` on
+    row borders, numbered ``prefix.NNN``; a line above half the limit is a
+    part of its own.
+
+    Lines stay in their input partition.  A partition's running byte count
+    tells the part: a cut falls wherever it passes a multiple of the limit
+    less the widest shared line, so that no part exceeds the limit and every
+    number is used.  One aggregate per input partition gives the totals that
+    number the parts through; then one write puts each part into a folder
+    ``file=prefix.NNN`` with one file.  The new parts take the old ones'
+    place when they are complete (see :mod:`wareshift.sources.generations`):
+    a failure before leaves the table as it was.  The input is read for the
+    totals and for the write, so it should be a table or a written frame;
+    rows that moved between partitions in between stop the write.  Rows
+    holding a row separator go to ``quarantine_path``."""
+    spark = df.sparkSession
+    lines = to_lines(df)
+    step, alone, first, parts, n, held = _cut_points(lines, max_bytes)
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        shared_at, alone_at = first.get(TaskContext.get().partitionId(), (0, 0))
+        end = 0
+        for batch in batches:
+            width = pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+            wide = width > alone
+            ends = end + np.cumsum(np.where(wide, 0, width))
+            number = np.where(wide, alone_at + np.cumsum(wide) - 1, shared_at + (ends - 1) // step)
+            end, alone_at = int(ends[-1]) if len(ends) else end, alone_at + int(wide.sum())
+            names = pa.array([f"{prefix}.{i:03d}" for i in number.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), names], names=["value", "file"])
 
+    seen = Observation()
+    cut = lines.filter(~F.col("quarantined")).select("value").mapInArrow(numbered, "value string, file string").observe(
+        seen, F.count(F.lit(1)).alias("n"), F.max(F.col("file").endswith(".000")).alias("lost"))
 
-def write_sized_parts(df: DataFrame, path: str, quarantine_path: str, max_bytes: int = PART_BYTES) -> Exported:
-    """Cut the delimited output into files of at most ``max_bytes`` on
-    row borders (a single line wider than the budget gets a file of its own).
+    def write(folder: str) -> None:
+        cut.write.mode("overwrite").partitionBy("file").option("lineSep", ROW_SEP).text(folder)
+        if seen.get["n"] != n or seen.get["lost"]:
+            raise RuntimeError(f"the input changed while it was exported: {n} lines counted, {seen.get['n']} written")
 
-    Spark's writer caps files by rows (``maxRecordsPerFile``), so the cap is
-    the budget over a line width that bounds every line in the file.  One
-    aggregate measures the widest line and the 99.9th-percentile width.  When
-    they are close, one write uses the widest line.  When a few lines are far
-    wider (one 18 MB statement among short rows would otherwise cut every
-    file to a handful of rows), the lines up to the percentile width are
-    written with its cap and the wide ones are appended with the widest
-    line's cap.  Both go to a folder beside ``path`` that takes its place
-    when it is complete, so a failure between the writes leaves the table as
-    it was.  Rows holding a row separator go to ``quarantine_path``."""
-    spark = df.sparkSession
-    lines = to_lines(df)
-    width = F.octet_length("value") + 1
-    fine = ~F.col("quarantined")
-    stats = lines.agg(F.max(F.when(fine, width)).alias("widest"),
-                      F.percentile_approx(F.when(fine, width), OUTLIER_QUANTILE, 10000).alias("typical"),
-                      F.count(F.when(fine, 1)).alias("n")).first()
-    widest, typical = int(stats["widest"] or 1), int(stats["typical"] or 1)
-    staging = f"{path.rstrip('/')}.writing-{uuid.uuid4().hex[:8]}"
-
-    def write(frame: DataFrame, cap: int, mode: str) -> None:
-        frame.select("value").write.mode(mode).option("lineSep", ROW_SEP).option("maxRecordsPerFile", cap).text(staging)
-
-    if widest <= OUTLIER_FACTOR * typical:
-        per_file = max(1, math.floor(max_bytes / widest))
-        write(lines.filter(fine), per_file, "overwrite")
-    else:
-        per_file = max(1, math.floor(max_bytes / typical))
-        write(lines.filter(fine & (width <= typical)), per_file, "overwrite")
-        write(lines.filter(fine & (width > typical)), max(1, math.floor(max_bytes / widest)), "append")
-    quarantined = _quarantine(df, quarantine_path, "overwrite")
-    jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
-    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"{staging} is complete but could not take the place of {path}")
-    return Exported(int(stats["n"]), quarantined, per_file)
+    _quarantine(df, quarantine_path, "overwrite", held)
+    return Exported(n, held, parts, replace(spark, path, write))
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*", by: str = "name") -> DataFrame:
     """Bytes and files per ``db.table``.  ``by='name'`` takes the table
     from the file name prefix (``db.table.NNN.csv``, the original naming);
-    ``by='folder'`` from the parent folder (``<db>.<table>/part-*``, what
+    ``by='part'`` from the numbered parts below an export root that count
+    now (``<db>.<table>/slots/<slot>/file=<db>.<table>.NNN``, what
     :func:`export_table` writes).  The binary-file source lists files; with
     only path/length selected the file contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob) \
-        .option("recursiveFileLookup", by == "folder").load(path).select("path", "length")
     parts = F.split("path", "/")
-    if by == "folder":
-        table = F.element_at(parts, -2)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", by == "part")
+    if by == "part":
+        found = files.load(f"{path.rstrip('/')}/*/slots").select(
+            F.element_at(parts, -5).alias("table"), F.element_at(parts, -3).alias("slot"), "length")
+        found = found.join(current_slots(spark, path), ["table", "slot"], "left_semi")
     else:
-        table = F.substring_index(F.element_at(parts, -1), ".", 2)
-    return files.groupBy(table.alias("table")).agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
+        found = files.load(path).select(F.substring_index(F.element_at(parts, -1), ".", 2).alias("table"), "length")
+    return found.groupBy("table").agg(F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
 def export_table(df: DataFrame, root: str, db: str, table: str, quarantine_root: str,
                  max_bytes: int = PART_BYTES) -> Exported:
     """Export one table for the loader (S1 + P3 + S2 + S4): booleans as
     0/1, escaped delimited text cut into parts of at most ``max_bytes``,
-    written to ``<root>/<db>.<table>``; rows holding a row separator go to
-    ``<quarantine_root>/<db>.<table>``."""
+    written to ``<root>/<db>.<table>`` with parts ``<db>.<table>.NNN``; rows
+    holding a row separator go to ``<quarantine_root>/<db>.<table>``."""
     name = f"{db}.{table}"
-    return write_sized_parts(df, f"{root.rstrip('/')}/{name}", f"{quarantine_root.rstrip('/')}/{name}", max_bytes)
+    return write_sized_parts(df, f"{root.rstrip('/')}/{name}", f"{quarantine_root.rstrip('/')}/{name}", max_bytes, name)
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
