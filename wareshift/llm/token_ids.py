@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wareshift.llm.idtable import IdTable, ragged
 from wareshift.llm.stage import written
 from wareshift.llm.text import Words, segment_hashes, slices
 
@@ -38,8 +39,6 @@ from wareshift.llm.text import Words, segment_hashes, slices
 BLOCK_IDS = 262_144
 #: Bytes of text whose distinct words are encoded together.
 SLICE_BYTES = 4_000_000
-#: Units whose ids a worker remembers.
-CACHE_UNITS = 150_000
 
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
@@ -134,8 +133,8 @@ class Encoder:
 
     ``by_word``: the tokenizer drops white space and never joins across it,
     so a text's ids are its words' ids in a row.  Words fall into units (see
-    Units); each distinct unit of a slice is looked up once, in a cache of
-    bounded size.  The library's model tokenizes the units not found, the
+    Units); each distinct unit of a slice is looked up once, in a table of
+    fixed size.  The library's model tokenizes the units not found, the
     whole tokenizer the odd words; if the two disagree on probes, every word
     goes through the whole tokenizer.
     """
@@ -152,7 +151,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
         self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.cache: dict[tuple[int, int], bytes] = {}
+        self.known = IdTable(self.dtype)
         self.plain = by_word and self._agrees()
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -172,28 +171,19 @@ class Encoder:
         if len(clash):  # equal first fingerprints of different units
             which[clash] = len(first) + np.arange(len(clash))
             first = np.concatenate([first, clash])
-        # both fingerprints, 128 bits, make the cache's key
-        keys = zip(key[first].tolist(), other[first].tolist())
-        places = zip(units.start[first].tolist(), units.end[first].tolist(), units.odd[first].tolist())
-        if len(self.cache) > CACHE_UNITS:
-            self.cache = {}
-        found = []
         raw = units.data.tobytes()
-        for k, (a, b, odd) in zip(keys, places):
-            ids = self.cache.get(k)
-            if ids is None:
-                ids = self.cache[k] = (self._whole if odd else self._unit)(raw[a:b])
-            found.append(ids)
-        flat = np.frombuffer(b"".join(found), self.dtype)
-        size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
-        begin = np.cumsum(size) - size
-        size, begin = size[which], begin[which]
-        total = np.cumsum(size)
-        per_row = np.concatenate([[0], total])[units.first]
-        if not total[-1]:
-            return np.zeros(0, self.dtype), np.zeros(len(column), np.int64)
-        at = np.arange(total[-1]) + np.repeat(begin - (total - size), size)
-        return flat[at], np.diff(per_row)
+
+        def compute(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            at = first[new]
+            found = [(self._whole if odd else self._unit)(raw[a:b])
+                     for a, b, odd in zip(units.start[at].tolist(), units.end[at].tolist(), units.odd[at].tolist())]
+            sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+            return np.frombuffer(b"".join(found), self.dtype), sizes
+
+        flat, begin, size = self.known.ids(key[first], other[first], compute)
+        size = size[which]
+        per_row = np.concatenate([[0], np.cumsum(size)])[units.first]
+        return flat[ragged(begin[which], size)], np.diff(per_row)
 
     def _whole(self, word: bytes) -> bytes:
         return array(self.code, self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
