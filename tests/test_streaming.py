@@ -337,3 +337,55 @@ def test_replay_pipeline_connects(spark, tmp):
     b0 = spark.read.parquet(os.path.join(out, "batch=0"))
     X.write_batch_state(spark.createDataFrame(b0.collect(), b0.schema), out, 0)
     assert sorted(map(tuple, X.read_statements(spark, st, out).collect())) == before
+
+
+def test_ticks_without_markers_write_nothing(spark, tmp):
+    import time
+
+    marks, state = os.path.join(tmp, "marks"), os.path.join(tmp, "state")
+    os.makedirs(marks)
+    loads = []
+    q = X.stream_restore(spark, marks, state, lambda df: loads.append(sorted(r.table for r in df.collect())),
+                         clock=lambda: 0.0, name=f"ticks-{uuid.uuid4().hex}", max_tables=1)
+    try:
+        epochs = []
+        for _ in range(60):
+            time.sleep(1)
+            if q.lastProgress and q.lastProgress["batchId"] not in epochs:
+                epochs.append(q.lastProgress["batchId"])
+            if len(epochs) == 2:
+                break
+        assert not os.path.exists(state)  # ticks alone
+        with open(os.path.join(marks, ".a.b.tmp"), "w") as f:
+            f.write("5")
+        os.rename(os.path.join(marks, ".a.b.tmp"), os.path.join(marks, "a.b.finish"))
+        for _ in range(60):
+            time.sleep(1)
+            if loads and q.lastProgress["batchId"] > epochs[-1] + 3:
+                break
+    finally:
+        q.stop()
+    assert loads == [["a.b"]]
+    for name in ("pending", "loaded"):
+        assert len([d for d in os.listdir(os.path.join(state, name)) if d.startswith("batch=")]) == 1
+
+
+def test_retry_looks_again_and_again(spark, tmp):
+    import time
+
+    land = os.path.join(tmp, "retry")
+    os.makedirs(land)
+    df = spark.createDataFrame([(1,)], "k int")
+    seen = []
+    q = X.stream_retry(spark, land, df.schema, lambda b, _: seen.extend(r.k for r in b.collect()),
+                       name=f"retry-{uuid.uuid4().hex}", every="1 second")
+    try:
+        for k in (1, 2):
+            df.select(F.lit(k).alias("k")).coalesce(1).write.mode("append").parquet(land)
+            for _ in range(40):
+                time.sleep(0.5)
+                if k in seen:
+                    break
+    finally:
+        q.stop()
+    assert seen == [1, 2] and X.RETRY_EVERY == "5 seconds"

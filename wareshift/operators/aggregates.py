@@ -95,6 +95,25 @@ def field_maxima(df: DataFrame, fields: Sequence[str], group: Sequence[str] = ()
     return df.groupBy(*group).agg(*aggs) if group else df.agg(*aggs)
 
 
+#: Size of the distinct-count sketches (log2 of their registers) and the
+#: relative error that holds for six standard deviations.
+SKETCH_LG = 14
+SKETCH_BOUND = 6 * 1.04 / (1 << SKETCH_LG // 2)
+
+
+def distinct_sketches(df: DataFrame, group: Sequence[str | Column], value: str) -> DataFrame:
+    """A15, to be stored: one sketch of the distinct values per group (a
+    table and day, a month); null values are not counted."""
+    return df.groupBy(*group).agg(F.hll_sketch_agg(value, F.lit(SKETCH_LG)).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, group: Sequence[str | Column], out: str = "distinct_values") -> DataFrame:
+    """Distinct counts over coarser groups from stored sketches alone: the
+    rows behind them are not read again, and a value that several groups
+    share counts once."""
+    return sketches.groupBy(*group).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(out))
+
+
 def having_count(df: DataFrame, keys: Sequence[str], min_count: int = 2) -> DataFrame:
     """A7 ``group by keys having count(*) >= min_count``."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)

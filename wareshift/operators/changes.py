@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wareshift.operators.joins import lookup_join
@@ -159,12 +159,36 @@ def delete_keys(df: DataFrame, doomed: DataFrame, keys: Sequence[str], split_hot
 
 
 def reset_in_buckets(df: DataFrame, cond: Column, col: str, key: str, n: int = 8) -> DataFrame:
-    """Reset ``col`` to null where ``cond``; the bucket column
-    ``key % n`` is kept so callers can write the result bucket by bucket."""
+    """Reset ``col`` to null where ``cond``, with the bucket ``key % n``
+    of each row (:func:`reset_slices` writes a stored table by bucket)."""
     out = update_where(df, cond, {col: F.lit(None).cast(dict(df.dtypes)[col])})
     return out.withColumn("bucket", F.pmod(F.col(key), F.lit(n)))
 
 
+def write_slices(df: DataFrame, path: str, key: str, n: int = 8) -> None:
+    """Store a table in ``n`` slices by ``key % n`` (column ``bucket``), for
+    :func:`reset_slices`; a null key is in slice -1."""
+    bucket = F.coalesce(F.pmod(F.col(key), F.lit(n)), F.lit(-1)).cast("int")
+    df.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def reset_slices(spark: SparkSession, path: str, cond: Column, col: str) -> list[int]:
+    """D8 on a stored table: set ``col`` to null where ``cond``, one write
+    that replaces only the slices holding a row to change.  The others'
+    files are not touched.  The new files are staged and take the slices'
+    places, one after another, at the commit; a job lost before has changed
+    nothing, and a rerun finds only what is left to change.  Returns the
+    slices."""
+    table = spark.read.parquet(path)
+    todo = table.filter(cond & F.col(col).isNotNull()).select("bucket").distinct().collect()  # at most the slices
+    slices = sorted(r.bucket for r in todo)
+    if slices:
+        changed = update_where(table.filter(F.col("bucket").isin(slices)), cond,
+                               {col: F.lit(None).cast(dict(table.dtypes)[col])})
+        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return slices
+
+
 def mark_saved(df: DataFrame, done: DataFrame, key: str, flag: str = "saved",
                split_hot_keys: bool = True) -> DataFrame:
     """Flag rows whose key is in ``done`` (a semi-join flag; ``done`` is

@@ -5,13 +5,14 @@ all partitions of the log and nothing passes through the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wareshift.functions import rules as R
-from wareshift.operators.changes import dedupe_latest, reset_in_buckets, update_from, upsert
+from wareshift.operators.changes import dedupe_latest, reset_in_buckets, reset_slices, update_from, upsert
 
 
 def _c(c):
@@ -82,21 +83,19 @@ def rename_db(db, renames: Mapping[str, str] = R.DEFAULT_DB_RENAMES) -> Column:
     return out if expr is None else expr.otherwise(out)
 
 
+def _any_of(needles: Sequence[str]) -> str:
+    return "|".join(re.escape(n) for n in needles)
+
+
 # L5
 def is_noise(text) -> Column:
-    t = _c(text)
-    cond = F.lit(False)
-    for m in R.NOISE_MARKERS + R.TABLEAU_MARKERS:
-        cond = cond | t.contains(m)
-    return cond
+    """Whether a text holds any noise or tableau marker: one search for all."""
+    return _c(text).rlike(_any_of(R.NOISE_MARKERS + R.TABLEAU_MARKERS))
 
 
 def is_known_translate_error(err) -> Column:
     e = F.lower(_c(err))
-    named = F.lit(False)
-    for fn in R.UNSUPPORTED_FUNCTIONS:
-        named = named | e.contains(fn)
-    return e.contains(R.UNSUPPORTED_FUNCTION_ERROR) & named
+    return e.contains(R.UNSUPPORTED_FUNCTION_ERROR) & e.rlike(_any_of(R.UNSUPPORTED_FUNCTIONS))
 
 
 def drop_noise(log: DataFrame, text: str = "statement", db: str = "db", drop_dbs: Sequence[str] = ()) -> DataFrame:
@@ -107,20 +106,42 @@ def drop_noise(log: DataFrame, text: str = "statement", db: str = "db", drop_dbs
 
 
 # L6
+def _hits(text: Column, needles: Sequence[str]) -> Column:
+    """The needles that occur in a text, found in one search.
+
+    A lookahead is tried at every place, so needles that overlap are all
+    found; of needles that begin at one place the longest is reported, which
+    holds the others (see :func:`_implied`)."""
+    longest = sorted(needles, key=lambda n: (-len(n), n))
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?=({_any_of(longest)}))"), F.lit(1)))
+
+
+def _implied(needle: str, needles: Sequence[str]) -> list[str]:
+    """The reports that show ``needle``: itself and the needles it begins."""
+    return sorted(n for n in set(needles) if n.startswith(needle))
+
+
 def classify_error(sql, err) -> Column:
-    """First matching rule of ``ERROR_RULES`` on the lowered texts."""
-    fields = {"sql": F.lower(F.coalesce(_c(sql), F.lit(""))), "err": F.lower(F.coalesce(_c(err), F.lit("")))}
-    expr = None
-    for category, groups in R.ERROR_RULES:
-        cond = None
-        for field, needles in groups:
-            any_of = None
-            for n in needles:
-                hit = fields[field].contains(n)
-                any_of = hit if any_of is None else (any_of | hit)
-            cond = any_of if cond is None else (cond & any_of)
-        expr = F.when(cond, F.lit(category)) if expr is None else expr.when(cond, F.lit(category))
-    return expr.otherwise(F.lit(R.DEFAULT_CATEGORY))
+    """First matching rule of ``ERROR_RULES`` on the lowered texts.
+
+    Each text is searched once for all needles of the rules; the rules are
+    then judged in order on the short lists of needles found."""
+    texts = {"sql": F.lower(F.coalesce(_c(sql), F.lit(""))), "err": F.lower(F.coalesce(_c(err), F.lit("")))}
+    needles = {f: [n for _, groups in R.ERROR_RULES for field, ns in groups if field == f for n in ns] for f in texts}
+
+    def judge(found: Column) -> Column:
+        expr = None
+        for category, groups in R.ERROR_RULES:
+            cond = F.lit(True)
+            for field, any_of in groups:
+                shown = sorted({x for n in any_of for x in _implied(n, needles[field])})
+                cond = cond & F.arrays_overlap(found[field], F.array(*map(F.lit, shown)))
+            expr = F.when(cond, F.lit(category)) if expr is None else expr.when(cond, F.lit(category))
+        return expr.otherwise(F.lit(R.DEFAULT_CATEGORY))
+
+    # bound as a lambda's variable, so the searches are written (and run) once
+    found = F.struct(*[_hits(texts[f], needles[f]).alias(f) for f in texts])
+    return F.get(F.transform(F.array(found), judge), F.lit(0))
 
 
 # L7
@@ -249,7 +270,17 @@ def progress(outcomes: DataFrame, ts: str = "execute_time", result: str = "execu
 
 # L12
 def reset_run(statements: DataFrame, sql_date: str, buckets: int = 8) -> DataFrame:
-    """Clear results of executed rows of one date; ``bucket`` (``order_id %
-    buckets``) lets the caller write the result slice by slice."""
-    cond = (F.col("sql_date") == sql_date) & (F.col("execute_result") >= 0)
-    return reset_in_buckets(statements, cond, "execute_result", "order_id", buckets)
+    """Clear results of executed rows of one date; ``bucket`` is
+    ``order_id % buckets``."""
+    return reset_in_buckets(statements, _executed(sql_date), "execute_result", "order_id", buckets)
+
+
+def reset_run_slices(spark: SparkSession, path: str, sql_date: str) -> list[int]:
+    """The same on a stored statements table, slice by slice: only slices
+    that hold such a row are written (see
+    :func:`~wareshift.operators.changes.reset_slices`)."""
+    return reset_slices(spark, path, _executed(sql_date), "execute_result")
+
+
+def _executed(sql_date: str) -> Column:
+    return (F.col("sql_date") == sql_date) & (F.col("execute_result") >= 0)

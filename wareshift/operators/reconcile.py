@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wareshift.functions.scalars import round_to_second
+from wareshift.operators.aggregates import field_maxima
 from wareshift.operators.setops import presence
 
 
@@ -64,13 +65,9 @@ def side_summary(df: DataFrame, table: str | Sequence[str], fields: Sequence[str
     """R4/R5 one side: row count and max of each present field per table.
     ``round_seconds`` rounds timestamp fields to whole seconds first (the
     source side, compared against a target that stores whole seconds)."""
-    aggs = [F.count(F.lit(1)).alias("cnt")]
-    for f in fields:
-        if f not in df.columns:
-            continue
-        v = round_to_second(f) if (round_seconds and f in timestamp_fields) else F.col(f)
-        aggs.append(F.max(v).alias(f"max_{f}"))
-    return df.groupBy(*_names(table)).agg(*aggs)
+    if round_seconds:
+        df = df.withColumns({f: round_to_second(f) for f in timestamp_fields if f in df.columns and f in fields})
+    return field_maxima(df, fields, _names(table)).withColumnRenamed("row_count", "cnt")
 
 
 def _names(table: str | Sequence[str]) -> list[str]:

@@ -161,6 +161,20 @@ def mark_saved(spark, sf_dir):
     return D.mark_saved(t.orders.select("o_orderkey"), done, "o_orderkey")
 
 
+# D9 reversed: rows flagged as processed whose order holds no finished line
+# are put back.
+@register("unmark_unsaved", """
+SELECT o_orderkey, o_orderstatus <> 'O' AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F') AS saved
+FROM orders
+""", "D9,J7")
+def unmark_unsaved(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    done = t.lineitem.filter(F.col("l_linestatus") == "F").select(F.col("l_orderkey").alias("o_orderkey"))
+    flagged = t.orders.select("o_orderkey", (F.col("o_orderstatus") != "O").alias("saved"))
+    held = D.mark_saved(flagged, done, "o_orderkey", "finished")
+    return D.unmark_unsaved(held, ~F.col("finished")).select("o_orderkey", "saved")
+
+
 # Version advanced on changed rows only.
 @register("add_version", """
 SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END AS BIGINT) AS version FROM orders
@@ -202,13 +216,15 @@ SELECT doc_id,
 FROM documents
 """, "S11")
 def oversize_split(spark, sf_dir):
-    d = tables(spark, sf_dir).documents.select("doc_id", "text")
+    """The texts cross one shuffle at most, that of the read side's join: what
+    was stored and its fingerprint travel with the main rows."""
+    d = tables(spark, sf_dir).documents.select("doc_id", "text", F.xxhash64("text").alias("print"))
     main, side = logs.split_oversize(d, "doc_id", "text", OVERSIZE_CHARS)
-    back = logs.reattach_oversize(main, side, "doc_id", "text").select("doc_id", F.col("text").alias("restored"))
-    m = main.select("doc_id", F.length("text").cast("bigint").alias("stored_chars"))
-    s = side.select("doc_id", F.length("big_text").cast("bigint").alias("side_chars"))
-    return (m.join(s, "doc_id", "left").join(back, "doc_id").join(d, "doc_id")
-            .select("doc_id", "stored_chars", "side_chars", (F.col("restored") == F.col("text")).alias("restored_ok")))
+    main = main.withColumn("stored_chars", F.length("text").cast("bigint"))
+    back = logs.reattach_oversize(main, side, "doc_id", "text")
+    return back.select("doc_id", "stored_chars",
+                       F.when(F.length("text") > OVERSIZE_CHARS, F.length("text")).cast("bigint").alias("side_chars"),
+                       (F.xxhash64("text") == F.col("print")).alias("restored_ok"))
 
 
 # Reset the status of done/failed rows, with the bucket column used to

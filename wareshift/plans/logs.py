@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wareshift.functions import rules as RU
+from wareshift.operators import aggregates as A
+from wareshift.operators import changes as D
 from wareshift.operators import filters as P
 from wareshift.operators import querylog as L
 from wareshift.operators.changes import with_sequence
 from wareshift.plans.common import tables
 from wareshift.plans.registry import register
+from wareshift.session import scratch_path
+from wareshift.sources.sequences import with_stored_sequence
 
 SQL_DATE = "0115"
 
@@ -330,6 +334,25 @@ def log_claim(spark, sf_dir):
 _RETRY_CATS = ["delay", "not_processed", "modify_date_format"]
 
 
+# The error rows of failed statements are upserted into those kept from
+# the translation, ignored categories left out.
+@register("log_record_errors", W(_ERRORS_SQL + "," + _STATEMENTS_SQL + f""",
+kept AS (SELECT query_id, sql_date, hash_id, err_msg, 'translate_error' AS catalog FROM errors WHERE event_id % 2 = 0),
+failed AS (
+    SELECT query_id, '{SQL_DATE}' AS sql_date, hash_id, coalesce(err_msg, '') AS err_msg,
+           CASE WHEN contains(err_msg, 'interrupted') THEN 'timeout' ELSE {_classify_sql('tidb_sql', 'err_msg')} END AS catalog
+    FROM statements WHERE duration > 2 AND coalesce(err_msg, '') <> ''
+), fresh AS (SELECT * FROM failed WHERE catalog NOT IN ('ignore_duplicate_insert', 'ignore_etl'))
+SELECT coalesce(k.query_id, f.query_id) AS query_id, coalesce(k.sql_date, f.sql_date) AS sql_date,
+       coalesce(k.hash_id, f.hash_id) AS hash_id, coalesce(f.err_msg, k.err_msg) AS err_msg, coalesce(f.catalog, k.catalog) AS catalog
+FROM kept k FULL JOIN fresh f ON k.query_id = f.query_id
+"""), "L8,L7,D1")
+def log_record_errors(spark, sf_dir):
+    kept = _errors(spark, sf_dir).filter(F.col("event_id") % 2 == 0).select(
+        "query_id", "sql_date", "hash_id", "err_msg", F.lit("translate_error").alias("catalog"))
+    return L.record_errors(kept, _results(_statements(spark, sf_dir)), SQL_DATE)
+
+
 @register("log_retry", W(_ERRORS_SQL + "," + _STATEMENTS_SQL + f"""
 SELECT e.query_id, e.catalog, s.sql_type, s.tiflash_only
 FROM errors e JOIN statements s ON s.query_id = e.query_id
@@ -405,6 +428,25 @@ def log_reset(spark, sf_dir):
         "query_id", "execute_result", F.col("bucket").cast("bigint").alias("bucket"))
 
 
+# L12 / D8 on a stored table: only the slices that hold executed rows of the
+# date are written again.
+@register("log_reset_slices", W(_STATEMENTS_SQL + f""",
+after AS (
+    SELECT order_id % 8 AS bucket, count(*) AS rows, count(CASE WHEN sql_date = '{SQL_DATE}' THEN NULL ELSE execute_result END) AS results,
+           count(*) FILTER (sql_date = '{SQL_DATE}' AND execute_result >= 0) AS reset
+    FROM statements GROUP BY 1
+)
+SELECT CAST(bucket AS INTEGER) AS bucket, CAST(rows AS BIGINT) AS rows, CAST(results AS BIGINT) AS results, reset > 0 AS written FROM after
+"""), "L12,D8")
+def log_reset_slices(spark, sf_dir):
+    path = scratch_path(spark, "statements")
+    D.write_slices(_statements(spark, sf_dir).select("query_id", "order_id", "sql_date", "execute_result"), path, "order_id", 8)
+    written = L.reset_run_slices(spark, path, SQL_DATE)
+    return spark.read.parquet(path).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("execute_result").alias("results")).withColumn(
+        "written", F.col("bucket").isin(written))
+
+
 # Block-list of hash ids (those of large error events) disables statements.
 @register("id_blocklist", W("""
 blocked AS (SELECT DISTINCT hash_id FROM log WHERE event_type = 'error' AND value > 15)
@@ -416,6 +458,17 @@ def id_blocklist(spark, sf_dir):
     return P.mark_blocked(log.select("query_id", "hash_id"), blocked, "hash_id").select("query_id", "enabled")
 
 
+# P11 the other way: the listed statements are dropped.
+@register("id_blocklist_drop", W("""
+blocked AS (SELECT DISTINCT hash_id FROM log WHERE event_type = 'error' AND value > 15)
+SELECT query_id, hash_id FROM log WHERE hash_id NOT IN (SELECT hash_id FROM blocked)
+"""), "P11,J8")
+def id_blocklist_drop(spark, sf_dir):
+    log = event_log(spark, sf_dir)
+    blocked = log.filter((F.col("event_type") == "error") & (F.col("value") > 15)).select("hash_id")
+    return P.drop_blocked(log.select("query_id", "hash_id"), blocked, "hash_id")
+
+
 # Dense sequence ids in key order, no global window.
 @register("sequence_ids", """
 SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS seq_id FROM orders
@@ -425,6 +478,57 @@ def sequence_ids(spark, sf_dir):
     return with_sequence(o, "seq_id", 1, order_by=["o_orderkey"])
 
 
+# D6 / F18 across runs: orders arrive in two batches (even and odd keys),
+# then the first is replayed.  Rule: the second batch's ids follow the
+# first's, the replay has the first's again.
+@register("sequence_runs", """
+WITH numbered AS (
+    SELECT o_orderkey, o_orderkey % 2 AS odd, row_number() OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey) AS n FROM orders
+), ids AS (
+    SELECT o_orderkey, odd, CAST(n + CASE WHEN odd = 1 THEN (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) ELSE 0 END
+                                 + 999 AS BIGINT) AS seq_id FROM numbered
+)
+SELECT CASE WHEN odd = 0 THEN 1 ELSE 2 END AS run, o_orderkey, seq_id FROM ids
+UNION ALL SELECT 3, o_orderkey, seq_id FROM ids WHERE odd = 0
+""", "D6,F18")
+def sequence_runs(spark, sf_dir):
+    o = tables(spark, sf_dir).orders.select("o_orderkey")
+    path = scratch_path(spark, "sequence")
+    out = None
+    for run, (batch, odd) in enumerate((("even", 0), ("odd", 1), ("even", 0)), 1):
+        rows = with_stored_sequence(o.filter(F.col("o_orderkey") % 2 == odd), path, "orders", batch,
+                                    order_by=["o_orderkey"], start=1000)
+        rows = rows.select(F.lit(run).alias("run"), "o_orderkey", "seq_id")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# A15 merged: sketches of the customers of each month are stored; the years
+# and their quarters are answered from the sketches alone, within a bound of
+# the exact counts.
+@register("sketch_periods", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(quarter(o_orderdate) AS INTEGER) AS qtr,
+       count(DISTINCT o_custkey) AS customers, true AS within_bound
+FROM orders GROUP BY GROUPING SETS ((1), (1, 2))
+""", "A15")
+def sketch_periods(spark, sf_dir):
+    o = tables(spark, sf_dir).orders
+    path = scratch_path(spark, "sketches")
+    month = F.trunc("o_orderdate", "month").alias("month")
+    A.distinct_sketches(o, [month], "o_custkey").write.parquet(path)
+    stored = spark.read.parquet(path).withColumns({"yr": F.year("month"), "qtr": F.quarter("month")})
+    quarters = A.merged_distinct(stored, ["yr", "qtr"], "estimate")
+    years = A.merged_distinct(stored, ["yr"], "estimate").select("yr", F.lit(None).cast("int").alias("qtr"), "estimate")
+    estimates = quarters.unionByName(years).select(F.col("yr").alias("__y"), F.col("qtr").alias("__q"), "estimate")
+    days = o.select(F.year("o_orderdate").alias("yr"), F.quarter("o_orderdate").alias("qtr"), "o_custkey").distinct()
+    exact = days.groupBy("yr", "qtr").agg(F.count(F.lit(1)).alias("customers")).unionByName(
+        days.select("yr", "o_custkey").distinct().groupBy("yr").agg(F.count(F.lit(1)).alias("customers"))
+        .select("yr", F.lit(None).cast("int").alias("qtr"), "customers"))
+    near = F.abs(F.col("estimate") - F.col("customers")) <= F.greatest(F.lit(2.0), A.SKETCH_BOUND * F.col("customers"))
+    return exact.join(estimates, (F.col("yr") == F.col("__y")) & F.col("qtr").eqNullSafe(F.col("__q"))).select(
+        "yr", "qtr", "customers", near.alias("within_bound"))
+
+
 # Approximate distinct users per statement type.  The sketches of two
 # engines differ, so the result says whether the estimate lies within four
 # standard deviations (20 %) of the exact count.

@@ -491,6 +491,23 @@ def minimal_key(spark, sf_dir):
     return a.unionByName(b)
 
 
+# Several candidate keys of one table, tested in one scan.
+@register("candidate_keys", """
+SELECT 'l_orderkey' AS candidate, count(DISTINCT l_orderkey) = count(*) AS is_unique FROM lineitem
+UNION ALL SELECT 'l_partkey,l_suppkey', (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)) = count(*) FROM lineitem
+UNION ALL SELECT 'l_orderkey,l_linenumber', (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) = count(*) FROM lineitem
+UNION ALL SELECT 'l_orderkey,l_partkey', (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)) = count(*) FROM lineitem
+UNION ALL SELECT 'l_orderkey,l_partkey,l_suppkey,l_linenumber',
+                 (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem)) = count(*) FROM lineitem
+""", "R13,A7,A15")
+def candidate_keys(spark, sf_dir):
+    li = tables(spark, sf_dir).lineitem
+    candidates = [["l_orderkey"], ["l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"],
+                  ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]]
+    found = SC.unique_keys(li, candidates)
+    return spark.createDataFrame([(",".join(c), u) for c, u in zip(candidates, found)], "candidate string, is_unique boolean")
+
+
 # ---------------------------------------------------------------------------
 # database/table name filters and boolean export form.
 _DB_NAMES_SQL = """

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from wareshift.functions import scalars as S
 from wareshift.operators import aggregates as A
+from wareshift.operators import changes as D
 from wareshift.operators import joins as J
 from wareshift.operators import windows as W
 from wareshift.operators.changes import with_sequence
@@ -242,6 +243,33 @@ def range_join_ship(spark, sf_dir):
     return j.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("lines"), F.sum(dec("l_quantity")).alias("qty"))
 
 
+# J1 six tables in a chain: lines, quantity and orders of each part brand
+# per region, but for one brand and pending orders.
+@register("six_table_chain", """
+SELECT r_name AS region, p_brand AS brand, CAST(count(*) AS BIGINT) AS lines, sum(CAST(l_quantity AS DECIMAL(15,2))) AS qty,
+       count(DISTINCT o_orderkey) AS orders
+FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey
+JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
+WHERE p_brand <> 'Brand#11' AND o_orderstatus <> 'P'
+GROUP BY r_name, p_brand
+""", "J1,A1,A5")
+def six_table_chain(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    # lines meet their part first and are summed per order and brand, so the
+    # shuffle to the orders carries one row per order and brand
+    part = t.part.filter(F.col("p_brand") != "Brand#11").select("p_partkey", F.col("p_brand").alias("brand"))
+    lines = t.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey", "brand").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(dec("l_quantity")).alias("qty"))
+    orders = t.orders.filter(F.col("o_orderstatus") != "P").select("o_orderkey", "o_custkey")
+    per_customer = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey", "brand").agg(
+        F.sum("lines").alias("lines"), F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("orders"))
+    place = (t.customer.select("c_custkey", "c_nationkey")
+             .join(t.nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+             .join(t.region.select("r_regionkey", F.col("r_name").alias("region")), F.col("n_regionkey") == F.col("r_regionkey")))
+    return per_customer.join(place, F.col("o_custkey") == F.col("c_custkey")).groupBy("region", "brand").agg(
+        F.sum("lines").alias("lines"), F.sum("qty").alias("qty"), F.sum("orders").alias("orders"))
+
+
 # J3, intervals of any length: an urgent order puts its customer on terms
 # for 45 days, every third one for good (9999-12-31); all orders of the
 # customer under each of its terms.
@@ -976,6 +1004,17 @@ def lenient_dates(spark, sf_dir):
 
 
 # Rows with nulls in required columns are kept aside with the reason.
+# D11 quarantine: the rows of junk dates, with what stands in them.
+@register("date_quarantine", f"""
+SELECT raw, CAST(count(*) AS BIGINT) AS rows, min(event_id) AS first_id
+FROM (SELECT event_id, {_raw_date_sql()} AS raw, event_id % 12 AS kind FROM events) WHERE kind < 8 GROUP BY raw
+""", "D11")
+def date_quarantine(spark, sf_dir):
+    rows = tables(spark, sf_dir).events.select("event_id", _raw_date_col().alias("raw"))
+    _, junk = D.quarantine_dates(rows, "raw", "parsed")
+    return junk.groupBy("raw").agg(F.count(F.lit(1)).alias("rows"), F.min("event_id").alias("first_id"))
+
+
 @register("not_null_quarantine", """
 WITH x AS (
     SELECT o_orderkey,

@@ -57,7 +57,8 @@ def to_insert_values(df: DataFrame, table: str, order_by: Sequence[str] | None,
     cols = list(df.columns)
     row = F.concat(F.lit("("), F.concat_ws(", ", *[sql_literal(c, types[c]) for c in cols]), F.lit(")"))
     if order_by:
-        numbered = with_sequence(df.select(*cols, row.alias("__row")), "__seq", 0, order_by=list(order_by))
+        # the checkpoint holds the sort key and the row's text, no other column
+        numbered = with_sequence(df.select(*order_by, row.alias("__row")), "__seq", 0, order_by=list(order_by))
         key = F.floor(F.col("__seq") / batch).cast("bigint")
     else:
         pid = F.spark_partition_id().cast("long")

@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -31,6 +32,8 @@ BATCH_MAX_BYTES = 50 * 1024 ** 3
 BATCH_MAX_FILES = 300
 BATCH_WAIT = "5 minutes"
 RETRY_EVERY = "5 seconds"
+#: Epoch folders after which a state table is folded into a snapshot.
+FOLD_AFTER = 50
 
 
 def checkpoint_for(spark: SparkSession, name: str) -> str:
@@ -143,9 +146,20 @@ def compact_state(spark: SparkSession, table_path: str, keys: Sequence[str], upt
     return write_snapshot(spark, table_path, read_state(spark, table_path, keys, upto), upto)
 
 
-def _maybe_compact(spark: SparkSession, epoch_id: int, every: int | None, tables: Sequence[tuple[str, Sequence[str]]]):
-    if every and epoch_id > 0 and epoch_id % every == 0:
-        for path, keys in tables:
+def unfolded(spark: SparkSession, table_path: str) -> int:
+    """Epoch folders that no snapshot covers (decisions made outside a
+    micro-batch are not counted, and never folded)."""
+    rows = _read_if_there(spark, table_path)
+    if rows is None:
+        return 0
+    snap = latest_snapshot(spark, table_path)
+    epochs = {int(e) for f in rows.inputFiles() for e in re.findall(r"/batch=(\d+)/", f)}
+    return sum((-1 if snap is None else snap) < e < TICK_EPOCHS for e in epochs)
+
+
+def _maybe_compact(spark: SparkSession, epoch_id: int, after: int, tables: Sequence[tuple[str, Sequence[str]]]):
+    for path, keys in tables:
+        if unfolded(spark, path) >= after:
             compact_state(spark, path, keys, epoch_id)
 
 
@@ -161,15 +175,15 @@ def start_loader(stream: DataFrame, fn: Callable[[DataFrame, int], None], name:
 def stream_log_upsert(spark: SparkSession, landing: str, statements_path: str, errors_path: str,
                       saved_path: str, sql_date: str, oversize_path: str, rejects_path: str,
                       available_now: bool = False, name: str = "log_upsert", drop_dbs: Sequence[str] = (),
-                      compact_every: int | None = None, oversize_limit: int = OVERSIZE_LIMIT):
+                      compact_every: int = FOLD_AFTER, oversize_limit: int = OVERSIZE_LIMIT):
     """Task records (JSON lines) -> filter noise -> statements and error
     rows upserted by query id -> ids marked saved.
 
     Texts above ``oversize_limit`` characters (either text) go whole to
     ``oversize_path`` by query id and field, lines that are no task to
     ``rejects_path``; only parsed ids are marked saved.  ``order_id`` rises
-    with the epoch.  With ``compact_every`` the state tables are folded into
-    a snapshot every that many epochs."""
+    with the epoch.  The state tables are folded into a snapshot whenever
+    ``compact_every`` epoch folders have come up."""
     raw = stream_landing(spark, landing, fmt="text")
 
     def batch(df: DataFrame, epoch_id: int) -> None:
@@ -245,7 +259,7 @@ OUTCOME_SCHEMA = T.StructType([
 
 def stream_outcomes(spark: SparkSession, landing: str, outcomes_path: str, errors_path: str,
                     sql_date: str, available_now: bool = False, name: str = "outcomes", fmt: str = "parquet",
-                    compact_every: int | None = None, second_round: bool = False):
+                    compact_every: int = FOLD_AFTER, second_round: bool = False):
     """Executed-statement results -> outcome rows (result, duration,
     time, round), which :func:`read_statements` puts into the statements
     table, and classified error rows, ignored categories dropped."""
@@ -267,10 +281,17 @@ def stream_outcomes(spark: SparkSession, landing: str, outcomes_path: str, error
     return start_loader(stream, batch, name, available_now, "1 second")
 
 
+def stream_retry(spark: SparkSession, landing: str, schema: T.StructType, fn: Callable[[DataFrame, int], None],
+                 name: str = "retry", every: str = RETRY_EVERY):
+    """Retry attempts as they come, looked for every ``RETRY_EVERY``; the
+    attempts of one look are one batch.  Runs until it is stopped."""
+    return start_loader(stream_landing(spark, landing, schema, fmt="parquet"), fn, name, every=every)
+
+
 def run_retry_once(spark: SparkSession, landing: str, schema: T.StructType, fn: Callable[[DataFrame, int], None],
                    name: str = "retry"):
-    """One ``availableNow`` pass over pending retry attempts; the caller
-    repeats it (every ``RETRY_EVERY``)."""
+    """One ``availableNow`` pass over pending retry attempts
+    (:func:`stream_retry` goes on looking)."""
     q = start_loader(stream_landing(spark, landing, schema, fmt="parquet"), fn, name, available_now=True)
     q.awaitTermination()
     return q
@@ -312,16 +333,17 @@ def batch_decision(pending: DataFrame, waited_seconds: float, max_bytes: int = B
 def stream_restore(spark: SparkSession, markers: str, state_path: str, load: Callable[[DataFrame], None],
                    clock: Callable[[], float], name: str = "restore", available_now: bool = False,
                    max_bytes: int = BATCH_MAX_BYTES, max_tables: int = BATCH_MAX_FILES,
-                   max_wait_seconds: float = 300.0, compact_every: int | None = None):
+                   max_wait_seconds: float = 300.0, compact_every: int = FOLD_AFTER):
     """X1+X2: accumulate ready tables, load them in batches.  ``load`` gets
     the DataFrame of (table, size) to load; if it raises, the micro-batch
     fails and its markers are offered again after a restart (the checkpoint
     advances only on success).  The wait is measured from the last load, or
     from the first table seen when nothing was loaded yet; both times are
-    kept in the state folders, so they survive restarts.  With
-    ``compact_every`` the state is folded every that many epochs: the loaded
-    tables into one snapshot, and the pending rows of tables not loaded yet
-    into another, so a trigger reads what is live, not the job's history."""
+    kept in the state folders, so they survive restarts.  A trigger without
+    markers writes nothing.  Whenever ``compact_every`` epoch folders have
+    come up the state is folded: the loaded tables into one snapshot, and the
+    pending rows of tables not loaded yet into another, so a trigger reads
+    what is live, not the job's history."""
     pending_path = os.path.join(state_path, "pending")
     loaded_path = os.path.join(state_path, "loaded")
 
@@ -331,12 +353,14 @@ def stream_restore(spark: SparkSession, markers: str, state_path: str, load: Cal
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         now = float(clock())
-        write_batch_state(df.filter(F.col("size").isNotNull()).withColumn("arrived", F.lit(now)), pending_path, epoch_id)
+        fresh = df.filter(F.col("size").isNotNull())
+        if not fresh.isEmpty():
+            write_batch_state(fresh.withColumn("arrived", F.lit(now)), pending_path, epoch_id)
         decide(now, epoch_id)
-        if compact_every and epoch_id > 0 and epoch_id % compact_every == 0:
+        if max(unfolded(spark, pending_path), unfolded(spark, loaded_path)) >= compact_every:
             loaded_rows = read_or_empty(loaded_path, "table string, loaded_at double, batch long")
-            write_snapshot(spark, loaded_path, loaded_rows, epoch_id)
             waiting = read_rows(spark, pending_path).join(loaded_rows.select("table"), "table", "left_anti")
+            write_snapshot(spark, loaded_path, loaded_rows.filter(F.col("batch") < TICK_EPOCHS), epoch_id)
             write_snapshot(spark, pending_path, waiting, epoch_id)
 
     def decide(now: float, epoch_id: int) -> None:
