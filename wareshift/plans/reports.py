@@ -16,61 +16,22 @@ from wareshift.plans.registry import register
 C = stat_cycle()
 
 # ---------------------------------------------------------------------------
-# Flagship: plan against actual per nation (reduced form of the production
-# report): year-, quarter-, month-to-date order totals of the last complete
-# month, with the same periods of the prior year as plan.
+# Flagship: plan against actual per nation.  Rule: with M the last complete
+# month, a nation's order amounts of M, of M's quarter and of M's year up to
+# the end of M; as plan, those of the whole year before and of its month M.
+_M = C["month_start"]
 PLAN_VS_ACTUAL_SQL = f"""
-WITH d_month AS (
-    SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS stat_month_start FROM orders
-),
-stat_cycle AS (
-    SELECT stat_month_start AS last_month_start,
-           CAST(stat_month_start + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS last_month_end,
-           CAST(date_trunc('quarter', stat_month_start) AS DATE) AS last_quarter_start,
-           CAST(date_trunc('year', stat_month_start) AS DATE) AS last_year_start
-    FROM d_month
-    WHERE CAST(stat_month_start + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE)
-          = CAST(CAST(date_trunc('month', {sql_date(AS_OF)}) AS DATE) - INTERVAL 1 DAY AS DATE)
-),
-facts AS (
-    SELECT c.c_nationkey, CAST(o.o_orderdate AS DATE) AS d, CAST(o.o_totalprice AS DECIMAL(15,2)) AS amount
-    FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-),
-year_amount AS (
-    SELECT f.c_nationkey, sum(f.amount) AS v FROM facts f JOIN stat_cycle s
-      ON f.d >= s.last_year_start AND f.d <= s.last_month_end GROUP BY f.c_nationkey
-),
-quarter_amount AS (
-    SELECT f.c_nationkey, sum(f.amount) AS v FROM facts f JOIN stat_cycle s
-      ON f.d >= s.last_quarter_start AND f.d <= s.last_month_end GROUP BY f.c_nationkey
-),
-month_amount AS (
-    SELECT f.c_nationkey, sum(f.amount) AS v FROM facts f JOIN stat_cycle s
-      ON f.d >= s.last_month_start AND f.d <= s.last_month_end GROUP BY f.c_nationkey
-),
-month_plan AS (
-    SELECT f.c_nationkey, sum(f.amount) AS v FROM facts f JOIN stat_cycle s
-      ON f.d >= CAST(s.last_month_start - INTERVAL 12 MONTH AS DATE)
-     AND f.d <= CAST(s.last_month_end - INTERVAL 12 MONTH AS DATE) GROUP BY f.c_nationkey
-),
-year_plan AS (
-    SELECT f.c_nationkey, sum(f.amount) AS v FROM facts f JOIN stat_cycle s
-      ON f.d >= CAST(s.last_year_start - INTERVAL 12 MONTH AS DATE) AND f.d < s.last_year_start
-    GROUP BY f.c_nationkey
-)
-SELECT r.r_name, n.n_name,
-       ifnull(yp.v, 0) AS year_plan,
-       ifnull(ya.v, 0) AS year_amount,
-       ifnull(qa.v, 0) AS quarter_amount,
-       ifnull(mp.v, 0) AS month_plan,
-       ifnull(ma.v, 0) AS month_amount
-FROM nation n
-JOIN region r ON r.r_regionkey = n.n_regionkey
-LEFT JOIN year_plan yp ON yp.c_nationkey = n.n_nationkey
-LEFT JOIN year_amount ya ON ya.c_nationkey = n.n_nationkey
-LEFT JOIN quarter_amount qa ON qa.c_nationkey = n.n_nationkey
-LEFT JOIN month_plan mp ON mp.c_nationkey = n.n_nationkey
-LEFT JOIN month_amount ma ON ma.c_nationkey = n.n_nationkey
+SELECT r_name, n_name,
+       coalesce(sum(amount) FILTER (y = {_M.year - 1}), 0) AS year_plan,
+       coalesce(sum(amount) FILTER (y = {_M.year} AND m <= {_M.month}), 0) AS year_amount,
+       coalesce(sum(amount) FILTER (y = {_M.year} AND m BETWEEN {C["quarter_start"].month} AND {_M.month}), 0) AS quarter_amount,
+       coalesce(sum(amount) FILTER (y = {_M.year - 1} AND m = {_M.month}), 0) AS month_plan,
+       coalesce(sum(amount) FILTER (y = {_M.year} AND m = {_M.month}), 0) AS month_amount
+FROM nation JOIN region ON r_regionkey = n_regionkey LEFT JOIN (
+    SELECT c_nationkey, year(o_orderdate) AS y, month(o_orderdate) AS m, CAST(o_totalprice AS DECIMAL(15,2)) AS amount
+    FROM orders JOIN customer ON c_custkey = o_custkey
+) ON c_nationkey = n_nationkey
+GROUP BY n_nationkey, n_name, r_name
 """
 
 MEASURES = ["year_plan", "year_amount", "quarter_amount", "month_plan", "month_amount"]
@@ -1071,41 +1032,30 @@ def predicate_mix(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Month report status (W1 + J4 + J2): per customer month reports built from
-# orders; the latest report per customer, the reports of earlier years or of
-# the report year up to the following month, and this month's report.
+# Month report status (W1 + J4 + J2).  Rule: an org (customer) has a report
+# for each month with an order that is not pending.  Reported: how many it
+# has up to the month after the report month and their order amounts; of its
+# latest one the month and the amount without open orders; and the report
+# month's amount.
 REPORT_MONTH = (1998, 7)
-
-_MONTH_REPORT_SQL = """
-month_report AS (
-    SELECT o_custkey AS org_id, CAST(year(o_orderdate) AS BIGINT) AS yr, CAST(month(o_orderdate) AS BIGINT) AS mon,
-           sum(CAST(o_totalprice AS DECIMAL(15,2))) AS contract_amount,
-           sum(CASE WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(15,2)) ELSE 0 END) AS surplus_amount,
-           max(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END) AS status
-    FROM orders GROUP BY 1, 2, 3
+_REPORT_K = REPORT_MONTH[0] * 12 + REPORT_MONTH[1] - 1
+
+# an org's months, numbered through the years
+_MONTHLY_SQL = """
+monthly AS (
+    SELECT o_custkey AS org, year(o_orderdate) * 12 + month(o_orderdate) - 1 AS k, bool_or(o_orderstatus <> 'P') AS reported,
+           sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total,
+           coalesce(sum(CAST(o_totalprice AS DECIMAL(15,2))) FILTER (o_orderstatus = 'O'), 0) AS still_open
+    FROM orders GROUP BY 1, 2
 )"""
 
 
 @register("month_report_status", f"""
-WITH {_MONTH_REPORT_SQL},
-latest AS (
-    SELECT * FROM (
-        SELECT org_id, yr, mon, contract_amount - surplus_amount AS total_amount,
-               row_number() OVER (PARTITION BY org_id ORDER BY yr DESC, mon DESC) AS rid
-        FROM month_report WHERE status = 1) x WHERE rid = 1
-),
-upto AS (
-    SELECT c.c_custkey AS org_id, CAST(count(r.org_id) AS BIGINT) AS reports, sum(r.contract_amount) AS contract_to_date
-    FROM customer c LEFT JOIN month_report r
-      ON r.org_id = c.c_custkey AND r.status = 1
-     AND (r.yr < {REPORT_MONTH[0]} OR (r.yr = {REPORT_MONTH[0]} AND r.mon <= {REPORT_MONTH[1]} + 1))
-    GROUP BY c.c_custkey
-)
-SELECT u.org_id, u.reports, u.contract_to_date, l.yr AS latest_year, l.mon AS latest_month, l.total_amount,
-       t.contract_amount AS this_month
-FROM upto u
-JOIN latest l ON l.org_id = u.org_id
-LEFT JOIN month_report t ON t.org_id = u.org_id AND t.status = 1 AND t.yr = {REPORT_MONTH[0]} AND t.mon = {REPORT_MONTH[1]}
+WITH {_MONTHLY_SQL}
+SELECT org AS org_id, count(*) FILTER (k <= {_REPORT_K} + 1) AS reports, sum(total) FILTER (k <= {_REPORT_K} + 1) AS contract_to_date,
+       CAST(max(k) // 12 AS BIGINT) AS latest_year, CAST(max(k) % 12 + 1 AS BIGINT) AS latest_month,
+       arg_max(total - still_open, k) AS total_amount, max(total) FILTER (k = {_REPORT_K}) AS this_month
+FROM monthly JOIN customer ON c_custkey = org WHERE reported GROUP BY org
 """, "W1,J2,J4,A2,P12")
 def month_report_status(spark, sf_dir):
     """The month reports (one row per org and month, far fewer than the
@@ -1257,49 +1207,26 @@ def material_balance(spark, sf_dir):
 # picked by a simple CASE on the report month, and year/month/cumulative
 # sums whose bounds come from the joined report rows.
 # English month names used for the plan columns.
-MONTH_NAMES = ["january", "february", "march", "april", "may", "june", "july", "august", "september",
-               "october", "november", "december"]
 
-
-def _month_progress_sql() -> str:
-    y, m = REPORT_MONTH
-    plan_cols = ",\n           ".join(
-        f"sum(CASE WHEN month(o_orderdate) = {i + 1} THEN CAST(o_totalprice AS DECIMAL(15,2)) END) AS {n}_plan"
-        for i, n in enumerate(MONTH_NAMES))
-    pick = " ".join(f"WHEN {i + 1} THEN p.{n}_plan" for i, n in enumerate(MONTH_NAMES))
-    return f"""
-WITH {_MONTH_REPORT_SQL},
-report AS (
-    SELECT org_id, yr, mon, surplus_amount, make_date(CAST(yr AS INTEGER), CAST(mon AS INTEGER), 1) AS stat_start,
-           CAST(make_date(CAST(yr AS INTEGER), CAST(mon AS INTEGER), 1) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS stat_end
-    FROM month_report WHERE status = 1 AND yr = {y} AND mon = {m}
-),
-last_year_report AS (
-    SELECT org_id, CAST(make_date(CAST(yr AS INTEGER), CAST(mon AS INTEGER), 1) + INTERVAL 1 MONTH AS DATE) AS stat_start FROM (
-        SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY yr DESC, mon DESC) AS rid
-        FROM month_report WHERE status = 1 AND yr < {y}) x WHERE rid = 1
-),
-plan_detail AS (
-    SELECT o_custkey AS org_id,
-           {plan_cols}
-    FROM orders WHERE year(o_orderdate) = {y - 1} GROUP BY o_custkey
+# Rule: for each org with a report for the report month, in units of ten
+# thousand: the month's open amount, or if that is zero the amount of the
+# same month a year before; its amounts since the month after its last
+# report of an earlier year (all, if it has none), of the month, and of all
+# months, each up to the report month's end.
+_MONTH_PROGRESS_SQL = f"""
+WITH {_MONTHLY_SQL}, placed AS (
+    SELECT *, coalesce(max(k) FILTER (reported AND k // 12 < {REPORT_MONTH[0]}) OVER (PARTITION BY org), 0) AS last_before FROM monthly
 )
-SELECT r.org_id,
-       round(ifnull(nullif(r.surplus_amount, 0), CASE r.mon {pick} END) * 0.0001, 0) AS month_plan,
-       round(sum(CASE WHEN CAST(o.o_orderdate AS DATE) >= (CASE WHEN r.stat_start IS NULL THEN CAST(o.o_orderdate AS DATE) ELSE ifnull(l.stat_start, CAST(o.o_orderdate AS DATE)) END)
-                       AND CAST(o.o_orderdate AS DATE) <= r.stat_end THEN CAST(o.o_totalprice AS DECIMAL(15,2)) ELSE 0 END) * 0.0001, 0) AS since_last_year,
-       round(sum(CASE WHEN CAST(o.o_orderdate AS DATE) >= ifnull(r.stat_start, CAST(o.o_orderdate AS DATE))
-                       AND CAST(o.o_orderdate AS DATE) <= r.stat_end THEN CAST(o.o_totalprice AS DECIMAL(15,2)) ELSE 0 END) * 0.0001, 0) AS month_done,
-       round(sum(CASE WHEN CAST(o.o_orderdate AS DATE) <= r.stat_end THEN CAST(o.o_totalprice AS DECIMAL(15,2)) ELSE 0 END) * 0.0001, 0) AS cumulative
-FROM report r
-LEFT JOIN last_year_report l ON l.org_id = r.org_id
-LEFT JOIN plan_detail p ON p.org_id = r.org_id
-LEFT JOIN orders o ON o.o_custkey = r.org_id
-GROUP BY r.org_id, r.surplus_amount, r.mon, {", ".join(f"p.{n}_plan" for n in MONTH_NAMES)}
+SELECT org AS org_id,
+       round(coalesce(nullif(sum(still_open) FILTER (k = {_REPORT_K}), 0), sum(total) FILTER (k = {_REPORT_K} - 12)) * 0.0001, 0) AS month_plan,
+       round(coalesce(sum(total) FILTER (k > last_before AND k <= {_REPORT_K}), 0) * 0.0001, 0) AS since_last_year,
+       round(sum(total) FILTER (k = {_REPORT_K}) * 0.0001, 0) AS month_done,
+       round(sum(total) FILTER (k <= {_REPORT_K}) * 0.0001, 0) AS cumulative
+FROM placed GROUP BY org HAVING bool_or(reported AND k = {_REPORT_K})
 """
 
 
-@register("month_progress", _month_progress_sql(), "A12,T4,W1,A3,F3,F1,F13,F15,J2,P7")
+@register("month_progress", _MONTH_PROGRESS_SQL, "A12,T4,W1,A3,F3,F1,F13,F15,J2,P7")
 def month_progress(spark, sf_dir):
     """The month reports, the prior year's plan and the daily amounts all
     come from one aggregate of the orders per org and day (the open-order
@@ -1327,9 +1254,9 @@ def month_progress(spark, sf_dir):
             F.col("o_org").alias("p_org"), F.month("d").alias("pm"), F.col("amount").alias("amt")),
         ["p_org"], "pm", list(range(1, 13)), {"plan": F.col("amt")}, totals=False)
     month_col = None
-    for i, n in enumerate(MONTH_NAMES):
-        c = F.col(f"plan_{i + 1}")
-        month_col = F.when(F.col("mon") == i + 1, c) if month_col is None else month_col.when(F.col("mon") == i + 1, c)
+    for i in range(1, 13):
+        c = F.col(f"plan_{i}")
+        month_col = F.when(F.col("mon") == i, c) if month_col is None else month_col.when(F.col("mon") == i, c)
     # The orders grouped narrow (per org and day) before joining the report row.
     daily = day.select("o_org", "d", "amount")
     j = (report.join(last, F.col("l_org") == F.col("org_id"), "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wareshift.functions import scalars as S
 from wareshift.operators import joins as J
-from wareshift.plans.common import AS_OF, dec, ntz, sql_date, tables
+from wareshift.plans.common import AS_OF, add_months, dec, ntz, tables
 from wareshift.plans.registry import register
 
 
@@ -264,38 +264,24 @@ def purchase_need(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Allotted items with their receiving records (the production statements
-# whose right side repeated an IN over the left CTE): items left-joined to
-# received-material rows by bar code.  The IN only keeps right rows whose
-# bar code occurs on the left -- exactly the rows a left join can match --
-# so it is dropped here; the oracle keeps it.  Items = lines not returned;
-# receiving records = finished lines of low tax from suppliers with a
-# service type; bar code = order key and line number.
+# Allotted items with their receiving records.  Rule: an item is a line that
+# was not returned, of a material whose key holds a seven or whose model has
+# one digit; its record, if it has one, is the line of the same order and
+# number when finished, of a supplier key that is no multiple of three and a
+# tax below five percent.  (The production statements repeat an IN over the
+# left side; a left join can match no other right rows, so it is left out.)
 @register("allot_receive", """
-WITH allot AS (
-    SELECT l_orderkey * 8 + l_linenumber AS id, l_orderkey AS order_id, l_partkey AS material_id,
-           'material ' || CAST(l_partkey AS VARCHAR) AS material_name, 'M' || CAST(l_partkey % 50 AS VARCHAR) AS material_model,
-           CAST(l_quantity AS DECIMAL(15,2)) AS quantity,
-           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item_bar_code, l_linenumber AS sort_code
-    FROM lineitem
-    WHERE l_returnflag <> 'R'
-      AND 'material ' || CAST(l_partkey AS VARCHAR) LIKE '%%' AND 'M' || CAST(l_partkey % 50 AS VARCHAR) LIKE '%%'
-),
-received AS (
-    SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS manufacturer, strftime(l_shipdate, '%Y%m%d') AS batch_no,
-           'T' || CAST(l_orderkey AS VARCHAR) AS test_report_no, l_returnflag AS storage_place,
-           CAST(l_linenumber AS VARCHAR) AS skill_card_no,
-           CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS item_bar_code,
-           CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE 'ok' END AS remark
-    FROM lineitem
-    WHERE l_linestatus = 'F' AND l_suppkey % 3 > 0 AND l_tax < 0.05
-)
-SELECT a.id, a.order_id, a.material_id, a.material_name, a.material_model, CAST(a.quantity AS DECIMAL(38,2)) AS quantity,
-       a.item_bar_code, a.sort_code, b.manufacturer, b.batch_no, b.test_report_no, b.storage_place, b.skill_card_no, b.remark
-FROM allot a
-LEFT JOIN (SELECT * FROM received WHERE item_bar_code IN (SELECT item_bar_code FROM allot)) b
-  ON a.item_bar_code = b.item_bar_code
-ORDER BY a.sort_code
+SELECT item.l_orderkey * 8 + item.l_linenumber AS id, item.l_orderkey AS order_id, item.l_partkey AS material_id,
+       concat('material ', item.l_partkey) AS material_name, concat('M', item.l_partkey % 50) AS material_model,
+       CAST(CAST(item.l_quantity AS DECIMAL(15,2)) AS DECIMAL(38,2)) AS quantity,
+       concat(item.l_orderkey, '-', item.l_linenumber) AS item_bar_code, item.l_linenumber AS sort_code,
+       'S' || record.l_suppkey AS manufacturer, strftime(record.l_shipdate, '%Y%m%d') AS batch_no,
+       'T' || record.l_orderkey AS test_report_no, record.l_returnflag AS storage_place,
+       CAST(record.l_linenumber AS VARCHAR) AS skill_card_no, CASE WHEN record.l_orderkey % 7 > 0 THEN 'ok' END AS remark
+FROM lineitem AS item LEFT JOIN lineitem AS record
+  ON (record.l_orderkey, record.l_linenumber, record.l_linestatus) = (item.l_orderkey, item.l_linenumber, 'F')
+ AND record.l_suppkey % 3 <> 0 AND record.l_tax < 0.05
+WHERE item.l_returnflag <> 'R' AND (contains(CAST(item.l_partkey AS VARCHAR), '7') OR item.l_partkey % 50 < 10)
 """, "J2,J7,P9,P10,P12,F8,T1")
 def allot_receive(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -304,7 +290,7 @@ def allot_receive(spark, sf_dir):
     bar = F.concat_ws("-", ok.cast("string"), ln.cast("string"))
     name = F.concat(F.lit("material "), pk.cast("string"))
     model = F.concat(F.lit("M"), (pk % 50).cast("string"))
-    allot = li.filter((F.col("l_returnflag") != "R") & name.like("%%") & model.like("%%")).select(
+    allot = li.filter((F.col("l_returnflag") != "R") & (name.like("%7%") | model.like("M_"))).select(
         (ok * 8 + ln).alias("id"), ok.alias("order_id"), pk.alias("material_id"), name.alias("material_name"),
         model.alias("material_model"), dec("l_quantity").alias("quantity"), bar.alias("item_bar_code"),
         ln.alias("sort_code"))
@@ -322,49 +308,30 @@ def allot_receive(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Day plan rates (the production statement behind J11 and F11): for every
-# org, the calendar row of the report date (picked by its computed key),
-# the month, quarter and year plan values, and the shares of the month and
-# year already past.  Plan values = order totals per customer; the quarter
-# value is the sum of the months whose ceil(month / 3) is the quarter.
-# Money is summed as exact decimals and turned into doubles once, so both
-# engines run the same floating-point operations.
-def _day_key_sql(d: str) -> str:
-    return f"'pp-p-' || replace(left(CAST({d} AS VARCHAR), 10), '-', '')"
+# Day plan rates (J11, F11).  Rule: for every org (customer), with the plan
+# of a period being its order amounts of the report date's month, quarter
+# and year in units of ten thousand: the three plans, the month's per day,
+# and the shares of the month's and year's days that have come, the report
+# date included.  Money is summed as exact decimals and turned into doubles
+# once, so both engines run the same floating-point operations.
+_YEAR_DAYS = (AS_OF.replace(month=12, day=31) - AS_OF.replace(month=1, day=1)).days + 1
+_MONTH_DAYS = (add_months(AS_OF.replace(day=1), 1) - AS_OF.replace(day=1)).days
 
 
 @register("day_plan_rates", f"""
-WITH da AS (
-    SELECT c_custkey AS org_id, 'pp-p-' || strftime(d, '%Y%m%d') || '-' || CAST(c_custkey AS VARCHAR) AS id,
-           year(d) AS stat_year, month(d) AS stat_month, CAST(ceil(month(d) / 3) AS INTEGER) AS stat_quarter,
-           CAST(date_trunc('month', d) AS DATE) AS stat_month_start, day(last_day(d)) AS stat_month_day_count,
-           CAST(date_trunc('year', d) AS DATE) AS stat_year_start, dayofyear(make_date(year(d), 12, 31)) AS stat_year_day_count
-    FROM customer, (SELECT {sql_date(AS_OF)} AS d) t
-),
-month_info AS (
-    SELECT o_custkey AS org_id, year(o_orderdate) AS yr, month(o_orderdate) AS mon,
-           sum(CAST(o_totalprice AS DECIMAL(15,2))) AS production_value
-    FROM orders GROUP BY 1, 2, 3
-),
-year_info AS (
-    SELECT o_custkey AS org_id, year(o_orderdate) AS yr, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS production_value
-    FROM orders GROUP BY 1, 2
+WITH plan AS (
+    SELECT c_custkey AS org_id,
+           CAST(coalesce(sum(amount) FILTER (m = {AS_OF.month}), 0) AS DOUBLE) / 10000 AS month_plan,
+           CAST(coalesce(sum(amount) FILTER ((m + 2) // 3 = {(AS_OF.month + 2) // 3}), 0) AS DOUBLE) / 10000 AS quarter_plan,
+           CAST(coalesce(sum(amount), 0) AS DOUBLE) / 10000 AS year_plan
+    FROM customer LEFT JOIN (
+        SELECT o_custkey, month(o_orderdate) AS m, CAST(o_totalprice AS DECIMAL(15,2)) AS amount
+        FROM orders WHERE year(o_orderdate) = {AS_OF.year}) ON o_custkey = c_custkey
+    GROUP BY c_custkey
 )
-SELECT da.org_id,
-       CAST(ifnull(info.production_value, 0) AS DOUBLE) / 10000 / da.stat_month_day_count AS day_plan,
-       CAST(ifnull(info.production_value, 0) AS DOUBLE) / 10000 AS month_plan,
-       (datediff('day', da.stat_month_start, {sql_date(AS_OF)}) + 1) / da.stat_month_day_count AS month_due,
-       CAST(ifnull(sum(info_qu.production_value), 0) AS DOUBLE) / 10000 AS quarter_plan,
-       CAST(ifnull(info_year.production_value, 0) AS DOUBLE) / 10000 AS year_plan,
-       (datediff('day', da.stat_year_start, {sql_date(AS_OF)}) + 1) / da.stat_year_day_count AS year_due
-FROM da
-LEFT JOIN month_info info ON da.org_id = info.org_id AND info.yr = da.stat_year AND info.mon = da.stat_month
-LEFT JOIN month_info info_qu ON da.org_id = info_qu.org_id AND info_qu.yr = da.stat_year
-                            AND CAST(ceil(info_qu.mon / 3) AS INTEGER) = da.stat_quarter
-LEFT JOIN year_info info_year ON da.org_id = info_year.org_id AND info_year.yr = da.stat_year
-WHERE da.id = {_day_key_sql(sql_date(AS_OF))} || '-' || CAST(da.org_id AS VARCHAR)
-GROUP BY da.org_id, info.production_value, da.stat_month_day_count, da.stat_month_start,
-         info_year.production_value, da.stat_year_start, da.stat_year_day_count
+SELECT org_id, month_plan / {_MONTH_DAYS} AS day_plan, month_plan, {AS_OF.day} / {_MONTH_DAYS} AS month_due, quarter_plan, year_plan,
+       {AS_OF.timetuple().tm_yday} / {_YEAR_DAYS} AS year_due
+FROM plan
 """, "J11,J2,F11,F12,F13,F15,F16,A2,A6")
 def day_plan_rates(spark, sf_dir):
     """The three joins to the month/quarter/year plan tables become one
@@ -384,11 +351,11 @@ def day_plan_rates(spark, sf_dir):
     org = F.col("c_custkey")
     da = t.customer.select(
         org.alias("org_id"),
-        F.concat(F.lit("pp-p-"), S.date_key(d), F.lit("-"), org.cast("string")).alias("id"),
+        F.concat(S.date_key(d), F.lit("-"), org.cast("string")).alias("id"),
         S.month_start(d).alias("stat_month_start"), F.dayofmonth(F.last_day(d)).alias("stat_month_day_count"),
         F.trunc(d, "year").alias("stat_year_start"),
         F.dayofyear(F.make_date(F.year(d), F.lit(12), F.lit(31))).alias("stat_year_day_count"))
-    key = F.concat(F.lit("pp-p-"), F.replace(F.left(d.cast("string"), F.lit(10)), F.lit("-"), F.lit("")),
+    key = F.concat(F.replace(F.left(d.cast("string"), F.lit(10)), F.lit("-"), F.lit("")),
                    F.lit("-"), F.col("org_id").cast("string"))
     j = da.filter(F.col("id") == key).join(per_org, F.col("org_id") == F.col("p_org"), "left")
 
