@@ -2,26 +2,33 @@
 normalised by length, with exception phrases.
 
 Folding maps look-alike letters of other scripts and digits or signs used as
-letters to the letter they stand for, drops signs inside words, and shortens
-drawn-out letters, so altered spellings meet the same lexicon entry.
+letters to the letter they stand for, drops signs inside words, shortens
+drawn-out letters and closes up words spelled out letter by letter, so
+altered spellings meet the same lexicon entry.
 
 The lexicon is learned from labelled rows: for each word, and each word
 start of four to eight letters, the documents of either label that hold it.
 An entry is kept if its log-likelihood ratio exceeds what the best of as
 many random candidates would reach; its weight is the smoothed log odds.
-Word pairs around an entry that occur in clean documents only become
-exception phrases, which silence the entry there.  A document's features are
-the weights of its hits, summed, and per word; a logistic curve fitted on
-the labelled rows turns them into a score from 0 to 1.
+Word pairs around an entry that only clean documents hold, more of them than
+chance explains at the rate of clean documents among those with an entry,
+become exception phrases, which silence the entries inside them.  Every entry
+and phrase that passes its test is kept.
 
-At most ``max_labelled`` labelled rows are fitted on (by hash of the id;
-that bound also bounds what is broadcast and collected), at most
-``max_terms`` entries kept.  Scoring is a map over all documents.
+A document's whole folded text runs through one automaton of entries and
+phrases.  Of the entries that begin at one word the heaviest counts.  The
+hits' weights, summed, and per word, are the document's features; a logistic
+curve fitted on the labelled rows turns them into a score from 0 to 1.
+
+At most ``max_labelled`` labelled rows are fitted on (by hash of the id);
+that bounds what is broadcast and collected, the lexicon too.  Scoring is a
+map over all documents.
 
 Defined results: a null text is empty; a text without words scores as one
 without hits; without labels of both kinds the lexicon is empty and every
 score 0; repeated label rows of an id count once, toxic if one is; null
-labels are left out.
+labels are left out; repeated documents are scored, and learned from, row by
+row.
 """
 
 from __future__ import annotations
@@ -37,6 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wareshift.llm.stage import written
 
@@ -55,12 +63,13 @@ _MARKS = re.compile("[̀-ͯ​-‏­]")
 _SIGNS = re.compile(r"[^\w]|_")
 _DRAWN = re.compile(r"(.)\1{2,}")
 _TRAIL = re.compile(r"[!?.,;:$@#%&*]+$")
+_SPELLED = re.compile(r" (?:[^\W\d_] ){3,}")
 
 STARTS = (4, 5, 6, 7, 8)
 #: Entries of a task's count table before it is handed on.
 TABLE = 200_000
 #: Words whose result a task remembers.
-REMEMBERED = 100_000
+REMEMBERED = 300_000
 
 
 def fold_word(word: str) -> str:
@@ -97,9 +106,20 @@ def split(text: str) -> list[str]:
     return text.lower().split()
 
 
+def _close_up(match: re.Match) -> str:
+    return f" {fold_word(match.group().replace(' ', ''))} "
+
+
+def join_folded(folded: list[str]) -> str:
+    """The folded text: words between single spaces, one at either end; three
+    or more single letters in a row are one word spelled out."""
+    text = f" {' '.join(filter(None, folded))} "
+    return _SPELLED.sub(_close_up, text)
+
+
 def fold(text: str) -> list[str]:
     """The folded words of a text."""
-    return [w for w in map(fold_word, split(text)) if w]
+    return join_folded(list(map(fold_word, split(text)))).split()
 
 
 def word_features(word: str) -> tuple[str, ...]:
@@ -119,39 +139,50 @@ class Model:
     exceptions: frozenset = frozenset()
     curve: tuple[float, ...] = ()
 
-    def matcher(self) -> _Remembered:
-        """The weight of a word: the heaviest entry it starts with, found by
-        the automaton on the folded word; 0 if none.  Results are remembered,
-        as most words recur."""
+    def matcher(self) -> "Matcher":
+        return Matcher(self.terms, self.exceptions)
+
+
+class Matcher:
+    """The automaton of a model's entries and exception phrases, each of
+    which begins with the space before its first word."""
+
+    def __init__(self, terms: dict[str, float], exceptions: frozenset):
         import ahocorasick
 
-        automaton = ahocorasick.Automaton()
-        for term, weight in self.terms.items():
-            automaton.add_word(term, (len(term), weight))
-        automaton.make_automaton()
+        self.folded = _Remembered(fold_word)
+        self.empty = not terms
+        self.automaton = ahocorasick.Automaton()
+        for entry in {*terms, *exceptions}:
+            self.automaton.add_word(entry, (len(entry), terms.get(entry, 0.0), entry if entry in exceptions else None))
+        self.automaton.make_automaton()
 
-        def weight(word: str) -> float:
-            found = [w for end, (size, w) in automaton.iter(f" {fold_word(word)} ") if end - size == -1]
-            return max(found, default=0.0)
+    def text(self, words: list[str]) -> str:
+        """The folded text of lower-case words."""
+        return join_folded(self.folded.all(words))
 
-        return _Remembered(weight if self.terms else lambda word: 0.0)
 
+def hits(words: list[str], matcher: Matcher, exceptions: frozenset) -> list[tuple[int, float]]:
+    """(number of the folded word, weight) of the words at which entries
+    begin, without those inside an exception phrase."""
+    return [] if matcher.empty or not words else text_hits(matcher.text(words), matcher, exceptions)
 
-def hits(words: list[str], matcher: _Remembered, exceptions: frozenset) -> list[tuple[int, float]]:
-    """(word number, weight) of the words that start with an entry, without
-    those inside an exception phrase."""
-    weights = matcher.all(words)
-    if not any(weights):
-        return []
-    out = []
-    for i, w in enumerate(weights):
-        if w and not (exceptions and (_pair(words, i - 1) in exceptions or _pair(words, i) in exceptions)):
-            out.append((i, w))
-    return out
 
+def text_hits(text: str, matcher: Matcher, exceptions: frozenset) -> list[tuple[int, float]]:
+    best: dict[int, float] = {}
+    silent = []
+    for end, (size, weight, phrase) in matcher.automaton.iter(text):
+        start = end - size + 1
+        if weight > best.get(start, 0.0):
+            best[start] = weight
+        if phrase is not None and phrase in exceptions:
+            silent.append((start, end))
+    return [(text.count(" ", 0, start), w) for start, w in sorted(best.items())
+            if not any(a <= start < b for a, b in silent)]
 
-def _pair(words: list[str], i: int) -> str:
-    return f" {fold_word(words[i])} {fold_word(words[i + 1])} " if 0 <= i < len(words) - 1 else ""
+
+def _pair(folded: list[str], i: int) -> str:
+    return f" {folded[i]} {folded[i + 1]} " if 0 <= i < len(folded) - 1 else ""
 
 
 def measures(found: list[tuple[int, float]], n_words: int) -> tuple[float, float]:
@@ -219,8 +250,8 @@ def _llr(k1: F.Column, n1: int, k0: F.Column, n0: int):
     return 2 * (ll(k1, float(n1)) + ll(k0, float(n0)) - one(k1, float(n1)) - one(k0, float(n0)))
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 200_000, max_terms: int = 20_000,
-          min_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 200_000, id_col: str = "doc_id",
+          text_col: str = "text") -> Model:
     """Fit the lexicon, its exceptions and the curve."""
     rows = training_rows(docs, labels, max_labelled, id_col, text_col)
     by = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
@@ -228,15 +259,13 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 200_000, max_t
     if not n0 or not n1:
         return Model()
     counted = written(rows.mapInArrow(_count_features, "term string, clean bigint, toxic bigint")
-                      .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-                      .where(F.col("clean") + F.col("toxic") >= min_docs), "lexicon")
+                      .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "lexicon")
     least = 2 * math.log(max(counted.count(), 2))
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
-    best = (counted.where(F.col("toxic") * n0 > F.col("clean") * n1)
-            .withColumn("llr", _llr(F.col("toxic"), n1, F.col("clean"), n0)).where(F.col("llr") >= least)
-            .select("term", "llr", odds.alias("weight")).where(F.col("weight") > 1.0)
-            .orderBy(F.desc("llr"), "term").limit(max_terms).collect())
-    model = Model({r.term: r.weight for r in best})
+    entries = (counted.where(F.col("toxic") * n0 > F.col("clean") * n1)
+               .where(_llr(F.col("toxic"), n1, F.col("clean"), n0) >= least)
+               .select("term", odds.alias("weight")).where(F.col("weight") > 1.0).collect())
+    model = Model({r.term: r.weight for r in entries})
     if not model.terms:
         return model
     model.exceptions = _exceptions(rows, model)
@@ -248,23 +277,34 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 200_000, max_t
 
 
 def _exceptions(rows: DataFrame, model: Model) -> frozenset:
-    """Word pairs with a hit that clean documents hold (five at least) and
-    toxic ones do not; at most ten times the lexicon."""
+    """Word pairs with a hit that clean documents hold and toxic ones do not,
+    if so many clean ones in a row are less likely than one chance in as many
+    as there are pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = model.matcher()
         for batch in batches:
             pairs, labels = [], []
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                words = split(text.as_py() or "")
-                near = {_pair(words, i) for n, _ in hits(words, matcher, frozenset()) for i in (n - 1, n)} - {""}
+                folded = matcher.text(split(text.as_py() or ""))
+                found = text_hits(folded, matcher, frozenset())
+                if not found:
+                    continue
+                words = folded.split()
+                near = {_pair(words, i) for n, _ in found for i in (n - 1, n)} - {""} | {"any"}
                 pairs += near
                 labels += [toxic] * len(near)
             yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.string()), pa.array(labels, pa.int32())],
                                              names=["pair", "toxic"])
 
-    counted = (rows.mapInArrow(run, "pair string, toxic int").groupBy("pair")
-               .agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).where("toxic = 0 AND n >= 5"))
-    return frozenset(r.pair for r in counted.orderBy(F.desc("n"), "pair").limit(10 * len(model.terms)).collect())
+    counted = written(rows.mapInArrow(run, "pair string, toxic int").groupBy("pair")
+                      .agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")), "pairs")
+    every = counted.where("pair = 'any'").first()
+    if every is None or every.toxic == every.n:
+        return frozenset()
+    clean = max(1e-9, -math.log((every.n - every.toxic) / every.n))
+    least = math.log(max(counted.count(), 2)) / clean
+    return frozenset(r.pair for r in counted.where((F.col("toxic") == 0) & (F.col("n") >= least) & (F.col("pair") != "any"))
+                     .select("pair").collect())
 
 
 def _measure(model: Model):
@@ -300,8 +340,11 @@ def score_documents(docs: DataFrame, model: Model, carry: list[str], threshold:
     """``row`` (struct of the ``carry`` columns but the text), ``text`` if
     carried (else null), score, predicted, n_hits."""
     with_text = text_col in carry
-    src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(
-        F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(c) for c in carry if c != text_col]).alias("row"))
+    # a struct needs a field; its name cannot meet one of the carried columns
+    kept = [F.col(f"`{c}`").alias(c) for c in carry if c != text_col] or [F.lit(0).alias("none")]
+    src = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*kept).alias("row"))
+    schema = T.StructType([src.schema["row"], T.StructField("text", T.StringType()), T.StructField("score", T.DoubleType()),
+                           T.StructField("n_hits", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = None
@@ -318,8 +361,7 @@ def score_documents(docs: DataFrame, model: Model, carry: list[str], threshold:
                 pa.array(scores, pa.float64()), pa.array(counts, pa.int64())], names=["row", "text", "score", "n_hits"])
         pa.default_memory_pool().release_unused()
 
-    row = src.schema["row"].dataType.simpleString()
-    out = src.mapInArrow(run, f"row {row}, text string, score double, n_hits bigint")
+    out = src.mapInArrow(run, schema)
     return out.select("row", "text", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_hits")
 
 
