@@ -48,6 +48,25 @@ def test_unusable_vectors_and_ties(spark):
     same(run(frame(spark, rows), query_every=5, k=4, mass=0.999999), brute(rows, 5, 4))
 
 
+@pytest.mark.parametrize("block", [2, 2048])
+def test_an_id_with_several_vectors(spark, monkeypatch, block):
+    monkeypatch.setattr(A, "QUERY_BLOCK", block)
+    rows = [(100, [5.0, 0.0]), (100, [1.0, 0.0]), (200, [1.5, 0.0]), (200, [6.0, 0.0]), (300, [2.0, 0.0]), (7, [4.5, 0.0])]
+    got = run(frame(spark, rows).repartition(3), query_every=100, k=3, mass=0.999999)
+    assert got[100] == [(0.5, 200), (1.0, 300), (3.5, 7)]  # asks from its smallest vector, [1, 0]
+    assert got[200] == [(0.5, 100), (0.5, 300), (3.0, 7)]  # from [1.5, 0]
+    assert got[300] == [(0.5, 200), (1.0, 100), (2.5, 7)]  # met at their nearest
+
+
+def test_a_hot_vector_sends_few_rows(spark):
+    v = [0.5, 1.0, -2.0]
+    rows = [(i, v if i % 3 else [float(i), 1.0, 2.0]) for i in range(900)] + [(4, v)] * 50
+    made = A.entries(A.usable(frame(spark, rows), "vec_id", "embedding"), 4)
+    found = {tuple(r.v): r.ids for r in made.collect()}
+    assert len(found) == 301 and found[tuple(v)] == [1, 2, 4, 5]
+    assert "WindowGroupLimit" in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fewer_candidates_than_asked(spark):
     rows = [(i * 10, [float(i), 1.0]) for i in range(1, 6)] + [(7, [50.0, -3.0])]
     same(run(frame(spark, rows), query_every=10, k=10), brute(rows, 10, 10))

@@ -10,17 +10,21 @@ the projections is enumerated best first), until the chances add up to
 distance on the original vectors.
 
 At scale: equal vectors are one entry of the index (with their ``k + 1``
-smallest ids, all that a result can show), a bucket above ``block`` entries
-is dealt to several tasks, queries go to every part of it, and each part
-gives a query at most k rows.  A query that finds fewer than k rows is
-compared with all vectors, in blocks of queries.
+smallest ids, all that a result can show; each task keeps no more of a
+vector before the shuffle).  A bucket above ``block`` entries is dealt to
+several tasks and the queries that visit it in blocks of about
+``QUERY_BLOCK``, so that a task holds one part and one block; each gives a
+query at most k rows.  Queries that find fewer than k rows are compared with
+all vectors, in blocks of queries and parts of the index alike.
 
 ``m`` follows the number of vectors (about 256 to a bucket); the cell width
 and the typical neighbour distance come from a sample of ``sample`` vectors.
 
 Defined results: vectors null, zero, of another length than most, or holding
-null or non-finite components take no part; rows that repeat an id and
-vector count once; ties go to the smaller id; an empty table has no rows.
+null or non-finite components take no part; rows that repeat an id and vector count
+once; an id with several vectors asks with the smallest of them (in array
+order) and is as near to others as its nearest one, and never its own
+neighbour; ties go to the smaller id; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -35,9 +39,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wareshift.llm.stage import written
+from wareshift.operators.joins import lookup_join
 
-#: Queries compared with all vectors at once when buckets gave too few rows.
-QUERY_BLOCK = 512
+#: Queries that one task compares with its part of the entries, about.
+QUERY_BLOCK = 2048
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -50,11 +55,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def entries(rows: DataFrame, keep: int) -> DataFrame:
-    """(v, ids): one row per distinct vector with its smallest ids; a vector
-    that very many rows share is first reduced in parts."""
-    parts = rows.groupBy("v", F.pmod(F.xxhash64("id"), F.lit(64)).alias("part")).agg(
-        F.slice(F.sort_array(F.collect_set("id")), 1, keep).alias("ids"))
-    return parts.groupBy("v").agg(F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"))
+    """(v, ids): one row per distinct vector with its smallest ids.  The
+    window's limit is applied in each task before the shuffle, so a vector
+    that very many rows share sends ``keep`` rows a task."""
+    order = Window.partitionBy("v").orderBy("id")
+    first = rows.select("v", "id").distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep)
+    return first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
 
 
 class Tables:
@@ -166,7 +172,7 @@ def nearest_neighbours(vectors: DataFrame, query_every: int, k: int = 10, tables
     taken = np.array([r.v for r in picked], float)
     dim = taken.shape[1]
     t = Tables(dim, n, taken, tables, seed)
-    queries = rows.where(F.col("id") % query_every == 0).dropDuplicates(["id"])
+    queries = rows.where(F.col("id") % query_every == 0).groupBy("id").agg(F.min("v").alias("v"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,15 +199,21 @@ def nearest_neighbours(vectors: DataFrame, query_every: int, k: int = 10, tables
                         names=["t", "bucket", "id"])
 
     sizes = placed.groupBy("t", "bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    probes = queries.select(F.col("id").cast("bigint"), "v").mapInArrow(probe, "t int, bucket bigint, id bigint")
-    # only buckets that exist are visited; a large one part by part
-    visits = (probes.join(sizes, ["t", "bucket"])
-              .select("t", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id"))
+    probes = written(queries.select(F.col("id").cast("bigint"), "v").mapInArrow(probe, "t int, bucket bigint, id bigint"),
+                     "ann-probes")
+    # only buckets that exist are visited; a large one part by part, and by
+    # many queries block by block
+    blocks = probes.groupBy("t", "bucket").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("blocks"))
+    plan = sizes.join(blocks, ["t", "bucket"])
+    plan = plan.select(F.col("t").alias("of_t"), F.col("bucket").alias("of_bucket"), "parts", "blocks")
+    at = (["t", "bucket"], ["of_t", "of_bucket"])
+    visits = lookup_join(probes, plan, *at, "inner").select(
+        "t", "bucket", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id")
     visits = visits.join(queries.select(F.col("id").cast("bigint").alias("id"), "v"), "id")
-    # few buckets are large: one in ``block`` entries at most
-    large = sizes.where("parts > 1")
-    dealt = (placed.join(large, ["t", "bucket"], "left")
-             .withColumn("part", F.pmod(F.xxhash64("v"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts"))
+    dealt = lookup_join(placed, plan, *at, "inner").select(
+        "t", "bucket", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "v", "ids")
 
     def rank(found: pa.Table, asked: pa.Table) -> pa.Table:
         out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -211,7 +223,7 @@ def nearest_neighbours(vectors: DataFrame, query_every: int, k: int = 10, tables
                        found.column("ids").to_pylist(), _matrix(found.column("v"), dim), k)
         return pa.table([pa.array(c, f.type) for c, f in zip(got, out)], schema=out)
 
-    keys = ["t", "bucket", "part"]
+    keys = ["t", "bucket", "part", "block"]
     found = dealt.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(rank, schema)
     found = written(found, "ann-found")
     best = top(found, k)
@@ -219,8 +231,11 @@ def nearest_neighbours(vectors: DataFrame, query_every: int, k: int = 10, tables
     have = best.groupBy("query_id").count()
     short = (queries.select(F.col("id").cast("bigint").alias("query_id"), "v").join(have, "query_id", "left")
              .where(F.coalesce("count", F.lit(0)) < wanted).select("query_id", "v"))
-    best = best.join(short.select("query_id"), "query_id", "left_anti").unionByName(
-        top(_compare_with_all(short, index, dim, k, schema), k))
+    short = written(short, "ann-short")
+    n_short = short.count()
+    if n_short:
+        best = best.join(short.select("query_id"), "query_id", "left_anti").unionByName(
+            top(_compare_with_all(short, n_short, index, n, block, rank, schema), k))
     return best.select("query_id", "rank", "vec_id", "score")
 
 
@@ -231,25 +246,12 @@ def top(found: DataFrame, k: int) -> DataFrame:
             .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
 
 
-def _compare_with_all(asked: DataFrame, index: DataFrame, dim: int, k: int, schema: str) -> DataFrame:
-    """Exact search for the given queries, a bounded block of them at a time."""
-    spark = asked.sparkSession
-    out = spark.createDataFrame([], schema)
-    last = None
-    while True:
-        some = asked if last is None else asked.where(F.col("query_id") > last)
-        got = some.orderBy("query_id").limit(QUERY_BLOCK).collect()
-        if not got:
-            return out
-        last = got[-1].query_id
-        ids, q = np.array([r.query_id for r in got]), np.array([r.v for r in got], float)
-
-        def run(batches: Iterator[pa.RecordBatch], ids=ids, q=q) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    found = _nearest(ids, q, batch.column(1).to_pylist(), _matrix(batch.column(0), dim), k)
-                    yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()),
-                                                      pa.array(found[2], pa.float64())],
-                                                     names=["query_id", "vec_id", "score"])
-
-        out = out.unionByName(index.select("v", "ids").mapInArrow(run, schema))
+def _compare_with_all(asked: DataFrame, n_asked: int, index: DataFrame, n: int, block: int, rank, schema: str) -> DataFrame:
+    """Exact search for the given queries: every block of queries meets every
+    part of the index in a task of its own."""
+    blocks, parts = -(-n_asked // QUERY_BLOCK), -(-n // block)
+    x = index.select(F.pmod(F.xxhash64("v"), F.lit(parts)).cast("int").alias("part"),
+                     F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "v", "ids")
+    q = asked.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+                     F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), F.col("query_id").alias("id"), "v")
+    return x.groupBy("part", "block").cogroup(q.groupBy("part", "block")).applyInArrow(rank, schema)
