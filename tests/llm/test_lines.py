@@ -62,7 +62,7 @@ def test_every_near_pair_is_found(spark, distance):
     assert got == want
 
 
-def brute(rows, distance, near_chars):
+def brute(rows, distance, near_chars, percent=None):
     each = [(d is None, d or 0, p, i, line) for i, (d, t, *_) in enumerate(rows) if t is not None
             for p, line in enumerate(t.split("\n"))]
     texts = sorted({x[4] for x in each} - {""})
@@ -73,10 +73,11 @@ def brute(rows, distance, near_chars):
             t = up[t]
         return t
 
-    long = [t for t in texts if len(t) >= near_chars]
-    for j, b in enumerate(long):
-        for a in long[:j]:
-            if abs(len(a) - len(b)) <= distance and edits(a, b) <= distance:
+    for j, b in enumerate(texts):
+        for a in texts[:j]:
+            n = min(len(a), len(b))
+            most = (distance if n >= near_chars else 0) if percent is None else allowed(n, percent, distance, near_chars)
+            if most and abs(len(a) - len(b)) <= most and edits(a, b) <= most:
                 up[find(b)] = find(a)
     first = {}
     for x in sorted(each):
@@ -104,6 +105,26 @@ def test_documents(spark):
     assert run(documents(spark, rows), distance=2, near_chars=10) == brute(rows, 2, 10)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_documents_by_length(spark, seed):
+    lines = length_lines(seed)
+    rnd = random.Random(seed)
+    rnd.shuffle(lines)
+    rows = [(i, "\n".join(lines[4 * i : 4 * i + 4] + [""])) for i in range(len(lines) // 4)]
+    assert run(documents(spark, rows), percent=5) == brute(rows, 2, 30, 5)
+
+
+def test_beyond_the_small_sides(spark, monkeypatch):
+    """The joins by shuffle give what the broadcasts give."""
+    import wareshift.llm.lines as L
+
+    rnd = random.Random(3)
+    pool = ["".join(rnd.choice("abcé ") for _ in range(n)) for n in (0, 1, 12, 35, 60)]
+    rows = [(i, "\n".join(change(rnd, rnd.choice(pool), rnd.choice([0, 0, 1, 2])) for _ in range(4))) for i in range(40)]
+    monkeypatch.setattr(L, "SMALL_ROWS", 0)
+    assert run(documents(spark, rows), distance=2, near_chars=10) == brute(rows, 2, 10)
+
+
 def test_awkward_rows(awkward):
     rows, df = awkward
     got = run(df)

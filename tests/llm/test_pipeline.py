@@ -79,6 +79,28 @@ def test_awkward_rows_pass_all_stages(spark, awkward):
     assert df.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and df.count() > 0
 
 
+def test_column_names_of_any_kind_pass_all_stages(spark, small_documents):
+    df = small_documents[1].limit(60).selectExpr("*", "1 as none", "2 as `my col`", "3 as `a.b`", "4 as row", "5 as k1", "6 as copy")
+    names = df.columns
+    for name, stage in P.STAGES[:-1]:
+        df = P.written(stage(spark, df, SF), name)
+        assert df.columns == names
+        assert {tuple(r)[-6:] for r in df.collect()} <= {(1, 2, 3, 4, 5, 6)} and df.count() > 0
+    assert P.STAGES[-1][1](spark, df, SF).count() == df.count()
+
+
+def test_of_equal_rows_the_same_one_stays(spark):
+    from wareshift.llm.jaccard import one_of_each
+
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, c) for c in "dbca"] + [(2, text, "e"), (3, None, "f"), (3, None, "g")]
+    kept = set()
+    for n in (1, 3, 7):
+        df = spark.createDataFrame(rows[::-1] if n == 3 else rows, "doc_id bigint, text string, c string").repartition(n)
+        kept.add(tuple(sorted(map(str, one_of_each(df, n=5, percent=80).collect()))))
+    assert len(kept) == 1 and len(next(iter(kept))) == 3
+
+
 def test_empty_table_passes_all_stages(spark, nothing):
     df = nothing
     for _, stage in P.STAGES:

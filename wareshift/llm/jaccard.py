@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from wareshift.llm.components import components
 from wareshift.llm.stage import written
 from wareshift.llm.text import Words, shingles, slices
+from wareshift.operators.joins import lookup_join
 
 #: Shared prefix shingles asked of a candidate pair.
 SHARED = 3
@@ -155,13 +156,19 @@ def signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
         run, f"rid bigint, id {id_type}, k1 bigint, k2 bigint, n bigint, key binary, prefix array<bigint>")
 
 
-def candidate_edges(classes: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): pairs of classes that may link, and the ties of the members of
-    large blocks.  Whatever links is connected."""
+def prefix_posts(classes: DataFrame, percent: int) -> DataFrame:
+    """rid, n, pos, h, size, band: the prefix shingles that several classes
+    have, with the number of those, and the class's length band."""
     posts = classes.select("rid", "n", F.posexplode("prefix").alias("pos", "h"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    sizes = posts.groupBy("h").agg(F.count("*").alias("size")).where("size > 1")
-    shared = written(posts.join(sizes, "h").withColumn("band", band), "prefix-posts")
+    # lookups on aggregates of the same key: a hot shingle is split over tasks
+    sizes = posts.groupBy(F.col("h").alias("of")).agg(F.count("*").alias("size")).where("size > 1")
+    return written(lookup_join(posts, sizes, ["h"], ["of"], "inner").drop("of").withColumn("band", band), "prefix-posts")
+
+
+def candidate_edges(shared: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): pairs of classes that may link, and the ties of the members of
+    large blocks.  Whatever links is connected."""
     few, many = shared.where(F.col("size") <= block), shared.where(F.col("size") > block)
     x = few.select("h", F.col("rid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     y = few.select("h", F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
@@ -171,7 +178,9 @@ def candidate_edges(classes: DataFrame, percent: int, block: int) -> DataFrame:
                                  & (reach * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
     pairs = pairs.groupBy("a", "b").count().where(F.col("count") >= SHARED).select("a", "b")
     leaders = many.groupBy("h", "band").agg(F.min("rid").alias("lead"))
-    ties = many.join(leaders, ["h", "band"]).select(F.col("rid").alias("a"), F.col("lead").alias("b"))
+    named = leaders.select(F.col("h").alias("of"), F.col("band").alias("of_band"), "lead")
+    ties = lookup_join(many, named, ["h", "band"], ["of", "of_band"], "inner").select(
+        F.col("rid").alias("a"), F.col("lead").alias("b"))
     # sets of neighbouring bands may link: tie their leaders
     next_band = leaders.select("h", (F.col("band") - 1).alias("band"), F.col("lead").alias("b"))
     steps = leaders.join(next_band, ["h", "band"]).select(F.col("lead").alias("a"), "b")
@@ -280,9 +289,10 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, table: in
     order = spark.sparkContext.broadcast(Order(*frequent(src, n, table)))  # at most ``table`` entries
     signed = written(signatures(src, order, n, percent), "signatures")
     sets = signed.where("n > 0").groupBy("key").agg(F.min("rid").alias("rid"), F.min("id").alias("low_id"))
-    classes = written(sets.select("key", F.col("rid").alias("class"), "low_id"), "classes")
+    classes = written(sets.select("key", F.col("rid").alias("class"), "low_id"), "classes", rows=signed.count())
     reps = signed.join(classes.select(F.col("class").alias("rid")), "rid").where(F.size("prefix") > 0)
-    edges = written(candidate_edges(reps.select("rid", "n", "prefix"), percent, block), "candidates")
+    posts = prefix_posts(reps.select("rid", "n", "prefix"), percent)
+    edges = written(candidate_edges(posts, percent, block), "candidates", rows=posts.count())
     clusters = components(edges)
     linked, degree = _verify(src, signed, clusters, n, percent, tile)
     found = components(linked)
@@ -355,6 +365,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(row.alias("row"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("k1"),
                        F.xxhash64(F.lit(1), text).alias("k2"))
-    copy = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))
+    # of rows with equal id and text the first by the other columns' hash
+    others = [F.col("row").getField(c) for c, t in docs.dtypes if not t.startswith("map")]
+    copy = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.xxhash64(*others)))
     kept = rows.join(chosen, ["k1", "k2"]).withColumn("copy", copy).where("copy = 1 OR NOT once")
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

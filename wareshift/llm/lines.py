@@ -10,11 +10,18 @@ segments.  If two lines are within the distance, one of the segments of the
 shorter occurs unchanged in the longer, shifted by no more than the edits on
 either side allow.  So each line is entered under (length, segment number,
 segment), and looks up, for each length from its own down to ``distance``
-less, the few substrings that can match there.  Candidates are verified by a
-banded bit-parallel edit distance: the cells within ``distance`` of the
+less, the few substrings that can match there (where that is its own segment
+at its own place, the entries meet each other).  Candidates are verified by
+a banded bit-parallel edit distance: the cells within ``distance`` of the
 diagonal are one small bit vector of vertical differences, moved one column
 at a time by integer operations.
 
+Lines cross one shuffle with their texts, where they become distinct; what
+is joined after that are pairs of fingerprints.  Texts are read again for
+the lines of candidate pairs only.  Small sides (at most ``SMALL_ROWS``
+rows, counted) are broadcast, larger ones joined by a shuffle that splits
+hot keys.
+
 With ``percent`` the edits allowed grow with the shorter line's length (see
 :func:`allowed`).  Too many for a lookup per shift, so each line is entered
 under its ``edits + 1`` segments' first characters, for the lengths and places
@@ -32,47 +39,44 @@ from pyspark.sql import functions as F
 
 from wareshift.llm.components import components
 from wareshift.llm.stage import written
+from wareshift.operators.joins import lookup_join
 
 
-def _segments(length: Column, parts: int) -> list[tuple[Column, Column]]:
-    """(start from 0, size) of the segments of a line: the last
-    ``length % parts`` are one longer."""
-    short = F.floor(length / parts).cast("int")
-    longer = (length % parts).cast("int")
-    out, start = [], F.lit(0)
-    for i in range(parts):
-        size = short + F.when(F.lit(i) >= parts - longer, 1).otherwise(0)
-        out.append((start, size))
-        start = start + size
-    return out
+#: Rows (of a few numbers each) up to which a counted side is broadcast.
+SMALL_ROWS = 400_000
 
 
-def _entries(distance: int) -> Column:
-    """Keys a line is found under, one per segment."""
-    parts = distance + 1
-    n = F.col("chars")
-    return F.array(*[F.xxhash64(n, F.lit(i), F.substring(F.col("line"), start + 1, size))
-                     for i, (start, size) in enumerate(_segments(n, parts))])
+def _small_or_split(df: DataFrame, side: DataFrame, keys: list[str], side_keys: list[str], how: str) -> DataFrame:
+    """Join with a written side that holds each key once: broadcast if it is
+    small, else with hot keys of ``df`` split."""
+    if side.count() <= SMALL_ROWS:
+        return lookup_join(df, F.broadcast(side), keys, side_keys, how, split_hot_keys=False)
+    return lookup_join(df, side, keys, side_keys, how)
 
 
-def _lookups(distance: int) -> Column:
-    """(key, same length) of the substrings to look up: for the lines
-    ``gap`` shorter, segment i starts at most ``distance`` away on either side,
-    as far as the edits before it (i at most) and after it allow."""
+def _places(distance: int) -> tuple[list, list]:
+    """(gap, segment, shift) of the entries, and of the lookups: in a line
+    that is ``gap`` longer the segment starts ``shift`` further right, as far
+    as the edits left of it (as many as segments there) and right of it
+    allow."""
+    entries = [(0, i, 0) for i in range(distance + 1)]
+    lookups = [(gap, i, shift) for gap in range(distance + 1) for i in range(distance + 1)
+               for shift in range(max(-i, gap - (distance - i)), min(i, gap + (distance - i)) + 1)]
+    return entries, [x for x in lookups if x not in entries]
+
+
+def _keyed(distinct: DataFrame, distance: int, places: list) -> DataFrame:
+    """(key, lid) of the lines' substrings at the places: a hash of the other
+    line's length, the segment's number and the substring.  Of a length's
+    segments the last ``length % parts`` are one longer."""
     parts = distance + 1
-    out = []
-    for gap in range(distance + 1):
-        other = F.col("chars") - gap
-        for i, (start, size) in enumerate(_segments(other, parts)):
-            # shifts allowed by the edits left of the segment, and right of it
-            low = max(-i, gap - (distance - i))
-            high = min(i, gap + (distance - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                inside = (at >= 0) & (at + size <= F.col("chars"))
-                key = F.xxhash64(other, F.lit(i), F.substring(F.col("line"), at + 1, size))
-                out.append(F.when(inside, F.struct(key.alias("key"), F.lit(gap == 0).alias("same"))))
-    return F.array_compact(F.array(*out))
+    spots = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(p, ("gap", "i", "shift"))]) for p in places])
+    rows = distinct.select("lid", "line", "chars", F.explode(spots).alias("p"))
+    rows = rows.select("lid", "line", "chars", "p.i", "p.shift", (F.col("chars") - F.col("p.gap")).cast("int").alias("n"))
+    rows = rows.select("lid", "line", "chars", "i", "n", F.expr(f"n div {parts} + if(i >= {parts} - n % {parts}, 1, 0)").alias("size"),
+                       F.expr(f"i * (n div {parts}) + greatest(0, i - {parts} + n % {parts}) + shift").alias("at"))
+    rows = rows.where("at >= 0 AND at + size <= chars")
+    return rows.select(F.expr("xxhash64(n, i, substring(line, cast(at + 1 AS INT), cast(size AS INT)))").alias("key"), "lid")
 
 
 def edit_distance(longer: Column, shorter: Column, distance: int) -> Column:
@@ -121,25 +125,32 @@ def _distance(longer: Column, shorter: Column, distance: int) -> Column:
     return F.aggregate(columns, start, column, lambda s: s["d"])
 
 
-def near_lines(distinct: DataFrame, distance: int) -> DataFrame:
-    """(a, b): the pairs of lines (lid, line, chars) within the distance."""
-    entries = distinct.select(F.col("lid").alias("a"), F.explode(_entries(distance)).alias("key"))
-    # a lookup's line and whether it is for its own length travel as one number
-    lookups = distinct.select("lid", F.explode(_lookups(distance)).alias("l")).select(
-        (F.col("lid") * 2 + F.col("l.same").cast("bigint")).alias("by"), F.col("l.key").alias("key"))
-    # lines of one length find each other both ways: one is enough
-    pairs = entries.join(lookups, "key").withColumn("b", F.shiftright("by", 1))
-    pairs = pairs.where((F.col("a") < F.col("b")) | ((F.col("by") % 2 == 0) & (F.col("a") != F.col("b"))))
-    pairs = pairs.select("a", "b").distinct()
-    short = distinct.select(F.col("lid").alias("a"), F.col("line").alias("line_a"), F.col("chars").alias("chars_a"))
-    long = distinct.select(F.col("lid").alias("b"), F.col("line").alias("line_b"), F.col("chars").alias("chars_b"))
-    both = pairs.join(short, "a").join(long, "b")
+def candidate_pairs(distinct: DataFrame, distance: int) -> DataFrame:
+    """(a, b): pairs of lines (lid, line, chars) that share a segment where
+    lines within the distance do, b as long as a or longer."""
+    at_entry, at_lookup = _places(distance)
+    entries, lookups = _keyed(distinct, distance, at_entry), _keyed(distinct, distance, at_lookup)
+    one = entries.select("key", F.col("lid").alias("a"))
+    same = one.join(entries.select("key", F.col("lid").alias("b")), "key").where("a < b")
+    other = one.join(lookups.select("key", F.col("lid").alias("b")), "key").where("a <> b")
+    return same.select("a", "b").unionByName(other.select("a", "b")).distinct()
+
+
+def verified(pairs: DataFrame, texts: DataFrame, distance: int) -> DataFrame:
+    """The pairs (a, b) of lines (lid, line, chars) within the distance."""
+    short = texts.select(F.col("lid").alias("a"), F.col("line").alias("line_a"), F.col("chars").alias("chars_a"))
+    long = texts.select(F.col("lid").alias("b"), F.col("line").alias("line_b"), F.col("chars").alias("chars_b"))
     # a fingerprint clash can pair lines of other lengths
-    fits = both.where((F.col("chars_b") - F.col("chars_a")).between(0, distance))
+    fits = pairs.join(short, "a").join(long, "b").where((F.col("chars_b") - F.col("chars_a")).between(0, distance))
     chars = fits.select("a", "b", F.split("line_b", "").alias("long"), F.split("line_a", "").alias("short"))
     return chars.where(edit_distance(F.col("long"), F.col("short"), distance) <= distance).select("a", "b")
 
 
+def near_lines(distinct: DataFrame, distance: int) -> DataFrame:
+    """(a, b): the pairs of lines (lid, line, chars) within the distance."""
+    return verified(candidate_pairs(distinct, distance), distinct, distance)
+
+
 GRAM_STEP = 256
 
 
@@ -212,6 +223,37 @@ def near_lines_by_length(distinct: DataFrame, percent: int, distance: int, near_
     return both.where(F.expr("levenshtein(line_b, line_a, edits) >= 0")).select("a", "b")
 
 
+def _groups(long: DataFrame, distance: int) -> DataFrame:
+    """(l1, l2, g1, g2): lines linked to others, and their group's line."""
+    each = long.distinct().select(F.col("h1").alias("lid"), "line", F.length("line").alias("chars"))
+    pairs = written(candidate_pairs(each, distance), "line-pairs")
+    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct(), "lines-in-pairs", rows=pairs.count())
+    # two lines of one h1 both come; h1 and h2 tell them apart
+    texts = written(_small_or_split(long, needed, ["h1"], ["need"], "left_semi").distinct()
+                    .select("h1", "h2", "line", F.length("line").alias("chars"), F.monotonically_increasing_id().alias("no")),
+                    "line-texts", compression="zstd")
+    ends = texts.select("h1", F.col("no").alias("lid"))
+    named = pairs.join(ends.withColumnsRenamed({"h1": "a", "lid": "na"}), "a").join(
+        ends.withColumnsRenamed({"h1": "b", "lid": "nb"}), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    near = written(verified(named, texts.select(F.col("no").alias("lid"), "line", "chars"), distance), "near-lines")
+    found = components(near)
+    return _named_groups(found, texts.select("no", "h1", "h2"))
+
+
+def _groups_by_length(long: DataFrame, percent: int, distance: int, near_chars: int) -> DataFrame:
+    distinct = written(long.distinct().select("h1", "h2", "line", F.length("line").alias("chars"),
+                                              F.monotonically_increasing_id().alias("no")), "distinct-lines", compression="zstd")
+    each = distinct.select(F.col("no").alias("lid"), "line", "chars")
+    found = components(written(near_lines_by_length(each, percent, distance, near_chars), "near-lines"))
+    return _named_groups(found, distinct.select("no", "h1", "h2"))
+
+
+def _named_groups(found: DataFrame, lines: DataFrame) -> DataFrame:
+    one = lines.select(F.col("no").alias("node"), F.col("h1").alias("l1"), F.col("h2").alias("l2"))
+    top = lines.select(F.col("no").alias("component"), F.col("h1").alias("g1"), F.col("h2").alias("g2"))
+    return written(found.join(one, "node").join(top, "component").select("l1", "l2", "g1", "g2"), "line-groups")
+
+
 def line_verdicts(docs: DataFrame, distance: int = 2, near_chars: int = 30, id_col: str = "doc_id",
                   text_col: str = "text", percent: int | None = None) -> DataFrame:
     """One row per line: rid (number of the document's row), id, pos (from
@@ -226,24 +268,19 @@ def line_verdicts(docs: DataFrame, distance: int = 2, near_chars: int = 30, id_c
     # 128 bits stand for a line from here on
     places = written(lines.select("rid", "id", "pos", F.col("line").isNull().alias("none"), "h1", "h2",
                                   (F.coalesce(F.length("line"), F.lit(0)) == 0).alias("blank")), "lines")
-    distinct = written(
-        lines.select("h1", "h2", "line", F.length("line").alias("chars")).where(F.col("chars") >= least)
-        .groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("chars").alias("chars"))
-        .withColumn("lid", F.monotonically_increasing_id()), "distinct-lines", compression="zstd")
-    each = distinct.select("lid", "line", "chars")
-    groups = components(near_lines(each, distance) if percent is None else
-                        near_lines_by_length(each, percent, distance, near_chars))
-    keys = distinct.select("lid", "h1", "h2")
-    groups = (groups.join(keys.withColumnRenamed("lid", "node"), "node")
-              .join(keys.select(F.col("lid").alias("component"), F.col("h1").alias("g1"), F.col("h2").alias("g2")), "component")
-              .select("h1", "h2", "g1", "g2"))
+    long = lines.where(F.length("line") >= least).select("h1", "h2", "line")
+    groups = _groups(long, distance) if percent is None else _groups_by_length(long, percent, distance, near_chars)
+    # what is in no group is its own
     seen = F.struct(F.col("id").isNull(), F.col("id"), F.col("pos"), F.col("rid"))
-    grouped = (places.where("not blank").join(groups, ["h1", "h2"], "left")
-               .withColumn("g1", F.coalesce("g1", "h1")).withColumn("g2", F.coalesce("g2", "h2")))
-    first = grouped.groupBy("g1", "g2").agg(F.min(F.struct(seen.alias("o"), "h1", "h2")).alias("first"))
-    judged = grouped.join(first, ["g1", "g2"]).select(
-        "rid", "id", "pos", (F.col("first.o") != seen).alias("removed"),
-        ((F.col("first.h1") != F.col("h1")) | (F.col("first.h2") != F.col("h2"))).alias("near"))
+    grouped = _small_or_split(places.where("not blank"), groups, ["h1", "h2"], ["l1", "l2"], "left").withColumn(
+        "g1", F.coalesce("g1", "h1")).withColumn("g2", F.coalesce("g2", "h2")).drop("l1", "l2")
+    # lines that occur once need no verdict
+    first = written(grouped.groupBy("g1", "g2").agg(
+        F.min(F.struct(seen.alias("o"), "h1", "h2")).alias("first"), F.count("*").alias("n")).where("n > 1").select(
+        F.col("g1").alias("f1"), F.col("g2").alias("f2"), "first"), "first-lines")
+    judged = _small_or_split(grouped, first, ["g1", "g2"], ["f1", "f2"], "left").select(
+        "rid", "id", "pos", (F.coalesce(F.col("first.o") != seen, F.lit(False))).alias("removed"),
+        F.coalesce((F.col("first.h1") != F.col("h1")) | (F.col("first.h2") != F.col("h2")), F.lit(False)).alias("near"))
     blank = places.where("blank").select("rid", "id", F.when(~F.col("none"), F.col("pos")).alias("pos"),
                                          F.lit(False).alias("removed"), F.lit(False).alias("near"))
     return judged.unionByName(blank)

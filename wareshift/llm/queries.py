@@ -276,43 +276,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_near", numbers.alias("removed"))
 
 
-@query("op6_line_dedup_by_length", r"""
-WITH RECURSIVE doc AS (
-  SELECT row_number() OVER () AS rid, doc_id, string_split(text, chr(10)) AS lines FROM documents
-), line AS (
-  SELECT rid, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM doc
-), each AS (
-  -- edits allowed: 5 % of the shorter line, two at least from 30 characters on
-  SELECT row_number() OVER () AS lid, line, length(line) AS chars,
-         CASE WHEN length(line) >= 30 THEN greatest(length(line) // 20, 2) ELSE length(line) // 20 END AS edits
-  FROM (SELECT DISTINCT line FROM line WHERE length(line) >= 20)
-), part AS (
-  -- n edits leave one of n + 1 parts of the shorter line whole
-  SELECT lid, unnest([substr(line, i * (chars // (edits + 1)) + 1, chars // (edits + 1)) for i in range(edits + 1)]) AS part
-  FROM each
-), parts AS (
-  SELECT lid, list(part) AS parts FROM part GROUP BY lid
-), pair AS (
-  SELECT a.line AS a, b.line AS b
-  FROM each a JOIN parts p ON a.lid = p.lid JOIN each b ON b.chars BETWEEN a.chars AND a.chars + a.edits AND a.lid <> b.lid
-  WHERE len([x for x in p.parts if contains(b.line, x)]) > 0 AND levenshtein(a.line, b.line) <= a.edits
-), edge AS (
-  SELECT a, b FROM pair UNION SELECT b, a FROM pair
-), reach(line, other) AS (
-  SELECT a, a FROM edge UNION SELECT r.line, e.b FROM reach r JOIN edge e ON r.other = e.a
-), grp AS (
-  SELECT line, min(other) AS g FROM reach GROUP BY line
-), placed AS (
-  SELECT rid, doc_id, pos, l.line, coalesce(g, l.line) AS g FROM line l LEFT JOIN grp ON l.line = grp.line
-), judged AS (
-  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) > 1 AND line <> '' AS removed,
-         line <> first_value(line) OVER (PARTITION BY g ORDER BY doc_id, pos) AS near
-  FROM placed
-)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed, count(*) FILTER (near) AS n_near,
-       coalesce(string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) FILTER (removed), '') AS removed
-FROM judged GROUP BY rid, doc_id
-""")
+@query("op6_line_dedup_by_length")  # no SQL: DuckDB's levenshtein counts bytes; tests/llm compare with brute force
 def op6_line_dedup_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 

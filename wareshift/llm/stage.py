@@ -11,10 +11,16 @@ from pyspark.sql import DataFrame
 from wareshift.session import ensure_checkpoint_dir, scratch_path
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write a frame to a fresh folder and read it back."""
+#: Rows of a few numbers that one file of a narrow table holds, about.
+ROWS_A_FILE = 1_000_000
+
+
+def written(df: DataFrame, name: str, compression: str = "snappy", rows: int | None = None) -> DataFrame:
+    """Write a frame to a fresh folder and read it back.  For a narrow table
+    of about ``rows`` rows the last step runs in as many tasks as the files
+    that they fill, not one per shuffle partition."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path, compression=compression)
+    (df if rows is None else df.coalesce(-(-rows // ROWS_A_FILE) + 1)).write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

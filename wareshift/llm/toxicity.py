@@ -259,7 +259,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 200_000, id_co
     if not n0 or not n1:
         return Model()
     counted = written(rows.mapInArrow(_count_features, "term string, clean bigint, toxic bigint")
-                      .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "lexicon")
+                      .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "lexicon", rows=50 * (n0 + n1))
     least = 2 * math.log(max(counted.count(), 2))
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("clean") + 0.5) / (n0 + 1.0))
     entries = (counted.where(F.col("toxic") * n0 > F.col("clean") * n1)
@@ -268,7 +268,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 200_000, id_co
     model = Model({r.term: r.weight for r in entries})
     if not model.terms:
         return model
-    model.exceptions = _exceptions(rows, model)
+    model.exceptions = _exceptions(rows, model, n0 + n1)
     seen = rows.mapInArrow(_measure(model), "toxic int, total double, rate double").collect()  # max_labelled rows
     y = np.array([r.toxic for r in seen], float)
     x = np.array([(1.0, r.total, r.rate) for r in seen])
@@ -276,7 +276,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = 200_000, id_co
     return model
 
 
-def _exceptions(rows: DataFrame, model: Model) -> frozenset:
+def _exceptions(rows: DataFrame, model: Model, max_rows: int) -> frozenset:
     """Word pairs with a hit that clean documents hold and toxic ones do not,
     if so many clean ones in a row are less likely than one chance in as many
     as there are pairs."""
@@ -297,7 +297,7 @@ def _exceptions(rows: DataFrame, model: Model) -> frozenset:
                                              names=["pair", "toxic"])
 
     counted = written(rows.mapInArrow(run, "pair string, toxic int").groupBy("pair")
-                      .agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")), "pairs")
+                      .agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")), "pairs", rows=max_rows)
     every = counted.where("pair = 'any'").first()
     if every is None or every.toxic == every.n:
         return frozenset()
