@@ -77,6 +77,20 @@ def test_awkward_rows(spark, awkward):
     assert D.clean_documents(df, bench).count() == len(rows) - len({i for i, r in enumerate(rows) if brute([r], items)})
 
 
+def test_awkward_rows_against_a_large_benchmark(spark, awkward):
+    rows, df = awkward
+    items = [(1, rows[0][1]), (2, "one two"), (3, "日本語"), (2, "one two"), (4, None), (5, "")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    assert run(df.repartition(3), bench, block_shingles=1) == brute(rows, items)
+    odd = df.selectExpr("doc_id", "text", "1 as k1", "2 as `my col`", "3 as `a.b`", "4 as none", "5 as n", "6 as no", "7 as items")
+    kept = D.clean_documents(odd, bench, block_shingles=1)
+    assert kept.columns == odd.columns
+    assert kept.count() == len(rows) - len({i for i, r in enumerate(rows) if brute([r], items)})
+    assert all(tuple(r)[2:] == (1, 2, 3, 4, 5, 6, 7) for r in kept.collect())
+    plan = D.mark(df, bench, ["doc_id"], block_shingles=1)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
+
+
 def test_empty_tables(spark, nothing, awkward):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert run(awkward[1], bench) == []

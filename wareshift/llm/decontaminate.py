@@ -18,9 +18,13 @@ Words are runs of letters, digits and non-ASCII characters of the lower-case
 text, so case and punctuation do not hide a passage.  Items with fewer than
 five words are one shingle of their own length.
 
-Scale: the documents are read in one map and never shuffled.  Items go to
-the tasks in blocks of at most ``block_shingles`` shingles (one block for
-any usual benchmark; a larger one takes a pass per block).
+Scale: a benchmark of at most ``block_shingles`` shingles (counted; any
+usual one) goes to the tasks whole, and the documents are read in one map
+and never shuffled.  A larger one stays a table: the documents' shingles that
+pass a filter of fixed size over all sketches meet the sketches in a join,
+and the few pairs that hold enough of a sketch fetch text and item to be
+verified.  Equal texts are looked up once; nothing but the filter passes
+through the driver.
 
 Defined results: null or empty texts, and items without words, match
 nothing; repeated rows are judged one by one; items that repeat an id are
@@ -36,11 +40,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from wareshift.llm.stage import written
 from wareshift.llm.text import NOT_ALNUM, Words, slices
+from wareshift.operators.joins import lookup_join
 
 N = 5
 _BITS = 20
+#: Size of the filter over a large benchmark's sketches (16 MB).
+FILTER_BITS = 27
 
 
 @dataclass
@@ -140,10 +149,10 @@ class Block:
         return found[:, 0], found[:, 1], found[:, 2]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_shingles: int):
-    """(item ids, shingles) in blocks: items are read in blocks of a bounded
-    number of shingles, ordered by fingerprint of their text."""
-    items = benchmark.select(F.col(id_col).alias("id"), F.lower(F.col(text_col).cast("string")).alias("text"))
+def _item_sets(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, s): each item's shingle length and distinct shingles."""
+    items = benchmark.select(F.col(f"`{id_col}`").alias("id"), F.lower(F.col(f"`{text_col}`").cast("string")).alias("text"))
+    schema = T.StructType([items.schema["id"], T.StructField("n", T.IntegerType()), T.StructField("s", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,15 +161,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_shingles: in
                 batch.column(0), pa.array([n for n, _ in found], pa.int32()),
                 pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["id", "n", "s"])
 
-    id_type = items.schema["id"].dataType.simpleString()
-    sets = items.mapInArrow(run, f"id {id_type}, n int, s array<bigint>").where("n > 0")
-    total = sets.agg(F.sum(F.size("s")).alias("n")).first().n or 0
-    parts = max(1, -(-2 * total // block_shingles)) if total > block_shingles else 1
-    for part in range(parts):
-        some = sets.where(F.pmod(F.xxhash64("s"), F.lit(parts)) == part) if parts > 1 else sets
-        rows = some.collect()
-        if rows:
-            yield [r.id for r in rows], [(r.n, np.array(r.s, np.int64).view(np.uint64)) for r in rows]
+    return items.mapInArrow(run, schema).where("n > 0")
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, carry: list[str], threshold: float = 0.8,
@@ -168,16 +169,108 @@ def mark(docs: DataFrame, benchmark: DataFrame, carry: list[str], threshold: flo
          item_text_col: str = "text") -> DataFrame:
     """One row per document: ``row`` (struct of the ``carry`` columns) and
     ``items``, the contained items as (item_id, shared, size)."""
-    item_type = benchmark.schema[item_col].dataType.simpleString()
-    items_type = f"array<struct<item_id:{item_type},shared:bigint,size:bigint>>"
+    items_type = T.ArrayType(T.StructType([
+        T.StructField("item_id", benchmark.schema[item_col].dataType), T.StructField("shared", T.LongType()),
+        T.StructField("size", T.LongType())]))
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
                       F.lower(F.col(f"`{text_col}`").cast("string")).alias("text"),
                       F.array().cast(items_type).alias("items"))
-    for ids, shingles in _blocks(benchmark, item_col, item_text_col, block_shingles):
-        src = src.mapInArrow(_marker(ids, shingles, threshold), src.schema)
+    sets = _item_sets(benchmark, item_col, item_text_col)
+    total = sets.agg(F.sum(F.size("s")).alias("n")).first().n or 0
+    if total > block_shingles:
+        return _mark_by_join(src, sets, threshold, items_type)
+    rows = sets.collect()  # at most block_shingles numbers
+    if rows:
+        found = [(r.n, np.array(r.s, np.int64).view(np.uint64)) for r in rows]
+        src = src.mapInArrow(_marker([r.id for r in rows], found, threshold), src.schema)
     return src.select("row", "items")
 
 
+def _sketches(threshold: float):
+    """(no, n, fp, enough): an item's sketch, and how much of it a document
+    that contains the item holds."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for no, n, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                s = np.asarray(s.as_py(), np.int64).view(np.uint64)  # sorted as unsigned
+                top = (1 << len(s).bit_length()) - 1
+                sketch = s[: 8 + 2 * (top - needed(top, threshold))]
+                enough = max(1, len(sketch) - (len(s) - needed(len(s), threshold)))
+                k = len(sketch)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(k, no)), pa.array(np.full(k, n), pa.int32()), pa.array(sketch.view(np.int64)),
+                    pa.array(np.full(k, enough), pa.int64())], names=["no", "n", "fp", "enough"])
+
+    return run
+
+
+def _filter(sketches: DataFrame) -> np.ndarray:
+    """Which leading bits occur among the sketches: 2**FILTER_BITS bits,
+    whatever the benchmark's size."""
+    place = F.shiftrightunsigned("fp", 64 - FILTER_BITS)
+    words = sketches.select(F.shiftright(place, 6).alias("at"), F.expr(
+        f"shiftleft(1L, cast(shiftrightunsigned(fp, {64 - FILTER_BITS}) & 63 AS INT))").alias("bit"))
+    got = words.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # 2**(FILTER_BITS - 6) numbers at most
+    out = np.zeros(1 << FILTER_BITS - 6, np.int64)
+    out[got.column("at").to_numpy()] = got.column("bits").to_numpy()
+    return out
+
+
+def _mark_by_join(src: DataFrame, sets: DataFrame, threshold: float, items_type: T.ArrayType) -> DataFrame:
+    spark = src.sparkSession
+    items = written(sets.withColumn("no", F.monotonically_increasing_id()), "items")
+    sketches = written(items.select("no", "n", "s").mapInArrow(_sketches(threshold), "no bigint, n int, fp bigint, enough bigint"),
+                       "sketches")
+    lengths = sorted(r.n for r in items.select("n").distinct().collect())  # N at most
+    held = spark.sparkContext.broadcast(_filter(sketches))
+    keyed = src.select("row", "text", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"))
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value
+        for batch in batches:
+            for part in slices(batch):
+                words = Words(part.column(2), NOT_ALNUM)
+                hashes = words.hashes()
+                for n in lengths:
+                    row, gram = _grams(words, hashes, n)
+                    place = (gram >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                    some = np.flatnonzero((bits[place >> 6] >> (place & 63)) & 1)
+                    row, gram = row[some], gram[some]
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
+                        pa.array(np.full(len(row), n), pa.int32()), pa.array(gram.view(np.int64))], names=["k1", "k2", "n", "fp"])
+
+    seen = keyed.where("text IS NOT NULL").select("k1", "k2", "text").mapInArrow(
+        grams, "k1 bigint, k2 bigint, n int, fp bigint").distinct()
+    pairs = written(seen.join(sketches, ["n", "fp"]).groupBy("k1", "k2", "no").agg(
+        F.count("*").alias("shared"), F.first("enough").alias("enough")).where("shared >= enough").select("k1", "k2", "no"), "contained")
+    texts = keyed.select("k1", "k2", "text").join(pairs.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").distinct()
+    asked = pairs.join(items, "no").join(texts, ["k1", "k2"]).select("k1", "k2", "id", "n", "s", "text")
+    schema = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
+                           *[T.StructField(f.name, f.dataType) for f in items_type.elementType.fields]])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shared, size, keep = [], [], []
+            for i, (n, s) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4))):
+                words = Words(batch.column(5).slice(i, 1), NOT_ALNUM)
+                item = np.asarray(s.as_py(), np.int64).view(np.uint64)
+                both = int(np.isin(item, _grams(words, words.hashes(), n)[1]).sum())
+                if both >= needed(len(item), threshold):
+                    shared.append(both)
+                    size.append(len(item))
+                    keep.append(i)
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at), pa.array(shared, pa.int64()),
+                pa.array(size, pa.int64())], names=schema.names)
+
+    found = asked.mapInArrow(verify, schema).groupBy(F.col("k1").alias("of1"), F.col("k2").alias("of2")).agg(
+        F.collect_list(F.struct("item_id", "shared", "size")).alias("found"))
+    out = lookup_join(keyed.select("row", "k1", "k2"), found, ["k1", "k2"], ["of1", "of2"], "left")
+    return out.select("row", F.coalesce("found", F.array().cast(items_type)).alias("items"))
+
+
 def _marker(ids: list, shingles: list[tuple[int, np.ndarray]], threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = Block(shingles, threshold)
