@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = sorted(QUERIES)
 # Queries whose only un-partitioned window is the per-partition offset of
 # with_sequence (one row per partition).
-SEQUENCE_QUERIES = {"sequence_ids", "insert_values", "upsert_lookup", "sort_mixed", "offset_only"}
+SEQUENCE_QUERIES = {"sequence_ids", "sequence_runs", "insert_values", "upsert_lookup", "sort_mixed", "offset_only"}
 HEADLINE_READS = {
     "pivot_flags": {"lineitem": {"l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"}},
     "latest_per_key": {"orders": {"o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"}},
