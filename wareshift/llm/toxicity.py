@@ -68,8 +68,9 @@ _SPELLED = re.compile(r" (?:[^\W\d_] ){3,}")
 STARTS = (4, 5, 6, 7, 8)
 #: Entries of a task's count table before it is handed on.
 TABLE = 200_000
-#: Words whose result a task remembers.
-REMEMBERED = 300_000
+#: Words whose folded form a task remembers, and whose features (several
+#: strings a word).
+REMEMBERED, REMEMBERED_FEATURES = 200_000, 60_000
 
 
 def fold_word(word: str) -> str:
@@ -87,16 +88,16 @@ def fold_word(word: str) -> str:
 class _Remembered(dict):
     """Results of a function of a word, emptied between texts when it grows."""
 
-    def __init__(self, of):
+    def __init__(self, of, limit: int):
         super().__init__()
-        self.of = of
+        self.of, self.limit = of, limit
 
     def __missing__(self, word: str):
         self[word] = value = self.of(word)
         return value
 
     def all(self, words) -> list:
-        if len(self) > REMEMBERED:
+        if len(self) > self.limit:
             self.clear()
         return list(map(self.__getitem__, words))
 
@@ -150,7 +151,7 @@ class Matcher:
     def __init__(self, terms: dict[str, float], exceptions: frozenset):
         import ahocorasick
 
-        self.folded = _Remembered(fold_word)
+        self.folded = _Remembered(fold_word, REMEMBERED)
         self.empty = not terms
         self.automaton = ahocorasick.Automaton()
         for entry in {*terms, *exceptions}:
@@ -218,7 +219,7 @@ def held_out(id_col):
 
 def _count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tables = Counter(), Counter()  # clean, toxic
-    features = _Remembered(word_features)
+    features = _Remembered(word_features, REMEMBERED_FEATURES)
 
     def flush():
         terms = list(tables[0].keys() | tables[1].keys())
