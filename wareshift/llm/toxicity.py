@@ -70,7 +70,7 @@ STARTS = (4, 5, 6, 7, 8)
 TABLE = 200_000
 #: Words whose folded form a task remembers, and whose features (several
 #: strings a word).
-REMEMBERED, REMEMBERED_FEATURES = 200_000, 60_000
+REMEMBERED, REMEMBERED_FEATURES = 300_000, 120_000
 
 
 def fold_word(word: str) -> str:
