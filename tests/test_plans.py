@@ -1,6 +1,7 @@
 """Plan-shape guards for the registered queries (sf0.001 plans have the
 same shape as large-scale ones; AQE only re-plans at runtime)."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -122,3 +123,16 @@ def test_ancestor_list_repeats_no_wide_row(spark):
     plan = _plan(spark, "ancestor_list")
     generate = [ln for ln in plan.splitlines() if "Generate" in ln or "BroadcastNestedLoopJoin" in ln]
     assert generate and all("amount" not in ln and "cnt" not in ln for ln in generate)
+
+
+def test_allot_receive_keeps_every_item(spark, tmp):
+    """Items of any material key come, not only of some; what was returned
+    or has no material does not."""
+    day = dt.datetime(1998, 3, 1)
+    rows = [(1, 11, 4, 1, 5.0, 0.01, "N", "F", day), (2, 12, 4, 2, 6.0, 0.09, "A", "F", day), (3, 7, 3, 1, 7.0, 0.01, "N", "F", day),
+            (3, 7, 3, 1, 7.0, 0.01, "N", "F", day), (4, 11, 4, 1, 8.0, 0.01, "R", "F", day), (5, None, 4, 1, 9.0, 0.01, "N", "F", day)]
+    spark.createDataFrame(rows, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                          " l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(
+        f"{tmp}/lineitem.parquet")
+    got = [(r.order_id, r.material_model, r.manufacturer) for r in E.queries()["allot_receive"](spark, tmp).collect()]
+    assert got == [(1, "M11", "S4"), (3, "M7", None), (3, "M7", None), (2, "M12", None)]
