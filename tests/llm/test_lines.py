@@ -62,6 +62,27 @@ def test_every_near_pair_is_found(spark, distance):
     assert got == want
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_crowd_meets_by_finer_keys(spark, monkeypatch, seed):
+    """Whatever a crowd is, the same pairs are found; those of lines changed
+    in several neighbouring letters are no candidates."""
+    import wareshift.llm.lines as L
+
+    rnd = random.Random(seed)
+    base = ["".join(rnd.choice("abcé ") for _ in range(n)) for n in (11, 13, 31, 36, 47, 60)]
+    lines = sorted({change(rnd, rnd.choice(base), rnd.randrange(0, 4)) for _ in range(400)})
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "lid bigint, line string, chars int")
+    want = {(i, j) for j in range(len(lines)) for i in range(j)
+            if abs(len(lines[i]) - len(lines[j])) <= 2 and edits(lines[i], lines[j]) <= 2}
+    monkeypatch.setattr(L, "CROWD", 0)
+    assert {(min(r.a, r.b), max(r.a, r.b)) for r in near_lines(df, 2).collect()} == want and len(want) > 500
+    monkeypatch.undo()
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(240))
+    many = [line[:i] + "xyz" + line[i:] for i in range(0, 240)]
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(many)], "lid bigint, line string, chars int")
+    assert L.candidate_pairs(df, 2).count() < 240 * 239 / 2 / 2
+
+
 def brute(rows, distance, near_chars, percent=None):
     each = [(d is None, d or 0, p, i, line) for i, (d, t, *_) in enumerate(rows) if t is not None
             for p, line in enumerate(t.split("\n"))]
