@@ -83,6 +83,62 @@ def test_a_crowd_meets_by_finer_keys(spark, monkeypatch, seed):
     assert L.candidate_pairs(df, 2).count() < 240 * 239 / 2 / 2
 
 
+@pytest.mark.parametrize("close", [0, 3])
+def test_a_crowd_is_linked(spark, monkeypatch, close):
+    """The links of a crowd are pairs within two edits, and link what all such pairs link."""
+    import wareshift.llm.lines as L
+
+    rnd = random.Random(close)
+    base = ["".join(rnd.choice("abcé ") for _ in range(n)) for n in (1, 2, 3, 4, 5, 9, 20, 41)]
+    lines = sorted({change(rnd, rnd.choice(base), rnd.randrange(0, 5)) for _ in range(300)} - {""})
+    df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "lid bigint, line string, chars int")
+    want = {(i, j) for j in range(len(lines)) for i in range(j) if edits(lines[i], lines[j]) <= 2}
+    monkeypatch.setattr(L, "CLOSE", close)
+    every = [(r.a, r.b) for r in L.crowd_pairs(df).collect()]
+    assert {(min(x), max(x)) for x in every} == want and all(len(lines[a]) <= len(lines[b]) for a, b in every)
+    links = [(r.a, r.b) for r in L.crowd_pairs(df, linked=True).collect()]
+    assert {(min(x), max(x)) for x in links} <= want and all(len(lines[a]) <= len(lines[b]) for a, b in links)
+
+    def groups(pairs):
+        up = list(range(len(lines)))
+        for _ in lines:
+            for a, b in pairs:
+                up[a] = up[b] = min(up[a], up[b])
+        return up
+
+    assert groups(links) == groups(want)
+
+
+def test_few_candidates_of_a_large_crowd(spark):
+    """Copies of a line with some letters put in: pairs would grow with the
+    square, 20,000 and 320,000 here, and so would those of equal pieces."""
+    import wareshift.llm.lines as L
+
+    rnd = random.Random(5)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+
+    def found(n):
+        lines = sorted({line[:i] + "".join(rnd.choice("mnopqrst") for _ in range(4)) + line[i:]
+                        for i in (rnd.randrange(300) for _ in range(n))})
+        df = spark.createDataFrame([(i, x, len(x)) for i, x in enumerate(lines)], "lid bigint, line string, chars int")
+        return L.candidate_pairs(df, 2).count()
+
+    assert found(200) < 1000 and found(800) < 4000
+
+
+def test_a_template_is_linked_by_few_pairs(spark, monkeypatch):
+    """Lines that are all near each other need no pairs but those to the first."""
+    import wareshift.llm.lines as L
+
+    monkeypatch.setattr(L, "CLOSE", 16)
+    line = "a template of more than thirty characters, item "
+    lines = [(i, f"{line}{chr(0x4E00 + i // 30)}{chr(0x4E00 + i % 30)}", len(line) + 2) for i in range(600)]
+    df = spark.createDataFrame(lines, "lid bigint, line string, chars int")
+    assert L.crowd_pairs(df, linked=True).count() < 5 * 600
+    docs = documents(spark, [(i, x) for i, x, _ in lines])
+    assert [r[2] for r in run(docs)].count(1) == 599
+
+
 def brute(rows, distance, near_chars, percent=None):
     each = [(d is None, d or 0, p, i, line) for i, (d, t, *_) in enumerate(rows) if t is not None
             for p, line in enumerate(t.split("\n"))]
