@@ -116,3 +116,57 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {i: find(i) for a, b in edges if a != b for i in (a, b)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+@pytest.fixture
+def tables(monkeypatch):
+    """Names and row counts of the tables that an operator writes."""
+    found = {}
+    written = J.written
+
+    def keep(df, name, *args, **options):
+        out = written(df, name, *args, **options)
+        found[name] = out.count()
+        return out
+
+    monkeypatch.setattr(J, "written", keep)
+    return found
+
+
+def test_sets_that_share_some_shingles_are_no_candidates(spark, tables):
+    rnd = random.Random(11)
+    phrases = [" ".join(f"p{i}x{j}" for j in range(30)) for i in range(8)]
+    rows = [(i, " ".join(f"d{i}x{j}" for j in range(60)) + " " + phrases[i % 8]) for i in range(160)]
+    rows += [(1000 + i, edited(rnd, rows[i][1].split(), 1)) for i in range(6)]
+    # without a table of frequent shingles those of the phrases are in many prefixes
+    assert run(documents(spark, rows), table=0) == brute(rows, 3, 90)[0]
+    assert 6 <= tables["candidates"] <= 12 and tables["members"] == 12
+
+
+@pytest.mark.parametrize("crowd", [3, 8, 2048])
+def test_blocks_of_many_classes(spark, copies, tables, crowd):
+    assert run(documents(spark, copies), block=2, crowd=crowd, table=0, tile=16) == brute(copies, 3, 90)[0]
+
+
+def test_a_block_of_many_unlike_sets_ties_none(spark, tables):
+    rows = [(i, f"one two three four five six a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i}") for i in range(90)]
+    assert run(documents(spark, rows), block=16, table=0) == brute(rows, 3, 90)[0]
+    assert tables["prefix-posts"] > 4 * 16 and tables["candidates"] == 0
+
+
+def test_bit_filter(spark):
+    from wareshift.llm.bitfilter import bit_filter, passed
+
+    rnd = random.Random(5)
+    values = [rnd.randrange(-(1 << 63), 1 << 63) for _ in range(3000)] + [-1, 0, (1 << 63) - 1, -(1 << 63)]
+    df = spark.createDataFrame([([v, v] if i % 3 else [v],) for i, v in enumerate(values)], "h array<bigint>")
+    asked = spark.createDataFrame([(v,) for v in values] + [(v ^ (1 << 50),) for v in values], "v bigint")
+    for least in (1, 2):
+        bits = bit_filter(df, least)
+        want = {v for i, v in enumerate(values) if least == 1 or i % 3}
+        got = {r.v for r in passed(asked, asked.v, bits).collect()}
+        assert got >= want and len(got - want) < len(values) // 8
+        assert {r.v for r in passed(asked, asked.v, bits, "left_anti").collect()} == {r.v for r in asked.collect()} - got
+    assert passed(asked, asked.v, bit_filter(df.where("false"))).count() == 0
+    halves = df.select("h").repartition(7).selectExpr("explode(h) AS h")
+    assert passed(asked, asked.v, bit_filter(halves, 2)).count() >= len([i for i in range(len(values)) if i % 3])

@@ -9,12 +9,18 @@ that may link (100 * intersection >= percent * union):
    bounded size, puts those last by count, all others come first by
    fingerprint.  Any common order gives exact results.
 2. Prefix join: two sets that link share at least three of their first
-   ``n - ceil(percent * n) + 3`` shingles.  Classes meet on prefix shingles,
+   ``n - ceil(percent * n) + 3`` shingles.  A filter of fixed size keeps what
+   no other prefix has from the shuffle.  Classes meet on prefix shingles,
    pass the length and positional filters, and are candidates if they share
-   three.  A prefix shingle of more than ``block`` classes makes no pairs:
-   its members are tied to one leader per length band, which costs one edge
-   a member and loses nothing.
-3. Candidates that hang together come into one task with their whole sets (a
+   three and their sketches allow it: 64 counts of the set's shingles by
+   hash, whose differences add up to no more than the sets differ by.  So
+   sets that share a few shingles by chance, whose number grows with the
+   square of the corpus, end here.  A prefix shingle of more than ``block``
+   classes makes no pairs: those of two neighbouring length bands come into
+   one task, which links them by their sketches and returns one edge a class;
+   above ``crowd`` they are tied to one leader.  That loses nothing.
+3. The texts of candidates, found by a filter of fixed size, are fetched.
+   Candidates that hang together come into one task with their whole sets (a
    large cluster is cut into tiles, all pairs of tiles).  There each pair is
    met once, through its first common prefix shingle in the order of the
    task's own counts, filtered by length, position and the suffix's
@@ -40,6 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wareshift.llm.bitfilter import bit_filter, passed
 from wareshift.llm.components import components
 from wareshift.llm.stage import written
 from wareshift.llm.text import Words, shingles, slices
@@ -49,6 +56,8 @@ from wareshift.operators.joins import lookup_join
 SHARED = 3
 #: Shingles gathered in a task before those that recur are handed on.
 GATHER = 3_000_000
+#: Counts of a set's sketch.
+SKETCH = 64
 _BITS = 22
 
 
@@ -128,7 +137,7 @@ def frequent(texts: DataFrame, n: int, table: int) -> tuple[np.ndarray, np.ndarr
 
 def signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
     """rid, id, k1, k2 (fingerprints of the row's id and text, and its text),
-    n, key (of the set), prefix."""
+    n, key (of the set), prefix, sketch."""
     src = docs.select(F.monotonically_increasing_id().alias("rid"), "id", "k1", "k2", "text")
     id_type = src.schema["id"].dataType.simpleString()
 
@@ -148,28 +157,53 @@ def signatures(docs: DataFrame, order, n: int, percent: int) -> DataFrame:
                 at = np.arange(end[-1]) + np.repeat(begin[:-1] - (end - first), first) if len(end) else end
                 prefix = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], end]), pa.int32()),
                                                   pa.array(gram[at].view(np.int64)))
+                of = row * SKETCH + (gram & np.uint64(SKETCH - 1)).astype(np.int64)
+                counts = np.bincount(of, minlength=part.num_rows * SKETCH).astype(np.uint8)  # modulo 256
+                sketch = pa.FixedSizeBinaryArray.from_buffers(
+                    pa.binary(SKETCH), part.num_rows, [None, pa.py_buffer(counts)]).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(2), part.column(3), pa.array(size, pa.int64()),
-                    pa.array(key, pa.binary()), prefix], names=["rid", "id", "k1", "k2", "n", "key", "prefix"])
+                    pa.array(key, pa.binary()), prefix, sketch],
+                    names=["rid", "id", "k1", "k2", "n", "key", "prefix", "sketch"])
 
-    return src.mapInArrow(
-        run, f"rid bigint, id {id_type}, k1 bigint, k2 bigint, n bigint, key binary, prefix array<bigint>")
+    return src.mapInArrow(run, f"rid bigint, id {id_type}, k1 bigint, k2 bigint, n bigint, key binary, "
+                               "prefix array<bigint>, sketch binary")
+
+
+def first_of_classes(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """rid, n, prefix: one row of each class.  Only rows that may be further
+    copies, by a filter of those, are looked up."""
+    rows = signed.select("rid", "n", "prefix").where(F.size("prefix") > 0)
+    copies = signed.where("n > 0").select("rid", "key").join(classes.select("key", "class"), "key").where("rid <> class")
+    maybe = bit_filter(copies.select(F.xxhash64("rid").alias("h")))
+    first = classes.select(F.col("class").alias("rid"))
+    hashed = F.xxhash64("rid")
+    return passed(rows, hashed, maybe, "left_anti").unionByName(passed(rows, hashed, maybe).join(first, "rid"))
 
 
 def prefix_posts(classes: DataFrame, percent: int) -> DataFrame:
     """rid, n, pos, h, size, band: the prefix shingles that several classes
     have, with the number of those, and the class's length band."""
-    posts = classes.select("rid", "n", F.posexplode("prefix").alias("pos", "h"))
+    again = bit_filter(classes.select("prefix"), least=2)
+    posts = passed(classes.select("rid", "n", F.posexplode("prefix").alias("pos", "h")), F.col("h"), again)
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
     # lookups on aggregates of the same key: a hot shingle is split over tasks
     sizes = posts.groupBy(F.col("h").alias("of")).agg(F.count("*").alias("size")).where("size > 1")
     return written(lookup_join(posts, sizes, ["h"], ["of"], "inner").drop("of").withColumn("band", band), "prefix-posts")
 
 
-def candidate_edges(shared: DataFrame, percent: int, block: int) -> DataFrame:
-    """(a, b): pairs of classes that may link, and the ties of the members of
-    large blocks.  Whatever links is connected."""
-    few, many = shared.where(F.col("size") <= block), shared.where(F.col("size") > block)
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least number of shingles by which sets of these sketches differ."""
+    d = a - b  # counts are known modulo 256
+    return np.minimum(d, -d).sum(-1, dtype=np.int64)
+
+
+def _sketches(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+
+
+def candidate_pairs(few: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of classes that may link, of blocks that make pairs."""
     x = few.select("h", F.col("rid").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"))
     y = few.select("h", F.col("rid").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"))
     low, high = F.least("na", "nb"), F.greatest("na", "nb")
@@ -177,14 +211,64 @@ def candidate_edges(shared: DataFrame, percent: int, block: int) -> DataFrame:
     pairs = x.join(y, "h").where((F.col("a") < F.col("b")) & (low * 100 >= high * percent)
                                  & (reach * (100 + percent) >= (F.col("na") + F.col("nb")) * percent))
     pairs = pairs.groupBy("a", "b").count().where(F.col("count") >= SHARED).select("a", "b")
-    leaders = many.groupBy("h", "band").agg(F.min("rid").alias("lead"))
-    named = leaders.select(F.col("h").alias("of"), F.col("band").alias("of_band"), "lead")
-    ties = lookup_join(many, named, ["h", "band"], ["of", "of_band"], "inner").select(
-        F.col("rid").alias("a"), F.col("lead").alias("b"))
-    # sets of neighbouring bands may link: tie their leaders
-    next_band = leaders.select("h", (F.col("band") - 1).alias("band"), F.col("lead").alias("b"))
-    steps = leaders.join(next_band, ["h", "band"]).select(F.col("lead").alias("a"), "b")
-    return pairs.unionByName(ties).unionByName(steps).where("a <> b").distinct()
+    for end in ("a", "b"):
+        of = sketches.select(F.col("rid").alias("of"), F.col("n").alias(f"n{end}"), F.col("sketch").alias(f"s{end}"))
+        pairs = lookup_join(pairs, of, [end], ["of"], "inner").drop("of")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                na, nb = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+                most = na + nb - 2 * pair_needed(na, nb, percent)
+                may = pa.array(_apart(_sketches(batch.column(3)), _sketches(batch.column(5))) <= most)
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(may), batch.column(1).filter(may)], ["a", "b"])
+
+    return pairs.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(run, "a bigint, b bigint")
+
+
+def crowd_edges(many: DataFrame, sketches: DataFrame, percent: int, crowd: int) -> DataFrame:
+    """(a, b): edges that connect the classes of one block that may link."""
+    # sets that link are of the same or of neighbouring bands
+    member = many.select("h", F.explode(F.array("band", F.col("band") - 1)).alias("band"), "rid")
+    sizes = member.groupBy("h", "band").agg(F.count("*").alias("members"), F.min("rid").alias("lead"))
+    named = sizes.where("members > 1").select(F.col("h").alias("of"), F.col("band").alias("of_band"), "members", "lead")
+    member = lookup_join(member, named, ["h", "band"], ["of", "of_band"], "inner")
+    ties = member.where(F.col("members") > crowd).select(F.col("rid").alias("a"), F.col("lead").alias("b"))
+    known = sketches.select(F.col("rid").alias("node"), "n", "sketch")
+    small = lookup_join(member.where(F.col("members") <= crowd).select("h", "band", "rid"), known, ["rid"], ["node"], "inner")
+
+    def link(found: pa.Table) -> pa.Table:
+        rid, n = found.column("rid").to_numpy(), found.column("n").to_numpy()
+        sketch = _sketches(found.column("sketch"))
+        left = np.ones(len(rid), bool)
+        root = np.arange(len(rid))
+        for seed in range(len(rid)):
+            if not left[seed]:
+                continue
+            left[seed] = False
+            reached = [seed]
+            while reached:
+                i = reached.pop()
+                rest = np.flatnonzero(left)
+                rest = rest[(np.minimum(n[rest], n[i]) * 100 >= np.maximum(n[rest], n[i]) * percent)]
+                most = n[rest] + n[i] - 2 * pair_needed(n[rest], n[i], percent)
+                rest = rest[_apart(sketch[rest], sketch[i]) <= most]
+                left[rest] = False
+                root[rest] = seed
+                reached.extend(rest.tolist())
+        linked = root != np.arange(len(rid))
+        return pa.table({"a": rid[linked], "b": rid[root[linked]]})
+
+    return ties.unionByName(small.select("h", "band", "rid", "n", "sketch").groupBy("h", "band").applyInArrow(
+        link, "a bigint, b bigint"))
+
+
+def candidate_edges(shared: DataFrame, sketches: DataFrame, percent: int, block: int, crowd: int) -> DataFrame:
+    """(a, b): pairs of classes that may link, and edges that connect the
+    members of large blocks that may.  Whatever links is connected."""
+    few, many = shared.where(F.col("size") <= block), shared.where(F.col("size") > block)
+    return candidate_pairs(few, sketches, percent).unionByName(crowd_edges(many, sketches, percent, crowd)).where(
+        "a <> b").distinct()
 
 
 def _tile_links(sizes: np.ndarray, grams: np.ndarray, side: np.ndarray, cross: bool, percent: int):
@@ -277,7 +361,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, table: int = 1 << 20, block: int = 64,
-                       tile: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                       crowd: int = 2048, tile: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: its id, n_shingles, component_id (the smallest id it
     reaches by links) and n_links (classes of other texts it links to); with
     k1, k2 (fingerprints of id and text, and of the text) and component (a
@@ -290,9 +374,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, table: in
     signed = written(signatures(src, order, n, percent), "signatures")
     sets = signed.where("n > 0").groupBy("key").agg(F.min("rid").alias("rid"), F.min("id").alias("low_id"))
     classes = written(sets.select("key", F.col("rid").alias("class"), "low_id"), "classes", rows=signed.count())
-    reps = signed.join(classes.select(F.col("class").alias("rid")), "rid").where(F.size("prefix") > 0)
-    posts = prefix_posts(reps.select("rid", "n", "prefix"), percent)
-    edges = written(candidate_edges(posts, percent, block), "candidates", rows=posts.count())
+    posts = prefix_posts(first_of_classes(signed, classes), percent)
+    edges = written(candidate_edges(posts, signed.select("rid", "n", "sketch"), percent, block, crowd), "candidates",
+                    rows=posts.count())
     clusters = components(edges)
     linked, degree = _verify(src, signed, clusters, n, percent, tile)
     found = components(linked)
@@ -313,8 +397,9 @@ def _verify(src: DataFrame, signed: DataFrame, clusters: DataFrame, n: int, perc
     member = clusters.join(sized, "component").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     # the sets again, of the classes in clusters only; a text is found by id and fingerprint
     where = signed.select(F.col("rid").alias("node"), "k1", "k2")
-    member = member.join(where, "node").dropDuplicates(["k1", "k2"])
-    texts = src.join(member, ["k1", "k2"]).dropDuplicates(["node"])
+    member = written(member.join(where, "node").dropDuplicates(["k1", "k2"]), "members", rows=signed.count())
+    fetched = passed(src.select("k1", "k2", "text"), F.col("k1"), bit_filter(member.select("k1")))
+    texts = fetched.dropDuplicates(["k1", "k2"]).join(member, ["k1", "k2"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
