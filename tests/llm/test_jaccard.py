@@ -143,7 +143,7 @@ def test_sets_that_share_some_shingles_are_no_candidates(spark, tables):
     assert 6 <= tables["candidates"] <= 12 and tables["members"] == 12
 
 
-@pytest.mark.parametrize("crowd", [3, 8, 2048])
+@pytest.mark.parametrize("crowd", [3, 2048])
 def test_blocks_of_many_classes(spark, copies, tables, crowd):
     assert run(documents(spark, copies), block=2, crowd=crowd, table=0, tile=16) == brute(copies, 3, 90)[0]
 
@@ -154,6 +154,23 @@ def test_a_block_of_many_unlike_sets_ties_none(spark, tables):
     assert tables["prefix-posts"] > 4 * 16 and tables["candidates"] == 0
 
 
+def test_only_rows_that_may_go_are_shuffled_whole(spark, monkeypatch):
+    rows = [(i, " ".join(f"d{i}x{j}" for j in range(20))) for i in range(50)]
+    rows += [(60, rows[7][1]), (61, rows[8][1]), (9, rows[9][1]), (70, None), (70, None)]
+    passed, few = J.passed, []
+
+    def keep(df, value, bits, how="left_semi"):
+        out = passed(df, value, bits, how)
+        if "row" in df.columns and how == "left_semi":
+            few.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "passed", keep)
+    assert sorted((r.doc_id for r in J.one_of_each(documents(spark, rows), n=5, percent=80).collect())) == [
+        *range(50), 70, 70]
+    assert few == [4]  # 60, 61 and both of 9
+
+
 def test_bit_filter(spark):
     from wareshift.llm.bitfilter import bit_filter, passed
 

@@ -441,17 +441,26 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents without their near duplicates: of each component the row
     of the smallest id; documents without words all stay."""
     found = jaccard_components(docs, id_col=id_col, text_col=text_col, **options)
+    found = written(found.select(F.col(f"`{id_col}`").alias("id"), "k1", "k2", "component"), "found",
+                    rows=docs.count())
     groups = found.where(F.col("component").isNotNull()).groupBy("component").agg(
-        F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), "k1", "k2")).alias("first"))
+        F.min(F.struct(F.col("id").isNull(), F.col("id"), "k1", "k2")).alias("first"))
     chosen = groups.select("first.k1", "first.k2", F.lit(True).alias("once"))
     chosen = chosen.unionByName(found.where(F.col("component").isNull()).select("k1", "k2", F.lit(False).alias("once"))
                                 .distinct())
+    chosen = written(chosen, "chosen", rows=found.count())
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(row.alias("row"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("k1"),
                        F.xxhash64(F.lit(1), text).alias("k2"))
+    # only rows that may go, by a filter of those, are shuffled
+    times = found.groupBy("k1", "k2").agg(F.count("*").alias("times")).join(chosen, ["k1", "k2"], "left")
+    doubtful = bit_filter(times.where("once IS NULL OR once AND times > 1").select("k1"))
+    clear = passed(rows, F.col("k1"), doubtful, "left_anti").select("row")
     # of rows with equal id and text the first by the other columns' hash
     others = [F.col("row").getField(c) for c, t in docs.dtypes if not t.startswith("map")]
     copy = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.xxhash64(*others)))
-    kept = rows.join(chosen, ["k1", "k2"]).withColumn("copy", copy).where("copy = 1 OR NOT once")
+    kept = passed(rows, F.col("k1"), doubtful).join(chosen, ["k1", "k2"]).withColumn("copy", copy).where(
+        "copy = 1 OR NOT once")
+    kept = clear.unionByName(kept.select("row"))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
